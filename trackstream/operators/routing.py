@@ -48,11 +48,12 @@ def route_stats(routed: DataFrame) -> DataFrame:
         F.count_if(F.col("route").isNull()).alias("errors"))
 
 
-def processed_projection(df: DataFrame, *, include_processing_time: bool = True) -> DataFrame:
-    """V9: the 25-column processed feed."""
+def processed_projection(df: DataFrame, *, include_processing_time: bool = True,
+                         extra: list[str] | None = None) -> DataFrame:
+    """V9: the 25-column processed feed (plus ``extra`` columns, e.g. the id)."""
     names = [c for c in S.PROCESSED_COLUMNS
              if include_processing_time or c != "processing_timestamp"]
-    return df.select(*names)
+    return df.select(*names, *[c for c in (extra or []) if c not in names])
 
 
 def invalid_projection(df: DataFrame) -> DataFrame:

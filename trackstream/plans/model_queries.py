@@ -1,3 +1,67 @@
-"""Model queries (isolation forest); filled in by trackstream.operators.forest."""
+"""Model queries (isolation forest).  Not SQL-expressible (random trees,
+vectorised traversal), so they have no oracle SQL; tests check invariants:
+scores in [0, 1], flagged share near the contamination, scores independent
+of partitioning, planted outliers above the threshold."""
 
-MODEL_QUERIES: dict = {}
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from trackstream.operators import forest, reports
+from trackstream.plans import compose as P
+from trackstream.plans.catalog import round_doubles
+
+
+def _fit(spark, d, **kw):
+    v = P.valid_features(spark, d)
+    return v, forest.fit_isolation_forest(v, **kw)
+
+
+def q_iforest_nodes(spark, d):
+    _, m = _fit(spark, d)
+    return spark.createDataFrame(m.nodes, schema=forest.NODE_SCHEMA)
+
+
+def q_ml_score(spark, d):
+    v, m = _fit(spark, d)
+    return round_doubles(forest.score_frame(v, m).select("event_id", "ml_anomaly_score"))
+
+
+def q_ml_flags(spark, d):
+    v, m = _fit(spark, d)
+    return round_doubles(forest.score_frame(v, m).select(
+        "event_id", "icao24", "ml_anomaly_score", "ml_is_anomaly", "ml_anomaly_reason"))
+
+
+def q_model_info(spark, d):
+    _, m = _fit(spark, d)
+    return forest.model_info(spark, m)
+
+
+def q_train_test_split(spark, d):
+    v = P.valid_features(spark, d)
+    return forest.train_test_split(v).select("event_id", "split")
+
+
+def q_forest_evaluation(spark, d):
+    """M4: fit on the train split, evaluate on the test split against the
+    rule-based label (any anomaly rule fires at full score)."""
+    v = forest.train_test_split(P.valid_features(spark, d))
+    m = forest.fit_isolation_forest(v.filter(F.col("split") == "train"))
+    test = forest.score_frame(v.filter(F.col("split") == "test"), m)
+    from trackstream.functions.expressions import anomaly_reason
+    test = test.withColumn("rule_label", anomaly_reason("velocity", "baro_altitude",
+                                                         "vertical_rate", F.lit(1.0))
+                           != F.lit("statistical_anomaly"))
+    return round_doubles(reports.classification_report(test, label_col="rule_label",
+                                                       pred_col="ml_is_anomaly"))
+
+
+MODEL_QUERIES = {
+    "iforest_nodes": q_iforest_nodes,
+    "ml_score": q_ml_score,
+    "ml_flags": q_ml_flags,
+    "model_info": q_model_info,
+    "train_test_split": q_train_test_split,
+    "forest_evaluation": q_forest_evaluation,
+}

@@ -31,6 +31,7 @@ def build_session(master: str | None = None, app_name: str = "trackstream",
         builder = builder.master(master)
     conf = dict(CORE_CONF)
     conf["spark.ui.enabled"] = "false"
+    conf["spark.ui.showConsoleProgress"] = "false"
     if shuffle_partitions is not None:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
