@@ -118,6 +118,7 @@ class ForestModel:
     threshold: float = 1.0
     train_rows: int = 0
     arrays: dict = field(default_factory=dict, repr=False)
+    _columns: dict = field(default_factory=dict, repr=False)
 
     def compile(self) -> dict:
         """Flatten the node table into global numpy arrays for scoring."""
@@ -230,7 +231,14 @@ def fit_isolation_forest(df: DataFrame, *, features: list[str] | None = None,
 
 
 def raw_score_column(model: ForestModel, spark: SparkSession, features: list[str]) -> Column:
-    """U1 core: pandas UDF returning the raw isolation score for each row."""
+    """U1 core: pandas UDF returning the raw isolation score for each row.
+
+    The node arrays are broadcast once per model and session, and the UDF
+    column is reused, so a streaming query does not re-ship the forest with
+    every micro-batch."""
+    key = (id(spark.sparkContext), tuple(features))
+    if key in model._columns:
+        return model._columns[key]
     arrays = model.arrays or model.compile()
     bc = spark.sparkContext.broadcast(arrays)
     feats = list(model.features)
@@ -240,7 +248,9 @@ def raw_score_column(model: ForestModel, spark: SparkSession, features: list[str
         x = _fill_features(batch, feats)
         return pd.Series(raw_scores(bc.value, x))
 
-    return _score(F.struct(*[F.col(f).alias(m) for f, m in zip(features, feats)]))
+    col = _score(F.struct(*[F.col(f).alias(m) for f, m in zip(features, feats)]))
+    model._columns[key] = col
+    return col
 
 
 def calibrate(model: ForestModel, df: DataFrame) -> ForestModel:
