@@ -86,8 +86,20 @@ def flights_from_events(events: DataFrame, *, keep_source_time: bool = False) ->
     )
 
 
+def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Spread a scan that yields fewer partitions than the cluster has cores
+    (e.g. one small file with a single row group) with a round-robin
+    repartition, so the CPU-heavy stages before the first shuffle (JSON
+    encode/parse, regex, hashing) do not run in one task.  A large input has
+    many splits already and passes through untouched."""
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return ensure_parallelism(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
 
 
 def load_flights(spark: SparkSession, sf_dir: str, *, keep_source_time: bool = False
