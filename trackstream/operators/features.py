@@ -84,22 +84,38 @@ def add_position_age(df: DataFrame, *, cols: FlightColumns = FLIGHT) -> DataFram
         F.unix_seconds(F.col(cols.event_time)) - F.col(cols.position_time))
 
 
-def state_transitions(df: DataFrame, *, cols: FlightColumns = FLIGHT) -> DataFrame:
+def state_transitions(df: DataFrame, *, cols: FlightColumns = FLIGHT,
+                      bucket: str = "1 day") -> DataFrame:
     """Per entity, ordered by (event_time, tiebreak): previous heading, the
     signed circular heading change in (-180, 180], and whether ``on_ground``
     changed.  Batch only (non-time windows are rejected in streaming).
 
-    Shuffles once on the entity key; each entity's rows are sorted within its
-    partition.  At fleet scale the partition count (not one task) bounds the
-    work, and a single hot entity is bounded by its track length.
+    A hot entity is not sent to one task: rows are ordered within
+    (entity, time bucket) partitions, and the first row of a bucket takes its
+    predecessor from the last row of the entity's previous non-empty bucket —
+    a per-(entity, bucket) table (one row per bucket) that is joined back with
+    a size-checked broadcast.  The result equals an unsplit per-entity lag.
     """
-    order = [F.col(cols.event_time)]
-    if cols.tiebreak in df.columns:
-        order.append(F.col(cols.tiebreak))
-    w = Window.partitionBy(cols.key).orderBy(*order)
-    prev_h = F.lag(cols.heading).over(w)
-    prev_g = F.lag(cols.on_ground).over(w)
-    out = df.withColumns({"prev_heading": prev_h, "prev_on_ground": prev_g})
+    from trackstream.plans.joins import join_checked
+
+    order_cols = [cols.event_time] + ([cols.tiebreak] if cols.tiebreak in df.columns else [])
+    b = F.window(F.col(cols.event_time), bucket).start
+    base = df.withColumn("_tb", b)
+    w = Window.partitionBy(cols.key, "_tb").orderBy(*order_cols)
+    base = base.withColumns({"_ph": F.lag(cols.heading).over(w),
+                             "_pg": F.lag(cols.on_ground).over(w),
+                             "_first": F.row_number().over(w) == 1})
+    last = (base.groupBy(cols.key, "_tb")
+                .agg(F.max_by(F.struct(F.col(cols.heading).alias("h"),
+                                       F.col(cols.on_ground).alias("g")),
+                              F.struct(*order_cols)).alias("_last")))
+    wb = Window.partitionBy(cols.key).orderBy("_tb")
+    carry = last.select(cols.key, "_tb", F.lag("_last").over(wb).alias("_carry"))
+    out = join_checked(base, carry, [cols.key, "_tb"], "left")
+    out = out.withColumns({
+        "prev_heading": F.when(F.col("_first"), F.col("_carry.h")).otherwise(F.col("_ph")),
+        "prev_on_ground": F.when(F.col("_first"), F.col("_carry.g")).otherwise(F.col("_pg")),
+    }).drop("_ph", "_pg", "_first", "_carry", "_tb")
     diff = F.col(cols.heading) - F.col("prev_heading")
     circ = F.lit(180.0) - F.pmod(F.lit(180.0) - diff, F.lit(360.0))
     return out.withColumns({
