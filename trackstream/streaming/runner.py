@@ -142,12 +142,18 @@ def processed_stream_batch(raw: DataFrame, cfg: PipelineConfig = PipelineConfig(
 
 def start_windows(spark: SparkSession, layout: StreamLayout, schema,
                   cfg: PipelineConfig = PipelineConfig(), *,
-                  trigger: str | None = S.TRIGGER_INTERVAL) -> StreamingQuery:
-    """K3 (append by default) + G2/G3 + G8: closed windows with trends."""
+                  trigger: str | None = S.TRIGGER_INTERVAL,
+                  max_files_per_trigger: int | None = None) -> StreamingQuery:
+    """K3 (append by default) + G2/G3 + G8: closed windows with trends.
+    Rows older than the watermark are dropped here (G5) and counted in the
+    query progress (``numRowsDroppedByWatermark``)."""
     cols = cfg.cols
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
-    src = (spark.readStream.schema(schema).parquet(layout.table("processed"))
-                .withWatermark(cols.event_time, cfg.watermark))
+    reader = spark.readStream.schema(schema)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", str(int(max_files_per_trigger)))
+    src = (reader.parquet(layout.table("processed"))
+                 .withWatermark(cols.event_time, cfg.watermark))
     win = windows.window_stats(src, duration=cfg.window, slide=cfg.slide, cols=cols)
     tr = stream_trends(win, key=cols.key)
     w = (tr.writeStream.format("parquet").outputMode("append")
@@ -157,6 +163,39 @@ def start_windows(spark: SparkSession, layout: StreamLayout, schema,
     return _trigger(w, trigger).start()
 
 
+def start_window_updates(spark: SparkSession, layout: StreamLayout, schema,
+                         cfg: PipelineConfig = PipelineConfig(), *,
+                         trigger: str | None = S.TRIGGER_INTERVAL) -> StreamingQuery:
+    """K3 ``update`` mode (the reference's choice): every micro-batch emits the
+    windows it changed, open ones included.  Each batch's versions land in
+    their own ``batch_id`` partition of ``window_updates`` (idempotent on
+    retry); :func:`latest_windows` reads the newest version of each window.
+    Trend labels need final windows, so they are only in the append query."""
+    cols = cfg.cols
+    src = (spark.readStream.schema(schema).parquet(layout.table("processed"))
+                .withWatermark(cols.event_time, cfg.watermark))
+    win = windows.window_stats(src, duration=cfg.window, slide=cfg.slide, cols=cols)
+    path = layout.table("window_updates")
+
+    def upsert(batch: DataFrame, batch_id: int) -> None:
+        _write_batch_partition(batch, path, batch_id)
+
+    w = (win.writeStream.outputMode("update").foreachBatch(upsert)
+            .option("checkpointLocation", layout.checkpoint("window_updates"))
+            .queryName("window_updates"))
+    return _trigger(w, trigger).start()
+
+
+def latest_windows(spark: SparkSession, path: str, *, key: str = "icao24") -> DataFrame:
+    """Newest version of every window from an update-mode log (a partial
+    group limit runs before the shuffle, so many versions of a hot window
+    cost one row per input partition)."""
+    from pyspark.sql import Window
+    w = Window.partitionBy("window_start", key).orderBy(F.col("batch_id").desc())
+    return (spark.read.parquet(path).withColumn("_rn", F.row_number().over(w))
+                 .filter("_rn = 1").drop("_rn"))
+
+
 def run_stream(spark: SparkSession, raw: DataFrame, layout: StreamLayout,
                cfg: PipelineConfig = PipelineConfig(), *, model=None, stream_z: bool = False,
                trigger: str | None = S.TRIGGER_INTERVAL, wait: bool = False
