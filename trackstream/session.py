@@ -69,7 +69,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
     a cluster an unset value is an error: a machine-local folder would not
     survive the loss of an executor.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect: the server's setting applies
+        return spark.conf.get("spark.checkpoint.dir", None) or ""
     current = sc.getCheckpointDir()
     if current:
         return current

@@ -92,8 +92,12 @@ def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> Data
     repartition, so the CPU-heavy stages before the first shuffle (JSON
     encode/parse, regex, hashing) do not run in one task.  A large input has
     many splits already and passes through untouched."""
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
+    try:
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        current = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - e.g. a Spark Connect session has no RDD API
+        return df
+    if current < target:
         return df.repartition(target)
     return df
 

@@ -200,18 +200,31 @@ def run_stream(spark: SparkSession, raw: DataFrame, layout: StreamLayout,
                cfg: PipelineConfig = PipelineConfig(), *, model=None, stream_z: bool = False,
                trigger: str | None = S.TRIGGER_INTERVAL, wait: bool = False
                ) -> dict[str, StreamingQuery]:
-    """Start the query group; with ``wait`` block until every query ends
-    (the windows query is started after the processed table has data)."""
+    """Start the query group.
+
+    With a bounded trigger (``availableNow`` / ``once``) the windows query
+    starts after the processed query has drained its input, and ``wait``
+    blocks until all three end.  With a processing-time trigger all three run
+    side by side (the processed folder is created first so the windows
+    reader can attach) and ``wait`` returns when any of them stops."""
+    schema = processed_stream_batch(spark.createDataFrame([], raw.schema), cfg).schema
     qs = {"dead_letters": start_dead_letters(raw, layout, trigger=trigger),
           "processed": start_processed(raw, layout, cfg, model=model, stream_z=stream_z,
                                        trigger=trigger)}
-    if wait:
-        qs["processed"].awaitTermination()
-    schema = processed_stream_batch(spark.createDataFrame([], raw.schema), cfg).schema
+    bounded = trigger in (None, "availableNow", "once")
+    if bounded:
+        if wait:
+            qs["processed"].awaitTermination()
+    else:
+        (spark.createDataFrame([], schema).write.mode("append")
+              .partitionBy("batch_id").parquet(layout.table("processed")))
     qs["windows"] = start_windows(spark, layout, schema, cfg, trigger=trigger)
     if wait:
-        for q in qs.values():
-            q.awaitTermination()
+        if bounded:
+            for q in qs.values():
+                q.awaitTermination()
+        else:
+            spark.streams.awaitAnyTermination()
     return qs
 
 
