@@ -78,3 +78,22 @@ def test_split_fraction(fitted):
     s = forest.train_test_split(v)
     share = s.agg(F.avg((F.col("split") == "test").cast("double"))).first()[0]
     assert 0.15 < share < 0.25
+
+
+def test_batch_flow_with_and_without_model(spark, fitted):
+    """The whole reference flow in batch: clean -> features -> z-score ->
+    split -> score -> windows -> trends (U4/U5 both ways)."""
+    from trackstream.schema import PipelineConfig
+    _, m = fitted
+    raw = P.flights(spark, SF_SMALL)
+    cfg = PipelineConfig(window="1 day", zscore_window="1 day")
+    out = P.batch_flow(raw, cfg, model=m)
+    proc = out["processed"]
+    assert proc.count() == P.valid_features(spark, SF_SMALL).count()
+    r = proc.agg(F.min("ml_anomaly_score"), F.max("ml_anomaly_score")).first()
+    assert 0.0 <= r[0] <= r[1] <= 1.0
+    assert out["trends"].count() == out["windows"].count()
+    assert out["windows"].select("trend_summary").distinct().first()[0] == "not_calculated"
+    assert out["invalid"].count() > 0
+    fb = P.batch_flow(raw, cfg, model=None)["processed"]
+    assert fb.filter("ml_anomaly_reason != 'model_unavailable'").count() == 0
