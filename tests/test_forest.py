@@ -97,3 +97,12 @@ def test_batch_flow_with_and_without_model(spark, fitted):
     assert out["invalid"].count() > 0
     fb = P.batch_flow(raw, cfg, model=None)["processed"]
     assert fb.filter("ml_anomaly_reason != 'model_unavailable'").count() == 0
+
+
+def test_sampled_calibration_is_close(spark, fitted):
+    v, m = fitted
+    m2 = forest.fit_isolation_forest(v, n_trees=50, calibration_rows=400)
+    assert np.array_equal(m.nodes.sort_values(["tree_id", "node_id"])["threshold"].to_numpy(),
+                          m2.nodes.sort_values(["tree_id", "node_id"])["threshold"].to_numpy())
+    assert abs(m2.threshold - m.threshold) < 0.05
+    assert m2.raw_min >= m.raw_min and m2.raw_max <= m.raw_max
