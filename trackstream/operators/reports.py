@@ -207,8 +207,10 @@ def position_source_label(df: DataFrame, *, cols: FlightColumns = FLIGHT) -> Dat
     """Decode the position-source enum with a broadcast join against a
     4-row dimension (fixed size, so the broadcast bound is proven)."""
     spark = df.sparkSession
-    dim = spark.createDataFrame(S.POSITION_SOURCE_LABELS,
-                                f"{cols.position_source} int, position_source_label string")
+    rows = F.array(*[F.struct(F.lit(k).cast("int").alias(cols.position_source),
+                              F.lit(v).alias("position_source_label"))
+                     for k, v in S.POSITION_SOURCE_LABELS])
+    dim = spark.range(1).select(F.inline(rows))     # literal rows, JVM-side
     return df.join(F.broadcast(dim), cols.position_source, "left")
 
 
