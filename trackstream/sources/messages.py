@@ -90,9 +90,10 @@ def good_records(df: DataFrame, *, schema: T.StructType = FLIGHT_SCHEMA_WITH_ID,
 
 def raw_field_text(df: DataFrame, fields: list[str], *, value_col: str = "value",
                    prefix: str = "raw_") -> DataFrame:
-    """Raw JSON text of selected fields (for the wrong-type rule, V8)."""
-    return df.withColumns({prefix + f: F.get_json_object(F.col(value_col), f"$.{f}")
-                           for f in fields})
+    """Raw JSON text of selected fields (for the wrong-type rule, V8), all
+    extracted by one ``json_tuple`` parse per message."""
+    return df.select("*", F.json_tuple(F.col(value_col), *fields)
+                     .alias(*[prefix + f for f in fields]))
 
 
 # --------------------------------------------------------------------------
