@@ -39,6 +39,7 @@ from pyspark.sql import types as T
 from trackstream import schema as S
 from trackstream.functions.expressions import anomaly_reason
 from trackstream.schema import FLIGHT, FlightColumns
+from trackstream.session import ship_package
 
 NODE_SCHEMA = T.StructType([
     T.StructField("tree_id", T.IntegerType()),
@@ -212,6 +213,7 @@ def fit_isolation_forest(df: DataFrame, *, features: list[str] | None = None,
                        "_order": F.xxhash64(F.col("_rid"), F.col("_copy"), s + 2)}))
     height_limit = int(math.ceil(math.log2(max(psi, 2))))
     feats = list(features)
+    ship_package(df.sparkSession)
 
     def grow(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["_order", "_rid", "_copy"]).head(psi)
@@ -249,6 +251,7 @@ def raw_score_column(model: ForestModel, spark: SparkSession, features: list[str
     if key in model._columns:
         return model._columns[key]
     arrays = model.arrays or model.compile()
+    ship_package(spark)
     bc = spark.sparkContext.broadcast(arrays)
     feats = list(model.features)
 

@@ -105,3 +105,38 @@ def _count():
 
 
 _counter = _count()
+
+
+_SHIPPED: set = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``trackstream`` importable in the Python workers that run its
+    pandas UDFs, ``applyInPandas`` groups and stateful processors.
+
+    Once per application the package is zipped and handed to
+    ``SparkContext.addPyFile``, which serves it to every executor (new or
+    replaced ones included).  Where the package is already installed on the
+    executors, or shipped with ``--py-files``, this is a harmless no-op."""
+    import zipfile
+
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect: ship with the session's artifacts
+        return
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    out_dir = tempfile.mkdtemp(prefix="trackstream-pyfiles-")
+    target = os.path.join(out_dir, "trackstream.zip")
+    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as zf:
+        for root, _dirs, files in os.walk(pkg_dir):
+            if "__pycache__" in root:
+                continue
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    zf.write(full, os.path.relpath(full, os.path.dirname(pkg_dir)))
+    sc.addPyFile(target)
+    _SHIPPED.add(app)

@@ -131,6 +131,8 @@ class TrendProcessor(StatefulProcessor):
 
 def stream_trends(windows: DataFrame, *, key: str = "icao24") -> DataFrame:
     """Windows (append, closed only) -> windows with trend columns."""
+    from trackstream.session import ship_package
+    ship_package(windows.sparkSession)
     out_schema = T.StructType(list(windows.schema.fields)
                               + [T.StructField(n, t) for n, t in TREND_COLUMNS])
     return windows.groupBy(key).transformWithStateInPandas(
