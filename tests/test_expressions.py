@@ -121,3 +121,14 @@ def test_dedup_survivor_and_null_keys(spark):
     assert sorted(r.event_id for r in clean.dedup_events(df).collect()) == [1, 3]
     assert sorted(r.event_id for r in clean.dedup_events(df, null_keys="distinct").collect()) \
         == [1, 3, 4]
+
+
+def test_require_data_valid(spark):
+    from trackstream.plans import compose as P
+    from conftest import SF_SMALL
+    f = P.flights(spark, SF_SMALL).withColumn(
+        "data_valid", F.col("event_id") % 2 == 0)
+    kept = clean.clean_events(f, require_data_valid=True)
+    assert kept.filter("event_id % 2 = 1").count() == 0
+    assert kept.count() > 0
+    assert clean.clean_events(f).filter("event_id % 2 = 1").count() > 0

@@ -108,6 +108,9 @@ def test_restart_from_checkpoint(spark, landed):
     assert p.count() > first
     assert p.count() == p.select("event_id").distinct().count()
     assert R.progress_metrics(q)["batchId"] is not None
+    seen = [pr.get("observedMetrics", {}).get("quality") for pr in q.recentProgress]
+    seen = [m for m in seen if m]
+    assert seen and all(int(m["rows"]) == int(m["valid"]) + int(m["invalid"]) for m in seen)
 
 
 def test_stream_zscore_matches_batch_per_key(spark, landed):

@@ -101,9 +101,14 @@ def quality_flag(df: DataFrame, *, cols: FlightColumns = FLIGHT) -> DataFrame:
 
 
 def clean_events(df: DataFrame, *, cols: FlightColumns = FLIGHT,
-                 null_keys: str = "equal") -> DataFrame:
+                 null_keys: str = "equal", require_data_valid: bool = False) -> DataFrame:
     """V6: V1 -> V2 -> A1 -> V3 -> V4 -> V5, in this order (the range filter
-    stays after the dedup so the same duplicate survives as in the reference)."""
+    stays after the dedup so the same duplicate survives as in the reference).
+
+    B14: the producer's ``data_valid`` flag is carried through; with
+    ``require_data_valid`` rows the producer marked invalid are dropped first."""
+    if require_data_valid and cols.data_valid in df.columns:
+        df = df.filter(F.col(cols.data_valid).eqNullSafe(F.lit(True)))
     return (df.transform(parse_event_time, cols=cols)
               .transform(drop_missing_critical, cols=cols)
               .transform(dedup_events, cols=cols, null_keys=null_keys)

@@ -117,6 +117,11 @@ def start_processed(raw: DataFrame, layout: StreamLayout,
             batch.unpersist()
 
     plan = plan if cols.tiebreak in plan.columns else plan.withColumn(cols.tiebreak, F.lit(None))
+    # Per-micro-batch counters in the query progress (observedMetrics)
+    plan = plan.observe("quality",
+                        F.count(F.lit(1)).alias("rows"),
+                        F.count_if(F.col(cols.quality) == "valid").alias("valid"),
+                        F.count_if(F.col(cols.quality) != "valid").alias("invalid"))
     w = (plan.writeStream.outputMode("append").foreachBatch(fan_out)
              .option("checkpointLocation", layout.checkpoint("processed"))
              .queryName("processed"))
@@ -234,6 +239,7 @@ def progress_metrics(query: StreamingQuery) -> dict:
     dropped = sum(int(op.get("numRowsDroppedByWatermark", 0))
                   for op in p.get("stateOperators", []) or [])
     return {"batchId": p.get("batchId"), "numInputRows": p.get("numInputRows"),
+            "observedMetrics": p.get("observedMetrics"),
             "inputRowsPerSecond": p.get("inputRowsPerSecond"),
             "processedRowsPerSecond": p.get("processedRowsPerSecond"),
             "durationMs": p.get("durationMs"), "numRowsDroppedByWatermark": dropped}
