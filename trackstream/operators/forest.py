@@ -131,12 +131,18 @@ class ForestModel:
         right = np.where(nd["right"] >= 0, nd["right"] + base, -1)
         leaf_h = np.where(nd["feature"] < 0,
                           nd["depth"] + average_path_length(nd["size"]), 0.0)
+        # Leaves point to themselves and test feature 0, so a walk needs no
+        # per-level masks: a row that reached a leaf stays there.
+        is_leaf = nd["feature"].to_numpy() < 0
+        self_idx = np.arange(len(nd))
+        left = np.where(is_leaf, self_idx, left)
+        right = np.where(is_leaf, self_idx, right)
         self.arrays = {
-            "feature": nd["feature"].to_numpy(np.int64),
+            "feature": np.where(is_leaf, 0, nd["feature"].to_numpy()).astype(np.int32),
             "threshold": nd["threshold"].to_numpy(np.float64),
-            "left": left.astype(np.int64), "right": right.astype(np.int64),
+            "child": np.stack([left, right]).astype(np.int32),
             "leaf_h": leaf_h.astype(np.float64),
-            "roots": np.asarray(starts, dtype=np.int64),
+            "roots": np.asarray(starts, dtype=np.int32),
             "max_depth": int(nd["depth"].max()) if len(nd) else 0,
             "c_psi": float(average_path_length([self.effective_psi()])[0]) or 1.0,
         }
@@ -147,26 +153,26 @@ class ForestModel:
             if len(self.nodes) else self.psi
 
 
-def raw_scores(arrays: dict, x: np.ndarray) -> np.ndarray:
-    """s(x) = 2 ** (-E[h(x)] / c(psi)) over all trees at once (rows x trees)."""
+def raw_scores(arrays: dict, x: np.ndarray, tree_chunk: int = 16) -> np.ndarray:
+    """s(x) = 2 ** (-E[h(x)] / c(psi)).  All rows walk a chunk of trees at
+    once (rows x trees index matrix, cache-sized chunks); each level is five
+    gathers: node feature, row value, threshold, child, and nothing else."""
     m = x.shape[0]
     roots = arrays["roots"]
     if m == 0 or roots.size == 0:
         return np.zeros(m)
-    idx = np.broadcast_to(roots, (m, roots.size)).copy()
-    feat, thr = arrays["feature"], arrays["threshold"]
-    left, right = arrays["left"], arrays["right"]
+    feat, thr, child = arrays["feature"], arrays["threshold"], arrays["child"]
+    depth = arrays["max_depth"]
     rows = np.arange(m)[:, None]
-    for _ in range(arrays["max_depth"] + 1):
-        f = feat[idx]
-        internal = f >= 0
-        if not internal.any():
-            break
-        v = x[rows, np.where(internal, f, 0)]
-        nxt = np.where(v < thr[idx], left[idx], right[idx])
-        idx = np.where(internal, nxt, idx)
-    h = arrays["leaf_h"][idx].mean(axis=1)
-    return np.power(2.0, -h / arrays["c_psi"])
+    total = np.zeros(m)
+    for start in range(0, roots.size, tree_chunk):
+        idx = np.broadcast_to(roots[start:start + tree_chunk], (m, min(tree_chunk,
+                              roots.size - start))).copy()
+        for _ in range(depth):
+            go_right = x[rows, feat[idx]] >= thr[idx]
+            idx = child[go_right.view(np.int8), idx]
+        total += arrays["leaf_h"][idx].sum(axis=1)
+    return np.power(2.0, -(total / roots.size) / arrays["c_psi"])
 
 
 def _row_identity(df: DataFrame, features: list[str], id_col: str | None) -> Column:
