@@ -200,3 +200,18 @@ def test_kafka_options():
     assert o["failOnDataLoss"] == "false" and o["maxOffsetsPerTrigger"] == "100"
     with pytest.raises(ValueError):
         read_stream(None, "kafka")
+
+
+def test_console_monitor_and_publish_guard(spark, landed):
+    """K5: the console monitor runs on a stream; K7: a streaming publish
+    without its own checkpoint folder is refused before touching a broker."""
+    from trackstream.streaming.sinks import console_monitor, publish
+    root, _ = landed
+    raw = read_stream(spark, "files", path=root + "/in/*", schema=MESSAGE_SCHEMA)
+    plan = R.processed_stream(raw, CFG).withColumn("ml_is_anomaly", F.lit(False))
+    q = console_monitor(plan, rows=3)
+    q.processAllAvailable()
+    q.stop()
+    assert q.lastProgress is not None
+    with pytest.raises(ValueError):
+        publish(plan, topic="t", bootstrap="b:9092")
