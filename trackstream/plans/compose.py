@@ -41,13 +41,17 @@ def windowed(spark: SparkSession, sf_dir: str, *, window: str = "1 day") -> Data
 
 
 def batch_flow(df: DataFrame, cfg: PipelineConfig = PipelineConfig(), *,
-               model=None) -> dict[str, DataFrame]:
+               model=None, share_clean: bool = True) -> dict[str, DataFrame]:
     """The whole reference flow on a batch of raw flight rows:
     clean -> features -> z-score -> split -> score -> windows -> trends.
 
     Returns the four outputs (processed, windows, trends, invalid).  ``model``
     is a fitted :class:`trackstream.operators.forest.ForestModel`; without it
     the model columns take their fallback values.
+
+    With ``share_clean`` the cleaned, featured table is written once to the
+    shared checkpoint folder: the dedup shuffle then runs once for all four
+    outputs and the z-score statistics, instead of once per output written.
     """
     from trackstream.operators import trends
     from trackstream.operators.forest import score_frame
@@ -55,6 +59,9 @@ def batch_flow(df: DataFrame, cfg: PipelineConfig = PipelineConfig(), *,
     cols = cfg.cols
     c = clean.clean_events(df, cols=cols, null_keys=cfg.null_keys)
     feat = features.add_derived_features(c, cols=cols)
+    if share_clean:
+        from trackstream.plans.joins import materialize
+        feat = materialize(feat)
     z = anomaly.zscore_anomalies(feat, window_duration=cfg.zscore_window,
                                  threshold=cfg.zscore_threshold, per_key=cfg.zscore_per_key,
                                  cols=cols)
