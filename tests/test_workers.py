@@ -30,3 +30,21 @@ def test_udfs_run_without_package_on_worker_path():
     out = subprocess.run([sys.executable, "-c", SCRIPT], cwd=cwd, env=env,
                          capture_output=True, text=True, timeout=600)
     assert "SCORED" in out.stdout, out.stderr[-3000:]
+
+
+def test_streaming_cli_end_to_end(spark, scratch):
+    """The command-line job lands all four tables from landed message files."""
+    from trackstream.plans import compose as P
+    from trackstream.sources import messages as M
+    M.messages_from_flights(P.flights(spark, "/root/testdata/sf0.001")) \
+        .coalesce(1).write.parquet(scratch + "/landing/p0")
+    env = dict(os.environ, PYTHONPATH=ROOT)
+    out = subprocess.run(
+        [sys.executable, "-m", "trackstream.streaming.cli", "--source", "files",
+         "--path", scratch + "/landing/*", "--output", scratch + "/out",
+         "--checkpoint", scratch + "/ckpt", "--window", "1 day", "--trigger", "availableNow"],
+        cwd=scratch, env=env, capture_output=True, text=True, timeout=900)
+    assert out.returncode == 0, out.stderr[-3000:]
+    counts = {t: spark.read.parquet(f"{scratch}/out/{t}").count()
+              for t in ("processed", "invalid", "dead_letters", "windows")}
+    assert all(n > 0 for n in counts.values()), counts
