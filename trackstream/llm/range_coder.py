@@ -36,7 +36,8 @@ MOST_IDS = 1 << 14           # ids of a block at most
 SYMBOLS = 2 + 15             # the two predictions and the rank classes 0 to 14
 #: By order-2 confidence (4), by order-1 confidence and agreement (8), overall (1).
 CONTEXTS = 13
-LIMIT = 1 << 13              # counts of a context are halved beyond this total
+LIMIT = 1 << 13              # counts of a context are halved beyond this total,
+PACE = 64                    # looked at every so many ids: mixed totals stay below 2 ** 15
 GAIN = 24
 
 
@@ -51,17 +52,18 @@ class _Models:
         import numpy as np
 
         self.rows = np.arange(n)
-        self.line = self.rows * SYMBOLS
         self.base, self.room = self.rows * CONTEXTS, self.rows * TABLE
-        self.rank2, self.rank1 = (np.zeros(n * TABLE, np.int32) for _ in range(2))
+        self.rank2, self.rank1 = (np.zeros(n * TABLE, np.int16) for _ in range(2))
         self.sure2, self.sure1 = (np.zeros(n * TABLE, np.int8) for _ in range(2))
-        self.last1, self.last2 = (np.zeros(n, np.int64) for _ in range(2))
-        self.count = np.ones((n * CONTEXTS, SYMBOLS), np.int32)
-        self.sum = np.full(n * CONTEXTS, SYMBOLS, np.int32)
+        self.last1, self.last2 = (np.zeros(n, np.int32) for _ in range(2))
+        self.count = np.ones((n * CONTEXTS, SYMBOLS), np.int16)
+        self.step = 0
 
     def predict(self, m: int):
-        """Of the first ``m`` blocks: slots, predictions, confidences, contexts and
-        the mixed counts of all symbols."""
+        """Of the first ``m`` blocks: slots, predictions, confidences, contexts, and
+        the mixed counts of all symbols summed up (one column a block)."""
+        import numpy as np
+
         a, b = self.last1[:m], self.last2[:m]
         s2 = self.room[:m] + ((a * 40503 + b * 30011) >> 3) % TABLE
         s1 = self.room[:m] + a % TABLE
@@ -73,8 +75,22 @@ class _Models:
         x0 = base + 12
         mixed = self.count.take(x2, axis=0)
         mixed += self.count.take(x1, axis=0)
-        mixed += self.count.take(x0, axis=0)
-        return m, (s2, s1), (p2, p1), (c2, c1), (x2, x1, x0), mixed
+        mixed += self.count[12:m * CONTEXTS:CONTEXTS]
+        upto = np.ascontiguousarray(mixed.T)
+        for k in range(1, SYMBOLS):
+            upto[k] += upto[k - 1]
+        return m, (s2, s1), (p2, p1), (c2, c1), (x2, x1, x0), upto
+
+    def span(self, seen, symbol):
+        """Start and size of a symbol of each block, and the whole, as u64."""
+        import numpy as np
+
+        m, upto = seen[0], seen[5].ravel()
+        at = symbol * m + self.rows[:m]
+        end = upto[at]
+        start = np.where(symbol > 0, upto[at - m], 0)
+        return (start.astype(np.uint64), (end - start).astype(np.uint64),
+                seen[5][-1].astype(np.uint64))
 
     def learn(self, seen, symbol, rank):
         import numpy as np
@@ -83,12 +99,10 @@ class _Models:
         flat = self.count.ravel()
         for x in contexts:
             flat[x * SYMBOLS + symbol] += GAIN
-            self.sum[x] += GAIN
-            full = x[self.sum[x] > LIMIT]
-            if len(full):
-                half = (self.count[full] + 1) >> 1
-                self.count[full] = half
-                self.sum[full] = half.sum(axis=1)
+        self.step += 1
+        if self.step % PACE == 0:
+            full = np.flatnonzero(self.count.sum(axis=1, dtype=np.int32) > LIMIT)
+            self.count[full] = (self.count[full] + 1) >> 1
         for table, sure, s, p, c in ((self.rank2, self.sure2, s2, p2, c2),
                                      (self.rank1, self.sure1, s1, p1, c1)):
             hit = p == rank
@@ -108,10 +122,11 @@ def _digits(rank):
 def _constants():
     import numpy as np
 
-    return (np.uint64(1 << 48), np.uint64(1 << 32), np.uint64(1), np.uint64(16), np.uint64(48))
+    return (np.uint64(1 << 48), np.uint64(1 << 32), np.uint64(1), np.uint64(14), np.uint64(16),
+            np.uint64(48))
 
 
-TOP, BOTTOM, ONE, S16, S48 = _constants()
+TOP, BOTTOM, ONE, S14, S16, S48 = _constants()
 
 
 class _Writer:
@@ -123,15 +138,12 @@ class _Writer:
         self.out = np.zeros((n, 3 * steps + 16), np.uint16)   # 48 bits an id at most
         self.at = np.zeros(n, np.int64)
 
-    def put(self, r, start, size, whole):
-        """Narrow the ranges of blocks ``r`` to [start, start + size) of ``whole``."""
-        step = self.range[r] // whole
-        low, rng = self.low[r] + step * start, step * size
-        self._even(r, low, rng)
-
-    def put_bits(self, r, value, bits):
-        step = self.range[r] >> bits
-        self._even(r, self.low[r] + step * value, step)
+    def put(self, r, start, size, whole, rest, bits):
+        """Narrow the ranges of blocks ``r`` to [start, start + size) of ``whole``,
+        and within it to part ``rest`` of 2 ** bits equal parts."""
+        step = self.range[r] // (whole << S14)
+        part = size << (S14 - bits)
+        self._even(r, self.low[r] + step * ((start << S14) + rest * part), step * part)
 
     def _even(self, r, low, rng):
         import numpy as np
@@ -145,7 +157,7 @@ class _Writer:
             g_low, g_rng = low[go], rng[go]
             cut = short[go] & ~settled[go]
             g_rng = np.where(cut, (~g_low + ONE) & (BOTTOM - ONE), g_rng)
-            blocks = r[go]
+            blocks = go
             self.out[blocks, self.at[blocks]] = (g_low >> S48).astype(np.uint16)
             self.at[blocks] += 1
             low[go], rng[go] = g_low << S16, g_rng << S16
@@ -179,19 +191,19 @@ class _Reader:
             self.code = (self.code << S16) | self.words[:, k]
 
     def point(self, r, whole):
+        """Where the code stands, in parts of ``whole``."""
         import numpy as np
 
-        self.step = self.range[r] // whole
-        return np.minimum((self.code[r] - self.low[r]) // self.step, whole - ONE)
+        self.step = self.range[r] // (whole << S14)
+        self.spot = np.minimum((self.code[r] - self.low[r]) // self.step, (whole << S14) - ONE)
+        return (self.spot >> S14).astype(np.int16)
 
-    def take(self, r, start, size):
-        self._even(r, self.low[r] + self.step * start, self.step * size)
-
-    def take_bits(self, r, bits):
-        step = self.range[r] >> bits
-        value = (self.code[r] - self.low[r]) // step
-        self._even(r, self.low[r] + step * value, step)
-        return value
+    def take(self, r, start, size, bits):
+        """Follow a symbol; returns the number of the part within it."""
+        part = size << (S14 - bits)
+        rest = (self.spot - (start << S14)) // part
+        self._even(r, self.low[r] + self.step * ((start << S14) + rest * part), self.step * part)
+        return rest
 
     def _even(self, r, low, rng):
         import numpy as np
@@ -206,7 +218,7 @@ class _Reader:
             g_low, g_rng = low[go], rng[go]
             cut = short[go] & ~settled[go]
             g_rng = np.where(cut, (~g_low + ONE) & (BOTTOM - ONE), g_rng)
-            blocks = r[go]
+            blocks = go
             at = np.minimum(self.at[blocks], self.words.shape[1] - 1)
             code[go] = (code[go] << S16) | self.words[blocks, at]
             self.at[blocks] += 1
@@ -214,6 +226,25 @@ class _Reader:
         self.low[r], self.range[r], self.code[r] = low, rng, code
 
 
+def _dictionary(ids):
+    """The different ids by falling frequency, then by id; and the rank of each id."""
+    import numpy as np
+
+    if not len(ids):
+        return ids, np.zeros(0, np.int32)
+    line = np.sort(ids)
+    first = np.flatnonzero(np.r_[True, line[1:] != line[:-1]])
+    known, counts = line[first], np.diff(np.r_[first, len(line)])
+    by = np.argsort(-counts, kind="stable")
+    if int(line[-1]) < 1 << 20:                  # ranks by a table over the ids
+        place = np.empty(int(line[-1]) + 1, np.int32)
+        place[known[by]] = np.arange(len(by))
+        return known[by], place[ids]
+    place = np.empty(len(by), np.int32)
+    place[by] = np.arange(len(by))
+    return known[by], place[np.searchsorted(known, ids)]
+
+
 def _alive(lens, steps: int):
     """How many blocks, longest first, still have an id at each step."""
     import numpy as np
@@ -237,28 +268,18 @@ def encode_blocks(blocks: list) -> list[bytes]:
     steps, n = int(lens[0]), len(sized)
     ranks, books = np.zeros((steps, n), np.int32), []
     for i, b in enumerate(sized):
-        ids, inverse, counts = np.unique(b, return_inverse=True, return_counts=True)
-        by = np.lexsort((ids, -counts))
-        place = np.empty(len(by), np.int32)
-        place[by] = np.arange(len(by))
-        books.append(ids[by])
-        ranks[:lens[i], i] = place[inverse]
+        ids, ranks[:lens[i], i] = _dictionary(b)
+        books.append(ids)
     models, writer = _Models(n), _Writer(n, steps)
     for k, m in enumerate(_alive(lens, steps)):
         rank = ranks[k, :m]
         seen = models.predict(m)
-        (p2, p1), upto = seen[2], seen[5].cumsum(axis=1)
-        symbol = _digits(rank)
-        bits = symbol
-        symbol = np.where(rank == p2, 0, np.where(rank == p1, 1, symbol + 2))
-        at = models.line[:m] + symbol
-        end, size = upto.ravel()[at], seen[5].ravel()[at]
-        writer.put(models.rows[:m], (end - size).astype(np.uint64), size.astype(np.uint64),
-                   upto[:, -1].astype(np.uint64))
-        spelled = np.flatnonzero(symbol > 2)
-        if len(spelled):
-            w = bits[spelled].astype(np.uint64)
-            writer.put_bits(spelled, (rank[spelled] + 1).astype(np.uint64) - (ONE << w), w)
+        p2, p1 = seen[2]
+        bits = _digits(rank)
+        symbol = np.where(rank == p2, 0, np.where(rank == p1, 1, bits + 2))
+        bits = np.where(symbol > 1, bits, 0).astype(np.uint64)
+        rest = np.where(symbol > 1, (rank + 1).astype(np.uint64) - (ONE << bits), 0)
+        writer.put(slice(0, m), *models.span(seen, symbol), rest, bits)
         models.learn(seen, symbol, rank)
     out = [b""] * n
     for i, (code, ids, book) in enumerate(zip(writer.close(), sized, books)):
@@ -292,18 +313,14 @@ def decode_blocks(payloads: list) -> list:
     models, reader = _Models(n), _Reader([words[i] for i in order])
     for k, m in enumerate(_alive(lens, steps)):
         seen = models.predict(m)
-        (p2, p1), upto = seen[2], seen[5].cumsum(axis=1)
-        r = models.rows[:m]
-        spot = reader.point(r, upto[:, -1].astype(np.uint64)).astype(np.int64)
-        symbol = (upto <= spot[:, None]).sum(axis=1)
-        at = models.line[:m] + symbol
-        end, size = upto.ravel()[at], seen[5].ravel()[at]
-        reader.take(r, (end - size).astype(np.uint64), size.astype(np.uint64))
-        rank = np.where(symbol == 0, p2, np.where(symbol == 1, p1, 0))
-        spelled = np.flatnonzero(symbol > 2)
-        if len(spelled):
-            w = (symbol[spelled] - 2).astype(np.uint64)
-            rank[spelled] = (reader.take_bits(spelled, w) + (ONE << w) - ONE).astype(np.int32)
+        (p2, p1), upto = seen[2], seen[5]
+        r = slice(0, m)
+        symbol = (upto <= reader.point(r, upto[-1].astype(np.uint64))).sum(axis=0)
+        bits = np.maximum(symbol - 2, 0).astype(np.uint64)
+        start, size, _ = models.span(seen, symbol)
+        rest = reader.take(r, start, size, bits)
+        rank = np.where(symbol == 0, p2, np.where(symbol == 1, p1, (
+            rest + (ONE << bits) - ONE).astype(np.int32)))
         models.learn(seen, symbol, rank)
         ranks[k, :m] = rank
     out = [None] * n
