@@ -50,23 +50,30 @@ def _keyed(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
                            "_th": F.xxhash64(text_col), "_text": F.col(text_col).cast("string")})
 
 
+def raw_lines(keyed: DataFrame) -> DataFrame:
+    return keyed.select(*DOC, F.posexplode(F.split("_text", "\n")).alias("at", "raw"))
+
+
+def masked_line(raw: Column) -> Column:
+    """The masked tokens of a line, parted by blanks."""
+    low = F.transform(words(raw), F.lower)
+    return F.array_join(F.when(raw.rlike("[0-9]"), masked(words(raw))).otherwise(low), " ")
+
+
 def parsed_lines(keyed: DataFrame, depth: int, min_tokens: int) -> DataFrame:
-    """(_doc, _th, at, leaf, full, line) of every line with ``min_tokens`` tokens.
+    """(_doc, _th, at, leaf, full) of every line with ``min_tokens`` tokens.
 
     ``leaf``: hash of the token count and the leading tokens; ``full``: hash of all
-    tokens; ``line``: the masked tokens, parted by blanks."""
-    parts = keyed.select(*DOC, F.posexplode(F.split("_text", "\n")).alias("at", "raw"))
-    parts = parts.filter(F.size(words(F.col("raw"))) >= min_tokens)
-
+    tokens of the masked line."""
     def of(w):
-        return let(F.when(F.exists(w, lambda x: x.rlike("[0-9]")), masked(w)).otherwise(
-            F.transform(w, F.lower)), lambda m: F.struct(
-                F.xxhash64(F.size(m), F.array_join(F.slice(m, 1, depth), " ")).alias("leaf"),
-                F.array_join(m, " ").alias("line")))
+        tokens = F.when(F.exists(w, lambda x: x.rlike("[0-9]")), masked(w)).otherwise(
+            F.transform(w, F.lower))
+        return F.when(F.size(w) >= min_tokens, let(tokens, lambda m: F.struct(
+            F.xxhash64(F.size(m), F.array_join(F.slice(m, 1, depth), " ")).alias("leaf"),
+            F.xxhash64(F.array_join(m, " ")).alias("full"))))
 
-    parts = parts.select(*DOC, "at", let(words(F.col("raw")), of).alias("p"))
-    return parts.select(*DOC, "at", F.col("p.leaf").alias("leaf"),
-                        F.xxhash64("p.line").alias("full"), F.col("p.line").alias("line"))
+    parts = raw_lines(keyed).select(*DOC, "at", let(words(F.col("raw")), of).alias("p"))
+    return parts.filter("p is not null").select(*DOC, "at", "p.leaf", "p.full")
 
 
 def leaf_templates(reps: DataFrame, similarity: float) -> DataFrame:
@@ -91,8 +98,7 @@ def recurring(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", dep
               similarity: float = SIMILARITY) -> DataFrame:
     """(_doc, _th, drop): the numbers of the lines to drop from each document."""
     keyed = _keyed(df, id_col, text_col).select(*DOC, "_text")
-    parsed = parsed_lines(keyed, depth, min_tokens)
-    rows = materialize(parsed.drop("line"), "lines")          # hashes and places only
+    rows = materialize(parsed_lines(keyed, depth, min_tokens), "lines")   # hashes and places
     per_doc = rows.groupBy("leaf", "full", *DOC).agg(F.min("at").alias("at"))
     kinds = materialize(per_doc.groupBy("leaf", "full").agg(
         F.count(F.lit(1)).alias("n_docs"), F.min(F.struct(*DOC, "at")).alias("first")), "kinds")
@@ -101,9 +107,10 @@ def recurring(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", dep
         .filter((F.col("k") > 1) & (F.col("d") >= min_docs)).select("leaf")
     reps = materialize(kinds.join(mixed, "leaf", "left_semi").select(
         "leaf", "full", "n_docs", "first._doc", "first._th", "first.at"), "reps")
-    # a second look at the texts, for the tokens of those lines only
-    shown = parsed.drop("leaf", "full").join(reps, [*DOC, "at"]).select(
-        "leaf", "full", "n_docs", "line").dropDuplicates(["leaf", "full"])
+    # a second look at the texts, for the tokens of those lines only; one plan at any size
+    shown = raw_lines(keyed).join(reps.hint("merge"), [*DOC, "at"]).select(
+        "leaf", "full", "n_docs", masked_line(F.col("raw")).alias("line")) \
+        .dropDuplicates(["leaf", "full"])
     joined = materialize(leaf_templates(shown, similarity), "joined").withColumn(
         "shared", F.lit(True))
     named = (kinds.join(joined, ["leaf", "full"], "left")
