@@ -73,11 +73,56 @@ def test_model_roundtrip(spark, fitted, scratch):
     assert forest.model_info(spark, m).first().n_trees == 50
 
 
-def test_split_fraction(fitted):
+def test_split_is_exact_in_every_class(fitted):
     v, _ = fitted
-    s = forest.train_test_split(v)
-    share = s.agg(F.avg((F.col("split") == "test").cast("double"))).first()[0]
-    assert 0.15 < share < 0.25
+    s = forest.train_test_split(v, label_col="flight_phase")
+    rows = s.groupBy("flight_phase").agg(
+        F.count("*").alias("n"), F.sum((F.col("split") == "test").cast("int")).alias("t")).collect()
+    assert len(rows) > 1
+    assert all(r.t == int(0.2 * r.n + 0.5) for r in rows)
+
+
+@pytest.mark.parametrize("sf", [SF_SMALL, "/root/testdata/sf0.1"])
+def test_feed_without_ids(spark, sf):
+    """Row identity does not need an id: all trees are grown, the split holds."""
+    v = P.valid_features(spark, sf).withColumn("event_id", F.lit(None).cast("long"))
+    m = forest.fit_isolation_forest(v, n_trees=20)
+    assert m.nodes["tree_id"].nunique() == 20
+    sizes = m.nodes[m.nodes["node_id"] == 0]["size"]
+    assert sizes.min() >= 200 and sizes.max() <= 256
+    share = forest.train_test_split(v).agg(
+        F.avg((F.col("split") == "test").cast("double"))).first()[0]
+    assert abs(share - 0.2) < 0.001
+
+
+def test_equal_rows_are_told_apart(spark):
+    """A thousand equal rows fill a tree's sample like any others."""
+    one = spark.range(1000).selectExpr(
+        "CAST(NULL AS LONG) event_id", "'x' icao24", "200.0D velocity", "9000.0D baro_altitude",
+        "0.0D vertical_rate", "3 hour", "2 day_of_week")
+    m = forest.fit_isolation_forest(one, n_trees=10)
+    assert m.train_rows == 1000 and m.nodes["tree_id"].nunique() == 10
+    assert m.effective_psi() == 256
+
+
+def test_calibrates_on_all_rows(spark):
+    """Over a million rows: minimum, maximum and the 0.99 quantile of all of them."""
+    v = spark.range(1_100_000).selectExpr(
+        "id event_id", "CAST(id % 977 AS DOUBLE) velocity", "CAST(id % 12007 AS DOUBLE) baro_altitude",
+        "CAST(id % 31 AS DOUBLE) vertical_rate", "CAST(id % 24 AS INT) hour",
+        "CAST(id % 7 AS INT) + 1 day_of_week")
+    m = forest.fit_isolation_forest(v, n_trees=5, psi=64)
+    raw = v.select(forest.raw_score_column(m, spark, m.features).alias("r"))
+    lo, hi, over = raw.agg(F.min("r"), F.max("r"),
+                           F.avg((F.col("r") > m.threshold).cast("double"))).first()
+    assert (lo, hi) == (m.raw_min, m.raw_max)
+    assert over <= 0.01 + 2e-4
+
+
+def test_unreadable_model_stops_the_job(spark, scratch):
+    spark.range(1).selectExpr("'not json' AS meta").write.parquet(scratch + "/bad/meta")
+    with pytest.raises(Exception):
+        forest.load_model(spark, scratch + "/bad")
 
 
 def test_batch_flow_with_and_without_model(spark, fitted):
@@ -97,12 +142,3 @@ def test_batch_flow_with_and_without_model(spark, fitted):
     assert out["invalid"].count() > 0
     fb = P.batch_flow(raw, cfg, model=None)["processed"]
     assert fb.filter("ml_anomaly_reason != 'model_unavailable'").count() == 0
-
-
-def test_sampled_calibration_is_close(spark, fitted):
-    v, m = fitted
-    m2 = forest.fit_isolation_forest(v, n_trees=50, calibration_rows=400)
-    assert np.array_equal(m.nodes.sort_values(["tree_id", "node_id"])["threshold"].to_numpy(),
-                          m2.nodes.sort_values(["tree_id", "node_id"])["threshold"].to_numpy())
-    assert abs(m2.threshold - m.threshold) < 0.05
-    assert m2.raw_min >= m.raw_min and m2.raw_max <= m.raw_max

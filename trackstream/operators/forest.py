@@ -3,14 +3,15 @@ threshold, evaluation and model tables (M1-M4, U1, U2, U4, U6).
 
 Fit, as Spark jobs:
 
-1. Every row gets a deterministic identity (the tiebreak id, else a hash of
-   its features) and ``r`` copies, where ``r`` only matters for inputs smaller
-   than the forest's total sample.  A hash test keeps a fraction so that about
-   ``1.25 * trees * psi`` copies survive in total, and a second hash assigns
-   each copy to one tree.  No rows go to the driver and the result does not
-   depend on partitioning.
+1. Identity and features are written once as a narrow table; count, sample and
+   calibration read it.  A row's identity hashes its id, key, position time and
+   features, so a feed without ids works; equal rows are told apart by a number.
+   Every (row, tree) pair is drawn with one probability at every input size, so
+   that a tree expects ``1.25 * psi`` rows and holds a row at most once.  No rows
+   go to the driver and the result does not depend on partitioning.
 2. ``groupBy(tree_id).applyInPandas`` builds one tree per group from its
-   ``psi`` lowest-hash rows (groups hold about ``1.25 * psi`` rows, bounded).
+   ``psi`` lowest-hash rows: the algorithm's own sub-sample of
+   ``psi = min(psi, rows)`` rows, a parameter and not a cap on the data.
 3. The node table has at most ``trees * (2 * psi - 1)`` rows — a proven bound
    — so it is collected once and broadcast.
 
@@ -28,18 +29,20 @@ from __future__ import annotations
 
 import json
 import math
+import uuid
 from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from trackstream import schema as S
 from trackstream.functions.expressions import anomaly_reason
 from trackstream.schema import FLIGHT, FlightColumns
-from trackstream.session import ship_package
+from trackstream.session import checkpoint_dir, ship_package
 
 NODE_SCHEMA = T.StructType([
     T.StructField("tree_id", T.IntegerType()),
@@ -175,10 +178,13 @@ def raw_scores(arrays: dict, x: np.ndarray, tree_chunk: int = 16) -> np.ndarray:
     return np.power(2.0, -(total / roots.size) / arrays["c_psi"])
 
 
-def _row_identity(df: DataFrame, features: list[str], id_col: str | None) -> Column:
-    if id_col and id_col in df.columns:
-        return F.col(id_col).cast("bigint")
-    return F.xxhash64(*[F.col(f) for f in features])
+IDENTITY = ("event_id", "icao24", "time_position", "event_time")
+
+
+def _row_identity(df: DataFrame, features: list[str], id_cols=IDENTITY) -> Column:
+    """Hash of whatever names a row: its ids, where present and not NULL, and features."""
+    cols = dict.fromkeys([c for c in id_cols if c in df.columns] + list(features))
+    return F.xxhash64(*[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in cols])
 
 
 def _unit_hash(*cols) -> Column:
@@ -186,37 +192,46 @@ def _unit_hash(*cols) -> Column:
     return F.pmod(F.xxhash64(*cols), F.lit(2 ** 31)).cast("double") / F.lit(_HASH_SPACE)
 
 
+def _stored(df: DataFrame) -> DataFrame:
+    """Write a table once to the shared checkpoint folder and read it back."""
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/features-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def _tree_sample(rows: DataFrame, n: int, n_trees: int, psi: int, seed: int) -> DataFrame:
+    """(row, tree) pairs, each drawn with probability p = 1.25 * psi / n (at most 1).
+
+    The first tree of a row comes from one geometric draw, so a row that is in no
+    tree costs one hash; trees behind the first are tried one by one."""
+    p, s = min(1.0, 1.25 * psi / n), F.lit(seed)
+    u = _unit_hash(F.col("_rid"), F.col("_copy"), s) + F.lit(0.5 / _HASH_SPACE)
+    first = F.lit(0) if p >= 1.0 else F.floor(F.log(u) / F.lit(math.log1p(-p))).cast("int")
+    drawn = rows.withColumn("_first", first).filter(F.col("_first") < n_trees)
+    trees = drawn.withColumn("tree_id", F.explode(F.sequence(F.col("_first"), F.lit(n_trees - 1))))
+    own = _unit_hash(F.col("_rid"), F.col("_copy"), F.col("tree_id"), s + 1)
+    return (trees.filter((F.col("tree_id") == F.col("_first")) | (own < F.lit(p)))
+            .withColumn("_order", F.xxhash64("_rid", "_copy", "tree_id", s + 2)))
+
+
 def fit_isolation_forest(df: DataFrame, *, features: list[str] | None = None,
                          n_trees: int = S.FOREST_TREES, psi: int = S.FOREST_SAMPLE,
                          contamination: float = S.FOREST_CONTAMINATION,
-                         seed: int = S.FOREST_SEED, id_col: str | None = "event_id",
-                         calibration_rows: int = 1_000_000) -> ForestModel:
+                         seed: int = S.FOREST_SEED, id_cols=IDENTITY) -> ForestModel:
     """M1: fit the forest on ``df`` (see the module docstring for the plan).
 
-    Calibration (score min/max and the contamination threshold) scores every
-    training row when there are at most ``calibration_rows`` of them, and a
-    deterministic hash sample of about that size otherwise: a quantile from a
-    million-row uniform sample is accurate to ~1e-4, and scoring a 100 TB
-    training table in full would cost more than fitting."""
+    Calibration (score minimum and maximum, contamination threshold) scores
+    every training row, whatever their number."""
     features = features or list(S.MODEL_FEATURES)
-    n = df.count()
+    named = df.select(_row_identity(df, features, id_cols).alias("_rid"), *features)
+    # equal rows are one row with a number; a hot one is summed before the shuffle
+    grouped = _stored(named.groupBy("_rid", *features).agg(F.count(F.lit(1)).alias("_n")))
+    n = grouped.agg(F.coalesce(F.sum("_n"), F.lit(0))).first()[0]
     if n == 0:
         raise ValueError("cannot fit an isolation forest on an empty table")
-    target = int(math.ceil(1.25 * n_trees * psi))
-    copies = max(1, int(math.ceil(target / n)))
-    frac = min(1.0, target / float(n * copies))
-    rid = _row_identity(df, features, id_col)
-    base = df.select(rid.alias("_rid"), *[F.col(f).cast("double").alias(f) for f in features])
-    if copies > 1:
-        base = base.withColumn("_copy", F.explode(F.sequence(F.lit(0), F.lit(copies - 1))))
-    else:
-        base = base.withColumn("_copy", F.lit(0))
-    s = F.lit(seed)
-    sampled = (base.filter(_unit_hash(F.col("_rid"), F.col("_copy"), s) < F.lit(frac))
-                   .withColumns({
-                       "tree_id": F.pmod(F.xxhash64(F.col("_rid"), F.col("_copy"), s + 1),
-                                         F.lit(n_trees)).cast("int"),
-                       "_order": F.xxhash64(F.col("_rid"), F.col("_copy"), s + 2)}))
+    rows = grouped.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_n")))).drop("_n")
+    sampled = _tree_sample(rows, n, n_trees, min(psi, n), seed)
     height_limit = int(math.ceil(math.log2(max(psi, 2))))
     feats = list(features)
     ship_package(df.sparkSession)
@@ -240,10 +255,7 @@ def fit_isolation_forest(df: DataFrame, *, features: list[str] | None = None,
     model = ForestModel(features=features, n_trees=n_trees, psi=psi,
                         contamination=contamination, seed=seed, nodes=nodes, train_rows=n)
     model.compile()
-    calib = df
-    if n > calibration_rows:
-        calib = df.filter(_unit_hash(rid, F.lit(seed + 3)) < F.lit(calibration_rows / n))
-    calibrate(model, calib)
+    calibrate(model, rows)
     return model
 
 
@@ -311,16 +323,30 @@ def score_frame(df: DataFrame, model: ForestModel | None, *,
 
 
 def train_test_split(df: DataFrame, *, label_col: str | None = None, test_fraction: float = 0.2,
-                     seed: int = S.FOREST_SEED, id_col: str = "event_id") -> DataFrame:
-    """M2: ``split`` = 'train' / 'test' by a per-row hash (seeded).  The hash
-    is independent of the label, so every class is split in the same expected
-    proportion without gathering a class into one partition."""
-    key = [F.col(id_col)] if id_col in df.columns else [F.col(c) for c in df.columns]
-    if label_col:
-        key = key + [F.col(label_col)]
-    u = _unit_hash(*key, F.lit(seed))
-    return df.withColumn("split", F.when(u < F.lit(test_fraction), F.lit("test"))
-                                   .otherwise(F.lit("train")))
+                     seed: int = S.FOREST_SEED, id_cols=IDENTITY) -> DataFrame:
+    """M2: stratified ``split``: in every class (value of ``label_col``) the
+    round(test_fraction * n) rows of lowest identity hash are 'test'.
+
+    Exact without gathering a class: rows are counted by the first three digits
+    of the hash, the running count finds the digits at which the share is reached,
+    and rows are numbered within (class, digits) only."""
+    cols = [c for c in id_cols if c in df.columns] or list(df.columns)
+    text = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in cols],
+                       F.lit(str(seed)))
+    label = (F.coalesce(F.concat(F.lit("="), F.col(label_col).cast("string")), F.lit(""))
+             if label_col else F.lit(""))
+    rows = df.withColumns({"_h": F.md5(text), "_label": label}).withColumn(
+        "_d", F.substring("_h", 1, 3))
+    counts = rows.groupBy("_label", "_d").agg(F.count(F.lit(1)).alias("_n"))
+    by_label = Window.partitionBy("_label")              # at most 4,096 rows a class
+    plan = counts.select("_label", "_d", F.coalesce(F.sum("_n").over(
+        by_label.orderBy("_d").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"),
+        F.round(F.sum("_n").over(by_label) * F.lit(test_fraction)).alias("_take"))
+    nth = F.row_number().over(Window.partitionBy("_label", "_d").orderBy("_h"))
+    return (rows.withColumn("_nth", nth).join(plan, ["_label", "_d"])
+            .withColumn("split", F.when(F.col("_before") + F.col("_nth") <= F.col("_take"), "test")
+                        .otherwise("train"))
+            .drop("_h", "_label", "_d", "_nth", "_before", "_take"))
 
 
 # --------------------------------------------------------------------------
@@ -362,10 +388,15 @@ def save_model(spark: SparkSession, model: ForestModel, path: str) -> None:
 def load_model(spark: SparkSession, path: str) -> ForestModel | None:
     """Read a model written by :func:`save_model`; ``None`` when absent."""
     try:
-        meta = json.loads(spark.read.parquet(path.rstrip("/") + "/meta").first()["meta"])
-        nodes = spark.read.parquet(path.rstrip("/") + "/nodes").toPandas()
-    except Exception:  # noqa: BLE001 - a missing model means fallback scoring
-        return None
+        meta_table = spark.read.parquet(path.rstrip("/") + "/meta")
+    except AnalysisException as e:
+        # only a model that is not there means fallback scoring; one that cannot
+        # be read must stop the job
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+    meta = json.loads(meta_table.first()["meta"])
+    nodes = spark.read.parquet(path.rstrip("/") + "/nodes").toPandas()
     m = ForestModel(features=meta["features"], n_trees=meta["n_trees"], psi=meta["psi"],
                     contamination=meta["contamination"], seed=meta["seed"], nodes=nodes,
                     raw_min=meta["raw_min"], raw_max=meta["raw_max"],

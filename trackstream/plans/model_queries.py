@@ -5,41 +5,21 @@ of partitioning, planted outliers above the threshold."""
 
 from __future__ import annotations
 
-import hashlib
-import os
-
 from pyspark.sql import functions as F
 
 from trackstream.operators import forest, reports
 from trackstream.plans import compose as P
 from trackstream.plans.catalog import round_doubles
-from trackstream.session import checkpoint_dir
-
-
-def _model_path(spark, d) -> str:
-    key = hashlib.sha1(os.path.abspath(d).encode()).hexdigest()[:12]
-    return checkpoint_dir(spark).rstrip("/") + f"/models/iforest-{key}"
-
-
-def _train(spark, d):
-    """M1 + model tables: fit on the valid rows and write the node and
-    metadata tables (train once, score many, as with a stored model)."""
-    v = P.valid_features(spark, d)
-    m = forest.fit_isolation_forest(v)
-    forest.save_model(spark, m, _model_path(spark, d))
-    return v, m
 
 
 def _fit(spark, d):
-    """The stored model for this input if one was written, else train it."""
-    m = forest.load_model(spark, _model_path(spark, d))
-    if m is None:
-        return _train(spark, d)
-    return P.valid_features(spark, d), m
+    """Train on the valid rows of this input; nothing an earlier query left counts."""
+    v = P.valid_features(spark, d)
+    return v, forest.fit_isolation_forest(v)
 
 
 def q_iforest_nodes(spark, d):
-    _, m = _train(spark, d)
+    _, m = _fit(spark, d)
     return spark.createDataFrame(m.nodes, schema=forest.NODE_SCHEMA)
 
 
@@ -61,7 +41,8 @@ def q_model_info(spark, d):
 
 def q_train_test_split(spark, d):
     v = P.valid_features(spark, d)
-    return forest.train_test_split(v).select("event_id", "split")
+    return forest.train_test_split(v, label_col="flight_phase", id_cols=["event_id"]).select(
+        "event_id", "flight_phase", "split")
 
 
 def q_forest_evaluation(spark, d):

@@ -318,6 +318,11 @@ SELECT event_id, round(velocity_kmh, 6) AS velocity_kmh, round(velocity_knots, 6
     round(altitude_feet, 6) AS altitude_feet, flight_level,
     round(vertical_rate * 60.0e0, 6) AS vertical_rate_mpm,
     round(velocity / 340.29e0, 6) AS mach_number FROM feat"""),
+    "train_test_split": with_(*FEAT, select="""
+SELECT event_id, flight_phase, CASE WHEN
+    row_number() OVER (PARTITION BY flight_phase ORDER BY md5(event_id::VARCHAR || '|42'))
+    <= round(0.2 * count(*) OVER (PARTITION BY flight_phase)) THEN 'test' ELSE 'train' END AS split
+FROM feat WHERE data_quality = 'valid'"""),
     "flight_phase": with_(*FEAT, select="""
 SELECT flight_phase, count(*) AS events FROM feat GROUP BY flight_phase"""),
     "derived_features": with_(*FEAT, select="""
