@@ -1 +1,104 @@
-SQL: dict = {}
+"""The same queries in DuckDB SQL, where SQL can express them."""
+
+from __future__ import annotations
+
+from trackstream.llm import mixing
+from trackstream.llm.quality_rules import RULES, STOP_WORDS
+
+BLANK = r"[\x20\x09-\x0D]"
+WORD = r"[^\x20\x09-\x0D]"
+
+
+def _rule(r) -> str:
+    ratio = {
+        "n_words": "n_words", "repeat_ratio": "n_repeat_words / pw",
+        "mean_word_chars": "word_chars / pw", "symbol_ratio": "n_symbols / pw",
+        "exclamation_ratio": "n_ex / pw", "stop_ratio": "n_stop / pw",
+        "bullet_line_ratio": "n_bullet / pl", "ellipsis_line_ratio": "n_ell / pl",
+        "dup_line_ratio": "n_dup_lines / pl"}[r.measure]
+    bad = [f"{ratio} < {r.low}"] * (r.low is not None) + [f"{ratio} > {r.high}"] * (r.high is not None)
+    return f"(n_words >= {r.min_words} AND ({' OR '.join(bad)}))"
+
+
+OP4 = f"""
+WITH t AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents),
+w AS (SELECT *, list_filter(string_split_regex(t, '{BLANK}+'), lambda x: x <> '') AS w,
+    list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '{WORD}')) AS ln FROM t),
+win AS (SELECT rid, i, array_to_string(w[i:i+4], ' ') AS g
+    FROM (SELECT rid, w, unnest(range(1, len(w) - 3)) AS i FROM w WHERE len(w) >= 5)),
+rep AS (SELECT rid, i FROM (SELECT rid, i, count(*) OVER (PARTITION BY rid, g) AS c FROM win)
+    WHERE c > 1),
+cov AS (SELECT rid, count(DISTINCT i + k) AS n FROM rep, (SELECT unnest(range(0, 5)) AS k)
+    GROUP BY rid),
+m AS (SELECT doc_id, len(w)::BIGINT AS n_words,
+    length(regexp_replace(t, '{BLANK}', '', 'g'))::BIGINT AS word_chars,
+    (length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols,
+    (len(ln) - len(list_distinct(ln)))::BIGINT AS n_dup_lines,
+    coalesce(cov.n, 0)::BIGINT AS n_repeat_words,
+    length(t) - length(replace(t, '!', '')) AS n_ex,
+    len(list_filter(w, lambda x: list_contains({STOP_WORDS!r}, lower(x)))) AS n_stop,
+    len(list_filter(ln, lambda x: list_contains(['-', '•', '*'], ltrim(x, ' ')[1]))) AS n_bullet,
+    len(list_filter(ln, lambda x: rtrim(x, ' ') LIKE '%...' OR rtrim(x, ' ') LIKE '%…')) AS n_ell,
+    greatest(len(w), 1)::DOUBLE AS pw, greatest(len(ln), 1)::DOUBLE AS pl
+    FROM w LEFT JOIN cov USING (rid)),
+b AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM m)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+    NOT base_failed AND NOT ({' OR '.join(map(_rule, RULES))}) AS kept FROM b"""
+
+OP7 = f"""
+WITH l AS (SELECT doc_id, raw, (ord - 1)::BIGINT AS ord FROM (
+    SELECT doc_id, unnest(string_split(text, chr(10))) AS raw,
+        generate_subscripts(string_split(text, chr(10)), 1) AS ord
+    FROM documents WHERE text IS NOT NULL)),
+p AS (SELECT *, list_transform(list_filter(string_split_regex(raw, '{BLANK}+'), lambda x: x <> ''),
+    lambda x: CASE WHEN regexp_matches(x, '[0-9]') THEN '<*>' ELSE lower(x) END) AS m FROM l),
+r AS (SELECT doc_id, ord, m, len(m) || ' ' || array_to_string(m[1:4], ' ') AS leaf,
+    array_to_string(m, ' ') AS f FROM p WHERE len(m) >= 5),
+kinds AS (SELECT leaf, f, any_value(m) AS m, count(DISTINCT doc_id) AS n_docs FROM r
+    GROUP BY leaf, f),
+mixed AS (SELECT leaf FROM kinds GROUP BY leaf HAVING count(*) > 1 AND sum(n_docs) >= 3),
+reps AS (SELECT * FROM kinds SEMI JOIN mixed USING (leaf)),
+tok AS (SELECT leaf, f, n_docs, unnest(m) AS token, generate_subscripts(m, 1) AS pos FROM reps),
+best AS (SELECT leaf, pos, token FROM (SELECT leaf, pos, token, sum(n_docs) AS v FROM tok
+    GROUP BY ALL) QUALIFY row_number() OVER (PARTITION BY leaf, pos ORDER BY v DESC, token) = 1),
+joined AS (SELECT leaf, f FROM tok LEFT JOIN best AS b USING (leaf, pos)
+    GROUP BY leaf, f HAVING count(*) FILTER (WHERE tok.token = b.token) >= 0.8 * count(*)),
+named AS (SELECT r.*, CASE WHEN j.f IS NULL THEN 'own ' || r.f ELSE 'leaf' END AS tmpl
+    FROM r LEFT JOIN joined AS j ON r.leaf = j.leaf AND r.f = j.f),
+often AS (SELECT leaf, tmpl, min(doc_id * 1000000 + ord) AS stay FROM named GROUP BY leaf, tmpl
+    HAVING count(DISTINCT doc_id) >= 3),
+goes AS (SELECT n.doc_id, n.ord FROM named AS n JOIN often USING (leaf, tmpl)
+    WHERE n.doc_id * 1000000 + n.ord <> stay),
+done AS (SELECT l.doc_id, count(*) AS n_lines, count(g.ord) AS n_dropped,
+    coalesce(string_agg(raw, chr(10) ORDER BY l.ord) FILTER (WHERE g.ord IS NULL), '') AS text
+    FROM l LEFT JOIN goes AS g ON l.doc_id = g.doc_id AND l.ord = g.ord GROUP BY l.doc_id)
+SELECT d.doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_dropped, 0) AS n_dropped, done.text
+FROM documents AS d LEFT JOIN done USING (doc_id)"""
+
+_W = list(mixing.WEIGHTS)
+OP9 = f"""
+WITH d AS (SELECT doc_id, coalesce('s' || source, '~') AS src,
+    len(list_filter(string_split_regex(coalesce(text, ''), '{BLANK}+'), lambda x: x <> ''))::BIGINT AS size
+    FROM documents),
+s AS (SELECT src, sum(size)::BIGINT AS source_size FROM d GROUP BY src),
+w AS (SELECT *, {_W}[1 + (row_number() OVER (ORDER BY src) - 1) % {len(_W)}]::DOUBLE AS w,
+    ({mixing.MAX_REPEAT} * source_size)::DOUBLE AS cap FROM s),
+o AS (SELECT *, row_number() OVER (ORDER BY cap / w, src) AS o FROM w),
+l AS (SELECT *, (sum(source_size::DOUBLE) OVER () - coalesce(sum(cap) OVER prev, 0))
+    / (sum(w) OVER () - coalesce(sum(w) OVER prev, 0)) AS level FROM o
+    WINDOW prev AS (ORDER BY o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+t AS (SELECT src, source_size, coalesce(least(cap, w * first_level), cap) AS target FROM (
+    SELECT *, min(level) FILTER (WHERE o = stop) OVER () AS first_level FROM (
+        SELECT *, min(o) FILTER (WHERE cap > level * w) OVER () AS stop FROM l))),
+b AS (SELECT d.*, CASE WHEN size < 8 THEN size ELSE length(bin(size)) * 8
+        + ((size >> (length(bin(size)) - 4)) & 7) END AS cls,
+    ('0x' || substr(md5(doc_id::VARCHAR), 1, 6))::BIGINT % {mixing.BLOCKS} AS salt,
+    ('0x' || substr(md5('7:' || src), 1, 8))::BIGINT / 4294967296.0::DOUBLE AS u FROM d),
+n AS (SELECT b.*, source_size, target,
+    CASE WHEN source_size > 0 THEN target / source_size ELSE 0 END AS rate,
+    row_number() OVER (PARTITION BY src ORDER BY cls, salt, size, doc_id) AS k FROM b JOIN t USING (src))
+SELECT doc_id, size, source_size, target,
+    (size * least(floor(k * rate + u) - floor((k - 1) * rate + u), {mixing.MAX_REPEAT}))::BIGINT AS taken
+FROM n"""
+
+SQL = {"op4_quality_rules": OP4, "op7_line_dedup": OP7, "op9_mixing": OP9}
