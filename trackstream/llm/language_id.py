@@ -155,7 +155,7 @@ def predict(df: DataFrame, model: LanguageModel, id_cols: list[str], text_col: s
     spark = df.sparkSession
     ship_package(spark)
     shared = spark.sparkContext.broadcast(model)
-    src = df.select(*id_cols, F.col(text_col).cast("string").alias("_text"))
+    src = df.select(*id_cols, F.col(text_col).cast("string").alias("__llm_text"))
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in src.schema.fields[:-1])
 
     def run(batches):

@@ -245,5 +245,5 @@ def scan(df: DataFrame, text_col: str = "text", rules: list[dict] = RULES) -> Da
                 x["label"].alias("label"), x["start"].alias("first_word"),
                 (-x["minus_end"] - 1).alias("last_word"))).alias("spans"))))
 
-    out = df.select(*carry, let(normalized(F.col(text_col)), of).alias("_s"))
-    return out.select(*carry, *[F.col("_s")[c].alias(c) for c in RESULT])
+    out = df.select(*carry, let(normalized(F.col(text_col)), of).alias("__llm_s"))
+    return out.select(*carry, *[F.col("__llm_s")[c].alias(c) for c in RESULT])

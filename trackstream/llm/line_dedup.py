@@ -44,10 +44,10 @@ def masked(w: Column) -> Column:
     return F.transform(w, lambda x: F.when(x.rlike("[0-9]"), F.lit(FIELD)).otherwise(F.lower(x)))
 
 
-def _keyed(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def _keys(id_col: str, text_col: str) -> list[Column]:
     last = F.lit(2 ** 63 - 1)
-    return df.withColumns({"_doc": F.coalesce(F.col(id_col).cast("long"), last),
-                           "_th": F.xxhash64(text_col), "_text": F.col(text_col).cast("string")})
+    return [F.coalesce(F.col(id_col).cast("long"), last).alias("_doc"),
+            F.xxhash64(text_col).alias("_th"), F.col(text_col).cast("string").alias("_text")]
 
 
 def raw_lines(keyed: DataFrame) -> DataFrame:
@@ -97,7 +97,7 @@ def recurring(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", dep
               min_tokens: int = MIN_TOKENS, min_docs: int = MIN_DOCS,
               similarity: float = SIMILARITY) -> DataFrame:
     """(_doc, _th, drop): the numbers of the lines to drop from each document."""
-    keyed = _keyed(df, id_col, text_col).select(*DOC, "_text")
+    keyed = df.select(*_keys(id_col, text_col))
     rows = materialize(parsed_lines(keyed, depth, min_tokens), "lines")   # hashes and places
     per_doc = rows.groupBy("leaf", "full", *DOC).agg(F.min("at").alias("at"))
     kinds = materialize(per_doc.groupBy("leaf", "full").agg(
@@ -134,7 +134,10 @@ def dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", **param
     """``df`` with recurring lines taken out of the text, n_lines and n_dropped."""
     goes = recurring(df, id_col, text_col, **params)
     columns = [c for c in df.columns if c.lower() not in RESULT]
-    docs = _keyed(df.select(*[F.col(f"`{c}`") for c in columns]), id_col, text_col)
+    # all but the text travel in one struct, so no name of theirs can clash
+    rest = F.struct(F.lit(0).alias("_"), *[F.col(f"`{c}`").alias(f"c{i}")
+                                           for i, c in enumerate(columns) if c != text_col])
+    docs = df.select(*_keys(id_col, text_col), rest.alias("_rest"))
     both = docs.join(goes, DOC, "left")
     parts = F.split("_text", "\n")
 
@@ -145,6 +148,7 @@ def dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", **param
     text = F.when(F.col("drop").isNull(), F.col("_text")).otherwise(let(parts, without))
     n_lines = F.when(F.col("_text").isNull(), 0).otherwise(F.size(parts))
     return both.select(
-        *[text.alias(c) if c == text_col else F.col(f"`{c}`") for c in columns],
+        *[(text if c == text_col else F.col("_rest")[f"c{i}"]).alias(c)
+          for i, c in enumerate(columns)],
         n_lines.cast("long").alias("n_lines"),
         F.coalesce(F.size("drop"), F.lit(0)).cast("long").alias("n_dropped"))

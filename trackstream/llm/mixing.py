@@ -84,10 +84,12 @@ def mix(df: DataFrame, weights=WEIGHTS, max_repeat: int = MAX_REPEAT, seed: int
         keep: list[str] | None = None) -> DataFrame:
     """Add size, source_size, target, copies and taken (copies * size) to each
     document.  ``keep`` names the input columns to carry (all of them if None)."""
-    taken_names = {c.lower() for c in RESULT} | {"_class", "_salt", "_src", "_id", "_nth"}
-    carry = [c for c in (df.columns if keep is None else keep) if c.lower() not in taken_names]
+    carry = [c for c in (df.columns if keep is None else keep) if c.lower() not in RESULT]
+    # what is carried travels in one struct, so no name of it can clash
+    row = F.struct(F.lit(0).alias("_"), *[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(carry)])
+    tie = F.xxhash64(text_col) if text_col in carry else F.lit(0)
     base = df.select(
-        *[F.col(f"`{c}`") for c in carry], source_key(F.col(source_col)).alias("_src"),
+        row.alias("_row"), tie.alias("_tie"), source_key(F.col(source_col)).alias("_src"),
         F.col(id_col).alias("_id"), size_of(F.col(text_col)).alias("size"))
     base = base.select("*", size_class(F.col("size")).alias("_class"), F.pmod(
         F.conv(F.substring(F.md5(F.coalesce(F.col("_id").cast("string"), F.lit(""))), 1, 6),
@@ -103,8 +105,7 @@ def mix(df: DataFrame, weights=WEIGHTS, max_repeat: int = MAX_REPEAT, seed: int
     plan = (blocks.select("_src", "_class", "_salt", "_before")
             .join(t.withColumnRenamed("src", "_src"), "_src"))
     numbered = base.select("*", F.row_number().over(
-        W.partitionBy("_src", "_class", "_salt").orderBy("size", "_id", *(
-            [F.xxhash64(F.col(text_col))] if text_col in carry else []))).alias("_nth"))
+        W.partitionBy("_src", "_class", "_salt").orderBy("size", "_id", "_tie")).alias("_nth"))
     p, n = plan.alias("p"), numbered.alias("n")
     joined = n.join(p, [F.col(f"n.{c}") == F.col(f"p.{c}") for c in ("_src", "_class", "_salt")])
     rate = F.when(F.col("source_size") > 0,
@@ -113,7 +114,7 @@ def mix(df: DataFrame, weights=WEIGHTS, max_repeat: int = MAX_REPEAT, seed: int
     # a rate of exactly max_repeat must not gain a copy by rounding
     copies = F.least(F.floor(at * rate + u) - F.floor((at - 1) * rate + u),
                      F.lit(max_repeat)).cast("long")
-    out = joined.select(*[F.col(f"n.`{c}`") for c in carry], F.col("n.size"), "source_size",
+    out = joined.select(*[F.col("n._row")[f"c{i}"].alias(c) for i, c in enumerate(carry)], F.col("n.size"), "source_size",
                         "target", copies.alias("copies"))
     return out.withColumn("taken", F.col("copies") * F.col("size"))
 

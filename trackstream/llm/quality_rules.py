@@ -146,11 +146,11 @@ def compile_rules(m: Column, rules: list[Rule] = RULES) -> Column:
 
 def apply_rules(df: DataFrame, text_col: str = "text", rules: list[Rule] = RULES) -> DataFrame:
     """Add the measures, the base verdict, ``failed_rules`` and ``kept`` to ``df``."""
-    taken = {c.lower() for c in RESULT} | {"_m"}
+    taken = {c.lower() for c in RESULT}
     kept_cols = [F.col(f"`{c}`") for c in df.columns if c.lower() not in taken]
-    m = F.col("_m")
+    m = F.col("__llm_m")
     base = (m["n_words"] < 10) | (100 * m["n_repeat_words"] > 20 * m["n_words"])
-    measured = df.select(*kept_cols, measures(F.col(text_col)).alias("_m"))
+    measured = df.select(*kept_cols, measures(F.col(text_col)).alias("__llm_m"))
     failed = compile_rules(m, rules)
     return measured.select(
         *kept_cols, *[m[c].alias(c) for c in RESULT[:5]], base.alias("base_failed"),

@@ -379,8 +379,8 @@ def encode_frame(df: DataFrame, key_col: str = "doc_id", text_col: str = "text",
     ``path`` must name the vocabulary file on every node."""
     ship_package(df.sparkSession)
     carry = [c for c in df.columns if c.lower() not in RESULT]
-    src = df.select(*[F.col(f"`{c}`") for c in carry], F.col(key_col).cast("string").alias("_k"),
-                    F.col(text_col).cast("string").alias("_t"))
+    src = df.select(*[F.col(f"`{c}`") for c in carry], F.col(key_col).cast("string").alias("__llm_k"),
+                    F.col(text_col).cast("string").alias("__llm_t"))
     kept = df.select(*[F.col(f"`{c}`") for c in carry]).schema
     schema = kept.add("ids", T.ArrayType(T.IntegerType())).add("n_pieces", T.LongType())
     if with_decoded:

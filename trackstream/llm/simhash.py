@@ -246,9 +246,9 @@ def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     nothing names a representative among them."""
     near = near_duplicates(df, id_col, text_col, width, max_bits)
     first = (near.filter(F.col("doc_id") == F.col("component_id"))
-             .select(F.col("doc_id").alias("_keep")).distinct())
-    named = df.join(first, F.col(id_col).cast("long") == F.col("_keep"), "left_semi")
+             .select(F.col("doc_id").alias("__llm_keep")).distinct())
+    named = df.join(first, F.col(id_col).cast("long") == F.col("__llm_keep"), "left_semi")
     nth = F.row_number().over(W.partitionBy(id_col).orderBy(F.xxhash64(
         F.coalesce(F.col(text_col), F.lit("")))))
-    one = named.withColumn("_nth", nth).filter("_nth = 1").drop("_nth")
+    one = named.withColumn("__llm_nth", nth).filter("__llm_nth = 1").drop("__llm_nth")
     return one.unionByName(df.filter(F.col(id_col).isNull()))
