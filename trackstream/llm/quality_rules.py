@@ -148,10 +148,14 @@ def apply_rules(df: DataFrame, text_col: str = "text", rules: list[Rule] = RULES
     """Add the measures, the base verdict, ``failed_rules`` and ``kept`` to ``df``."""
     taken = {c.lower() for c in RESULT}
     kept_cols = [F.col(f"`{c}`") for c in df.columns if c.lower() not in taken]
+    def judged(m):
+        base = (m["n_words"] < 10) | (100 * m["n_repeat_words"] > 20 * m["n_words"])
+        return let(compile_rules(m, rules), lambda failed: F.struct(
+            *[m[c].alias(c) for c in RESULT[:5]], base.alias("base_failed"),
+            (~base & (F.size(failed) == 0)).alias("kept"), failed.alias("failed_rules")))
+
+    # one expression from text to verdict: a filter on ``kept`` that the optimizer
+    # moves to the scan then measures a text once, not once for every mention
     m = F.col("__llm_m")
-    base = (m["n_words"] < 10) | (100 * m["n_repeat_words"] > 20 * m["n_words"])
-    measured = df.select(*kept_cols, measures(F.col(text_col)).alias("__llm_m"))
-    failed = compile_rules(m, rules)
-    return measured.select(
-        *kept_cols, *[m[c].alias(c) for c in RESULT[:5]], base.alias("base_failed"),
-        (~base & (F.size(failed) == 0)).alias("kept"), failed.alias("failed_rules"))
+    return (df.select(*kept_cols, let(measures(F.col(text_col)), judged).alias("__llm_m"))
+            .select(*kept_cols, *[m[c].alias(c) for c in RESULT]))
