@@ -30,8 +30,7 @@ def let(value: Column, body) -> Column:
 
 def words(text: Column) -> Column:
     """Maximal runs of characters outside :data:`BLANKS` (null text: none)."""
-    spaced = F.translate(F.coalesce(text, F.lit("")), BLANKS[1:], " " * 5)
-    return F.array_remove(F.split(spaced, " "), "")
+    return F.array_remove(F.split(F.coalesce(text, F.lit("")), f"[{BLANKS}]+"), "")
 
 
 def count_of(text: Column, part: str) -> Column:

@@ -41,13 +41,14 @@ def statistics(text: Column) -> Column:
     t = F.coalesce(text, F.lit(""))
 
     def left(x, chars):
-        return F.length(F.translate(x, chars, "")).cast("double")
+        # one pass of a character class; translate() looks every character up in a map
+        return F.length(F.regexp_replace(x, f"[{chars}]+", "")).cast("double")
 
     def of(w):
-        lines = F.filter(F.split(t, "\n"), lambda x: left(x, BLANKS) > 0)
+        lines = F.filter(F.split(t, "\n"), lambda x: x.rlike(f"[^{BLANKS}]"))
         n = F.greatest(F.size(w), F.lit(1)).cast("double")
         chars = F.length(t).cast("double")
-        solid = left(t, BLANKS)
+        solid = F.length(F.array_join(w, "")).cast("double")
         per_char = F.greatest(solid, F.lit(1.0))
         return let(lines, lambda ln: let(F.greatest(F.size(ln), F.lit(1)).cast("double"), lambda k: F.struct(
             F.size(w).cast("double").alias("n_words"),
@@ -56,11 +57,11 @@ def statistics(text: Column) -> Column:
             (F.size(F.filter(w, lambda x, i: F.coalesce(F.get(w, i - 1) == x, F.lit(False)))) / n)
             .alias("pair_ratio"),
             (F.size(F.filter(w, lambda x: F.lower(x).isin(STOP_WORDS))) / n).alias("stop_ratio"),
-            ((chars - left(t, "#*$%&|<>")) / n).alias("symbol_ratio"),
+            ((chars - left(t, "#*$%|<>&")) / n).alias("symbol_ratio"),
             ((chars - left(t, "!?")) / n).alias("exclamation_ratio"),
             ((chars - left(t, ".,;:")) / n).alias("mark_ratio"),
-            ((chars - left(t, "ABCDEFGHIJKLMNOPQRSTUVWXYZ")) / per_char).alias("upper_ratio"),
-            ((chars - left(t, "0123456789")) / per_char).alias("digit_ratio"),
+            ((chars - left(t, "A-Z")) / per_char).alias("upper_ratio"),
+            ((chars - left(t, "0-9")) / per_char).alias("digit_ratio"),
             (F.size(w) / k).alias("line_words"),
             ((F.size(ln) - F.size(F.array_distinct(ln))) / k).alias("dup_line_ratio"),
             (F.size(F.filter(w, lambda x: F.substring(x, 1, 1) != F.lower(F.substring(x, 1, 1)))) / n)
@@ -142,7 +143,7 @@ def lasso_logistic(z, y, penalty: float, rounds: int = 600):
 
     n, d = z.shape
     a = np.c_[z, np.ones(n)]
-    step = 4.0 / (np.linalg.norm(a, 2) ** 2 / n + 1e-9)
+    step = 4.0 / (np.linalg.eigvalsh(a.T @ a)[-1] / n + 1e-9)
     w = v = np.zeros(d + 1)
     w[-1] = v[-1] = 0.0
     t = 1.0
