@@ -94,13 +94,13 @@ def measures(text: Column, stop_words: list[str] = STOP_WORDS) -> Column:
     t = F.coalesce(text, F.lit(""))
 
     def without(x, chars):
-        return F.length(F.translate(x, chars, ""))
+        return F.length(F.regexp_replace(x, f"[{chars}]+", ""))
 
     def of(w):
-        lines = F.filter(F.split(t, "\n"), lambda x: without(x, BLANKS) > 0)
+        lines = F.filter(F.split(t, "\n"), lambda x: x.rlike(f"[^{BLANKS}]"))
         return let(lines, lambda ln: F.struct(
             F.size(w).cast("long").alias("n_words"),
-            without(t, BLANKS).cast("long").alias("word_chars"),
+            F.length(F.array_join(w, "")).cast("long").alias("word_chars"),
             (F.length(t) - without(t, "#*$%&|<>")).cast("long").alias("n_symbols"),
             (F.size(ln) - F.size(F.array_distinct(ln))).cast("long").alias("n_dup_lines"),
             repeated_window_words(w).alias("n_repeat_words"),
