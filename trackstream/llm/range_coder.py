@@ -12,7 +12,7 @@ A symbol says "as order 2 predicts", "as order 1 predicts", or a rank class.  It
 probability mixes three adaptive counts: those seen under the order-2 confidence,
 under the order-1 confidence (with whether both predict alike), and overall.
 Counts are added before they are normalised, so a context that has seen more
-weighs more.  A carry-less range coder with 64-bit numbers and 16-bit words turns
+weighs more.  A carry-less range coder with 64-bit numbers and 32-bit words turns
 probabilities into bits.
 
 All blocks of a batch move in step: step k codes the k-th id of every block, each
@@ -21,7 +21,7 @@ coding is the same on any machine.
 
 Layout of a block's payload (little-endian): u32 number of ids, u32 CRC-32 of the
 ids as u32, u32 size of the dictionary, u8 width w of its entries in bytes (2 or 4),
-the dictionary (ids by falling frequency, then by id), then 16-bit code words.
+the dictionary (ids by falling frequency, then by id), then 32-bit code words.
 A block holds at most 16,384 ids.
 """
 
@@ -34,8 +34,8 @@ HEAD = struct.Struct("<IIIB")
 TABLE = 1 << 12              # slots of the order-1 and order-2 tables of a block
 MOST_IDS = 1 << 14           # ids of a block at most
 SYMBOLS = 2 + 15             # the two predictions and the rank classes 0 to 14
-#: By order-2 confidence (4), by order-1 confidence and agreement (8), overall (1).
-CONTEXTS = 13
+#: By order-2 confidence (4), by order-1 confidence and agreement (8); overall stands apart.
+CONTEXTS = 12
 LIMIT = 1 << 13              # counts of a context are halved beyond this total,
 PACE = 64                    # looked at every so many ids: mixed totals stay below 2 ** 15
 GAIN = 24
@@ -53,62 +53,63 @@ class _Models:
 
         self.rows = np.arange(n)
         self.base, self.room = self.rows * CONTEXTS, self.rows * TABLE
-        self.rank2, self.rank1 = (np.zeros(n * TABLE, np.int16) for _ in range(2))
-        self.sure2, self.sure1 = (np.zeros(n * TABLE, np.int8) for _ in range(2))
-        self.last1, self.last2 = (np.zeros(n, np.int32) for _ in range(2))
+        self.next2, self.next1 = (np.zeros(n * TABLE, np.uint16) for _ in range(2))
+        self.last1, self.last2 = (np.zeros(n, np.int64) for _ in range(2))
         self.count = np.ones((n * CONTEXTS, SYMBOLS), np.int16)
+        self.overall = np.ones((SYMBOLS, n), np.int16)
         self.step = 0
 
     def predict(self, m: int):
-        """Of the first ``m`` blocks: slots, predictions, confidences, contexts, and
-        the mixed counts of all symbols summed up (one column a block)."""
+        """Of the first ``m`` blocks: table slots and entries, predicted ranks, contexts,
+        and the mixed counts of all symbols summed up (row k: those below symbol k)."""
         import numpy as np
 
-        a, b = self.last1[:m], self.last2[:m]
-        s2 = self.room[:m] + ((a * 40503 + b * 30011) >> 3) % TABLE
-        s1 = self.room[:m] + a % TABLE
-        p2, p1 = self.rank2[s2], self.rank1[s1]
-        c2, c1 = self.sure2[s2], self.sure1[s1]
+        a, b, room = self.last1[:m], self.last2[:m], self.room[:m]
+        s2 = ((a * 40503 + b * 30011) >> 3 & (TABLE - 1)) + room
+        s1 = (a & (TABLE - 1)) + room
+        v2, v1 = self.next2.take(s2), self.next1.take(s1)
+        p2, p1 = v2 >> 2, v1 >> 2
         base = self.base[:m]
-        x2 = base + c2
-        x1 = base + (4 + c1 + 4 * (p1 == p2))
-        x0 = base + 12
+        x2 = base + (v2 & 3)
+        x1 = base + ((v1 & 3) + np.where(p1 == p2, np.uint16(8), np.uint16(4)))
         mixed = self.count.take(x2, axis=0)
         mixed += self.count.take(x1, axis=0)
-        mixed += self.count[12:m * CONTEXTS:CONTEXTS]
-        upto = np.ascontiguousarray(mixed.T)
-        for k in range(1, SYMBOLS):
-            upto[k] += upto[k - 1]
-        return m, (s2, s1), (p2, p1), (c2, c1), (x2, x1, x0), upto
-
-    def span(self, seen, symbol):
+        upto = np.zeros((SYMBOLS + 1, m), np.int16)
+        np.add(mixed.T, self.overall[:, :m], out=upto[1:])
+        lines = list(upto)
+        for below, line in zip(lines[1:], lines[2:]):
+            np.add(line, below, out=line)
+        return (s2, s1), (v2, v1), (p2, p1), (x2, x1), upto
+
+    def span(self, upto, symbol):
         """Start and size of a symbol of each block, and the whole, as u64."""
         import numpy as np
 
-        m, upto = seen[0], seen[5].ravel()
+        m, flat = upto.shape[1], upto.ravel()
         at = symbol * m + self.rows[:m]
-        end = upto[at]
-        start = np.where(symbol > 0, upto[at - m], 0)
-        return (start.astype(np.uint64), (end - start).astype(np.uint64),
-                seen[5][-1].astype(np.uint64))
+        start = flat.take(at)
+        return (start.astype(np.uint64), (flat.take(at + m) - start).astype(np.uint64),
+                upto[-1].astype(np.uint64))
 
     def learn(self, seen, symbol, rank):
         import numpy as np
 
-        m, (s2, s1), (p2, p1), (c2, c1), contexts, _ = seen
-        flat = self.count.ravel()
+        slots, values, ranks, contexts, _ = seen
+        m, flat = len(rank), self.count.ravel()
         for x in contexts:
             flat[x * SYMBOLS + symbol] += GAIN
+        self.overall.ravel()[symbol * len(self.rows) + self.rows[:m]] += GAIN
         self.step += 1
         if self.step % PACE == 0:
             full = np.flatnonzero(self.count.sum(axis=1, dtype=np.int32) > LIMIT)
             self.count[full] = (self.count[full] + 1) >> 1
-        for table, sure, s, p, c in ((self.rank2, self.sure2, s2, p2, c2),
-                                     (self.rank1, self.sure1, s1, p1, c1)):
-            hit = p == rank
+            full = np.flatnonzero(self.overall.sum(axis=0, dtype=np.int32) > LIMIT)
+            self.overall[:, full] = (self.overall[:, full] + 1) >> 1
+        anew = (rank << 2).astype(np.uint16)
+        for table, s, v, p in zip((self.next2, self.next1), slots, values, ranks):
+            sure = v & 3
             # a hit raises the confidence; a miss takes it to 0, or takes the place at 0
-            sure[s] = np.where(hit, np.minimum(c + 1, 3), 0)
-            table[s] = np.where(hit | (c > 0), p, rank)
+            table[s] = np.where(p == rank, v + (sure < 3), np.where(sure > 0, v - sure, anew))
         self.last2[:m], self.last1[:m] = self.last1[:m], rank
 
 
@@ -122,11 +123,23 @@ def _digits(rank):
 def _constants():
     import numpy as np
 
-    return (np.uint64(1 << 48), np.uint64(1 << 32), np.uint64(1), np.uint64(14), np.uint64(16),
-            np.uint64(48))
+    return np.uint64(1 << 32), np.uint64(1), np.uint64(14), np.uint64(32)
+
+
+WORD, ONE, S14, S32 = _constants()
+
 
+def _narrow(low, rng):
+    """Blocks whose range is below a word, with their low end and their range after a
+    word is moved out.  One move suffices: the range is then a word or more again.  A
+    range that straddles a boundary of words is cut there, so no carry arises."""
+    import numpy as np
 
-TOP, BOTTOM, ONE, S14, S16, S48 = _constants()
+    go = np.flatnonzero(rng < WORD)
+    g_low, g_rng = low[go], rng[go]
+    crosses = (g_low ^ (g_low + g_rng)) >= WORD
+    g_rng = np.where(crosses, (~g_low + ONE) & (WORD - ONE), g_rng)
+    return go, g_low, g_rng << S32
 
 
 class _Writer:
@@ -135,42 +148,29 @@ class _Writer:
 
         self.low = np.zeros(n, np.uint64)
         self.range = np.full(n, (1 << 64) - 1, np.uint64)
-        self.out = np.zeros((n, 3 * steps + 16), np.uint16)   # 48 bits an id at most
+        self.out = np.zeros((n, steps), np.uint32)            # a word an id at most
         self.at = np.zeros(n, np.int64)
 
-    def put(self, r, start, size, whole, rest, bits):
-        """Narrow the ranges of blocks ``r`` to [start, start + size) of ``whole``,
+    def put(self, start, size, whole, rest, bits):
+        """Narrow the ranges of the first blocks to [start, start + size) of ``whole``,
         and within it to part ``rest`` of 2 ** bits equal parts."""
-        step = self.range[r] // (whole << S14)
+        m = len(whole)
+        step = self.range[:m] // (whole << S14)
         part = size << (S14 - bits)
-        self._even(r, self.low[r] + step * ((start << S14) + rest * part), step * part)
-
-    def _even(self, r, low, rng):
-        import numpy as np
-
-        while True:
-            settled = (low ^ (low + rng)) < TOP
-            short = rng < BOTTOM
-            go = np.flatnonzero(settled | short)
-            if not len(go):
-                break
-            g_low, g_rng = low[go], rng[go]
-            cut = short[go] & ~settled[go]
-            g_rng = np.where(cut, (~g_low + ONE) & (BOTTOM - ONE), g_rng)
-            blocks = go
-            self.out[blocks, self.at[blocks]] = (g_low >> S48).astype(np.uint16)
-            self.at[blocks] += 1
-            low[go], rng[go] = g_low << S16, g_rng << S16
-        self.low[r], self.range[r] = low, rng
+        low, rng = self.low[:m], step * part
+        low += step * ((start << S14) + rest * part)
+        go, g_low, g_rng = _narrow(low, rng)
+        at = self.at[go]
+        self.out[go, at] = g_low >> S32
+        self.at[go] = at + 1
+        low[go], rng[go] = g_low << S32, g_rng
+        self.range[:m] = rng
 
     def close(self):
-        import numpy as np
-
         words = []
-        for i in range(len(self.low)):
-            rest = int(self.low[i])
-            tail = np.array([(rest >> k) & 0xFFFF for k in (48, 32, 16, 0)], np.uint16)
-            words.append(np.r_[self.out[i, :self.at[i]], tail].astype("<u2").tobytes())
+        for i, rest in enumerate(self.low.tolist()):
+            words.append(self.out[i, :self.at[i]].astype("<u4").tobytes()
+                         + struct.pack("<II", rest >> 32, rest & 0xFFFFFFFF))
         return words
 
 
@@ -180,50 +180,40 @@ class _Reader:
 
         n = len(words)
         longest = max(map(len, words), default=0)
-        self.words = np.zeros((n, longest + 8), np.uint64)
+        self.words = np.zeros((n, longest + 3), np.uint32)
         for i, w in enumerate(words):
             self.words[i, :len(w)] = w
-        self.at = np.full(n, 4)
+        self.at = np.full(n, 2)
         self.low = np.zeros(n, np.uint64)
         self.range = np.full(n, (1 << 64) - 1, np.uint64)
-        self.code = np.zeros(n, np.uint64)
-        for k in range(4):
-            self.code = (self.code << S16) | self.words[:, k]
+        first = self.words[:, :2].astype(np.uint64)
+        self.code = (first[:, 0] << S32) | first[:, 1]
 
-    def point(self, r, whole):
+    def point(self, whole):
         """Where the code stands, in parts of ``whole``."""
         import numpy as np
 
-        self.step = self.range[r] // (whole << S14)
-        self.spot = np.minimum((self.code[r] - self.low[r]) // self.step, (whole << S14) - ONE)
+        m = len(whole)
+        self.step = self.range[:m] // (whole << S14)
+        self.spot = np.minimum((self.code[:m] - self.low[:m]) // self.step,
+                               (whole << S14) - ONE)
         return (self.spot >> S14).astype(np.int16)
 
-    def take(self, r, start, size, bits):
+    def take(self, start, size, bits):
         """Follow a symbol; returns the number of the part within it."""
-        part = size << (S14 - bits)
-        rest = (self.spot - (start << S14)) // part
-        self._even(r, self.low[r] + self.step * ((start << S14) + rest * part), self.step * part)
-        return rest
-
-    def _even(self, r, low, rng):
         import numpy as np
 
-        code = self.code[r]
-        while True:
-            settled = (low ^ (low + rng)) < TOP
-            short = rng < BOTTOM
-            go = np.flatnonzero(settled | short)
-            if not len(go):
-                break
-            g_low, g_rng = low[go], rng[go]
-            cut = short[go] & ~settled[go]
-            g_rng = np.where(cut, (~g_low + ONE) & (BOTTOM - ONE), g_rng)
-            blocks = go
-            at = np.minimum(self.at[blocks], self.words.shape[1] - 1)
-            code[go] = (code[go] << S16) | self.words[blocks, at]
-            self.at[blocks] += 1
-            low[go], rng[go] = g_low << S16, g_rng << S16
-        self.low[r], self.range[r], self.code[r] = low, rng, code
+        m, part = len(start), size << (S14 - bits)
+        rest = (self.spot - (start << S14)) // part
+        low, code, rng = self.low[:m], self.code[:m], self.step * part
+        low += self.step * ((start << S14) + rest * part)
+        go, g_low, g_rng = _narrow(low, rng)
+        at = np.minimum(self.at[go], self.words.shape[1] - 1)
+        code[go] = (code[go] << S32) | self.words[go, at]
+        self.at[go] = at + 1
+        low[go], rng[go] = g_low << S32, g_rng
+        self.range[:m] = rng
+        return rest
 
 
 def _dictionary(ids):
@@ -233,8 +223,8 @@ def _dictionary(ids):
     if not len(ids):
         return ids, np.zeros(0, np.int32)
     line = np.sort(ids)
-    first = np.flatnonzero(np.r_[True, line[1:] != line[:-1]])
-    known, counts = line[first], np.diff(np.r_[first, len(line)])
+    first = np.concatenate((np.zeros(1, np.int64), np.flatnonzero(line[1:] != line[:-1]) + 1))
+    known, counts = line[first], np.diff(first, append=len(line))
     by = np.argsort(-counts, kind="stable")
     if int(line[-1]) < 1 << 20:                  # ranks by a table over the ids
         place = np.empty(int(line[-1]) + 1, np.int32)
@@ -271,15 +261,17 @@ def encode_blocks(blocks: list) -> list[bytes]:
         ids, ranks[:lens[i], i] = _dictionary(b)
         books.append(ids)
     models, writer = _Models(n), _Writer(n, steps)
+    digits = _digits(np.arange(MOST_IDS))
     for k, m in enumerate(_alive(lens, steps)):
         rank = ranks[k, :m]
         seen = models.predict(m)
-        p2, p1 = seen[2]
-        bits = _digits(rank)
+        (p2, p1), upto = seen[2], seen[4]
+        bits = digits.take(rank)
         symbol = np.where(rank == p2, 0, np.where(rank == p1, 1, bits + 2))
-        bits = np.where(symbol > 1, bits, 0).astype(np.uint64)
-        rest = np.where(symbol > 1, (rank + 1).astype(np.uint64) - (ONE << bits), 0)
-        writer.put(slice(0, m), *models.span(seen, symbol), rest, bits)
+        plain = symbol > 1
+        rest = np.where(plain, rank + 1 - (1 << bits), 0).astype(np.uint64)
+        bits = np.where(plain, bits, 0).astype(np.uint64)
+        writer.put(*models.span(upto, symbol), rest, bits)
         models.learn(seen, symbol, rank)
     out = [b""] * n
     for i, (code, ids, book) in enumerate(zip(writer.close(), sized, books)):
@@ -299,11 +291,11 @@ def decode_blocks(payloads: list) -> list:
             raise Damaged("block cut short")
         n, crc, entries, wide = HEAD.unpack_from(raw)
         end = HEAD.size + entries * wide
-        if wide not in (2, 4) or n > MOST_IDS or len(raw) < end or (len(raw) - end) % 2:
+        if wide not in (2, 4) or n > MOST_IDS or len(raw) < end or (len(raw) - end) % 4:
             raise Damaged("block cut short")
         heads.append((n, crc))
         books.append(np.frombuffer(raw, f"<u{wide}", entries, HEAD.size).astype(np.uint32))
-        words.append(np.frombuffer(raw, "<u2", offset=end))
+        words.append(np.frombuffer(raw, "<u4", offset=end))
     if not heads:
         return []
     order = sorted(range(len(heads)), key=lambda i: -heads[i][0])
@@ -313,14 +305,14 @@ def decode_blocks(payloads: list) -> list:
     models, reader = _Models(n), _Reader([words[i] for i in order])
     for k, m in enumerate(_alive(lens, steps)):
         seen = models.predict(m)
-        (p2, p1), upto = seen[2], seen[5]
-        r = slice(0, m)
-        symbol = (upto <= reader.point(r, upto[-1].astype(np.uint64))).sum(axis=0)
+        (p2, p1), upto = seen[2], seen[4]
+        below = upto[1:] <= reader.point(upto[-1].astype(np.uint64))
+        symbol = np.add.reduce(below.view(np.int8), axis=0, dtype=np.int8).astype(np.int64)
         bits = np.maximum(symbol - 2, 0).astype(np.uint64)
-        start, size, _ = models.span(seen, symbol)
-        rest = reader.take(r, start, size, bits)
+        start, size, _ = models.span(upto, symbol)
+        rest = reader.take(start, size, bits)
         rank = np.where(symbol == 0, p2, np.where(symbol == 1, p1, (
-            rest + (ONE << bits) - ONE).astype(np.int32)))
+            rest + (ONE << bits) - ONE).astype(np.int64)))
         models.learn(seen, symbol, rank)
         ranks[k, :m] = rank
     out = [None] * n
