@@ -21,6 +21,15 @@ from trackstream.operators import forest
 v = P.valid_features(spark, "/root/testdata/sf0.001")
 m = forest.fit_isolation_forest(v, n_trees=5)
 print("SCORED", forest.score_frame(v, m).count())
+from trackstream.operators import windows
+from trackstream.streaming.stateful import ROCKSDB_PROVIDER, stream_trends
+spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
+v.write.parquet("valid")
+src = spark.readStream.schema(v.schema).parquet("valid").withWatermark("event_time", "1 minute")
+(stream_trends(windows.window_stats(src, duration="1 hour")).writeStream.format("parquet")
+ .option("path", "trends").option("checkpointLocation", "ckpt").trigger(availableNow=True)
+ .start().awaitTermination())
+print("TRENDS", spark.read.parquet("trends").count())
 """
 
 
@@ -30,6 +39,7 @@ def test_udfs_run_without_package_on_worker_path():
     out = subprocess.run([sys.executable, "-c", SCRIPT], cwd=cwd, env=env,
                          capture_output=True, text=True, timeout=600)
     assert "SCORED" in out.stdout, out.stderr[-3000:]
+    assert "TRENDS" in out.stdout, out.stderr[-3000:]
 
 
 def test_streaming_cli_end_to_end(spark, scratch):

@@ -79,13 +79,17 @@ def dead_letters(df: DataFrame, *, schema: T.StructType = FLIGHT_SCHEMA_WITH_ID,
 
 
 def good_records(df: DataFrame, *, schema: T.StructType = FLIGHT_SCHEMA_WITH_ID,
-                 value_col: str = "value") -> DataFrame:
-    """Messages that parse as a JSON object (wrong-typed fields become NULL,
-    as in PERMISSIVE parsing), unwrapped and flattened."""
+                 value_col: str = "value", keep_wrong_type: bool = True) -> DataFrame:
+    """Messages that parse as a JSON object, unwrapped and flattened.  A
+    wrong-typed field becomes NULL, as in PERMISSIVE parsing; without
+    ``keep_wrong_type`` such a message is left to :func:`dead_letters` alone."""
     classified = classify_payload(unwrap_nested_json(df, value_col=value_col),
                                   value_col=value_col)
     ok = classified.filter(F.col("payload_error").isNull()).drop("payload_error")
-    return parse_payload(ok, schema=schema, value_col=value_col)
+    if keep_wrong_type:
+        return parse_payload(ok, schema=schema, value_col=value_col)
+    parsed = parse_payload(ok, schema=schema, value_col=value_col, keep_corrupt=True)
+    return parsed.filter(F.col(CORRUPT).isNull()).drop(CORRUPT, "_raw")
 
 
 def raw_field_text(df: DataFrame, fields: list[str], *, value_col: str = "value",

@@ -8,8 +8,8 @@ Three queries, each with its own checkpoint folder:
   (dedup within the watermark, so its state is evicted) -> features ->
   optional per-entity z-score -> ``foreachBatch`` fan-out: the batch is
   persisted once and written to the processed table (scored) and the invalid
-  table, optionally printed.  Writes overwrite their own ``batch_id``
-  partition, so a retried batch replaces its output instead of duplicating it.
+  table, optionally printed.  A batch becomes visible as one folder, by one
+  rename, and is never written again, so a retried batch adds no files.
 * ``windows`` — reads the landed processed table as a stream, so the dedup
   state exists once for all outputs, and writes closed windows (append) with
   trend labels from keyed state.
@@ -59,11 +59,34 @@ def _write_batch_partition(df: DataFrame, path: str, batch_id: int) -> None:
        .partitionBy("batch_id").parquet(path))
 
 
+def _publish_batch(df: DataFrame, path: str, batch_id: int) -> bool:
+    """Write a micro-batch as the folder ``batch_id=N`` of the table, once.
+
+    The files are staged beside the table and appear by one rename of their
+    folder; a batch whose folder exists is complete and left alone.  A reader
+    that follows the table as a file stream thus sees each batch whole and
+    once, however often the batch is retried.  Needs a file system that
+    renames a folder in one step.  Returns whether the batch was written."""
+    spark = df.sparkSession
+    root, name = path.rsplit("/", 1)
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path
+    final = hadoop_path(f"{path}/batch_id={batch_id}")
+    fs = final.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if fs.exists(final):
+        return False
+    staged = f"{root}/_staging/{name}/batch_id={batch_id}"
+    df.write.mode("overwrite").parquet(staged)
+    fs.mkdirs(final.getParent())
+    if not fs.rename(hadoop_path(staged), final):
+        raise OSError(f"batch {batch_id} could not be published to {path}")
+    return True
+
+
 def processed_stream(raw: DataFrame, cfg: PipelineConfig = PipelineConfig(), *,
                      stream_z: bool = False) -> DataFrame:
     """Streaming plan of the processed feed up to (not including) scoring."""
     cols = cfg.cols
-    parsed = M.good_records(M.envelope(raw))
+    parsed = M.good_records(M.envelope(raw), keep_wrong_type=False)
     timed = clean.parse_event_time(parsed, cols=cols)
     # G1: the one watermark of the stream, right after the event time exists.
     timed = timed.withWatermark(cols.event_time, cfg.watermark)
@@ -109,8 +132,10 @@ def start_processed(raw: DataFrame, layout: StreamLayout,
             scored = score_frame(valid, model, cols=cols) if model is not None \
                 else model_fallback(valid, cols=cols)
             out = routing.processed_projection(scored, extra=[cols.tiebreak])
-            _write_batch_partition(out, processed_path, batch_id)
-            _write_batch_partition(routing.invalid_projection(invalid), invalid_path, batch_id)
+            fresh = [_publish_batch(out, processed_path, batch_id),
+                     _publish_batch(routing.invalid_projection(invalid), invalid_path, batch_id)]
+            if not any(fresh):          # the retry's state still has to be committed
+                batch.write.format("noop").mode("overwrite").save()
             if console:
                 routing.console_projection(scored).show(10, truncate=False)
         finally:
@@ -128,15 +153,8 @@ def start_processed(raw: DataFrame, layout: StreamLayout,
     return _trigger(w, trigger).start()
 
 
-def processed_schema(spark: SparkSession, raw_schema, cfg: PipelineConfig = PipelineConfig()):
-    """Schema of the processed table (for reading it back as a stream)."""
-    empty = spark.createDataFrame([], raw_schema)
-    batch = processed_stream_batch(empty, cfg)
-    return batch.schema
-
-
 def processed_stream_batch(raw: DataFrame, cfg: PipelineConfig = PipelineConfig()) -> DataFrame:
-    parsed = M.good_records(M.envelope(raw))
+    parsed = M.good_records(M.envelope(raw), keep_wrong_type=False)
     f = features.add_derived_features(
         clean.quality_flag(clean.impute_defaults(clean.parse_event_time(parsed))))
     f = f.withColumns({"velocity_zscore": F.lit(0.0), "altitude_zscore": F.lit(0.0),

@@ -14,15 +14,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor
 
-from trackstream import schema as S
+from trackstream.operators.trends import add_trend_labels
 from trackstream.schema import FLIGHT, FlightColumns
 
 ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -52,89 +49,43 @@ def stream_zscore(df: DataFrame, *, window_duration: str = "10 minutes",
     return out.drop("_mv", "_sv", "_ma", "_sa")
 
 
-TREND_COLUMNS = [
-    ("prev_avg_velocity", T.DoubleType()), ("prev_avg_altitude", T.DoubleType()),
-    ("velocity_change", T.DoubleType()), ("altitude_change_from_prev", T.DoubleType()),
-    ("velocity_trend", T.StringType()), ("altitude_trend", T.StringType()),
-    ("trend_summary", T.StringType()),
-]
-
-
-def _label_v(prev, change):
-    if prev is None or pd.isna(prev):
-        return "no_history"
-    if change > S.TREND_VELOCITY_DELTA:
-        return "accelerating"
-    if change < -S.TREND_VELOCITY_DELTA:
-        return "decelerating"
-    return "stable_speed"
-
-
-def _label_a(prev, change):
-    if prev is None or pd.isna(prev):
-        return "no_history"
-    if change > S.TREND_ALTITUDE_DELTA:
-        return "climbing"
-    if change < -S.TREND_ALTITUDE_DELTA:
-        return "descending"
-    return "stable_altitude"
-
-
-def _summary(vt, at):
-    if vt == "no_history":
-        return "initial_observation"
-    if vt == "stable_speed" and at == "stable_altitude":
-        return "stable_flight"
-    if at == "climbing":
-        return "ascending"
-    if at == "descending":
-        return "descending"
-    return "maneuvering"
-
-
-class TrendProcessor(StatefulProcessor):
-    """Keeps the last closed window's (start, avg velocity, avg altitude) per
-    entity and labels each new window against it.  A small per-key helper:
-    the heavy lifting (the window aggregate) stays in Spark."""
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.prev = handle.getValueState(
-            "prev", "window_start timestamp, avg_velocity double, avg_altitude double")
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        pdf = pd.concat(list(rows), ignore_index=True).sort_values("window_start")
-        last = self.prev.get() if self.prev.exists() else None
-        pv = [None] * len(pdf)
-        pa = [None] * len(pdf)
-        for i, (ws, av, aa) in enumerate(zip(pdf["window_start"], pdf["avg_velocity"],
-                                             pdf["avg_altitude"])):
-            if last is not None:
-                pv[i], pa[i] = last[1], last[2]
-            last = (ws, av, aa)
-        self.prev.update(last)
-        out = pdf.copy()
-        out["prev_avg_velocity"] = pd.array(pv, dtype="Float64").astype("float64")
-        out["prev_avg_altitude"] = pd.array(pa, dtype="Float64").astype("float64")
-        out["velocity_change"] = out["avg_velocity"] - out["prev_avg_velocity"]
-        out["altitude_change_from_prev"] = out["avg_altitude"] - out["prev_avg_altitude"]
-        out["velocity_trend"] = [_label_v(p, c) for p, c in
-                                 zip(out["prev_avg_velocity"], out["velocity_change"])]
-        out["altitude_trend"] = [_label_a(p, c) for p, c in
-                                 zip(out["prev_avg_altitude"], out["altitude_change_from_prev"])]
-        out["trend_summary"] = [_summary(a, b) for a, b in
-                                zip(out["velocity_trend"], out["altitude_trend"])]
-        yield out
-
-    def close(self) -> None:
-        pass
+def _trend_processor() -> StatefulProcessor:
+    """A processor that puts the previous closed window's averages beside each
+    new window of an entity.  The class is local, so it is pickled by value:
+    Python workers need no import of this package to run it."""
+
+    class PreviousWindow(StatefulProcessor):
+        def init(self, handle):
+            self.prev = handle.getValueState("prev", "avg_velocity double, avg_altitude double")
+
+        def handleInputRows(self, key, rows, timerValues):
+            import pandas as pd
+
+            pdf = pd.concat(list(rows), ignore_index=True).sort_values("window_start")
+            last = self.prev.get() if self.prev.exists() else (None, None)
+            both = pdf[["avg_velocity", "avg_altitude"]].astype("float64")
+            before = both.shift(1)
+            before.iloc[0] = [float("nan") if x is None else x for x in last]
+            self.prev.update(tuple(None if pd.isna(x) else float(x) for x in both.iloc[-1]))
+            yield pdf.assign(prev_avg_velocity=before["avg_velocity"],
+                             prev_avg_altitude=before["avg_altitude"])
+
+        def close(self):
+            pass
+
+    return PreviousWindow()
 
 
 def stream_trends(windows: DataFrame, *, key: str = "icao24") -> DataFrame:
-    """Windows (append, closed only) -> windows with trend columns."""
-    from trackstream.session import ship_package
-    ship_package(windows.sparkSession)
+    """Windows (append, closed only) -> windows with trend columns.  State
+    holds two numbers per entity.  It does not expire: a state TTL needs
+    processing-time mode, in which a bounded run (``availableNow``) never ends."""
     out_schema = T.StructType(list(windows.schema.fields)
-                              + [T.StructField(n, t) for n, t in TREND_COLUMNS])
-    return windows.groupBy(key).transformWithStateInPandas(
-        statefulProcessor=TrendProcessor(), outputStructType=out_schema,
+                              + [T.StructField("prev_avg_velocity", T.DoubleType()),
+                                 T.StructField("prev_avg_altitude", T.DoubleType())])
+    out = windows.groupBy(key).transformWithStateInPandas(
+        statefulProcessor=_trend_processor(), outputStructType=out_schema,
         outputMode="Append", timeMode="None")
+    return add_trend_labels(out.withColumns({
+        "velocity_change": F.col("avg_velocity") - F.col("prev_avg_velocity"),
+        "altitude_change_from_prev": F.col("avg_altitude") - F.col("prev_avg_altitude")}))
