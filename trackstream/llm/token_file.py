@@ -40,6 +40,7 @@ class WordCoder:
     """Encodes texts with the tokenizers library, each different word once."""
 
     MOST = 400_000
+    TOGETHER = 512
 
     def __init__(self, path: str):
         import os
@@ -58,12 +59,21 @@ class WordCoder:
         self.pool, self.used = np.zeros(4096, np.uint32), 0
 
     def _add(self, words: list):
+        """Encode new words, many in one text: they are parted by a space, and an id
+        belongs to the word that its offset lies in."""
         import numpy as np
 
         start = len(self.number) - len(words)
-        got = [e.ids for e in self.tokenizer.encode_batch(words, add_special_tokens=False)]
-        size = np.fromiter(map(len, got), np.int64, len(got))
-        flat = np.fromiter((i for x in got for i in x), np.uint32, int(size.sum()))
+        flats, sizes = [np.zeros(0, np.uint32)], []
+        for a in range(0, len(words), self.TOGETHER):
+            part = words[a:a + self.TOGETHER]
+            coded = self.tokenizer.encode(" ".join(part), add_special_tokens=False)
+            flats.append(np.array(coded.ids, np.uint32))
+            at = np.fromiter((x for x, _ in coded.offsets), np.int64, len(coded.ids))
+            ends = np.cumsum([len(w) + 1 for w in part])
+            sizes.append(np.bincount(np.searchsorted(ends, at, side="right"),
+                                     minlength=len(part)))
+        flat, size = np.concatenate(flats), np.concatenate(sizes)
         for name, need in (("at", start + len(words)), ("len", start + len(words)),
                            ("pool", self.used + len(flat))):
             old = getattr(self, name)
@@ -79,27 +89,35 @@ class WordCoder:
     def encode(self, texts: list) -> list:
         """Arrays of ids of the texts (None counts as empty)."""
         import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
 
         if len(self.number) > self.MOST:
             self.clear()
-        out, plain, words = [None] * len(texts), [], []
+        out, plain = [None] * len(texts), []
         for i, t in enumerate(texts):
             if t and _OTHER.search(t):
                 out[i] = np.array(self.tokenizer.encode(t, add_special_tokens=False).ids, np.uint32)
             else:
-                w = (t or "").split()
                 plain.append(i)
-                words.append(np.fromiter(map(self.number.__getitem__, w), np.int64, len(w)))
+        if not plain:
+            return out
+        # the vocabulary is of lower case; each different word of the texts is looked up once
+        split = pc.ascii_split_whitespace(pc.ascii_lower(
+            pa.array([texts[i] or "" for i in plain], pa.large_string())))
+        known = split.flatten().dictionary_encode()
+        number = np.fromiter(map(self.number.__getitem__, known.dictionary.to_pylist()),
+                             np.int64, len(known.dictionary))
         new, self.number.new = self.number.new, []
         if new:
             self._add(new)
-        if not plain:
-            return out
-        flat = np.concatenate(words)
+        flat = number[known.indices.to_numpy(zero_copy_only=False)]
         size = self.len[flat]
         ends = np.cumsum(size)
         ids = self.pool[np.repeat(self.at[flat] - (ends - size), size) + np.arange(int(size.sum()))]
-        cuts = np.r_[0, ends][np.cumsum([0, *map(len, words)])].tolist()
+        counts = pc.list_value_length(split).to_numpy(zero_copy_only=False)
+        cuts = np.concatenate((np.zeros(1, np.int64), ends))[
+            np.cumsum(np.concatenate((np.zeros(1, np.int64), counts)))].tolist()
         for i, a, z in zip(plain, cuts[:-1], cuts[1:]):
             out[i] = ids[a:z]
         return out
