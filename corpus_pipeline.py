@@ -26,7 +26,8 @@ def rules_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def lines_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without recurring lines; n_chars follows the text."""
-    return line_dedup.dedup(docs).withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
+    whole = line_dedup.dedup(docs, **line_dedup.WHOLE)
+    return whole.withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

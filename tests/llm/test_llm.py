@@ -157,6 +157,25 @@ def test_line_template_with_word_fields(spark):
     assert got[2].text == "own 2"
 
 
+def lines_kept(spark, texts):
+    """Texts after the pipeline's line stage."""
+    import corpus_pipeline as P
+
+    df = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in enumerate(texts)],
+                               "doc_id long, text string, lang string, source string, n_chars long")
+    got = by_id(P.lines_stage(spark, df, SF))
+    return [got[i].text for i in range(len(texts))]
+
+
+def test_pipeline_drops_recurring_short_lines(spark):
+    wide = "本站所有内容版权归作者所有未经许可不得转载或用于任何商业用途违者必究请联系我们获取更多信息谢谢"
+    texts = [f"Read more\nPage {i} of 30\n{1000 + i}\nown{chr(97 + i)}" for i in range(20)]
+    got = lines_kept(spark, texts + [wide + "\na b", wide + "\na b", wide + "\na b"])
+    assert got[0] == texts[0]                                  # the first ones stay
+    assert got[1:20] == [f"{1000 + i}\nown{chr(97 + i)}" for i in range(1, 20)]
+    assert got[20:] == [wide + "\na b", "a b", "a b"]          # few words in few documents stay
+
+
 # --- 10 simhash ---------------------------------------------------------------
 
 def brute_print(t):

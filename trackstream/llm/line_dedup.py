@@ -8,8 +8,14 @@ its tokens belongs to it: where it differs is a variable field.  Any other line
 is a template of its own, with only tokens that hold a digit as fields.
 
 A template found in ``min_docs`` or more documents is recurring.  Its first line
-(lowest document, lowest place) stays; all its other lines are dropped.  Lines of
-fewer than ``min_tokens`` tokens are never dropped: such lines meet by chance.
+(lowest document, lowest place) stays; all its other lines are dropped.
+
+Lines of fewer than ``min_tokens`` tokens meet by chance.  Without ``short_docs``
+(``op7_line_dedup``, as its SQL states) they are never dropped.  With it (the
+pipeline, ``WHOLE``) each is a template of its own that must match in full but for
+its numbers, and recurs in ``short_docs`` documents; a line of numbers and signs
+must match in full.  One of many characters (scripts without blanks) counts as
+long as its characters: ``TOKEN_CHARS`` of them stand for a token.
 
 Everything is built-in DataFrame work.  Only hashes leave the scan: leaves first
 (partial sums make a line that a third of all documents hold cheap), then tokens
@@ -34,7 +40,12 @@ DEPTH = 4
 MIN_TOKENS = 5
 MIN_DOCS = 3
 SIMILARITY = 0.8
+SHORT_DOCS = 20        # documents that make a line of few tokens recurring
+TOKEN_CHARS = 8        # characters that stand for a token in a line of few tokens
+#: What the pipeline asks for beyond the rule that the SQL of operator 7 states.
+WHOLE = {"short_docs": SHORT_DOCS}
 FIELD = "<*>"
+USUAL, SHORT = 0, 2    # classes of leaves
 RESULT = ["n_lines", "n_dropped"]
 DOC = ["_doc", "_th"]          # a document: its id and the hash of its text
 
@@ -60,17 +71,51 @@ def masked_line(raw: Column) -> Column:
     return F.array_join(F.when(raw.rlike("[0-9]"), masked(words(raw))).otherwise(low), " ")
 
 
-def parsed_lines(keyed: DataFrame, depth: int, min_tokens: int) -> DataFrame:
-    """(_doc, _th, at, leaf, full) of every line with ``min_tokens`` tokens.
+def classed(leaf: Column, kind) -> Column:
+    """A leaf whose lowest two bits say how many documents it needs."""
+    return F.shiftleft(leaf, 2).bitwiseOR(kind)
+
+
+def needed(min_docs: int, short_docs: int | None) -> Column:
+    """Documents that make a template of a leaf recurring."""
+    if short_docs is None:
+        return F.lit(min_docs)
+    return F.when(F.col("leaf").bitwiseAND(F.lit(3).cast("long")) == SHORT, short_docs).otherwise(
+        min_docs)
+
+
+def short_line(w: Column, min_tokens: int) -> Column:
+    """(leaf, full) of a line of few tokens: the line but for its numbers."""
+    def of(line):
+        return let(F.when(line.rlike(r"\p{L}"), F.regexp_replace(line, "[0-9]+", FIELD)).otherwise(line),
+                   lambda x: F.struct(
+                       classed(F.xxhash64(F.lit(0), x),
+                               F.when(F.length(x) < min_tokens * TOKEN_CHARS, F.lit(SHORT))
+                               .otherwise(F.lit(USUAL)).cast("long")).alias("leaf"),
+                       F.xxhash64(x).alias("full")))
+
+    return let(F.lower(F.array_join(w, " ")), of)
+
+
+def parsed_lines(keyed: DataFrame, depth: int, min_tokens: int,
+                 short_docs: int | None = None) -> DataFrame:
+    """(_doc, _th, at, leaf, full) of every line with ``min_tokens`` tokens, with
+    ``short_docs`` of every line with a token.
 
     ``leaf``: hash of the token count and the leading tokens; ``full``: hash of all
     tokens of the masked line."""
     def of(w):
         tokens = F.when(F.exists(w, lambda x: x.rlike("[0-9]")), masked(w)).otherwise(
             F.transform(w, F.lower))
-        return F.when(F.size(w) >= min_tokens, let(tokens, lambda m: F.struct(
-            F.xxhash64(F.size(m), F.array_join(F.slice(m, 1, depth), " ")).alias("leaf"),
-            F.xxhash64(F.array_join(m, " ")).alias("full"))))
+
+        def hashes(m):
+            leaf = F.xxhash64(F.size(m), F.array_join(F.slice(m, 1, depth), " "))
+            if short_docs is not None:
+                leaf = classed(leaf, F.lit(USUAL).cast("long"))
+            return F.struct(leaf.alias("leaf"), F.xxhash64(F.array_join(m, " ")).alias("full"))
+
+        parsed = F.when(F.size(w) >= min_tokens, let(tokens, hashes))
+        return parsed if short_docs is None else parsed.when(F.size(w) > 0, short_line(w, min_tokens))
 
     parts = raw_lines(keyed).select(*DOC, "at", let(words(F.col("raw")), of).alias("p"))
     return parts.filter("p is not null").select(*DOC, "at", "p.leaf", "p.full")
@@ -95,16 +140,17 @@ def leaf_templates(reps: DataFrame, similarity: float) -> DataFrame:
 
 def recurring(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", depth: int = DEPTH,
               min_tokens: int = MIN_TOKENS, min_docs: int = MIN_DOCS,
-              similarity: float = SIMILARITY) -> DataFrame:
+              similarity: float = SIMILARITY, short_docs: int | None = None) -> DataFrame:
     """(_doc, _th, drop): the numbers of the lines to drop from each document."""
+    need = needed(min_docs, short_docs)
     keyed = df.select(*_keys(id_col, text_col))
-    rows = materialize(parsed_lines(keyed, depth, min_tokens), "lines")   # hashes and places
+    rows = materialize(parsed_lines(keyed, depth, min_tokens, short_docs), "lines")   # hashes and places
     per_doc = rows.groupBy("leaf", "full", *DOC).agg(F.min("at").alias("at"))
     kinds = materialize(per_doc.groupBy("leaf", "full").agg(
         F.count(F.lit(1)).alias("n_docs"), F.min(F.struct(*DOC, "at")).alias("first")), "kinds")
     # leaves in which several lines could share a template
     mixed = kinds.groupBy("leaf").agg(F.count(F.lit(1)).alias("k"), F.sum("n_docs").alias("d")) \
-        .filter((F.col("k") > 1) & (F.col("d") >= min_docs)).select("leaf")
+        .filter((F.col("k") > 1) & (F.col("d") >= need)).select("leaf")
     reps = materialize(kinds.join(mixed, "leaf", "left_semi").select(
         "leaf", "full", "n_docs", "first._doc", "first._th", "first.at"), "reps")
     # a second look at the texts, for the tokens of those lines only; one plan at any size
@@ -122,7 +168,7 @@ def recurring(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", dep
             .groupBy("leaf").agg(F.count(F.lit(1)).alias("n_docs"),
                                  F.min(F.struct(*DOC, "at")).alias("first"))
             .select("leaf", F.lit(0).cast("long").alias("tmpl"), "n_docs", "first"))
-    often = own.unionByName(some).filter(F.col("n_docs") >= min_docs)
+    often = own.unionByName(some).filter(F.col("n_docs") >= need)
     goes = materialize(named.select("leaf", "full", "tmpl").join(often, ["leaf", "tmpl"]).select(
         "leaf", "full", F.col("first").alias("stay")), "recurring")
     dropped = rows.join(goes, ["leaf", "full"]).filter(
