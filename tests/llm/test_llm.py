@@ -176,6 +176,13 @@ def test_pipeline_drops_recurring_short_lines(spark):
     assert got[20:] == [wide + "\na b", "a b", "a b"]          # few words in few documents stay
 
 
+def test_pipeline_drops_long_lines_of_two_documents(spark):
+    passage = " ".join(f"passage{chr(97 + i)}" for i in range(20))
+    part = " ".join(f"passage{chr(97 + i)}" for i in range(19))
+    got = lines_kept(spark, [f"first own\n{passage}\n{part}", f"{passage}\nsecond own\n{part}", "other"])
+    assert got == [f"first own\n{passage}\n{part}", f"second own\n{part}", "other"]
+
+
 # --- 10 simhash ---------------------------------------------------------------
 
 def brute_print(t):

@@ -8,7 +8,9 @@ its tokens belongs to it: where it differs is a variable field.  Any other line
 is a template of its own, with only tokens that hold a digit as fields.
 
 A template found in ``min_docs`` or more documents is recurring.  Its first line
-(lowest document, lowest place) stays; all its other lines are dropped.
+(lowest document, lowest place) stays; all its other lines are dropped.  With
+``long_docs`` (the pipeline, ``WHOLE``) that many documents are enough for lines of
+``LONG_TOKENS`` tokens or more, which do not meet by chance.
 
 Lines of fewer than ``min_tokens`` tokens meet by chance.  Without ``short_docs``
 (``op7_line_dedup``, as its SQL states) they are never dropped.  With it (the
@@ -41,11 +43,13 @@ MIN_TOKENS = 5
 MIN_DOCS = 3
 SIMILARITY = 0.8
 SHORT_DOCS = 20        # documents that make a line of few tokens recurring
+LONG_TOKENS = 20       # tokens of a line that does not meet by chance
+LONG_DOCS = 2          # documents that make such a line recurring
 TOKEN_CHARS = 8        # characters that stand for a token in a line of few tokens
 #: What the pipeline asks for beyond the rule that the SQL of operator 7 states.
-WHOLE = {"short_docs": SHORT_DOCS}
+WHOLE = {"short_docs": SHORT_DOCS, "long_docs": LONG_DOCS}
 FIELD = "<*>"
-USUAL, SHORT = 0, 2    # classes of leaves
+USUAL, LONG, SHORT = 0, 1, 2    # classes of leaves
 RESULT = ["n_lines", "n_dropped"]
 DOC = ["_doc", "_th"]          # a document: its id and the hash of its text
 
@@ -76,12 +80,13 @@ def classed(leaf: Column, kind) -> Column:
     return F.shiftleft(leaf, 2).bitwiseOR(kind)
 
 
-def needed(min_docs: int, short_docs: int | None) -> Column:
+def needed(min_docs: int, short_docs: int | None, long_docs: int | None) -> Column:
     """Documents that make a template of a leaf recurring."""
-    if short_docs is None:
+    if short_docs is None and long_docs is None:
         return F.lit(min_docs)
-    return F.when(F.col("leaf").bitwiseAND(F.lit(3).cast("long")) == SHORT, short_docs).otherwise(
-        min_docs)
+    kind = F.col("leaf").bitwiseAND(F.lit(3).cast("long"))
+    return (F.when(kind == LONG, long_docs or min_docs).when(kind == SHORT, short_docs or min_docs)
+            .otherwise(min_docs))
 
 
 def short_line(w: Column, min_tokens: int) -> Column:
@@ -91,14 +96,15 @@ def short_line(w: Column, min_tokens: int) -> Column:
                    lambda x: F.struct(
                        classed(F.xxhash64(F.lit(0), x),
                                F.when(F.length(x) < min_tokens * TOKEN_CHARS, F.lit(SHORT))
-                               .otherwise(F.lit(USUAL)).cast("long")).alias("leaf"),
+                               .when(F.length(x) < LONG_TOKENS * TOKEN_CHARS, F.lit(USUAL))
+                               .otherwise(F.lit(LONG)).cast("long")).alias("leaf"),
                        F.xxhash64(x).alias("full")))
 
     return let(F.lower(F.array_join(w, " ")), of)
 
 
 def parsed_lines(keyed: DataFrame, depth: int, min_tokens: int,
-                 short_docs: int | None = None) -> DataFrame:
+                 short_docs: int | None = None, long_docs: int | None = None) -> DataFrame:
     """(_doc, _th, at, leaf, full) of every line with ``min_tokens`` tokens, with
     ``short_docs`` of every line with a token.
 
@@ -110,8 +116,9 @@ def parsed_lines(keyed: DataFrame, depth: int, min_tokens: int,
 
         def hashes(m):
             leaf = F.xxhash64(F.size(m), F.array_join(F.slice(m, 1, depth), " "))
-            if short_docs is not None:
-                leaf = classed(leaf, F.lit(USUAL).cast("long"))
+            if short_docs is not None or long_docs is not None:
+                leaf = classed(leaf, F.when(F.size(m) < LONG_TOKENS, F.lit(USUAL))
+                               .otherwise(F.lit(LONG)).cast("long"))
             return F.struct(leaf.alias("leaf"), F.xxhash64(F.array_join(m, " ")).alias("full"))
 
         parsed = F.when(F.size(w) >= min_tokens, let(tokens, hashes))
@@ -140,11 +147,13 @@ def leaf_templates(reps: DataFrame, similarity: float) -> DataFrame:
 
 def recurring(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", depth: int = DEPTH,
               min_tokens: int = MIN_TOKENS, min_docs: int = MIN_DOCS,
-              similarity: float = SIMILARITY, short_docs: int | None = None) -> DataFrame:
+              similarity: float = SIMILARITY, short_docs: int | None = None,
+              long_docs: int | None = None) -> DataFrame:
     """(_doc, _th, drop): the numbers of the lines to drop from each document."""
-    need = needed(min_docs, short_docs)
+    need = needed(min_docs, short_docs, long_docs)
     keyed = df.select(*_keys(id_col, text_col))
-    rows = materialize(parsed_lines(keyed, depth, min_tokens, short_docs), "lines")   # hashes and places
+    rows = materialize(parsed_lines(keyed, depth, min_tokens, short_docs, long_docs),
+                       "lines")                                     # hashes and places
     per_doc = rows.groupBy("leaf", "full", *DOC).agg(F.min("at").alias("at"))
     kinds = materialize(per_doc.groupBy("leaf", "full").agg(
         F.count(F.lit(1)).alias("n_docs"), F.min(F.struct(*DOC, "at")).alias("first")), "kinds")
