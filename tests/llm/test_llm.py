@@ -183,6 +183,22 @@ def test_pipeline_drops_long_lines_of_two_documents(spark):
     assert got == [f"first own\n{passage}\n{part}", f"second own\n{part}", "other"]
 
 
+def test_line_dedup_finds_every_template_of_a_leaf(spark):
+    one = [f"posted by the user {x} in the news section today" for x in ("ann", "bob", "cyd", "dan")]
+    two = [f"posted by the user {x} at noon from our desk" for x in ("eve", "fay", "gus")]
+    texts = [f"{line}\nown {line[19:22]}" for line in one + two]
+    got = lines_kept(spark, texts)
+    query = by_id(line_dedup.dedup(spark.createDataFrame(list(enumerate(texts)),
+                                                         "doc_id long, text string")))
+    assert [query[i].n_dropped for i in range(7)] == [0, 1, 1, 1, 0, 1, 1]
+    assert [t.split("\n")[0] == line for t, line in zip(got, one + two)] == \
+        [True, False, False, False, True, False, False]
+    # two templates of equal weight, whose votes mix to a shape that neither has
+    a = [f"we all like to x{c} zeta yoke alpha beta wolf" for c in "abc"]
+    b = [f"we all like to y{c} core bolt omega sigma able" for c in "abc"]
+    assert [bool(t) for t in lines_kept(spark, a + b)] == [True, False, False] * 2
+
+
 # --- 10 simhash ---------------------------------------------------------------
 
 def brute_print(t):

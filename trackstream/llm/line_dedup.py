@@ -5,7 +5,10 @@ tokens (those with a digit read as a variable field) name a leaf.  Within a leaf
 that more than one document reaches, the commonest token of each position forms
 the leaf's template.  A line that agrees with it in at least ``similarity`` of
 its tokens belongs to it: where it differs is a variable field.  Any other line
-is a template of its own, with only tokens that hold a digit as fields.
+votes again among the lines left over, which are parted by their token at one more
+position, the one with fewest different tokens, as long as a part could hold a
+recurring template.  A line that no shape fits is a template of its own, with only
+tokens that hold a digit as fields.
 
 A template found in ``min_docs`` or more documents is recurring.  Its first line
 (lowest document, lowest place) stays; all its other lines are dropped.  With
@@ -128,21 +131,54 @@ def parsed_lines(keyed: DataFrame, depth: int, min_tokens: int,
     return parts.filter("p is not null").select(*DOC, "at", "p.leaf", "p.full")
 
 
-def leaf_templates(reps: DataFrame, similarity: float) -> DataFrame:
-    """(leaf, full) of the lines that belong to their leaf's template.
+def voted(reps: DataFrame, by: list[str]) -> DataFrame:
+    """(by, pos, v, token, kinds): the token of most documents at each position."""
+    tokens = reps.select(*by, "n_docs", F.posexplode(F.split("line", " ")).alias("pos", "token"))
+    votes = tokens.groupBy(*by, "pos", "token").agg(F.sum("n_docs").alias("votes"))
+    best = votes.groupBy(*by, "pos").agg(F.min(F.struct((-F.col("votes")).alias("v"), "token"))
+                                         .alias("b"), F.count(F.lit(1)).alias("kinds"))
+    return best.select(*by, "pos", "b.v", "b.token", "kinds")
 
-    ``reps`` has one row (leaf, full, n_docs, line) for each different line of a
-    leaf.  The template takes the token of most documents at each position."""
-    tokens = reps.select("leaf", "n_docs", F.posexplode(F.split("line", " ")).alias("pos", "token"))
-    votes = tokens.groupBy("leaf", "pos", "token").agg(F.sum("n_docs").alias("votes"))
-    best = votes.groupBy("leaf", "pos").agg(F.min(F.struct((-F.col("votes")).alias("v"), "token"))
-                                            .alias("b"))
-    shape = best.groupBy("leaf").agg(F.sort_array(F.collect_list(F.struct("pos", "b.token")))
-                                     .alias("shape"))         # as long as one line
+
+def shapes(best: DataFrame, by: list[str]) -> DataFrame:
+    """(by, shape, part): the shape, as long as one line, and the position to part at."""
+    part = F.min(F.when(F.col("kinds") > 1, F.struct("kinds", "v", "pos")))
+    return best.groupBy(*by).agg(F.sort_array(F.collect_list(F.struct("pos", "token")))
+                                 .alias("shape"), part["pos"].alias("part"))
+
+
+def agrees(similarity: float) -> Column:
     same = F.size(F.filter(F.arrays_zip(F.split("line", " "), F.col("shape.token").alias("t")),
                            lambda z: z["0"] == z["t"]))
-    return (reps.join(shape, "leaf").filter(same >= similarity * F.size("shape"))
-            .select("leaf", "full"))
+    return same >= similarity * F.size("shape")
+
+
+def every_template(reps: DataFrame, similarity: float, need: Column) -> DataFrame:
+    """(leaf, full, tmpl) of the lines that belong to some template of their leaf.
+
+    ``reps`` has one row (leaf, full, n_docs, line) for each different line of a
+    leaf.  A template takes the token of most documents at each position.  A
+    round votes in each group (first a leaf); lines that agree with the shape are
+    done.  The others go on in smaller groups: some line agreed, or the position
+    that parts them has several tokens, so the rounds end."""
+    left = reps.withColumn("tmpl", F.lit(0).cast("long"))
+    found = None
+    while True:
+        shape = shapes(voted(left, ["leaf", "tmpl"]), ["leaf", "tmpl"])
+        seen = materialize(left.join(shape, ["leaf", "tmpl"]).select(
+            "leaf", "tmpl", "full", "n_docs", agrees(similarity).alias("fits"),
+            F.when(~agrees(similarity), F.col("line")).alias("line"),
+            F.get(F.split("line", " "), F.col("part")).alias("token"), "part"), "round")
+        fits = seen.filter("fits").select("leaf", "full", "tmpl")
+        found = fits if found is None else found.unionByName(fits)
+        rest = seen.filter("not fits").select(
+            "leaf", F.xxhash64("tmpl", "part", "token").alias("tmpl"), "full", "n_docs", "line")
+        live = rest.groupBy("leaf", "tmpl").agg(
+            F.count(F.lit(1)).alias("k"), F.sum("n_docs").alias("d")) \
+            .filter((F.col("k") > 1) & (F.col("d") >= need)).select("leaf", "tmpl")
+        left = materialize(rest.join(live, ["leaf", "tmpl"], "left_semi"), "left")
+        if left.isEmpty():
+            return found
 
 
 def recurring(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", depth: int = DEPTH,
@@ -166,17 +202,16 @@ def recurring(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", dep
     shown = raw_lines(keyed).join(reps.hint("merge"), [*DOC, "at"]).select(
         "leaf", "full", "n_docs", masked_line(F.col("raw")).alias("line")) \
         .dropDuplicates(["leaf", "full"])
-    joined = materialize(leaf_templates(shown, similarity), "joined").withColumn(
-        "shared", F.lit(True))
+    joined = every_template(materialize(shown, "shown"), similarity, need)
     named = (kinds.join(joined, ["leaf", "full"], "left")
-             .withColumn("tmpl", F.when(F.col("shared"), F.lit(0).cast("long"))
-                         .otherwise(F.col("full"))))
+             .withColumn("shared", F.col("tmpl").isNotNull())
+             .withColumn("tmpl", F.coalesce("tmpl", "full")))
     # documents of a template; a line of its own was counted above
-    own = named.filter("shared is null").select("leaf", "tmpl", "n_docs", "first")
-    some = (rows.join(joined, ["leaf", "full"]).groupBy("leaf", *DOC).agg(F.min("at").alias("at"))
-            .groupBy("leaf").agg(F.count(F.lit(1)).alias("n_docs"),
-                                 F.min(F.struct(*DOC, "at")).alias("first"))
-            .select("leaf", F.lit(0).cast("long").alias("tmpl"), "n_docs", "first"))
+    own = named.filter("not shared").select("leaf", "tmpl", "n_docs", "first")
+    some = (rows.join(joined, ["leaf", "full"]).groupBy("leaf", "tmpl", *DOC)
+            .agg(F.min("at").alias("at"))
+            .groupBy("leaf", "tmpl").agg(F.count(F.lit(1)).alias("n_docs"),
+                                         F.min(F.struct(*DOC, "at")).alias("first")))
     often = own.unionByName(some).filter(F.col("n_docs") >= need)
     goes = materialize(named.select("leaf", "full", "tmpl").join(often, ["leaf", "tmpl"]).select(
         "leaf", "full", F.col("first").alias("stay")), "recurring")
