@@ -142,3 +142,23 @@ def test_batch_flow_with_and_without_model(spark, fitted):
     assert out["invalid"].count() > 0
     fb = P.batch_flow(raw, cfg, model=None)["processed"]
     assert fb.filter("ml_anomaly_reason != 'model_unavailable'").count() == 0
+
+
+def test_batch_flow_keeps_range_rejects(spark):
+    from trackstream.operators import clean
+    from trackstream.schema import PipelineConfig
+    raw = P.flights(spark, SF_SMALL)
+    cfg = PipelineConfig(window="1 day", zscore_window="1 day")
+    out = P.batch_flow(raw, cfg)
+    rows = clean.clean_with_rejects(raw)
+    want = {(r.event_id, r.reject_reason) for r in rows.filter(
+        "reject_reason is not null or data_quality = 'invalid'").collect()}
+    invalid = out["invalid"].select("event_id", "reject_reason", "data_quality").collect()
+    assert {(r.event_id, r.reject_reason) for r in invalid} == want and len(invalid) == len(want)
+    assert {r.data_quality for r in invalid} == {"invalid"}
+    assert len([1 for _, reason in want if reason]) > 0
+    assert out["processed"].count() + len(invalid) == rows.count()
+    # the processed rows are the same as before
+    valid = {r.event_id for r in P.valid_features(spark, SF_SMALL).collect()}
+    assert "reject_reason" not in out["processed"].columns
+    assert {r.event_id for r in out["processed"].select("event_id").collect()} == valid

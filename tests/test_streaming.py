@@ -155,6 +155,30 @@ def test_stream_zscore_matches_batch_per_key(spark, landed):
         assert got[k] == want[k], k
 
 
+def test_range_rejects_reach_the_invalid_table(spark, landed):
+    """B1: rows out of range land in the invalid table with their reason, and none
+    in the processed table."""
+    import tempfile
+    root, msgs = landed
+    work = tempfile.mkdtemp(prefix="ts-rej-")
+    raw = read_stream(spark, "files", path=root + "/in/*", schema=MESSAGE_SCHEMA,
+                      max_per_trigger=1)
+    layout = R.StreamLayout(work + "/out", work + "/ckpt")
+    R.start_processed(raw, layout, CFG, trigger="availableNow").awaitTermination()
+    parsed = M.good_records(M.envelope(msgs), keep_wrong_type=False)
+    # rows with a position time: on the others the batch dedup goes over days
+    rows = clean.clean_with_rejects(parsed).filter("time_position is not null")
+    want = {r[0]: r[1] for r in rows.filter("reject_reason is not null").groupBy("reject_reason")
+            .count().collect()}
+    bad = spark.read.parquet(layout.table("invalid"))
+    got = {r[0]: r[1] for r in bad.filter("reject_reason is not null").groupBy("reject_reason")
+           .count().collect()}
+    assert want and set(want) <= set(got) and all(got[k] >= n for k, n in want.items())
+    assert bad.filter("data_quality != 'invalid'").count() == 0
+    ranges = "abs(latitude) <= 90 and abs(longitude) <= 180 and velocity between 0 and 1000"
+    assert spark.read.parquet(layout.table("processed")).filter(f"not ({ranges})").count() == 0
+
+
 def test_update_mode_windows(spark, landed):
     """K3 update mode: the newest version of every window equals the batch
     window over the same rows (open windows included)."""

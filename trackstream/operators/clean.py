@@ -90,6 +90,13 @@ def with_reject_reason(df: DataFrame, *, ranges: dict | None = None) -> DataFram
     return df.withColumn("reject_reason", reject_reason_expr(ranges))
 
 
+def flag_rejects(df: DataFrame, *, cols: FlightColumns = FLIGHT) -> DataFrame:
+    """B1: rows with a ``reject_reason`` are 'invalid', so the flows route them
+    to the invalid table."""
+    return df.withColumn(cols.quality, F.when(F.col("reject_reason").isNotNull(), F.lit("invalid"))
+                         .otherwise(F.col(cols.quality)))
+
+
 def quality_flag(df: DataFrame, *, cols: FlightColumns = FLIGHT) -> DataFrame:
     """V5: 'invalid' when the key or event time is missing or the position is
     exactly (0, 0); otherwise 'valid'."""

@@ -56,9 +56,9 @@ def processed_projection(df: DataFrame, *, include_processing_time: bool = True,
     return df.select(*names, *[c for c in (extra or []) if c not in names])
 
 
-def invalid_projection(df: DataFrame) -> DataFrame:
-    """V9: the 6-column invalid feed."""
-    return df.select(*S.INVALID_COLUMNS)
+def invalid_projection(df: DataFrame, *, extra: list[str] | None = None) -> DataFrame:
+    """V9: the 6-column invalid feed (plus ``extra`` columns, e.g. the reject reason)."""
+    return df.select(*S.INVALID_COLUMNS, *[c for c in (extra or []) if c not in S.INVALID_COLUMNS])
 
 
 def console_projection(df: DataFrame) -> DataFrame:

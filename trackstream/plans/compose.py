@@ -45,7 +45,9 @@ def batch_flow(df: DataFrame, cfg: PipelineConfig = PipelineConfig(), *,
     """The whole reference flow on a batch of raw flight rows:
     clean -> features -> z-score -> split -> score -> windows -> trends.
 
-    Returns the four outputs (processed, windows, trends, invalid).  ``model``
+    Returns the four outputs (processed, windows, trends, invalid).  Rows outside
+    the physical ranges go to the invalid output with their ``reject_reason`` (NULL
+    for its other rows); they take no part in the z-score, so theirs is NULL.  ``model``
     is a fitted :class:`trackstream.operators.forest.ForestModel`; without it
     the model columns take their fallback values.
 
@@ -57,12 +59,14 @@ def batch_flow(df: DataFrame, cfg: PipelineConfig = PipelineConfig(), *,
     from trackstream.operators.forest import score_frame
 
     cols = cfg.cols
-    c = clean.clean_events(df, cols=cols, null_keys=cfg.null_keys)
+    c = clean.clean_with_rejects(df, cols=cols, null_keys=cfg.null_keys).transform(
+        clean.flag_rejects, cols=cols)
     feat = features.add_derived_features(c, cols=cols)
     if share_clean:
         from trackstream.plans.joins import materialize
         feat = materialize(feat)
-    z = anomaly.zscore_anomalies(feat, window_duration=cfg.zscore_window,
+    ranged = feat.filter(F.col("reject_reason").isNull()).drop("reject_reason")
+    z = anomaly.zscore_anomalies(ranged, window_duration=cfg.zscore_window,
                                  threshold=cfg.zscore_threshold, per_key=cfg.zscore_per_key,
                                  cols=cols)
     valid, invalid = split_valid_invalid(z, cols=cols)
@@ -73,5 +77,6 @@ def batch_flow(df: DataFrame, cfg: PipelineConfig = PipelineConfig(), *,
         "processed": ml,
         "windows": win.withColumn("trend_summary", F.lit("not_calculated")),
         "trends": trends.calculate_trends(win, key=cols.key),
-        "invalid": invalid,
+        "invalid": invalid.unionByName(feat.filter(F.col("reject_reason").isNotNull()),
+                                       allowMissingColumns=True),
     }

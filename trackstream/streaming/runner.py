@@ -84,7 +84,11 @@ def _publish_batch(df: DataFrame, path: str, batch_id: int) -> bool:
 
 def processed_stream(raw: DataFrame, cfg: PipelineConfig = PipelineConfig(), *,
                      stream_z: bool = False) -> DataFrame:
-    """Streaming plan of the processed feed up to (not including) scoring."""
+    """Streaming plan of the processed feed up to (not including) scoring.
+
+    Rows outside the physical ranges stay in, 'invalid' and with a
+    ``reject_reason`` (B1).  Without ``stream_z`` the z-scores are 0.0 and their
+    flag is False; with it a row comes out once its z-score window closes."""
     cols = cfg.cols
     parsed = M.good_records(M.envelope(raw), keep_wrong_type=False)
     timed = clean.parse_event_time(parsed, cols=cols)
@@ -93,8 +97,9 @@ def processed_stream(raw: DataFrame, cfg: PipelineConfig = PipelineConfig(), *,
     c = (timed.transform(clean.drop_missing_critical, cols=cols)
               .transform(clean.dedup_events, cols=cols)
               .transform(clean.impute_defaults)
-              .transform(clean.range_filter)
-              .transform(clean.quality_flag, cols=cols))
+              .transform(clean.with_reject_reason)
+              .transform(clean.quality_flag, cols=cols)
+              .transform(clean.flag_rejects, cols=cols))
     f = features.add_derived_features(c, cols=cols)
     if stream_z:
         return stream_zscore(f, window_duration=cfg.zscore_window,
@@ -133,7 +138,8 @@ def start_processed(raw: DataFrame, layout: StreamLayout,
                 else model_fallback(valid, cols=cols)
             out = routing.processed_projection(scored, extra=[cols.tiebreak])
             fresh = [_publish_batch(out, processed_path, batch_id),
-                     _publish_batch(routing.invalid_projection(invalid), invalid_path, batch_id)]
+                     _publish_batch(routing.invalid_projection(invalid, extra=["reject_reason"]),
+                                    invalid_path, batch_id)]
             if not any(fresh):          # the retry's state still has to be committed
                 batch.write.format("noop").mode("overwrite").save()
             if console:

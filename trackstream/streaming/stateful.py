@@ -28,19 +28,23 @@ ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateS
 def stream_zscore(df: DataFrame, *, window_duration: str = "10 minutes",
                   threshold: float = 3.0, cols: FlightColumns = FLIGHT) -> DataFrame:
     """Per (window, entity) z-scores of velocity and altitude on a stream
-    with a watermark (append mode: rows come out once their window closes)."""
+    with a watermark (append mode: rows come out once their window closes).
+    Rows with a ``reject_reason`` take no part in the statistics and score 0.0."""
     v, a = cols.velocity, cols.altitude
+    ranged = F.col("reject_reason").isNull() if "reject_reason" in df.columns else F.lit(True)
+    pv, pa = F.when(ranged, F.col(v)), F.when(ranged, F.col(a))
     payload = F.struct(*[F.col(c) for c in df.columns])
     g = (df.groupBy(F.window(F.col(cols.event_time), window_duration).alias("_w"),
                     F.col(cols.key).alias("_k"))
-           .agg(F.avg(v).alias("_mv"), F.stddev_samp(v).alias("_sv"),
-                F.avg(a).alias("_ma"), F.stddev_samp(a).alias("_sa"),
+           .agg(F.avg(pv).alias("_mv"), F.stddev_samp(pv).alias("_sv"),
+                F.avg(pa).alias("_ma"), F.stddev_samp(pa).alias("_sa"),
                 F.collect_list(payload).alias("_rows")))
     rows = g.select("_mv", "_sv", "_ma", "_sa", F.explode("_rows").alias("_r"))
     out = rows.select("_mv", "_sv", "_ma", "_sa", "_r.*")
 
     def z(x, m, s):
-        return F.coalesce((F.col(x) - F.col(m)) / F.nullif(F.col(s), F.lit(0.0)), F.lit(0.0))
+        score = (F.col(x) - F.col(m)) / F.nullif(F.col(s), F.lit(0.0))
+        return F.coalesce(F.when(ranged, score), F.lit(0.0))
 
     out = out.withColumns({"velocity_zscore": z(v, "_mv", "_sv"),
                            "altitude_zscore": z(a, "_ma", "_sa")})
