@@ -141,8 +141,9 @@ def voted(reps: DataFrame, by: list[str]) -> DataFrame:
 
 
 def shapes(best: DataFrame, by: list[str]) -> DataFrame:
-    """(by, shape, part): the shape, as long as one line, and the position to part at."""
-    part = F.min(F.when(F.col("kinds") > 1, F.struct("kinds", "v", "pos")))
+    """(by, shape, part): the shape, as long as one line, and the position to part at:
+    that of fewest tokens, then that of the evenest parts."""
+    part = F.min(F.when(F.col("kinds") > 1, F.struct("kinds", (-F.col("v")).alias("most"), "pos")))
     return best.groupBy(*by).agg(F.sort_array(F.collect_list(F.struct("pos", "token")))
                                  .alias("shape"), part["pos"].alias("part"))
 
@@ -202,7 +203,7 @@ def recurring(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", dep
     shown = raw_lines(keyed).join(reps.hint("merge"), [*DOC, "at"]).select(
         "leaf", "full", "n_docs", masked_line(F.col("raw")).alias("line")) \
         .dropDuplicates(["leaf", "full"])
-    joined = every_template(materialize(shown, "shown"), similarity, need)
+    joined = materialize(every_template(materialize(shown, "shown"), similarity, need), "joined")
     named = (kinds.join(joined, ["leaf", "full"], "left")
              .withColumn("shared", F.col("tmpl").isNotNull())
              .withColumn("tmpl", F.coalesce("tmpl", "full")))
