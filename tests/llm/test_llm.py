@@ -268,6 +268,17 @@ def test_simhash_edges(odd, empty):
     assert simhash.keep_one(empty).count() == 0
 
 
+def test_keep_one_without_or_with_repeated_ids(spark):
+    a, b = " ".join(f"alpha{i}" for i in range(40)), " ".join(f"beta{i}" for i in range(40))
+    c, d = " ".join(f"gamma{i}" for i in range(40)), " ".join(f"delta{i}" for i in range(40))
+    rows = [(None, a), (None, a), (1, a),          # copies without an id beside one with an id
+            (None, b), (None, b),                  # copies without an id alone
+            (2, c), (2, d), (3, c), (4, d)]        # an id with two texts, each with a copy
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = sorted(((r.doc_id or 0, r.text) for r in simhash.keep_one(df).collect()))
+    assert got == sorted([(1, a), (0, b), (2, c), (2, d)])
+
+
 # --- 9 mixing -----------------------------------------------------------------
 
 def brute_targets(sizes):

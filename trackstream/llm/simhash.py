@@ -25,7 +25,7 @@ empty result.  Clashing column names of the input are not carried.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -57,9 +57,15 @@ def fingerprint(text: str | None, width: int = SHINGLE) -> int:
     return int(np.packbits(bits, bitorder="little").view("<u8")[0])
 
 
+def text_hash(text_col: str) -> Column:
+    """Hash of a text; a null text is an empty one."""
+    return F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit("")))
+
+
 def with_fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                      width: int = SHINGLE) -> DataFrame:
-    """(doc_id, fp): the fingerprint of every row, as a signed long."""
+                      width: int = SHINGLE, hashed: bool = False) -> DataFrame:
+    """(doc_id, fp): the fingerprint of every row, as a signed long; with ``hashed``
+    (doc_id, th, fp), where ``th`` is the hash of the text."""
     ship_package(df.sparkSession)
 
     def run(batches):
@@ -69,13 +75,16 @@ def with_fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
         from trackstream.llm.simhash import fingerprint as one
 
         for b in batches:
-            got = np.array([one(x.as_py(), width) for x in b.column(1)], np.uint64)
+            got = np.array([one(x.as_py(), width) for x in b.column(b.num_columns - 1)],
+                           np.uint64)
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(got.view(np.int64), pa.int64())], ["doc_id", "fp"])
+                [*b.columns[:-1], pa.array(got.view(np.int64), pa.int64())],
+                [*b.schema.names[:-1], "fp"])
 
     src = df.select(F.col(id_col).cast("long").alias("doc_id"),
+                    *[text_hash(text_col).alias("th")] * hashed,
                     F.col(text_col).cast("string").alias("text"))
-    return src.mapInArrow(run, "doc_id long, fp long")
+    return src.mapInArrow(run, "doc_id long, th long, fp long" if hashed else "doc_id long, fp long")
 
 
 # --- the covering code -------------------------------------------------------
@@ -223,16 +232,21 @@ def components(edges: DataFrame) -> DataFrame:
         now = materialize(small.filter("u <> v").distinct(), "star")
 
 
-def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                    width: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
-    """One row a document: doc_id, fp (signed long), component_id."""
-    prints = materialize(with_fingerprints(df, id_col, text_col, width), "prints")
-    distinct = prints.groupBy("fp").agg(F.min("doc_id").alias("low"))
+def members(prints: DataFrame, low: Column, max_bits: int) -> DataFrame:
+    """(fp, low, root): the component of each different fingerprint, and its ``low``."""
+    distinct = prints.groupBy("fp").agg(low.alias("low"))
     tree = components(links(distinct.select("fp"), max_bits))
     in_tree = tree.groupBy("node").agg(F.min("root").alias("root"))
     member = (distinct.join(in_tree, distinct.fp == in_tree.node, "left")
               .select("fp", "low", F.coalesce("root", "fp").alias("root")))
-    member = materialize(member, "member")
+    return materialize(member, "member")
+
+
+def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                    width: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
+    """One row a document: doc_id, fp (signed long), component_id."""
+    prints = materialize(with_fingerprints(df, id_col, text_col, width), "prints")
+    member = members(prints, F.min("doc_id"), max_bits)
     lowest = member.groupBy("root").agg(F.min("low").alias("component_id"))
     class_of = member.join(lowest, "root").select("fp", "component_id")
     return prints.join(class_of, "fp").select("doc_id", "fp", "component_id")
@@ -240,15 +254,16 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
              width: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
-    """The rows of ``df`` that stand for their component: the smallest id's row.
-
-    Of repeated rows with that id one stays; rows without an id are all kept, as
-    nothing names a representative among them."""
-    near = near_duplicates(df, id_col, text_col, width, max_bits)
-    first = (near.filter(F.col("doc_id") == F.col("component_id"))
-             .select(F.col("doc_id").alias("__llm_keep")).distinct())
-    named = df.join(first, F.col(id_col).cast("long") == F.col("__llm_keep"), "left_semi")
-    nth = F.row_number().over(W.partitionBy(id_col).orderBy(F.xxhash64(
-        F.coalesce(F.col(text_col), F.lit("")))))
-    one = named.withColumn("__llm_nth", nth).filter("__llm_nth = 1").drop("__llm_nth")
-    return one.unionByName(df.filter(F.col(id_col).isNull()))
+    """The rows of ``df`` that stand for their component: its first row by id (rows
+    without an id come last), then by the hash of the text.
+
+    Of equal rows (id and text) one stays."""
+    prints = materialize(with_fingerprints(df, id_col, text_col, width, hashed=True), "prints")
+    row = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "th")
+    first = members(prints, F.min(row), max_bits).groupBy("root").agg(F.min("low").alias("low")) \
+        .select(F.col("low.doc_id").alias("__llm_keep"), F.col("low.th").alias("__llm_th"))
+    named = df.join(first, F.col(id_col).cast("long").eqNullSafe(F.col("__llm_keep"))
+                    & (text_hash(text_col) == F.col("__llm_th")), "left_semi")
+    th = text_hash(text_col)
+    nth = F.row_number().over(W.partitionBy(F.col(id_col), th).orderBy(th))
+    return named.withColumn("__llm_nth", nth).filter("__llm_nth = 1").drop("__llm_nth")
