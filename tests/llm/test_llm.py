@@ -498,6 +498,34 @@ def test_long_texts_score_like_whole(spark):
     assert sum(map(len, a)) > 10
 
 
+def test_pieces_count_like_the_whole():
+    table = language_id.letter_table()
+
+    def counts(pieces):
+        total = Counter()
+        for t, sign in pieces:
+            for n, (f, _) in enumerate(zip(*language_id.buckets_of([t], table))):
+                for x in f.tolist():
+                    total[n, x] += sign
+        return {k: v for k, v in total.items() if v}
+
+    for t in ("the cat, the   dog\n\n 12 and a b c of d", "日本語の文章 è più", "a" + " " * 30 + "b c", "   x"):
+        for limit in (1, 2, 3, 5, 7, 11, 100):
+            assert counts(language_id._pieces(t, limit)) == counts([(t, 1)]), (t, limit)
+
+
+def test_every_language_is_learned(spark):
+    # more values than a matrix of 256; the rarest ones have one row each
+    def word(k):
+        return "".join(chr(0x4E00 + 40 * k + j) for j in range(20))
+    rows = [(k, word(k) * 3, f"l{k}") for k in range(270)] + [(1000 + k, word(k), f"l{k}") for k in range(260)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    m = language_id.fit(df)
+    assert len(m.langs) == 270
+    got = {r.doc_id: r.lang_pred for r in language_id.predict(df, m, ["doc_id"]).collect()}
+    assert got == {i: lang for i, _, lang in rows}
+
+
 # --- pipeline -----------------------------------------------------------------
 
 def test_pipeline(spark, docs):

@@ -2,8 +2,8 @@
 
 Texts are lower-cased, everything but letters becomes a single blank, and n-grams
 of 1 to 3 characters are hashed into a fixed number of buckets.  The fitted
-matrix of log probabilities (buckets x languages) is broadcast: its size is fixed
-by ``buckets`` and ``max_langs``.  Scoring adds matrix rows over all n-grams of
+matrix of log probabilities (buckets x languages) is broadcast: 128 KB for each
+value of lang, all of which are learned.  Scoring adds matrix rows over all n-grams of
 the whole text in numpy, a batch at a time.
 
 The classifier is fitted on at most ``train_rows`` labelled rows of each language
@@ -27,7 +27,7 @@ from trackstream.llm.common import ship_package
 BUCKETS = 1 << 15
 ORDERS = (1, 2, 3)
 TRAIN_ROWS = 2000      # labelled rows of a language at most
-MAX_LANGS = 256        # languages learned at most, the most frequent first
+HELD = 256             # languages whose counts a task holds at once
 SMOOTHING = 0.1
 CHUNK = 1 << 20        # characters scored at once
 
@@ -79,14 +79,31 @@ class LanguageModel:
     buckets: int = BUCKETS
 
 
-def _batches(texts, limit: int = CHUNK):
-    """Cut a list of (row, text) into lists of about ``limit`` characters; a longer
-    text is cut into pieces that overlap by two characters less than an n-gram."""
+def _pieces(t: str, limit: int):
+    """(piece, sign): pieces of a text whose signed n-gram counts sum to its own.
+
+    Neighbours overlap by two letters or more, and the overlap is taken off again:
+    with it go the n-grams that both hold and those with the blanks at the cuts."""
+    start, end = 0, limit
+    while end < len(t):
+        yield t[start:end], 1
+        start, letters = end, 0
+        while start and letters < max(ORDERS) - 1:
+            start -= 1
+            letters += t[start].isalpha() or ord(t[start]) > 65535
+        yield t[start:end], -1
+        end += limit
+    yield t[start:], 1
+
+
+def _batches(texts, limit: int | None = None):
+    """Cut a list of (row, text) into lists (row, piece, sign) of about ``limit``
+    characters (see :func:`_pieces`)."""
+    limit = limit or CHUNK
     now, size = [], 0
     for i, t in texts:
-        for a in range(0, len(t), limit):
-            piece = t[a:a + limit]
-            now.append((i, piece))
+        for piece, sign in _pieces(t, limit):
+            now.append((i, piece, sign))
             size += len(piece)
             if size >= limit:
                 yield now
@@ -96,7 +113,7 @@ def _batches(texts, limit: int = CHUNK):
 
 
 def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-        lang_col: str = "lang", train_rows: int = TRAIN_ROWS, max_langs: int = MAX_LANGS,
+        lang_col: str = "lang", train_rows: int = TRAIN_ROWS,
         buckets: int = BUCKETS) -> LanguageModel:
     """Fit on the rows of ``labelled`` that have a lang (bounded sample)."""
     import numpy as np
@@ -105,16 +122,17 @@ def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     ship_package(spark)
     known = labelled.filter(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
     sizes = {r[0]: r["n"] for r in known.groupBy(F.col(lang_col).cast("string").alias("lang"))
-             .agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(max_langs).collect()}
+             .agg(F.count(F.lit(1)).alias("n")).collect()}
     if not sizes:
         return LanguageModel([], [], np.zeros((buckets, 0), np.float32), buckets)
     langs = sorted(sizes)
-    share = F.lit(0.0)
-    for lang in langs:
-        share = F.when(F.col(lang_col) == lang, min(1.0, train_rows / sizes[lang])).otherwise(share)
+    number = {lang: k for k, lang in enumerate(langs)}
+    shares = spark.createDataFrame([(x, min(1.0, train_rows / sizes[x])) for x in langs],
+                                   "lang string, share double")
     draw = F.pmod(F.xxhash64(F.col(id_col).cast("string"), F.lit("lang")), F.lit(1 << 20)) / (1 << 20)
-    sample = known.filter(draw < share).select(
-        F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"))
+    sample = (known.select(F.col(lang_col).cast("string").alias("lang"),
+                           F.col(text_col).cast("string").alias("text"), draw.alias("draw"))
+              .join(F.broadcast(shares), "lang").filter("draw < share").select("lang", "text"))
 
     def count(batches):
         import numpy as np
@@ -124,20 +142,31 @@ def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
         table = M.letter_table()
         sums = {}
+
+        def out():
+            for k, n in sums.items():
+                at = np.flatnonzero(n)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(k * buckets + at.astype(np.int64)), pa.array(n[at].astype(np.int64))],
+                    ["cell", "n"])
+            sums.clear()
+
         for b in batches:
             names = b.column(0).to_pylist()
             rows = ((i, x.as_py().lower()) for i, x in enumerate(b.column(1)))
             for group in M._batches(rows):
-                found, owner = M.buckets_of([t for _, t in group], table, buckets)
-                ids = np.array([langs.index(names[i]) for i, _ in group])
+                found, owner = M.buckets_of([t for _, t, _ in group], table, buckets)
+                ids = np.array([number[names[i]] for i, _, _ in group])
+                sign = np.array([s for _, _, s in group], float)
                 for f, o in zip(found, owner):
-                    at = np.bincount(ids[o] * buckets + f, minlength=len(langs) * buckets)
-                    sums["n"] = sums["n"] + at if "n" in sums else at
-        if sums:
-            at = np.flatnonzero(sums["n"])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(at.astype(np.int64)), pa.array(sums["n"][at].astype(np.int64))],
-                ["cell", "n"])
+                    own = ids[o]
+                    for k in np.unique(ids):
+                        of = own == k
+                        n = np.bincount(f[of], sign[o[of]], buckets)
+                        sums[k] = sums[k] + n if k in sums else n
+                if len(sums) > M.HELD:
+                    yield from out()
+        yield from out()
 
     cells = (sample.mapInArrow(count, "cell long, n long").groupBy("cell")
              .agg(F.sum("n").alias("n")).toPandas())         # at most buckets x langs rows
@@ -174,11 +203,12 @@ def predict(df: DataFrame, model: LanguageModel, id_cols: list[str], text_col: s
             if rows and m.langs:
                 logs = np.zeros((len(texts), len(m.langs)))
                 for group in M._batches(rows):
-                    at = np.array([i for i, _ in group])
-                    for f, o in zip(*M.buckets_of([t for _, t in group], table, m.buckets)):
+                    at = np.array([i for i, _, _ in group])
+                    sign = np.array([s for _, _, s in group])
+                    for f, o in zip(*M.buckets_of([t for _, t, _ in group], table, m.buckets)):
                         for k in range(len(m.langs)):
                             part = np.bincount(o, m.weights[:, k][f], len(group))
-                            np.add.at(logs[:, k], at, part)
+                            np.add.at(logs[:, k], at, part * sign)
                 logs += prior
                 top = logs.max(axis=1)
                 best = logs.argmax(axis=1)
