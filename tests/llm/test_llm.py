@@ -546,6 +546,79 @@ def quality_kept(spark, i):
     return _kept[i]
 
 
+def brute_lines(docs):
+    """Texts after the whole rule of line dedup (ids are unique)."""
+    def mask(w):
+        return "<*>" if re.search("[0-9]", w) else w.lower()
+
+    groups, lines = {}, {}            # (leaf) -> {masked line: docs}; (leaf, line) -> places
+    for i, t in docs.items():
+        for at, raw in enumerate((t or "").split("\n") if t is not None else []):
+            w = [x for x in re.split(r"[ \t\n\x0b\x0c\r]+", raw) if x]
+            if len(w) >= 5:
+                m = tuple(map(mask, w))
+                leaf = ("long" if len(m) >= 20 else "usual", len(m), m[:4])
+            elif w:
+                x = " ".join(w).lower()
+                x = re.sub("[0-9]+", "<*>", x) if any(map(str.isalpha, x)) else x
+                m = (x,)
+                leaf = ("short" if len(x) < 40 else "usual" if len(x) < 160 else "long", 0, m)
+            else:
+                continue
+            groups.setdefault(leaf, {}).setdefault(m, set()).add(i)
+            lines.setdefault((leaf, m), []).append((i, at))
+    need = {"long": 2, "usual": 3, "short": 20}
+    drop = set()
+    for leaf, kinds in groups.items():
+        found, left = [], [kinds]
+        while left:
+            g = left.pop()
+            if len(g) < 2 or sum(map(len, g.values())) < need[leaf[0]]:
+                found += [[m] for m in g]
+                continue
+            votes = [Counter() for _ in next(iter(g))]
+            for m, ids in g.items():
+                for v, x in zip(votes, m):
+                    v[x] += len(ids)
+            shape = [min(v, key=lambda x: (-v[x], x.encode())) for v in votes]
+            fits = [m for m in g if sum(map(str.__eq__, m, shape)) >= 0.8 * len(m)]
+            found += [fits] if fits else []
+            _, _, part = min((len(v), max(v.values()), k) for k, v in enumerate(votes) if len(v) > 1)
+            parts = {}
+            for m in set(g) - set(fits):
+                parts.setdefault(m[part], {})[m] = g[m]
+            left += parts.values()
+        for f in found:
+            places = sorted(p for m in f for p in lines[leaf, m])
+            if len({i for i, _ in places}) >= need[leaf[0]]:
+                drop.update(places[1:])
+    return {i: None if t is None else "\n".join(
+        x for at, x in enumerate(t.split("\n")) if (i, at) not in drop) for i, t in docs.items()}
+
+
+def test_pipeline_loses_and_adds_nothing(spark):
+    """Every stage against brute force or SQL on the rows its predecessor kept."""
+    import corpus_pipeline as P
+
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{SF}/documents.parquet')")
+    kept = {r[0] for r in con.execute(f"SELECT doc_id FROM ({SQL['op4_quality_rules']}) WHERE kept").fetchall()}
+    source = {i: (t, src) for i, t, src in con.execute("SELECT doc_id, text, source FROM documents").fetchall()}
+    texts = brute_lines({i: source[i][0] for i in kept})
+    base = P.rules_stage(spark, spark.read.parquet(f"{SF}/documents.parquet").select(*P.COLUMNS), SF)
+    assert {i: r.text for i, r in by_id(P.lines_stage(spark, base, SF)).items()} == texts
+    roots = brute_components({i: brute_print(texts[i]) for i in sorted(texts)})
+    near = [(i, texts[i], source[i][1]) for i in sorted(texts) if roots[i] == i]
+    con.execute("DROP VIEW documents")
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR, source VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?, ?)", near)
+    copies = {i: taken // size for i, size, _, _, taken in con.execute(SQL["op9_mixing"]).fetchall() if size}
+    rows = P.run(spark, SF).collect()
+    got = Counter(r.doc_id for r in rows if r.doc_id in copies)
+    assert got == Counter({i: n for i, n in copies.items() if n}) and sum(got.values()) > 0
+    assert {r.doc_id for r in rows} <= {i for i, _, _ in near} and all(r.lossless for r in rows)
+
+
 def test_stages_keep_columns(spark, odd, empty):
     import corpus_pipeline as P
 
