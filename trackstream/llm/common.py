@@ -58,10 +58,15 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def ship_tokenizers(path: str) -> str:
-    """Check that a vocabulary file is there; every node reads it at that path."""
+def tokenizer_path(name: str) -> str:
+    """Place of a vocabulary file on this node: a path as it is, a bare file name in the
+    folder of public tokenizers.  To be called where the file is read (in the worker)."""
     import os
 
-    if not os.path.exists(path):
-        raise FileNotFoundError(f"tokenizer file {path} not found")
-    return path
+    if os.sep not in name:
+        import public_tokenizers
+
+        name = public_tokenizers.path(name)
+    if not os.path.exists(name):
+        raise FileNotFoundError(f"tokenizer file {name} not found")
+    return name

@@ -102,3 +102,23 @@ SELECT doc_id, size, source_size, target,
 FROM n"""
 
 SQL = {"op4_quality_rules": OP4, "op7_line_dedup": OP7, "op9_mixing": OP9}
+
+_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+OP11 = f"""
+WITH RECURSIVE w AS (SELECT doc_id, list_filter(string_split_regex(
+        translate(coalesce(text, ''), '{_UPPER}', '{_UPPER.lower()}'), '{BLANK}+'), lambda x: x <> '') AS w
+    FROM documents),
+s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3
+        THEN [array_to_string(w, ' ')] ELSE list_transform(range(1, len(w) - 1),
+        lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) END) AS t FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+met AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM s AS a JOIN s AS b
+    ON a.t = b.t AND a.doc_id <> b.doc_id GROUP BY ALL),
+links AS (SELECT a, b FROM met JOIN n AS x ON x.doc_id = a JOIN n AS y ON y.doc_id = b
+    WHERE 100 * k >= 90 * (x.n + y.n - k)),
+reach AS (SELECT a, b FROM links UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a),
+low AS (SELECT a, min(b) AS low FROM reach GROUP BY a)
+SELECT w.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, least(w.doc_id, coalesce(low, w.doc_id)) AS component_id
+FROM w LEFT JOIN n USING (doc_id) LEFT JOIN low ON low.a = w.doc_id"""
+
+SQL["op11_ngram_join"] = OP11

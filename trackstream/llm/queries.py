@@ -7,13 +7,12 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trackstream.llm import (language_id, license_scan, line_dedup, mixing, quality_model,
-                             quality_rules, sentencepiece_sampling, simhash, spotsigs, token_file)
+from trackstream.llm import (language_id, license_scan, line_dedup, mixing, ngram_join,
+                             quality_model, quality_rules, sentencepiece_sampling, simhash,
+                             spelling, spotsigs, token_alignment, token_file)
 from trackstream.llm.common import documents
 from trackstream.session import checkpoint_dir
 
-TOKENIZERS = "/opt/tokenizers"
-
 
 def _fold(k: int):
     """crc32 of the id as text, modulo k."""
@@ -32,7 +31,7 @@ def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = f"{checkpoint_dir(spark).rstrip('/')}/tokens-{uuid.uuid4().hex}"
     token_file.write(documents(spark, sf_dir, "doc_id", "text"), out,
-                     f"{TOKENIZERS}/word_bpe_49k.json")
+                     "word_bpe_49k.json")
     return token_file.digests(spark, out)
 
 
@@ -50,7 +49,7 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_sentencepiece_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded = sentencepiece_sampling.encode_frame(
-        documents(spark, sf_dir, "doc_id", "text"), path=f"{TOKENIZERS}/piece_bpe_32k.model")
+        documents(spark, sf_dir, "doc_id", "text"))
     return coded.select("doc_id", "n_pieces", "ids", F.sha2("decoded", 256).alias("decoded_sha256"),
                         F.col("text").eqNullSafe(F.col("decoded")).alias("lossless"))
 
@@ -82,6 +81,19 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
                        "component_id")
 
 
+def op11_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.join(documents(spark, sf_dir, "doc_id", "text"))
+
+
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.align_table(documents(spark, sf_dir, "doc_id", "text"))
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(documents(spark, sf_dir, "doc_id", "text")).select(
+        "word", "form", "root", "n", "n_near", "form_n")
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -91,4 +103,4 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_quality_classifier, op2_token_file, op3_license_scan, op4_quality_rules,
     op5_sentencepiece_sampling, op6_language_id, op7_line_dedup, op8_spotsigs, op9_mixing,
-    op10_simhash, pipeline)}
+    op10_simhash, op11_ngram_join, op12_token_alignment, op13_spelling_variants, pipeline)}

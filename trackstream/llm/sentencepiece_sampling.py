@@ -34,11 +34,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from trackstream.llm.common import ship_package
+from trackstream.llm.common import ship_package, tokenizer_path
 
 MARK = "▁"
 OWN_MARK = "\udfff"
-VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
+VOCABULARY = "piece_bpe_32k.model"
 ALPHA = 1.0
 SEED = 17
 BATCH_CHARS = 1 << 21
@@ -63,7 +63,7 @@ class Vocabulary:
         import numpy as np
         import sentencepiece
 
-        m = sentencepiece.SentencePieceProcessor(model_file=path)
+        m = sentencepiece.SentencePieceProcessor(model_file=tokenizer_path(path))
         n = m.get_piece_size()
         self.bytes_of, self.byte_id, pieces = [b""] * n, [0] * 256, {}
         for i in range(n):
@@ -376,7 +376,7 @@ def encode_frame(df: DataFrame, key_col: str = "doc_id", text_col: str = "text",
                  with_decoded: bool = True) -> DataFrame:
     """Add ids (array<int>), n_pieces and the text decoded from the ids again.
 
-    ``path`` must name the vocabulary file on every node."""
+    ``path`` is a file name of the public tokenizers or a path that every node has."""
     ship_package(df.sparkSession)
     carry = [c for c in df.columns if c.lower() not in RESULT]
     src = df.select(*[F.col(f"`{c}`") for c in carry], F.col(key_col).cast("string").alias("__llm_k"),

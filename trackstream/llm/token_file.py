@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from trackstream.llm.common import partitions, ship_package
+from trackstream.llm.common import partitions, ship_package, tokenizer_path
 
 BLOCK_IDS = 2048
 SEGMENT_IDS = 1 << 14
@@ -48,7 +48,7 @@ class WordCoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer = Tokenizer.from_file(tokenizer_path(path))
         self.clear()
 
     def clear(self):
