@@ -16,7 +16,6 @@ from trackstream.llm import line_dedup, mixing, quality_rules, sentencepiece_sam
 from trackstream.session import checkpoint_dir
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
-VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 
 
 def rules_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,7 +41,7 @@ def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pieces_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The sampled pieces of each document, and whether they decode to its text."""
-    coded = sentencepiece_sampling.encode_frame(docs.select(*COLUMNS), path=VOCABULARY)
+    coded = sentencepiece_sampling.encode_frame(docs.select(*COLUMNS))
     return coded.select("doc_id", "lang", "source", "n_pieces", "ids",
                         F.col("text").eqNullSafe(F.col("decoded")).alias("lossless"))
 
