@@ -57,6 +57,43 @@ def zscore_anomalies(df: DataFrame, *, window_duration: str = "10 minutes",
         | (F.abs(F.col("altitude_zscore")) > threshold))
 
 
+def window_moments(df: DataFrame, *, window_duration: str = "10 minutes", per_key: bool = False,
+                   cols: FlightColumns = FLIGHT) -> DataFrame:
+    """W6 in two steps, first: mean and deviation of velocity and altitude per event-time
+    window (fleet-wide, or per entity).
+
+    The aggregate's state is count, mean and squared deviations, which merge: partial
+    sums run before the shuffle, and on a stream a window's state is six numbers however
+    many rows it takes.  Rows with a ``reject_reason`` count for nothing, but their
+    window is there.  Output: window_start, window_end[, key], _mv, _sv, _ma, _sa."""
+    ranged = F.col("reject_reason").isNull() if "reject_reason" in df.columns else F.lit(True)
+    v, a = F.when(ranged, F.col(cols.velocity)), F.when(ranged, F.col(cols.altitude))
+    keys = [F.window(F.col(cols.event_time), window_duration).alias("_w")]
+    keys += [F.col(cols.key)] if per_key else []
+    g = df.groupBy(*keys).agg(F.avg(v).alias("_mv"), F.stddev_samp(v).alias("_sv"),
+                              F.avg(a).alias("_ma"), F.stddev_samp(a).alias("_sa"))
+    return g.select(F.col("_w.start").alias("window_start"), F.col("_w.end").alias("window_end"),
+                    *[F.col(c) for c in g.columns if c != "_w"])
+
+
+def apply_moments(df: DataFrame, moments: DataFrame, *, window_duration: str = "10 minutes",
+                  per_key: bool = False, threshold: float = 3.0,
+                  cols: FlightColumns = FLIGHT) -> DataFrame:
+    """W6, second step: rows of the windows in ``moments`` with their z-scores and flag.
+    A row with a ``reject_reason`` scores 0.0."""
+    on = ["_start"] + [cols.key] * per_key
+    stats = moments.withColumnRenamed("window_start", "_start").drop("window_end")
+    keyed = df.withColumn("_start", F.window(F.col(cols.event_time), window_duration).start)
+    out = keyed.join(stats, on).drop("_start")
+    ranged = F.col("reject_reason").isNull() if "reject_reason" in df.columns else F.lit(True)
+    out = out.withColumns({
+        "velocity_zscore": F.when(ranged, _z(cols.velocity, F.col("_mv"), F.col("_sv"))).otherwise(0.0),
+        "altitude_zscore": F.when(ranged, _z(cols.altitude, F.col("_ma"), F.col("_sa"))).otherwise(0.0)})
+    return out.drop("_mv", "_sv", "_ma", "_sa").withColumn(
+        cols.stat_flag, (F.abs(F.col("velocity_zscore")) > threshold)
+        | (F.abs(F.col("altitude_zscore")) > threshold))
+
+
 def add_anomaly_reason(df: DataFrame, *, score_col: str = "ml_anomaly_score",
                        out_col: str = "ml_anomaly_reason",
                        cols: FlightColumns = FLIGHT) -> DataFrame:

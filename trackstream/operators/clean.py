@@ -40,11 +40,17 @@ def dedup_events(df: DataFrame, *, keys: list[str] | None = None,
 
     ``null_keys='equal'`` (default) treats NULL as one value, so all rows of an
     entity with a NULL position time collapse to one; ``'distinct'`` keeps
-    every such row.
+    every such row, on a stream every one that differs from the others in some
+    column (a re-delivered message is still dropped).
     """
     keys = keys or [cols.key, cols.position_time]
     if df.isStreaming:
-        return df.dropDuplicatesWithinWatermark(keys)
+        if null_keys != "distinct":
+            return df.dropDuplicatesWithinWatermark(keys)
+        some_null = F.greatest(*[F.col(k).isNull() for k in keys])
+        whole = F.when(some_null, F.xxhash64(*[F.col(c) for c in df.columns]))
+        return (df.withColumn("_row", whole).dropDuplicatesWithinWatermark([*keys, "_row"])
+                  .drop("_row"))
     order = [F.col(cols.event_time).asc_nulls_last()]
     if cols.tiebreak in df.columns:
         order.append(F.col(cols.tiebreak).asc_nulls_last())

@@ -13,17 +13,23 @@ from trackstream.functions import expressions as X
 
 
 def add_trend_lag(df: DataFrame, *, key: str = "icao24", order: str = "window_start",
-                  velocity: str = "avg_velocity", altitude: str = "avg_altitude") -> DataFrame:
+                  velocity: str = "avg_velocity", altitude: str = "avg_altitude",
+                  max_gap: str | None = None) -> DataFrame:
     """Previous window's averages and the change from them.
 
+    With ``max_gap`` (an interval text) a previous window that started longer ago
+    counts as none, as on a stream whose state has expired.
+
     One shuffle on the entity key over the *windowed* table (one row per
     entity and window), so a partition holds whole tracks of many entities and
     a single entity is bounded by its number of windows.
     """
     w = Window.partitionBy(key).orderBy(order)
+    near = F.lit(True) if max_gap is None else (
+        F.lag(order, 1).over(w) >= F.col(order) - F.expr(f"INTERVAL {max_gap}"))
     out = df.withColumns({
-        "prev_avg_velocity": F.lag(velocity, 1).over(w),
-        "prev_avg_altitude": F.lag(altitude, 1).over(w),
+        "prev_avg_velocity": F.when(near, F.lag(velocity, 1).over(w)),
+        "prev_avg_altitude": F.when(near, F.lag(altitude, 1).over(w)),
     })
     return out.withColumns({
         "velocity_change": F.col(velocity) - F.col("prev_avg_velocity"),
@@ -42,6 +48,6 @@ def add_trend_labels(df: DataFrame) -> DataFrame:
 
 
 def calculate_trends(df: DataFrame, *, key: str = "icao24",
-                     order: str = "window_start") -> DataFrame:
+                     order: str = "window_start", max_gap: str | None = None) -> DataFrame:
     """W1-W5 in one call."""
-    return add_trend_labels(add_trend_lag(df, key=key, order=order))
+    return add_trend_labels(add_trend_lag(df, key=key, order=order, max_gap=max_gap))

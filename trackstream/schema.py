@@ -205,4 +205,7 @@ class PipelineConfig:
     zscore_threshold: float = 3.0
     zscore_per_key: bool = False
     null_keys: str = "equal"
+    require_data_valid: bool = False
+    #: Windows after which a silent entity's trend state expires on a stream.
+    trend_expiry: int = 144
     cols: FlightColumns = field(default_factory=FlightColumns)

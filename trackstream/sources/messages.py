@@ -62,17 +62,21 @@ def classify_payload(df: DataFrame, *, value_col: str = "value") -> DataFrame:
 
 
 def dead_letters(df: DataFrame, *, schema: T.StructType = FLIGHT_SCHEMA_WITH_ID,
-                 value_col: str = "value") -> DataFrame:
+                 value_col: str = "value", critical: dict | None = None) -> DataFrame:
     """Messages that cannot be used as records — NULL value, not a JSON
     object, or a field whose JSON type does not match the schema — with the
-    reason, instead of silently dropping them."""
+    reason, instead of silently dropping them.
+
+    ``critical`` maps further reasons to conditions on the parsed record, in
+    order, e.g. those under which cleaning would drop it."""
     classified = classify_payload(unwrap_nested_json(df, value_col=value_col),
                                   value_col=value_col)
     parsed = parse_payload(classified, schema=schema, value_col=value_col,
                            keep=[c for c in classified.columns if c != value_col],
                            keep_corrupt=True)
     reason = F.coalesce(F.col("payload_error"),
-                        F.when(F.col(CORRUPT).isNotNull(), F.lit("wrong_type")))
+                        F.when(F.col(CORRUPT).isNotNull(), F.lit("wrong_type")),
+                        *[F.when(c, F.lit(name)) for name, c in (critical or {}).items()])
     keep = [c for c in df.columns if c != value_col]
     return (parsed.withColumn("reason", reason).filter(F.col("reason").isNotNull())
                   .select(*keep, F.col("_raw").alias(value_col), "reason"))

@@ -39,8 +39,18 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--watermark", default=S.WATERMARK_DELAY)
     ap.add_argument("--trigger", default=S.TRIGGER_INTERVAL,
                     help="processing-time interval, or 'availableNow'")
-    ap.add_argument("--stream-zscore", action="store_true",
-                    help="per (window, entity) z-score before scoring")
+    ap.add_argument("--no-zscore", action="store_true",
+                    help="publish rows at once, without z-scores, and not window by window")
+    ap.add_argument("--zscore-window", default=S.WINDOW_DURATION)
+    ap.add_argument("--zscore-per-key", action="store_true",
+                    help="z-scores per (window, entity) instead of per window")
+    ap.add_argument("--null-keys", choices=["equal", "distinct"], default="equal",
+                    help="whether rows without a position time are duplicates of each other")
+    ap.add_argument("--require-data-valid", action="store_true",
+                    help="take only records that the producer marked valid")
+    ap.add_argument("--trend-expiry", type=int, default=PipelineConfig.trend_expiry,
+                    help="windows after which a silent entity's trend state expires")
+    ap.add_argument("--console", action="store_true", help="print ten rows of each batch")
     a = ap.parse_args(argv)
 
     spark = build_session()
@@ -54,9 +64,12 @@ def main(argv: list[str] | None = None) -> None:
     else:
         raw = read_stream(spark, "files", path=a.path, schema=MESSAGE_SCHEMA,
                           max_per_trigger=a.max_per_trigger)
-    cfg = PipelineConfig(window=a.window, slide=a.slide, watermark=a.watermark)
+    cfg = PipelineConfig(window=a.window, slide=a.slide, watermark=a.watermark,
+                         zscore_window=a.zscore_window, zscore_per_key=a.zscore_per_key,
+                         null_keys=a.null_keys, require_data_valid=a.require_data_valid,
+                         trend_expiry=a.trend_expiry)
     run_stream(spark, raw, StreamLayout(a.output, a.checkpoint), cfg, model=model,
-               stream_z=a.stream_zscore, trigger=a.trigger, wait=True)
+               stream_z=not a.no_zscore, console=a.console, trigger=a.trigger, wait=True)
 
 
 if __name__ == "__main__":
