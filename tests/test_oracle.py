@@ -9,8 +9,10 @@ import pytest
 
 import __spark_entry__ as E
 from conftest import SF_SMALL
+from trackstream.plans.oracle import SQL as PLAN_SQL
+from trackstream.plans.stream_oracle import STREAM_SQL
 
-SQL = E.oracle_sql()
+SQL = {**PLAN_SQL, **STREAM_SQL}
 QUERIES = E.queries()
 
 
