@@ -295,6 +295,34 @@ def calibrate(model: ForestModel, df: DataFrame) -> ForestModel:
     return model
 
 
+def calibrate_from_ranks(model: ForestModel, ranks: DataFrame) -> ForestModel:
+    """The contamination threshold from a merged quantile sketch of raw scores.
+
+    ``ranks`` has one row (raw_ranks, raw_min, raw_max): sketches of slices or
+    micro-batches merge (``F.kll_merge_agg_double``), so a model is calibrated on a
+    feed that is never read again.  The threshold's rank is within
+    ``summaries.RANK_ERROR`` of the asked one."""
+    q = 1.0 - model.contamination
+    row = ranks.select("raw_min", "raw_max", F.kll_sketch_get_quantile_double(
+        "raw_ranks", F.lit(q)).alias("thr")).first()
+    model.raw_min, model.raw_max = float(row.raw_min), float(row.raw_max)
+    model.threshold = float(row.thr)
+    return model
+
+
+def raw_ranks(df: DataFrame, model: ForestModel, *, by: list | None = None, k: int = 4096) -> DataFrame:
+    """One row, or one for each value of ``by``: sketch and extremes of the raw scores."""
+    raw = df.withColumn("_raw", raw_score_column(model, df.sparkSession, model.features))
+    return raw.groupBy(*(by or [])).agg(
+        F.kll_sketch_agg_double("_raw", F.lit(k)).alias("raw_ranks"),
+        F.min("_raw").alias("raw_min"), F.max("_raw").alias("raw_max"))
+
+
+def merge_ranks(ranks: DataFrame, *, k: int = 4096) -> DataFrame:
+    return ranks.agg(F.kll_merge_agg_double("raw_ranks", F.lit(k)).alias("raw_ranks"),
+                     F.min("raw_min").alias("raw_min"), F.max("raw_max").alias("raw_max"))
+
+
 def score_frame(df: DataFrame, model: ForestModel | None, *,
                 cols: FlightColumns = FLIGHT, features: list[str] | None = None) -> DataFrame:
     """Add ml_anomaly_score (0..1, training-normalised),

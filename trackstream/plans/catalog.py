@@ -15,7 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from trackstream.operators import anomaly, clean, features, reports, routing, trends, windows
+from trackstream.operators import (anomaly, clean, features, reports, routing, summaries, trends,
+                                   windows)
 from trackstream.plans import compose as P
 from trackstream.plans.joins import materialize
 from trackstream.sources import messages as M
@@ -361,6 +362,76 @@ def q_classification_report(spark, d):
     return reports.classification_report(s, label_col="rule_label", pred_col="is_stat_anomaly")
 
 
+# ------------------------------------------- reports from merged summaries
+def _daily(spark, d):
+    """A summary of each day of the feed, as a stream would leave them."""
+    s = P.scored(spark, d).withColumn("stat_score", _stat_score())
+    return s, summaries.summarize(s, by=[F.to_date("event_time").alias("day")],
+                                  flag_col="is_stat_anomaly", score_col="stat_score")
+
+
+@register("merged_kpi")
+def q_merged_kpi(spark, d):
+    s, daily = _daily(spark, d)
+    kpi = summaries.kpi_summary(summaries.merge(daily)).withColumn("j", F.lit(1))
+    exact = s.agg(F.countDistinct("icao24").alias("exact")).withColumn("j", F.lit(1))
+    # five standard errors of the sketch
+    near = F.abs(F.col("approx_unique_aircraft") - F.col("exact")) <= F.greatest(
+        F.lit(1.0), F.col("exact") * 5 * 1.04 / 2 ** (summaries.LG_K / 2))
+    return kpi.join(exact, "j").select(
+        "total_events", "anomalies", "avg_velocity", "avg_altitude", "anomaly_rate",
+        near.alias("distinct_within_bound"))
+
+
+@register("merged_counts")
+def q_merged_counts(spark, d):
+    daily = summaries.dimension_counts(P.valid_features(spark, d),
+                                       by=[F.to_date("event_time").alias("day")])
+    return summaries.merge_counts(daily)
+
+
+@register("merged_top_aircraft")
+def q_merged_top_aircraft(spark, d):
+    """Every entity that the sketch must name (more events than its error), with its exact
+    count and whether the sketch's bounds hold it."""
+    s, daily = _daily(spark, d)
+    merged = summaries.merge(daily)
+    top = summaries.top_aircraft(merged, k=summaries.TOP_ITEMS)
+    exact = s.groupBy("icao24").agg(F.count(F.lit(1)).alias("events"))
+    least = merged.select(F.ceil(summaries.top_error(F.col("rows"))).alias("error"),
+                          F.lit(1).alias("j"))
+    sure = (exact.withColumn("j", F.lit(1)).join(least, "j")
+            .filter(F.col("events") > F.col("error")))
+    holds = F.col("events").between(F.col("least_events"), F.col("most_events"))
+    return sure.join(top, "icao24", "left").select(
+        "icao24", "events", F.coalesce(holds, F.lit(False)).alias("bounds_hold"))
+
+
+@register("merged_quantiles")
+def q_merged_quantiles(spark, d):
+    """Quantiles of the velocity from merged sketches: whether their exact rank is within
+    the stated error."""
+    s, daily = _daily(spark, d)
+    points = [0.01, 0.25, 0.5, 0.75, 0.99]
+    got = summaries.merge(daily).select(F.lit(1).alias("j"), F.array(*[
+        summaries.score_quantile(q, "velocity_ranks") for q in points]).alias("x"))   # one row
+    v = s.select("velocity", F.lit(1).alias("j")).join(F.broadcast(got), "j")
+    counts = v.agg(F.count("velocity").alias("n"), F.array(*[F.struct(
+        F.lit(q).alias("quantile"), F.count_if(F.col("velocity") < F.get("x", F.lit(k))).alias("below"),
+        F.count_if(F.col("velocity") <= F.get("x", F.lit(k))).alias("upto"))
+        for k, q in enumerate(points)]).alias("r"))
+    each = counts.select("n", F.explode("r").alias("r")).select("n", "r.*")
+    slack = F.col("n") * summaries.RANK_ERROR + 1
+    return each.select("quantile", "n", (
+        (F.col("below") <= F.col("quantile") * F.col("n") + slack)
+        & (F.col("upto") >= F.col("quantile") * F.col("n") - slack)).alias("within_error"))
+
+
+@register("unique_aircraft_exact")
+def q_unique_aircraft_exact(spark, d):
+    return summaries.exact_distinct(P.windowed(spark, d))
+
+
 # ---------------------------------------------------------- 2.6 windows
 @register("trend_lag")
 def q_trend_lag(spark, d):

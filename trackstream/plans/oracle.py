@@ -454,6 +454,24 @@ pr AS (SELECT cls, support,
 SELECT CAST(cls AS VARCHAR) AS class, round(precision, 6) AS precision, round(recall, 6) AS recall,
     round(coalesce(2 * precision * recall / nullif(precision + recall, 0), 0.0e0), 6) AS f1,
     CAST(support AS BIGINT) AS support FROM pr"""),
+    # ------------------------------------------------- merged summaries
+    "merged_kpi": with_(*SCORED, select="""
+SELECT count(*) AS total_events, count(*) FILTER (WHERE is_stat_anomaly) AS anomalies,
+    round(avg(velocity), 6) AS avg_velocity, round(avg(baro_altitude), 6) AS avg_altitude,
+    round(count(*) FILTER (WHERE is_stat_anomaly) * 100.0e0 / count(*), 6) AS anomaly_rate,
+    TRUE AS distinct_within_bound FROM scored"""),
+    "merged_counts": with_(*FEAT, select="""
+SELECT flight_phase AS phase, on_ground, CAST(CASE WHEN heading >= 0 AND heading < 360
+        THEN floor(heading / 45.0e0) END AS INTEGER) AS compass,
+    origin_country AS country, count(*) AS events FROM feat GROUP BY ALL"""),
+    "merged_top_aircraft": with_(*SCORED, select="""
+SELECT icao24, count(*) AS events, TRUE AS bounds_hold FROM scored GROUP BY icao24
+HAVING count(*) > ceil((SELECT count(*) FROM scored) * 3.5e0 / 1024)"""),
+    "merged_quantiles": with_(*SCORED, select="""
+SELECT unnest([0.01e0, 0.25e0, 0.5e0, 0.75e0, 0.99e0]) AS quantile, n, TRUE AS within_error
+FROM (SELECT count(velocity) AS n FROM scored)"""),
+    "unique_aircraft_exact": with_(*SCORED, select="""
+SELECT count(DISTINCT icao24) AS unique_aircraft FROM scored"""),
     # ---------------------------------------------------------- windows / trends
     "trend_lag": with_(*WIN, TRENDS, select="""
 SELECT window_start, icao24, round(avg_velocity, 6) AS avg_velocity, round(avg_altitude, 6) AS avg_altitude,

@@ -111,17 +111,21 @@ class Ledger:
             return self.spark.createDataFrame([], ENTRY)
         return self.spark.read.schema(ENTRY).json(where)
 
+    def read_batches(self, table: str, schema, batches: list) -> DataFrame:
+        """Rows of the published ``(query id, batch id)`` batches."""
+        folders = [self.folder(table, q, b) for q, b in batches]
+        if not folders:
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(*folders)
+
     def read_between(self, table: str, query_id: str, schema, time_col: str, lo, hi) -> DataFrame:
         """Rows that a query published to ``table`` with ``lo <= time_col < hi``, from
         the batches whose range meets that one only."""
         known = (self.entries(table).filter(F.col("query_id") == query_id)
                  .filter((F.col("max_us") >= F.unix_micros(F.lit(lo)))
                          & (F.col("min_us") < F.unix_micros(F.lit(hi)))))
-        folders = [self.folder(table, query_id, r.batch_id)
-                   for r in known.select("batch_id").collect()]
-        if not folders:
-            return self.spark.createDataFrame([], schema)
-        rows = self.spark.read.schema(schema).parquet(*folders)
+        rows = self.read_batches(table, schema, [(query_id, r.batch_id)
+                                                 for r in known.select("batch_id").collect()])
         return rows.filter((F.col(time_col) >= F.lit(lo)) & (F.col(time_col) < F.lit(hi)))
 
 

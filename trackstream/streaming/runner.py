@@ -37,7 +37,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from trackstream import schema as S
-from trackstream.operators import anomaly, clean, features, routing, windows
+from trackstream.operators import anomaly, clean, features, routing, summaries, windows
 from trackstream.operators.anomaly import model_fallback
 from trackstream.schema import PipelineConfig
 from trackstream.sources import messages as M
@@ -301,6 +301,24 @@ def start_window_updates(spark: SparkSession, layout: StreamLayout, schema: T.St
                   trigger=trigger, mode="update")
 
 
+def start_summaries(spark: SparkSession, layout: StreamLayout, schema: T.StructType,
+                    cfg: PipelineConfig = PipelineConfig(), *,
+                    trigger: str | None = S.TRIGGER_INTERVAL,
+                    max_files_per_trigger: int | None = None) -> StreamingQuery:
+    """A mergeable summary row and the small dimensions' counts of every micro-batch
+    of the processed table; :func:`trackstream.streaming.sinks.refresh_summaries` merges
+    them.  The query has no state."""
+    cols = cfg.cols
+    src = _follow(spark, layout, "processed", schema, cfg, max_files_per_trigger)
+
+    def write(batch: DataFrame, ledger: Ledger, query: str, batch_id: int) -> None:
+        ledger.publish(summaries.summarize(batch, cols=cols), "summaries", query, batch_id)
+        ledger.publish(summaries.dimension_counts(batch, cols=cols), "summary_counts", query,
+                       batch_id)
+
+    return _start(src, layout, "summaries", write, trigger=trigger)
+
+
 def latest_windows(spark: SparkSession, path: str, *, key: str = "icao24") -> DataFrame:
     """Newest version of every window of a published windows table (a partial
     group limit runs before the shuffle, so many versions of a hot window

@@ -4,8 +4,10 @@ over the landed tables (G10)."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from trackstream.operators import reports, routing
+from trackstream.operators import reports, routing, summaries
 
 
 def publish(df: DataFrame, *, topic: str, bootstrap: str, key: str = "icao24",
@@ -36,6 +38,54 @@ def console_monitor(df: DataFrame, *, rows: int = 10, trigger: str | None = None
     return w.start()
 
 
+def refresh_summaries(spark: SparkSession, output_root: str) -> dict[str, DataFrame]:
+    """G10, incremental: the reports from the summaries that ``start_summaries`` publishes.
+
+    Each refresh merges the last merged state with the batches published since and
+    publishes the result (tables ``merged`` and ``merged_counts``), so it reads a few
+    small rows however long the feed has run.  The state names the last batch of each
+    query that it holds; a refresh without new batches changes nothing."""
+    from trackstream.streaming.ledger import Ledger
+
+    ledger = Ledger(spark, output_root)
+    one, counts = (spark.read.parquet(ledger.table(t)) for t in ("summaries", "summary_counts"))
+    one = one.drop("query_id", "batch_id").schema
+    counts = counts.drop("query_id", "batch_id").schema
+    held, n = {}, -1
+    for e in ledger.entries("merged").orderBy("batch_id").collect():
+        n = e.batch_id
+    state = T.StructType(one.fields + [T.StructField("upto", T.MapType(T.StringType(), T.LongType()))])
+    if n >= 0:
+        held = ledger.read_batches("merged", state, [("report", n)]).first()["upto"]
+    fresh = [(e.query_id, e.batch_id) for e in ledger.entries("summary_counts").collect()
+             if e.batch_id > held.get(e.query_id, -1)]
+    if fresh:
+        for q, b in fresh:
+            held[q] = max(b, held.get(q, -1))
+        upto = F.create_map(*[F.lit(x) for kv in held.items() for x in kv])
+        old = [("report", n)] * (n >= 0)
+        merged = summaries.merge(ledger.read_batches("summaries", one, fresh).unionByName(
+            ledger.read_batches("merged", state, old).drop("upto"))).withColumn("upto", upto)
+        all_counts = summaries.merge_counts(ledger.read_batches("summary_counts", counts, fresh)
+                                            .unionByName(ledger.read_batches("merged_counts", counts, old)))
+        n += 1
+        # the counts first: the state below names the batches that both hold
+        ledger.publish(all_counts, "merged_counts", "report", n)
+        ledger.publish(merged, "merged", "report", n)
+    merged = ledger.read_batches("merged", state, [("report", n)])
+    counted = ledger.read_batches("merged_counts", counts, [("report", n)])
+    return {
+        "kpi_summary": summaries.kpi_summary(merged),
+        "summary_stats": summaries.summary_stats(merged),
+        "anomaly_stats": summaries.anomaly_stats(merged),
+        "top_aircraft": summaries.top_aircraft(merged),
+        "top_countries": summaries.top_countries(counted),
+        "phase_distribution": summaries.by_dimension(counted, "phase", "flight_phase"),
+        "ground_status": summaries.by_dimension(counted, "on_ground"),
+        "heading_distribution": summaries.by_dimension(counted, "compass", "bin_no"),
+    }
+
+
 def refresh_reports(spark: SparkSession, processed_path: str, windows_path: str | None = None,
                     *, flag_col: str = "ml_is_anomaly", score_col: str = "ml_anomaly_score"
                     ) -> dict[str, DataFrame]:
