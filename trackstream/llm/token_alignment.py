@@ -13,10 +13,11 @@ between two such places is cut in the same way wherever it stands.  So a text is
 there, and every different segment is encoded and multiplied once a worker, many in one
 product; a document adds up its segments.
 
-Link counts are corpus-wide document counts of id pairs.  Tasks add them up before the
-shuffle.  The second pass looks them up in a broadcast table that never exceeds
-``MOST_PAIRS`` rows: a longer table is dealt into slices by hash, the documents are read
-once a slice, and each pass adds its slice's part to the rows written by the last one.
+Every text is read once.  Its different id pairs are written beside its numbers; link
+counts are corpus-wide document counts of them, which tasks add up before the shuffle.
+The counts are looked up in a broadcast table that never exceeds ``MOST_PAIRS`` rows: a
+longer one is dealt into slices by hash, the written pairs are read once a slice, and
+each pass adds its slice's part to the sums that the last one wrote.
 
 Edge cases: a null or empty text, or one whose tokens do not spell out its bytes, has no
 tokens (zeros and an empty digest); a text of any length is aligned whole; repeated rows
@@ -40,7 +41,7 @@ PIECES = "piece_bpe_32k.model"
 #: Rows of one broadcast slice of the pair table: 4 + 8 + 1 bytes each.
 MOST_PAIRS = 4_000_000
 #: Bytes of segments that a worker remembers, and bytes of texts it handles together.
-MOST_BYTES = 8 << 20
+MOST_BYTES = 6 << 20
 TOGETHER = 4 << 20
 
 
@@ -317,122 +318,138 @@ def pieces(texts: list, most: int = TOGETHER):
 
 # --- over a table -------------------------------------------------------------
 
-def pair_counts(df: DataFrame, text_col: str = "text", path_a: str = BYTE_BPE,
-                path_b: str = PIECES) -> DataFrame:
-    """(pair, n, best): ``pair`` is a << 16 | b, ``n`` the number of documents that hold
-    it linked, ``best`` whether no pair of the same a has more."""
+OWN = ("doc_id long, n_a long, n_b long, n_groups long, n_links long, n_group_links long, "
+       "groups_sha256 string")
+TABLE = OWN + ", pairs binary, times binary"
+COLUMNS = OWN + ", n_best long, count_sum long"
+
+
+def _names(schema: str) -> list:
+    return [c.split()[0] for c in schema.split(", ")]
+
+
+def aligned(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+            path_a: str = BYTE_BPE, path_b: str = PIECES) -> DataFrame:
+    """One row a document: numbers of tokens, groups and links, the groups' digest, and
+    its different id pairs (``pairs``, a << 16 | b as unsigned 32-bit numbers) with how
+    often each is linked (``times``)."""
     ship_package(df.sparkSession)
 
     def run(batches):
+        import hashlib
+
         import numpy as np
         import pyarrow as pa
 
         from trackstream.llm import token_alignment as T
 
-        align = T.aligner(path_a, path_b)
-        held = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        align = T.aligner(path_a, path_b, True)
+        for whole in batches:
+            texts = whole.column(1).to_pylist()
+            for lo, hi in T.pieces(texts):
+                flat, sizes = align.segments(texts[lo:hi])
+                stats, ok, links, start = align.links()
+                good = T._good(flat, sizes, ok)
+                base = T._per_text(flat, sizes, stats)
+                base[~good] = 0
+                sha, z = [], 0
+                for fine, s in zip(good.tolist(), sizes.tolist()):
+                    sha.append(hashlib.sha256(";".join(
+                        map(align.text.__getitem__, flat[z:z + s].tolist())).encode()).hexdigest()
+                        if fine else "")
+                    z += s
+                # each segment of a document once, then each of its pairs once
+                n = max(1, len(ok))
+                doc = np.repeat(np.arange(len(sizes)), sizes)
+                once, often = np.unique((doc * n + flat)[np.repeat(good, sizes)], return_counts=True)
+                doc, seg = once // n, once % n
+                size = stats[seg, 3]
+                ends = np.cumsum(size)
+                pair = links[np.repeat(start[seg] - (ends - size), size) + np.arange(int(size.sum()))]
+                key = np.repeat(doc, size) << 32 | pair.astype(np.int64)
+                order = np.argsort(key)
+                key, weight = key[order], np.repeat(often, size)[order]
+                first = np.flatnonzero(np.append(np.ones(min(len(key), 1), bool), key[1:] != key[:-1]))
+                times = np.add.reduceat(weight, first) if len(key) else weight
+                key = key[first]
+                cuts = np.searchsorted(key >> 32, np.arange(len(sizes) + 1)).tolist()
+                pair, times = (key & 0xFFFFFFFF).astype("<u4"), times.astype("<u4")
+                yield pa.RecordBatch.from_arrays(
+                    [whole.column(0).slice(lo, hi - lo), *(pa.array(base[:, k].copy()) for k in range(5)),
+                     pa.array(sha, pa.string()),
+                     *(pa.array([x[i:j].tobytes() for i, j in zip(cuts[:-1], cuts[1:])], pa.binary())
+                       for x in (pair, times))], T._names(T.TABLE))
 
-        def add(one, two):
-            keys, at = np.unique(np.concatenate((one[0], two[0])), return_inverse=True)
-            n = np.zeros(len(keys), np.int64)
-            np.add.at(n, at, np.concatenate((one[1], two[1])))
-            return keys, n
+    src = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    return src.mapInArrow(run, TABLE)
+
+
+def pair_counts(table: DataFrame) -> DataFrame:
+    """(pair, n, best) of aligned documents: ``n`` is the number of documents that hold
+    the pair linked, ``best`` whether no pair of the same a has more."""
+    ship_package(table.sparkSession)
+
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
 
         def out(x):
             return pa.RecordBatch.from_arrays([pa.array(x[0]), pa.array(x[1])], ["pair", "n"])
 
+        held = np.zeros(0, np.int64), np.zeros(0, np.int64)
         for b in batches:
-            column = b.column(0).to_pylist()
-            for lo, hi in T.pieces(column):
-                flat, sizes = align.segments(column[lo:hi])
-                stats, ok, links, start = align.links()
-                doc = np.repeat(np.arange(len(sizes)), np.where(T._good(flat, sizes, ok), sizes, 0))
-                good = np.repeat(T._good(flat, sizes, ok), sizes)
-                once = np.unique(doc * len(ok) + flat[good])
-                doc, seg = once // max(1, len(ok)), once % max(1, len(ok))
-                n = stats[seg, 3]
-                ends = np.cumsum(n)
-                pair = links[np.repeat(start[seg] - (ends - n), n) + np.arange(int(n.sum()))]
-                met = np.unique(np.repeat(doc, n) << 32 | pair.astype(np.int64))
-                held = add(held, np.unique(met & 0xFFFFFFFF, return_counts=True))
-                if len(held[0]) > 500_000:
-                    yield out(held)
-                    held = np.zeros(0, np.int64), np.zeros(0, np.int64)
+            met = np.frombuffer(b"".join(b.column(0).to_pylist()), "<u4").astype(np.int64)
+            new = np.unique(met, return_counts=True)
+            keys, at = np.unique(np.concatenate((held[0], new[0])), return_inverse=True)
+            n = np.zeros(len(keys), np.int64)
+            np.add.at(n, at, np.concatenate((held[1], new[1])))
+            held = keys, n
+            if len(keys) > 500_000:
+                yield out(held)
+                held = np.zeros(0, np.int64), np.zeros(0, np.int64)
         if len(held[0]):
             yield out(held)
 
-    src = df.select(F.col(text_col).cast("string").alias("text"))
-    sums = src.mapInArrow(run, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
+    sums = (table.select("pairs").mapInArrow(run, "pair long, n long")
+            .groupBy("pair").agg(F.sum("n").alias("n")))
     sums = materialize(sums, "pairs")
     top = sums.groupBy(F.expr("shiftright(pair, 16)").alias("a")).agg(F.max("n").alias("top"))
     return sums.join(top, F.expr("shiftright(pair, 16)") == F.col("a")).select(
         "pair", "n", (F.col("n") == F.col("top")).alias("best"))
 
 
-COLUMNS = ("doc_id long, n_a long, n_b long, n_groups long, n_links long, n_group_links long, "
-           "groups_sha256 string, n_best long, count_sum long")
-
-
-def _with_slice(df: DataFrame, table: DataFrame, first: bool, path_a: str, path_b: str) -> DataFrame:
-    """Alignment columns of (doc_id, text) rows, or of such rows with the columns so far,
-    with the counts of one bounded slice of the pair table added."""
+def _with_slice(df: DataFrame, counts: DataFrame) -> DataFrame:
+    """``df`` with the counts of one bounded slice of the pair table added to its sums."""
     import numpy as np
 
-    spark = df.sparkSession
-    rows = table.toArrow()
+    rows = counts.toArrow()
     order = np.argsort(rows["pair"].to_numpy())
-    shared = spark.sparkContext.broadcast(
+    shared = df.sparkSession.sparkContext.broadcast(
         (rows["pair"].to_numpy()[order].astype(np.uint32), rows["n"].to_numpy()[order],
          rows["best"].to_numpy()[order]))
+    names = df.columns
 
     def run(batches):
-        import hashlib
-
         import pyarrow as pa
 
-        from trackstream.llm import token_alignment as T
-
-        align = T.aligner(path_a, path_b, first)
         pair, n, best = shared.value
-
-        for whole in batches:
-            texts = whole.column(1).to_pylist()
-            for lo, hi in T.pieces(texts):
-                b = whole.slice(lo, hi - lo)
-                flat, sizes = align.segments(texts[lo:hi])
-                stats, ok, links, start = align.links()
-                good = T._good(flat, sizes, ok)
-                used, place = np.unique(flat, return_inverse=True)
-                size = stats[used, 3]
-                ends = np.cumsum(size)
-                at = links[np.repeat(start[used] - (ends - size), size) + np.arange(int(size.sum()))]
-                where = np.minimum(np.searchsorted(pair, at), max(0, len(pair) - 1))
-                hit = pair[where] == at if len(pair) else np.zeros(len(at), bool)
-                value = np.zeros((len(at) + 1, 2), np.int64)
-                if len(pair):
-                    value[1:, 0] = np.where(hit, best[where], False)
-                    value[1:, 1] = np.where(hit, n[where], 0)
-                run_ = np.cumsum(value, axis=0)
-                sums = T._per_text(place, sizes, run_[ends] - run_[ends - size])
-                sums[~good] = 0
-                if first:
-                    base = T._per_text(flat, sizes, stats)
-                    base[~good] = 0
-                    sha, z = [], 0
-                    for fine, s in zip(good.tolist(), sizes.tolist()):
-                        sha.append(hashlib.sha256(";".join(
-                            map(align.text.__getitem__, flat[z:z + s].tolist())).encode()).hexdigest()
-                            if fine else "")
-                        z += s
-                    old = [pa.array(base[:, k].copy()) for k in range(5)] + [pa.array(sha, pa.string())]
-                else:
-                    old = b.columns[2:8]
-                    sums += np.stack([b.column(k).to_numpy() for k in (8, 9)], axis=1)
-                yield pa.RecordBatch.from_arrays(
-                    [*b.columns[:2], *old, pa.array(sums[:, 0].copy()), pa.array(sums[:, 1].copy())],
-                    ["doc_id", "text", *[c.split()[0] for c in COLUMNS.split(", ")[1:]]])
-
-    return df.mapInArrow(run, COLUMNS.replace("doc_id long,", "doc_id long, text string,"))
+        for b in batches:
+            met, times = (b.column(names.index(c)).to_pylist() for c in ("pairs", "times"))
+            ends = np.cumsum([len(x) // 4 for x in met])
+            at = np.frombuffer(b"".join(met), "<u4")
+            times = np.frombuffer(b"".join(times), "<u4").astype(np.int64)
+            sums = []
+            where = np.minimum(np.searchsorted(pair, at), max(0, len(pair) - 1))
+            hit = pair[where] == at if len(pair) else np.zeros(len(at), bool)
+            for name, of in (("n_best", best), ("count_sum", n)):
+                value = np.where(hit, of[where], 0) * times if len(pair) else times * 0
+                run_ = np.concatenate((np.zeros(1, np.int64), np.cumsum(value)))
+                before = np.concatenate((np.zeros(1, np.int64), ends))[:-1]
+                sums.append(pa.array(run_[ends] - run_[before]
+                                     + b.column(names.index(name)).to_numpy()))
+            yield pa.RecordBatch.from_arrays([*b.columns[:-2], *sums], names)
+
+    return df.mapInArrow(run, df.schema)
 
 
 def align_table(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -440,16 +457,16 @@ def align_table(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 most_pairs: int = MOST_PAIRS) -> DataFrame:
     """One row a document: numbers of tokens, groups and links, the groups' digest, and
     what the corpus-wide counts say of its links."""
-    ship_package(df.sparkSession)
-    counts = materialize(pair_counts(df, text_col, path_a, path_b), "pair-counts")
+    table = materialize(aligned(df, id_col, text_col, path_a, path_b), "aligned")
+    counts = materialize(pair_counts(table), "pair-counts")
     total = counts.count()
     # hash slices differ a little in size; a quarter is left free for that
     slices = 1 if total <= most_pairs else total * 4 // (most_pairs * 3) + 1
-    now = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    none = F.lit(0).cast("long")
+    now = table.withColumns({"n_best": none, "count_sum": none})
     for k in range(slices):
-        part = counts if slices == 1 else counts.filter(
-            F.pmod(F.xxhash64("pair"), F.lit(slices)) == k)
-        now = _with_slice(now, part, k == 0, path_a, path_b)
+        now = _with_slice(now, counts if slices == 1 else counts.filter(
+            F.pmod(F.xxhash64("pair"), F.lit(slices)) == k))
         if k + 1 < slices:
-            now = materialize(now, "aligned")
-    return now.drop("text")
+            now = materialize(now, "summed")
+    return now.drop("pairs", "times")
