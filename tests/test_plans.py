@@ -25,11 +25,38 @@ def test_window_stats_aggregate_partially(spark):
     assert "partial_count" in plan and "partial_min_by" in plan
 
 
-def test_fleet_zscore_broadcasts_checked_stats(spark):
-    z = anomaly.zscore_anomalies(P.valid_features(spark, SF_SMALL), window_duration="1 day")
-    plan = _plan(z)
-    assert "BroadcastHashJoin" in plan
-    assert "hashpartitioning(_zbucket" not in plan     # events never shuffled by window
+def _jobs(spark) -> int:
+    return len(spark.sparkContext.statusTracker().getJobIdsForGroup(None))
+
+
+def test_one_scan_and_no_job_while_a_plan_is_built(spark):
+    """Statistics of a table beside its rows read the same shuffle."""
+    v = P.valid_features(spark, SF_SMALL)
+    before = _jobs(spark)
+    frames = {"z": anomaly.zscore_anomalies(v, window_duration="1 day"),
+              "histogram": reports.velocity_histogram(v), "scaled": reports.standardize(v)}
+    assert _jobs(spark) == before
+    for name, df in frames.items():
+        df.collect()
+        final = _plan(df).split("== Initial Plan ==")[0]
+        assert final.count("FileScan") == 1, name
+        assert "BroadcastExchange" in final and "ReusedExchange" in final, name
+
+
+def test_zscore_join_without_broadcast_equals(spark):
+    """Statistics too large to broadcast: the shuffle join gives the same rows."""
+    v = P.valid_features(spark, SF_SMALL)
+
+    def rows(df):
+        return sorted(map(str, df.select("event_id", "velocity_zscore", "altitude_zscore").collect()))
+    want = rows(anomaly.zscore_anomalies(v, window_duration="1 day"))
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = anomaly.zscore_anomalies(v, window_duration="1 day")
+        assert "SortMergeJoin" in _plan(df) and rows(df) == want
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
 
 
 def test_top_k_is_take_ordered(spark):

@@ -446,10 +446,9 @@ def test_kafka_options():
         read_stream(None, "kafka")
 
 
-def test_console_monitor_and_publish_guard(spark, landed):
-    """K5: the console monitor runs on a stream; K7: a streaming publish
-    without its own checkpoint folder is refused before touching a broker."""
-    from trackstream.streaming.sinks import console_monitor, publish
+def test_console_monitor(spark, landed):
+    """K5: the console monitor runs on a stream."""
+    from trackstream.streaming.sinks import console_monitor
     root, _ = landed
     raw = read_stream(spark, "files", path=root + "/in/*", schema=MESSAGE_SCHEMA)
     plan = R.processed_stream(raw, CFG).withColumn("ml_is_anomaly", F.lit(False))
@@ -457,5 +456,61 @@ def test_console_monitor_and_publish_guard(spark, landed):
     q.processAllAvailable()
     q.stop()
     assert q.lastProgress is not None
-    with pytest.raises(ValueError):
-        publish(plan, topic="t", bootstrap="b:9092")
+
+
+def test_job_publishes_keyed_messages_and_logs_progress(spark, landed):
+    """K2-K4/K7: every published row is sent once, keyed, under an id that a repeated
+    attempt keeps; G11: the logged totals equal the tables."""
+    import json
+    import shutil
+    import tempfile
+    import time as _t
+    from trackstream import schema as S
+    from trackstream.streaming.metrics import ProgressLog, metrics
+    from trackstream.streaming.publish import Topics, broker_options, to_broker
+    root, _ = landed
+    work = tempfile.mkdtemp(prefix="ts-pub-")
+    sent = {}
+
+    def send(df, topic):
+        sent.setdefault(topic, []).extend(df.collect())
+    topics = Topics(send)
+    raw = read_stream(spark, "files", path=root + "/in/*", schema=MESSAGE_SCHEMA, max_per_trigger=1)
+    layout = R.StreamLayout(work + "/out", work + "/ckpt")
+    log = ProgressLog(spark, work + "/out")
+    spark.streams.addListener(log)
+    try:
+        R.run_stream(spark, raw, layout, CFG, topics=topics, stream_z=False,
+                     trigger="availableNow", wait=True)
+        tables = {t: spark.read.parquet(layout.table(t)) for t in ("processed", "invalid", "windows")}
+        rows = {t: df.count() for t, df in tables.items()}
+        assert {t: len(x) for t, x in sent.items()} == {
+            S.PROCESSED_TOPIC: rows["processed"], S.INVALID_OUT_TOPIC: rows["invalid"],
+            S.AGGREGATED_TOPIC: rows["windows"]}
+        one = sent[S.AGGREGATED_TOPIC][0]
+        assert set(json.loads(one.value)) <= set(S.AGGREGATE_COLUMNS) and one.key
+        ids = {r.headers[0].value for r in sent[S.AGGREGATED_TOPIC]}
+        assert len(ids) == rows["windows"]
+        for _ in range(60):                              # events arrive on a thread of their own
+            m = metrics(spark, work + "/out")
+            got = {r.query: r for r in m.groupBy("query").agg(
+                F.sum("input_rows").alias("n"), F.sum(F.col("observed")["quality.valid"]).alias("valid"),
+                F.sum(F.col("observed")["quality.invalid"]).alias("invalid")).collect()}
+            if {"processed", "windows"} <= set(got) and got["windows"].n == rows["processed"]:
+                break
+            _t.sleep(0.5)
+        assert (got["processed"].valid, got["processed"].invalid) == (rows["processed"], rows["invalid"])
+    finally:
+        spark.streams.removeListener(log)
+    # an attempt that was lost after sending sends the same ids again
+    before = {r.headers[0].value for r in sent[S.INVALID_OUT_TOPIC]}
+    shutil.rmtree(work + "/out/_ledger/invalid")
+    last = max(int(x) for x in __import__("os").listdir(work + "/ckpt/processed/commits") if x.isdigit())
+    for f in (f"commits/{last}", f"commits/.{last}.crc"):
+        __import__("os").remove(f"{work}/ckpt/processed/{f}")
+    R.start_processed(raw, layout, CFG, topics=topics, trigger="availableNow").awaitTermination()
+    assert {r.headers[0].value for r in sent[S.INVALID_OUT_TOPIC]} == before
+    assert spark.read.parquet(layout.table("invalid")).count() == rows["invalid"]
+    assert broker_options("b:9092", "t", {"kafka.acks": "all"}) == {
+        "kafka.bootstrap.servers": "b:9092", "topic": "t", "kafka.acks": "all"}
+    assert callable(to_broker("b:9092"))

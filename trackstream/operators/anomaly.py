@@ -7,7 +7,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from trackstream.functions import expressions as X
-from trackstream.plans.joins import join_checked
 from trackstream.schema import FLIGHT, FlightColumns
 
 
@@ -27,9 +26,10 @@ def zscore_anomalies(df: DataFrame, *, window_duration: str = "10 minutes",
     Plans (batch):
 
     * fleet-wide: one partially-aggregated ``groupBy(window)`` gives one stats
-      row per window; those rows are materialised, their count is checked and
-      they are broadcast back, so the event rows are never shuffled and a hot
-      window is not funnelled through one task.
+      row per window, joined back by window.  Nothing runs while the plan is
+      built; where ``df`` holds a shuffle (the dedup does) both sides read it, so
+      its source is scanned once.  Spark broadcasts the statistics if their
+      measured size allows it; beyond that the join splits a hot window.
     * per entity: a window function over (window, entity); every group is one
       entity's events in one window, bounded by its report rate.
     """
@@ -46,7 +46,7 @@ def zscore_anomalies(df: DataFrame, *, window_duration: str = "10 minutes",
         stats = (keyed.groupBy("_zbucket")
                       .agg(F.avg(vcol).alias("_mv"), F.stddev_samp(vcol).alias("_sv"),
                            F.avg(acol).alias("_ma"), F.stddev_samp(acol).alias("_sa")))
-        joined = join_checked(keyed, stats, "_zbucket", "left")
+        joined = keyed.join(stats, "_zbucket", "left")
         out = (joined.withColumns({
                     "velocity_zscore": _z(vcol, F.col("_mv"), F.col("_sv")),
                     "altitude_zscore": _z(acol, F.col("_ma"), F.col("_sa"))})

@@ -120,35 +120,33 @@ def top_aircraft(df: DataFrame, *, k: int = 15, cols: FlightColumns = FLIGHT) ->
              .orderBy(F.col("events").desc(), F.col(cols.key).asc()).limit(k))
 
 
-def value_range(df: DataFrame, col_name: str) -> tuple[float | None, float | None]:
-    """Two scalars (min, max) — a fixed-size driver round-trip."""
-    row = df.agg(F.min(col_name).alias("lo"), F.max(col_name).alias("hi")).first()
-    return (row["lo"], row["hi"]) if row else (None, None)
+def _beside(df: DataFrame, one_row: DataFrame) -> DataFrame:
+    """``df`` with the columns of a one-row aggregate of it (a proven broadcast bound).
+
+    Nothing runs while the plan is built, and where ``df`` holds a shuffle both sides
+    read it, so its source is scanned once."""
+    return (df.withColumn("_one", F.lit(1))
+              .join(F.broadcast(one_row.withColumn("_one", F.lit(1))), "_one").drop("_one"))
 
 
 def histogram(df: DataFrame, col_name: str, *, bins: int = 40,
               lo: float | None = None, hi: float | None = None) -> DataFrame:
     """Equal-width histogram over [lo, hi] (measured when not given); the
     top edge falls into the last bin.  Non-empty bins only."""
+    values = df.select(F.col(col_name).alias("_x"))
+    rows = values.filter(F.col("_x").isNotNull() & ~F.isnan("_x"))
     if lo is None or hi is None:
-        lo, hi = value_range(df, col_name)
-    if lo is None:
-        return (df.filter(F.lit(False)).select(
-            F.lit(0).alias("bin_no"), F.lit(0.0).alias("bin_start"),
-            F.lit(0.0).alias("bin_end"), F.lit(0).cast("bigint").alias("events")))
-    lo, hi = float(lo), float(hi)
-    width = (hi - lo) / bins
-    x = F.col(col_name)
-    if width > 0:
-        b = F.least(F.floor((x - F.lit(lo)) / F.lit(width)), F.lit(bins - 1)).cast("int")
+        rows = _beside(rows, values.agg(F.min("_x").cast("double").alias("_lo"),
+                                        F.max("_x").cast("double").alias("_hi")))
     else:
-        b = F.lit(0)
-    g = (df.filter(x.isNotNull() & ~F.isnan(x))
-           .groupBy(b.alias("bin_no")).agg(F.count(F.lit(1)).alias("events")))
-    return g.withColumns({
-        "bin_start": F.lit(lo) + F.col("bin_no") * F.lit(width),
-        "bin_end": F.lit(lo) + (F.col("bin_no") + 1) * F.lit(width),
-    })
+        rows = rows.withColumns({"_lo": F.lit(float(lo)), "_hi": F.lit(float(hi))})
+    rows = rows.withColumn("_width", (F.col("_hi") - F.col("_lo")) / bins)
+    b = F.when(F.col("_width") > 0, F.least(F.floor((F.col("_x") - F.col("_lo")) / F.col("_width")),
+                                            F.lit(bins - 1))).otherwise(F.lit(0)).cast("int")
+    g = rows.groupBy(b.alias("bin_no")).agg(
+        F.count(F.lit(1)).alias("events"), F.first("_lo").alias("_lo"), F.first("_width").alias("_width"))
+    return g.select("bin_no", "events", (F.col("_lo") + F.col("bin_no") * F.col("_width")).alias("bin_start"),
+                    (F.col("_lo") + (F.col("bin_no") + 1) * F.col("_width")).alias("bin_end"))
 
 
 def velocity_histogram(df: DataFrame, *, bins: int = 40,
@@ -238,9 +236,22 @@ def fit_scaler(df: DataFrame, *, features: list[str] | None = None) -> dict[str,
     return {r["feature"]: (r["mean"], r["std"]) for r in rows}
 
 
+def standardize(df: DataFrame, *, features: list[str] | None = None,
+                suffix: str = "_scaled") -> DataFrame:
+    """Fit and scale in one plan: (x - mean) / std of the table itself."""
+    features = features or S.MODEL_FEATURES
+    stats = df.agg(*[f(F.col(c).cast("double")).alias(f"_{n}_{c}") for c in features
+                     for n, f in (("m", F.avg), ("s", F.stddev_pop))])
+    out = _beside(df, stats)
+    scale = {c: F.when(F.col(f"_s_{c}").isNull() | (F.col(f"_s_{c}") == 0), 1.0)
+             .otherwise(F.col(f"_s_{c}")) for c in features}
+    scaled = {c + suffix: (F.col(c).cast("double") - F.col(f"_m_{c}")) / scale[c] for c in features}
+    return out.withColumns(scaled).drop(*[f"_{n}_{c}" for c in features for n in "ms"])
+
+
 def scaled_features(df: DataFrame, params: dict[str, tuple], *,
                     suffix: str = "_scaled") -> DataFrame:
-    """M3: (x - mean) / std per feature; a zero std scales by 1."""
+    """M3 with known parameters: (x - mean) / std per feature; a zero std scales by 1."""
     out = {}
     for f, (mean, std) in params.items():
         scale = std if std not in (None, 0.0) else 1.0

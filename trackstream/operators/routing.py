@@ -11,9 +11,6 @@ from trackstream import schema as S
 from trackstream.operators.clean import validate_records
 from trackstream.schema import FLIGHT, FlightColumns
 
-RAW_TOPIC = "flight-raw-data"
-INVALID_TOPIC = "flight-invalid-data"
-
 
 def split_valid_invalid(df: DataFrame, *, cols: FlightColumns = FLIGHT
                         ) -> tuple[DataFrame, DataFrame]:
@@ -22,8 +19,8 @@ def split_valid_invalid(df: DataFrame, *, cols: FlightColumns = FLIGHT
     return df.filter(q == "valid"), df.filter(q != "valid")
 
 
-def route_records(df: DataFrame, *, key: str = "icao24", raw_topic: str = RAW_TOPIC,
-                  invalid_topic: str = INVALID_TOPIC, raw: dict | None = None) -> DataFrame:
+def route_records(df: DataFrame, *, key: str = "icao24", raw_topic: str = S.RAW_TOPIC,
+                  invalid_topic: str = S.INVALID_TOPIC, raw: dict | None = None) -> DataFrame:
     """K9: validate (V7), then route: valid -> raw topic; invalid -> invalid
     topic with ``data_valid=false`` and ``validation_error``.  The message key
     is the entity key, 'unknown' when it is NULL."""
@@ -61,6 +58,11 @@ def invalid_projection(df: DataFrame, *, extra: list[str] | None = None) -> Data
     return df.select(*S.INVALID_COLUMNS, *[c for c in (extra or []) if c not in S.INVALID_COLUMNS])
 
 
+def aggregate_projection(df: DataFrame) -> DataFrame:
+    """V9: the 24-column windowed feed."""
+    return df.select(*S.AGGREGATE_COLUMNS)
+
+
 def console_projection(df: DataFrame) -> DataFrame:
     """V9: the 8-column console monitor."""
     return df.select(*S.CONSOLE_COLUMNS)

@@ -203,6 +203,32 @@ def q_processed_projection(spark, d):
     return routing.processed_projection(s, include_processing_time=False)
 
 
+@register("encode_kv_parsed")
+def q_encode_kv_parsed(spark, d):
+    """K1: the encoded messages, parsed back with the feed's schema."""
+    s = routing.processed_projection(anomaly.model_fallback(P.scored(spark, d)),
+                                     include_processing_time=False)
+    kv = routing.encode_kv(s)
+    back = kv.select("key", F.from_json("value", s.schema).alias("r"))
+    return back.select("key", "r.*")
+
+
+@register("aggregate_projection")
+def q_aggregate_projection(spark, d):
+    return routing.aggregate_projection(P.windowed(spark, d))
+
+
+@register("invalid_projection")
+def q_invalid_projection(spark, d):
+    _, inv = routing.split_valid_invalid(P.cleaned(spark, d))
+    return routing.invalid_projection(inv.withColumn("processing_timestamp", F.col("event_time")))
+
+
+@register("console_projection")
+def q_console_projection(spark, d):
+    return routing.console_projection(anomaly.model_fallback(P.scored(spark, d)))
+
+
 @register("model_fallback")
 def q_model_fallback(spark, d):
     s = anomaly.model_fallback(P.valid_features(spark, d))
@@ -349,10 +375,8 @@ def q_scaler_stats(spark, d):
 
 @register("scaled_features")
 def q_scaled_features(spark, d):
-    v = P.valid_features(spark, d)
-    params = reports.fit_scaler(v)
-    s = reports.scaled_features(v, params)
-    return s.select("event_id", *[f + "_scaled" for f in params])
+    s = reports.standardize(P.valid_features(spark, d))
+    return s.select("event_id", *[f + "_scaled" for f in clean.S.MODEL_FEATURES])
 
 
 @register("classification_report")

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from trackstream.operators import forest, reports
 from trackstream.plans import compose as P
 from trackstream.plans.catalog import round_doubles
+from trackstream.session import scratch_path
 
 
 def _fit(spark, d):
@@ -39,6 +40,38 @@ def q_model_info(spark, d):
     return forest.model_info(spark, m)
 
 
+def q_model_facts(spark, d):
+    """What must hold of any forest fitted to this input, counted over all its trees, nodes
+    and rows (M1, U1, U2, U3, U6)."""
+    v, m = _fit(spark, d)
+    path = scratch_path(spark, "model")
+    forest.save_model(spark, m, path)
+    again = forest.load_model(spark, path)
+    nodes = spark.read.parquet(path + "/nodes").groupBy("tree_id").agg(
+        F.count(F.lit(1)).alias("k"), F.max("size").alias("root"))
+    psi = min(m.psi, m.train_rows)
+    trees = nodes.agg(F.count(F.lit(1)).alias("a"), F.count_if(F.col("root") >= 0.9 * psi).alias("b"),
+                      F.count_if(F.col("k") <= 2 * psi - 1).alias("c")).first()
+    raw = forest.raw_score_column(m, spark, m.features)
+    s = forest.score_frame(v.withColumn("raw", raw), again).agg(
+        F.count_if(F.col("ml_anomaly_score").between(0.0, 1.0)).alias("scored"),
+        F.count_if(F.col("ml_is_anomaly") == (F.col("raw") > F.lit(m.threshold))).alias("follow"),
+        F.count("ml_anomaly_reason").alias("reasons"),
+        F.count_if("ml_is_anomaly").alias("flagged"))
+    near = F.abs(F.col("flagged") - m.contamination * m.train_rows) <= 0.005 * m.train_rows + 1
+    same = forest.model_metadata(m) == forest.model_metadata(again)
+    facts = [("train rows", F.lit(m.train_rows)), ("trees", F.lit(trees.a)),
+             ("features", F.lit(len(m.features))), ("trees of a full sample", F.lit(trees.b)),
+             ("trees within their node bound", F.lit(trees.c)),
+             ("rows scored between 0 and 1", F.col("scored")),
+             ("rows whose flag follows the threshold", F.col("follow")),
+             ("rows with a reason", F.col("reasons")),
+             ("flagged share near the contamination", near.cast("long")),
+             ("model tables read back", F.lit(int(same)))]
+    return s.select(F.explode(F.array(*[F.struct(F.lit(k).alias("fact"), x.cast("long").alias("amount"))
+                                        for k, x in facts])).alias("f")).select("f.*")
+
+
 def q_train_test_split(spark, d):
     v = P.valid_features(spark, d)
     return forest.train_test_split(v, label_col="flight_phase", id_cols=["event_id"]).select(
@@ -64,6 +97,7 @@ MODEL_QUERIES = {
     "ml_score": q_ml_score,
     "ml_flags": q_ml_flags,
     "model_info": q_model_info,
+    "model_facts": q_model_facts,
     "train_test_split": q_train_test_split,
     "forest_evaluation": q_forest_evaluation,
 }

@@ -212,6 +212,13 @@ FLIGHT_COLS = ("event_id, icao24, callsign, origin_country, time_position, longi
                "baro_altitude, on_ground, velocity, heading, vertical_rate, geo_altitude, "
                "position_source, ingestion_timestamp, data_valid")
 
+PROCESSED_COLS = """icao24, callsign, origin_country, event_time, latitude, longitude, baro_altitude, velocity,
+    heading, vertical_rate, on_ground, round(velocity_kmh, 6) AS velocity_kmh,
+    round(altitude_feet, 6) AS altitude_feet, flight_phase, hour, day_of_week, is_weekend,
+    is_stat_anomaly, round(velocity_zscore, 6) AS velocity_zscore,
+    round(altitude_zscore, 6) AS altitude_zscore, 0.0e0 AS ml_anomaly_score,
+    FALSE AS ml_is_anomaly, 'model_unavailable' AS ml_anomaly_reason, data_quality"""
+
 WIN_ALL = """window_start, window_end, icao24, flight_events,
     round(avg_velocity, 6) AS avg_velocity, round(max_velocity, 6) AS max_velocity,
     round(min_velocity, 6) AS min_velocity, round(velocity_variance, 6) AS velocity_variance,
@@ -295,14 +302,36 @@ FROM flights"""),
     "latest_events": with_(*SCORED, select="""
 SELECT event_id, icao24, event_time, velocity, baro_altitude, flight_phase FROM scored
 ORDER BY event_time DESC, event_id DESC LIMIT 50"""),
-    "processed_projection": with_(*SCORED, select="""
-SELECT icao24, callsign, origin_country, event_time, latitude, longitude, baro_altitude, velocity,
-    heading, vertical_rate, on_ground, round(velocity_kmh, 6) AS velocity_kmh,
-    round(altitude_feet, 6) AS altitude_feet, flight_phase, hour, day_of_week, is_weekend,
-    is_stat_anomaly, round(velocity_zscore, 6) AS velocity_zscore,
-    round(altitude_zscore, 6) AS altitude_zscore, 0.0e0 AS ml_anomaly_score,
-    FALSE AS ml_is_anomaly, 'model_unavailable' AS ml_anomaly_reason, data_quality
-FROM scored"""),
+    "processed_projection": with_(*SCORED, select=f"""
+SELECT {PROCESSED_COLS} FROM scored"""),
+    "encode_kv_parsed": with_(*SCORED, select=f"""
+SELECT icao24 AS key, {PROCESSED_COLS} FROM scored"""),
+    "aggregate_projection": with_(*WIN, select="""
+SELECT window_start, window_end, icao24, callsign, origin_country, flight_events,
+    round(avg_velocity, 6) AS avg_velocity, round(max_velocity, 6) AS max_velocity,
+    round(min_velocity, 6) AS min_velocity, round(velocity_variance, 6) AS velocity_variance,
+    round(avg_altitude, 6) AS avg_altitude, round(max_altitude, 6) AS max_altitude,
+    round(min_altitude, 6) AS min_altitude, round(altitude_variance, 6) AS altitude_variance,
+    round(avg_vertical_rate, 6) AS avg_vertical_rate, round(max_climb_rate, 6) AS max_climb_rate,
+    round(max_descent_rate, 6) AS max_descent_rate, anomaly_count, start_on_ground, end_on_ground,
+    round(start_latitude, 6) AS start_latitude, round(start_longitude, 6) AS start_longitude,
+    round(end_latitude, 6) AS end_latitude, round(end_longitude, 6) AS end_longitude FROM win"""),
+    "invalid_projection": with_(*BASE, select="""
+SELECT icao24, callsign, latitude, longitude, data_quality, event_time AS processing_timestamp
+FROM cleaned WHERE data_quality <> 'valid'"""),
+    "console_projection": with_(*SCORED, select="""
+SELECT icao24, callsign, event_time, velocity, baro_altitude, flight_phase, is_stat_anomaly,
+    FALSE AS ml_is_anomaly FROM scored"""),
+    "model_facts": with_(*FEAT, """
+n AS (SELECT count(*) AS n FROM feat)""", select="""
+SELECT 'train rows' AS fact, n AS amount FROM n
+UNION ALL SELECT 'trees', 200 UNION ALL SELECT 'features', 5
+UNION ALL SELECT 'trees of a full sample', 200 UNION ALL SELECT 'trees within their node bound', 200
+UNION ALL SELECT 'rows scored between 0 and 1', n FROM n
+UNION ALL SELECT 'rows whose flag follows the threshold', n FROM n
+UNION ALL SELECT 'rows with a reason', n FROM n
+UNION ALL SELECT 'flagged share near the contamination', 1
+UNION ALL SELECT 'model tables read back', 1"""),
     "model_fallback": with_(*FEAT, select="""
 SELECT event_id, 0.0e0 AS ml_anomaly_score, FALSE AS ml_is_anomaly,
     'model_unavailable' AS ml_anomaly_reason FROM feat"""),

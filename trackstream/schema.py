@@ -169,6 +169,14 @@ SLIDE_DURATION = "5 minutes"
 WATERMARK_DELAY = "10 minutes"
 TRIGGER_INTERVAL = "10 seconds"
 
+# Topic names of the message bus: raw and rejected records of the producer; processed,
+# windowed and invalid rows of the streaming job.
+RAW_TOPIC = "flight-raw-data"
+INVALID_TOPIC = "flight-invalid-data"
+PROCESSED_TOPIC = "flight-processed-data"
+AGGREGATED_TOPIC = "flight-aggregated-data"
+INVALID_OUT_TOPIC = "flight-invalid-spark"
+
 # Model defaults: isolation forest of 200 trees, 256-row sub-samples,
 # contamination 1 %, seed 42, five features.
 MODEL_FEATURES = ["velocity", "baro_altitude", "vertical_rate", "hour", "day_of_week"]
@@ -190,6 +198,14 @@ PROCESSED_COLUMNS = [
 ]
 INVALID_COLUMNS = ["icao24", "callsign", "latitude", "longitude", "data_quality",
                    "processing_timestamp"]
+AGGREGATE_COLUMNS = [
+    "window_start", "window_end", "icao24", "callsign", "origin_country", "flight_events",
+    "avg_velocity", "max_velocity", "min_velocity", "velocity_variance",
+    "avg_altitude", "max_altitude", "min_altitude", "altitude_variance",
+    "avg_vertical_rate", "max_climb_rate", "max_descent_rate", "anomaly_count",
+    "start_on_ground", "end_on_ground", "start_latitude", "start_longitude",
+    "end_latitude", "end_longitude",
+]
 CONSOLE_COLUMNS = ["icao24", "callsign", "event_time", "velocity", "baro_altitude",
                    "flight_phase", "is_stat_anomaly", "ml_is_anomaly"]
 

@@ -20,6 +20,8 @@ from trackstream import schema as S
 from trackstream.schema import PipelineConfig
 from trackstream.session import build_session
 from trackstream.sources.streams import MESSAGE_SCHEMA, read_stream
+from trackstream.streaming.metrics import ProgressLog
+from trackstream.streaming.publish import Topics, to_broker
 from trackstream.streaming.runner import StreamLayout, run_stream
 
 
@@ -51,6 +53,12 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--trend-expiry", type=int, default=PipelineConfig.trend_expiry,
                     help="windows after which a silent entity's trend state expires")
     ap.add_argument("--console", action="store_true", help="print ten rows of each batch")
+    ap.add_argument("--publish", metavar="BOOTSTRAP",
+                    help="publish processed, invalid and windowed rows to this broker too")
+    ap.add_argument("--processed-topic", default=S.PROCESSED_TOPIC)
+    ap.add_argument("--invalid-topic", default=S.INVALID_OUT_TOPIC)
+    ap.add_argument("--aggregated-topic", default=S.AGGREGATED_TOPIC)
+    ap.add_argument("--metrics", action="store_true", help="log the queries' progress as a table")
     a = ap.parse_args(argv)
 
     spark = build_session()
@@ -68,7 +76,13 @@ def main(argv: list[str] | None = None) -> None:
                          zscore_window=a.zscore_window, zscore_per_key=a.zscore_per_key,
                          null_keys=a.null_keys, require_data_valid=a.require_data_valid,
                          trend_expiry=a.trend_expiry)
-    run_stream(spark, raw, StreamLayout(a.output, a.checkpoint), cfg, model=model,
+    topics = None
+    if a.publish:
+        topics = Topics(to_broker(a.publish), processed=a.processed_topic, invalid=a.invalid_topic,
+                        aggregated=a.aggregated_topic)
+    if a.metrics:
+        spark.streams.addListener(ProgressLog(spark, a.output))
+    run_stream(spark, raw, StreamLayout(a.output, a.checkpoint), cfg, model=model, topics=topics,
                stream_z=not a.no_zscore, console=a.console, trigger=a.trigger, wait=True)
 
 

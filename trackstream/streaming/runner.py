@@ -42,6 +42,7 @@ from trackstream.operators.anomaly import model_fallback
 from trackstream.schema import PipelineConfig
 from trackstream.sources import messages as M
 from trackstream.streaming.ledger import Ledger, query_id
+from trackstream.streaming.publish import Topics, publish
 from trackstream.streaming.stateful import ROCKSDB_PROVIDER, stream_trends
 
 #: Columns by which the published folders of a table are named.
@@ -95,9 +96,18 @@ def _run_batch(batch: DataFrame) -> None:
     batch.write.format("noop").mode("overwrite").save()
 
 
-def _publish_all(table: str, **options) -> Callable:
+def _publish_all(table: str, topics: Topics | None = None, topic: str | None = None,
+                 **options) -> Callable:
+    """Publish each batch to a table, and its windows to a topic before that."""
     def write(batch: DataFrame, ledger: Ledger, query: str, batch_id: int) -> None:
-        if not ledger.publish(batch, table, query, batch_id, **options):
+        if topics is not None and not ledger.published(table, query, batch_id):
+            batch = batch.persist()
+            try:
+                publish(routing.aggregate_projection(batch), topics, topic, query, batch_id)
+                ledger.publish(batch, table, query, batch_id, **options)
+            finally:
+                batch.unpersist()
+        elif not ledger.publish(batch, table, query, batch_id, **options):
             _run_batch(batch)
     return write
 
@@ -153,7 +163,8 @@ def start_dead_letters(raw: DataFrame, layout: StreamLayout,
                   _publish_all("dead_letters"), trigger=trigger)
 
 
-def _fan_out(cfg: PipelineConfig, model, console: bool, source: str | None = None) -> Callable:
+def _fan_out(cfg: PipelineConfig, model, console: bool, topics: Topics | None = None,
+             source: str | None = None) -> Callable:
     """K2/K4/K5/K6: score, split and publish a batch of rows with z-scores."""
     from trackstream.operators.forest import score_frame
 
@@ -167,6 +178,11 @@ def _fan_out(cfg: PipelineConfig, model, console: bool, source: str | None = Non
                 else model_fallback(valid, cols=cols)
             out = routing.processed_projection(scored, extra=[cols.tiebreak])
             bad = routing.invalid_projection(invalid, extra=["reject_reason"])
+            # messages first: a batch that is lost before its entry is sent again
+            if topics is not None and not ledger.published("processed", query, batch_id):
+                publish(routing.processed_projection(scored), topics, topics.processed, query, batch_id)
+            if topics is not None and not ledger.published("invalid", query, batch_id):
+                publish(routing.invalid_projection(invalid), topics, topics.invalid, query, batch_id)
             fresh = [ledger.publish(out, "processed", query, batch_id, source=source,
                                     time_col=cols.event_time),
                      ledger.publish(bad, "invalid", query, batch_id, source=source)]
@@ -182,10 +198,10 @@ def _fan_out(cfg: PipelineConfig, model, console: bool, source: str | None = Non
 
 def start_processed(raw: DataFrame, layout: StreamLayout,
                     cfg: PipelineConfig = PipelineConfig(), *, model=None,
-                    console: bool = False,
+                    console: bool = False, topics: Topics | None = None,
                     trigger: str | None = S.TRIGGER_INTERVAL) -> StreamingQuery:
     """One query from messages to the processed and invalid tables, without z-scores."""
-    return _start(processed_stream(raw, cfg), layout, "processed", _fan_out(cfg, model, console),
+    return _start(processed_stream(raw, cfg), layout, "processed", _fan_out(cfg, model, console, topics),
                   trigger=trigger)
 
 
@@ -199,7 +215,7 @@ def start_landed(raw: DataFrame, layout: StreamLayout, cfg: PipelineConfig = Pip
 
 def start_scored(spark: SparkSession, layout: StreamLayout, schema: T.StructType,
                  cfg: PipelineConfig = PipelineConfig(), *, model=None, console: bool = False,
-                 trigger: str | None = S.TRIGGER_INTERVAL,
+                 topics: Topics | None = None, trigger: str | None = S.TRIGGER_INTERVAL,
                  max_files_per_trigger: int | None = None) -> StreamingQuery:
     """Landed rows -> processed and invalid rows with z-scores, window by window.
 
@@ -225,7 +241,7 @@ def start_scored(spark: SparkSession, layout: StreamLayout, schema: T.StructType
     src = _follow(spark, layout, "landed", schema, cfg, max_files_per_trigger, source)
     closed = anomaly.window_moments(src, window_duration=cfg.zscore_window,
                                     per_key=cfg.zscore_per_key, cols=cols)
-    fan_out = _fan_out(cfg, model, console, source)
+    fan_out = _fan_out(cfg, model, console, topics, source)
 
     def write(batch: DataFrame, ledger: Ledger, query: str, batch_id: int) -> None:
         moments = batch.persist()
@@ -270,7 +286,7 @@ def _follow(spark: SparkSession, layout: StreamLayout, table: str, schema: T.Str
 
 def start_windows(spark: SparkSession, layout: StreamLayout, schema: T.StructType,
                   cfg: PipelineConfig = PipelineConfig(), *,
-                  trigger: str | None = S.TRIGGER_INTERVAL,
+                  topics: Topics | None = None, trigger: str | None = S.TRIGGER_INTERVAL,
                   max_files_per_trigger: int | None = None) -> StreamingQuery:
     """K3 (append by default) + G2/G3 + G8: closed windows with trends.
     Rows older than the watermark are dropped here (G5) and counted in the
@@ -284,11 +300,13 @@ def start_windows(spark: SparkSession, layout: StreamLayout, schema: T.StructTyp
                                cols=cols)
     expiry = pd.Timedelta(cfg.window) * cfg.trend_expiry
     return _start(stream_trends(win, key=cols.key, expiry=str(expiry)), layout, "windows",
-                  _publish_all("windows", stamp=True), trigger=trigger)
+                  _publish_all("windows", topics, topics and topics.aggregated, stamp=True),
+                  trigger=trigger)
 
 
 def start_window_updates(spark: SparkSession, layout: StreamLayout, schema: T.StructType,
                          cfg: PipelineConfig = PipelineConfig(), *,
+                         topics: Topics | None = None,
                          trigger: str | None = S.TRIGGER_INTERVAL) -> StreamingQuery:
     """K3 ``update`` mode (the reference's choice): every micro-batch emits the
     windows it changed, open ones included, as newer versions in
@@ -297,7 +315,8 @@ def start_window_updates(spark: SparkSession, layout: StreamLayout, schema: T.St
     query; sliding windows are merged from closed panes, so they are too."""
     src = _follow(spark, layout, "processed", schema, cfg)
     win = windows.window_stats(src, duration=cfg.window, cols=cfg.cols)
-    return _start(win, layout, "window_updates", _publish_all("window_updates", stamp=True),
+    return _start(win, layout, "window_updates",
+                  _publish_all("window_updates", topics, topics and topics.aggregated, stamp=True),
                   trigger=trigger, mode="update")
 
 
@@ -332,8 +351,8 @@ def latest_windows(spark: SparkSession, path: str, *, key: str = "icao24") -> Da
 
 def run_stream(spark: SparkSession, raw: DataFrame, layout: StreamLayout,
                cfg: PipelineConfig = PipelineConfig(), *, model=None, stream_z: bool = True,
-               console: bool = False, trigger: str | None = S.TRIGGER_INTERVAL,
-               wait: bool = False) -> dict[str, StreamingQuery]:
+               console: bool = False, topics: Topics | None = None,
+               trigger: str | None = S.TRIGGER_INTERVAL, wait: bool = False) -> dict[str, StreamingQuery]:
     """Start the query group.
 
     With a bounded trigger (``availableNow`` / ``once``) each query starts after the
@@ -346,10 +365,12 @@ def run_stream(spark: SparkSession, raw: DataFrame, layout: StreamLayout,
     qs = {"dead_letters": start_dead_letters(raw, layout, cfg, trigger=trigger)}
     chain = [("landed", lambda: start_landed(raw, layout, cfg, trigger=trigger)),
              ("scored", lambda: start_scored(spark, layout, landed, cfg, model=model,
-                                             console=console, trigger=trigger))] if stream_z else [
+                                             console=console, topics=topics,
+                                             trigger=trigger))] if stream_z else [
         ("processed", lambda: start_processed(raw, layout, cfg, model=model, console=console,
-                                              trigger=trigger))]
-    chain.append(("windows", lambda: start_windows(spark, layout, processed, cfg, trigger=trigger)))
+                                              topics=topics, trigger=trigger))]
+    chain.append(("windows", lambda: start_windows(spark, layout, processed, cfg, topics=topics,
+                                                   trigger=trigger)))
     for name, start in chain:
         if name == "scored":
             ledger.create_table(f"landed/query_id={query_id(spark, layout.checkpoint('landed'))}")

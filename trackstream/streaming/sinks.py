@@ -1,5 +1,4 @@
-"""Sinks: keyed message publish (K1/K7), console monitor (K5), report refresh
-over the landed tables (G10)."""
+"""Console monitor (K5) and report refresh over the landed tables."""
 
 from __future__ import annotations
 
@@ -10,25 +9,6 @@ from pyspark.sql import types as T
 from trackstream.operators import reports, routing, summaries
 
 
-def publish(df: DataFrame, *, topic: str, bootstrap: str, key: str = "icao24",
-            checkpoint: str | None = None, trigger: str | None = None):
-    """K1/K7: encode rows as ``key, value`` JSON messages and publish them.
-    Batch frames are written in one job (delivery is confirmed by the task
-    commit); streaming frames start a query with its own checkpoint.  Needs
-    the broker connector on the classpath."""
-    msgs = routing.encode_kv(df, key=key)
-    opts = {"kafka.bootstrap.servers": bootstrap, "topic": topic}
-    if not df.isStreaming:
-        msgs.write.format("kafka").options(**opts).save()
-        return None
-    if checkpoint is None:
-        raise ValueError("a streaming publish needs its own checkpoint folder")
-    w = msgs.writeStream.format("kafka").options(**opts).option("checkpointLocation", checkpoint)
-    if trigger:
-        w = w.trigger(processingTime=trigger)
-    return w.start()
-
-
 def console_monitor(df: DataFrame, *, rows: int = 10, trigger: str | None = None):
     """K5: print the 8 monitor columns, untruncated, every trigger."""
     w = (routing.console_projection(df).writeStream.format("console")
