@@ -1,5 +1,7 @@
 """Plan-shape checks: the scale properties the operators rely on."""
 
+from pyspark.sql import functions as F
+
 from conftest import SF_SMALL
 from trackstream.operators import anomaly, clean, reports, windows
 from trackstream.plans import compose as P
@@ -59,6 +61,33 @@ def test_zscore_join_without_broadcast_equals(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
 
 
+def test_transitions_scan_and_shuffle_events_once(spark):
+    """Segment ends are ordered by entity, the rest of the rows stay in their segment."""
+    from trackstream.operators import features
+    df = features.state_transitions(P.valid_features(spark, SF_SMALL))
+    df.collect()
+    final = _plan(df).split("== Initial Plan ==")[0]
+    assert final.count("FileScan") == 1 and "ReusedExchange" in final
+
+
+def test_required_and_optional_columns(spark):
+    """V10, V11."""
+    import pytest
+    df = spark.range(1).withColumn("velocity", F.lit(1.0))
+    reports.require_columns(df, ["id", "velocity"])
+    with pytest.raises(ValueError, match="Missing required columns: .'heading'"):
+        reports.require_columns(df, ["velocity", "heading"])
+    assert reports.present_columns(df, ["heading", "velocity", "id"]) == ["velocity", "id"]
+
+
+def test_configure_keeps_the_callers_settings(spark):
+    from trackstream.session import configure
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    configure(spark)
+    assert spark.conf.get(key) == before and spark.conf.get("spark.sql.session.timeZone") == "UTC"
+
+
 def test_top_k_is_take_ordered(spark):
     plan = _plan(reports.top_countries(P.valid_features(spark, SF_SMALL)))
     assert "TakeOrderedAndProject" in plan

@@ -438,6 +438,25 @@ def test_late_rows_dropped_and_counted(spark, landed):
     assert w.filter(F.col("window_start") < HALF).count() == 0
 
 
+def test_both_feeds_have_their_own_caps(spark, landed):
+    """The processed and the windowed feed, each read in bounded steps."""
+    import tempfile
+    from trackstream.sources.streams import read_both
+    root, _ = landed
+    work = tempfile.mkdtemp(prefix="ts-both-")
+    one, two = read_both(spark, {"kind": "files", "path": root + "/in/*", "schema": MESSAGE_SCHEMA,
+                                 "max_per_trigger": 1},
+                         {"kind": "files", "path": root + "/in/p1", "schema": MESSAGE_SCHEMA})
+    steps = []
+    for name, df in (("a", one), ("b", two)):
+        q = (df.writeStream.format("parquet").option("path", f"{work}/{name}")
+             .option("checkpointLocation", f"{work}/c{name}").trigger(availableNow=True).start())
+        q.awaitTermination()
+        steps.append(sum(1 for p in q.recentProgress if p["numInputRows"]))
+    assert steps == [2, 1]
+    assert spark.read.parquet(work + "/a").count() == spark.read.parquet(root + "/in/*").count()
+
+
 def test_kafka_options():
     o = kafka_options("flight-raw-data", "broker:9092", max_offsets=100)
     assert o["subscribe"] == "flight-raw-data" and o["startingOffsets"] == "earliest"

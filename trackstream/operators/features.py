@@ -91,31 +91,25 @@ def state_transitions(df: DataFrame, *, cols: FlightColumns = FLIGHT,
     changed.  Batch only (non-time windows are rejected in streaming).
 
     A hot entity is not sent to one task: rows are ordered within
-    (entity, time bucket) partitions, and the first row of a bucket takes its
-    predecessor from the last row of the entity's previous non-empty bucket —
-    a per-(entity, bucket) table (one row per bucket) that is joined back with
-    a size-checked broadcast.  The result equals an unsplit per-entity lag.
+    (entity, time bucket) segments.  Only a segment's first and last rows, two at
+    most, are then ordered by entity, where a first row takes its predecessor from
+    the last row before it.  Events are scanned and shuffled once; the result
+    equals an unsplit per-entity lag.
     """
-    from trackstream.plans.joins import join_checked
-
     order_cols = [cols.event_time] + ([cols.tiebreak] if cols.tiebreak in df.columns else [])
-    b = F.window(F.col(cols.event_time), bucket).start
-    base = df.withColumn("_tb", b)
+    base = df.withColumn("_tb", F.window(F.col(cols.event_time), bucket).start)
     w = Window.partitionBy(cols.key, "_tb").orderBy(*order_cols)
-    base = base.withColumns({"_ph": F.lag(cols.heading).over(w),
-                             "_pg": F.lag(cols.on_ground).over(w),
-                             "_first": F.row_number().over(w) == 1})
-    last = (base.groupBy(cols.key, "_tb")
-                .agg(F.max_by(F.struct(F.col(cols.heading).alias("h"),
-                                       F.col(cols.on_ground).alias("g")),
-                              F.struct(*order_cols)).alias("_last")))
-    wb = Window.partitionBy(cols.key).orderBy("_tb")
-    carry = last.select(cols.key, "_tb", F.lag("_last").over(wb).alias("_carry"))
-    out = join_checked(base, carry, [cols.key, "_tb"], "left")
-    out = out.withColumns({
-        "prev_heading": F.when(F.col("_first"), F.col("_carry.h")).otherwise(F.col("_ph")),
-        "prev_on_ground": F.when(F.col("_first"), F.col("_carry.g")).otherwise(F.col("_pg")),
-    }).drop("_ph", "_pg", "_first", "_carry", "_tb")
+    state = F.struct(F.col(cols.heading).alias("h"), F.col(cols.on_ground).alias("g"))
+    base = base.withColumns({"_before": F.lag(state).over(w),
+                             "_first": F.row_number().over(w) == 1,
+                             "_last": F.lead(F.lit(True)).over(w).isNull()})
+    ends = base.filter(F.col("_first") | F.col("_last"))
+    by_entity = Window.partitionBy(cols.key).orderBy(*order_cols)
+    ends = ends.withColumn("_before", F.when(F.col("_first"), F.lag(state).over(by_entity))
+                           .otherwise(F.col("_before")))
+    out = base.filter(~F.col("_first") & ~F.col("_last")).unionByName(ends)
+    out = out.withColumns({"prev_heading": F.col("_before.h"), "prev_on_ground": F.col("_before.g")}) \
+        .drop("_before", "_first", "_last", "_tb")
     diff = F.col(cols.heading) - F.col("prev_heading")
     circ = F.lit(180.0) - F.pmod(F.lit(180.0) - diff, F.lit(360.0))
     return out.withColumns({

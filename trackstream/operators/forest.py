@@ -41,6 +41,7 @@ from pyspark.sql import types as T
 
 from trackstream import schema as S
 from trackstream.functions.expressions import anomaly_reason
+from trackstream.operators.reports import require_columns
 from trackstream.schema import FLIGHT, FlightColumns
 from trackstream.session import checkpoint_dir, ship_package
 
@@ -332,9 +333,7 @@ def score_frame(df: DataFrame, model: ForestModel | None, *,
         from trackstream.operators.anomaly import model_fallback
         return model_fallback(df, cols=cols)
     features = features or model.features
-    missing = [c for c in features if c not in df.columns]
-    if missing:
-        raise ValueError(f"Missing required columns: {missing}")
+    require_columns(df, features)
     raw = raw_score_column(model, df.sparkSession, features)
     span = model.raw_max - model.raw_min
     out = df.withColumn("_raw_score", raw)

@@ -1,21 +1,11 @@
-"""Join helpers with a checked broadcast.
-
-A side is broadcast only after its size has been measured on materialised
-data; above the bound the join stays a shuffle join, where AQE's skew-join
-handling splits hot partitions.
-"""
+"""A written step of a plan."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from trackstream.session import checkpoint_dir
 
-# A broadcast side must have at most this many rows (and is in practice a few
-# narrow columns: per-window statistics, model nodes, dimension tables).
-DEFAULT_BROADCAST_MAX_ROWS = 2_000_000
-
 
 def materialize(df: DataFrame) -> DataFrame:
     """Compute ``df`` once and cut its lineage with a reliable checkpoint in
@@ -23,16 +13,3 @@ def materialize(df: DataFrame) -> DataFrame:
     re-reads the files instead of recomputing the upstream plan)."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
-
-
-def join_checked(big: DataFrame, small: DataFrame, on, how: str = "left", *,
-                 max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
-                 already_materialized: bool = False) -> DataFrame:
-    """Join ``big`` with ``small``; broadcast ``small`` only when its measured
-    row count is within ``max_rows``."""
-    if not already_materialized:
-        small = materialize(small)
-    n = small.count()
-    if n <= max_rows:
-        return big.join(F.broadcast(small), on, how)
-    return big.join(small, on, how)

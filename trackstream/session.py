@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 
+from pyspark.errors import PySparkAttributeError
 from pyspark.sql import SparkSession
 
 # Settings every trackstream job relies on.  Event-time features (hour, day of
@@ -52,12 +53,18 @@ def build_session(master: str | None = None, app_name: str = "trackstream",
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply the runtime-settable part of :data:`CORE_CONF` to an existing session."""
+    """Apply :data:`CORE_CONF` to a session made elsewhere.
+
+    The time zone always, as results depend on it; of the rest, what can be set at run
+    time and was not given when the application started."""
+    try:
+        given = spark.sparkContext.getConf()
+    except PySparkAttributeError:       # Spark Connect: the server's settings apply
+        given = None
     for k, v in CORE_CONF.items():
-        try:
+        if k == "spark.sql.session.timeZone" or (
+                given is not None and not given.contains(k) and spark.conf.isModifiable(k)):
             spark.conf.set(k, v)
-        except Exception:  # static conf on some deployments; keep going
-            pass
     return spark
 
 
