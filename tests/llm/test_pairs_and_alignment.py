@@ -73,12 +73,12 @@ def clusters(seed, n_groups=8, size=14):
     return texts
 
 
-@pytest.mark.parametrize("num", [90, 80])
-def test_join_finds_every_link(spark, num):
+@pytest.mark.parametrize("num, paired", [(90, 24), (90, 2), (80, 3)])
+def test_join_finds_every_link(spark, num, paired):
     texts = clusters(num)
     want, links, sets = brute_join(texts, num)
     df = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(5)
-    got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.join(df, num=num).collect()}
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.join(df, num=num, paired=paired, spare=0).collect()}
     assert got == want
     first = {}
     for i in sorted(sets):

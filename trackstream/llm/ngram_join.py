@@ -16,11 +16,19 @@ shared tokens.  The operator uses that twice, each time over all documents:
    common token must leave room for the overlap that the threshold asks for, and the
    pair is then verified on the whole sets.
 
-A posting list is never paired with itself at once.  In two rounds each list offers
-its members one pivot only; verified links make components, and lists within one
-component are done.  The last round pairs what lists still hold in different
-components.  A group of near copies thus costs a few pairs a member, not its square,
-and no pair that could join two components goes unverified.
+A long posting list is never paired with itself.  First each list offers its members
+one pivot only; verified links make components, and lists within one component are
+done.  Members of a short list (``PAIRED``) that are in different components are paired.
+Long lists of the same smallest member make a group with a *centre*, the tokens that
+more than half of its members have, and a member becomes its difference d from the
+centre.  Two members link exactly if their differences share at least
+(F + F') / 2 (num + den) tokens, where F = (num + den) |d| - (den - num) n.  Where that is
+zero or less, both also link to the member of the smallest F, which is paired with all;
+every other linked pair shares a token within the first |d| - least + 1 of its
+differences, rarest first.  Those prefixes are the next level's lists.  A token of a
+difference belongs to at most half of a group, so lists shrink from level to level.  A
+group of near copies thus costs a few pairs a member, not its square, and no pair that
+could join two components goes unverified.
 
 Frequencies are counts with partial sums and joins on a token are ordinary joins, so a
 token in a third of all documents is spread by adaptive skew handling.  Steps are
@@ -49,7 +57,11 @@ NUM, DEN = 90, 100
 LONGEST = 8
 #: Cost of verifying a candidate, in posting rows a token of its set.
 VERIFY = 0.25
-PIVOT_ROUNDS = 2
+#: Longest list whose members are paired directly, and levels before all lists are; they
+#: are earlier if the long ones hold no more than ``SPARE`` pairs a row of the prefixes.
+PAIRED = 24
+LEVELS = 6
+SPARE = 1.0
 
 
 def tokens(text: str | None, width: int = SHINGLE):
@@ -180,8 +192,16 @@ def _fits(overlap: Column, num: int, den: int) -> Column:
     return overlap * (num + den) >= (F.col("a_n") + F.col("b_n")) * num
 
 
+def sets_for(nodes: DataFrame, sets: DataFrame) -> DataFrame:
+    """The sets of some distinct nodes.  Those are written first: Spark then knows their
+    size, and where they are few it broadcasts them and moves no other set."""
+    return sets.join(materialize(nodes, "nodes"), "node", "left_semi")
+
+
 def verify(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
     """(a, b) of the candidate pairs that link."""
+    pairs = materialize(pairs, "candidates")
+    sets = sets_for(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), sets)
     one = sets.select(F.col("node").alias("a"), F.col("n").alias("a_n"), F.col("tokens").alias("a_t"))
     two = sets.select(F.col("node").alias("b"), F.col("n").alias("b_n"), F.col("tokens").alias("b_t"))
     both = F.size(F.array_intersect("a_t", "b_t"))
@@ -192,25 +212,80 @@ def _sides(rows: DataFrame, side: str, cols: list) -> DataFrame:
     return rows.select("t", *[F.col(c).alias(f"{side}_{c}") for c in cols])
 
 
+def _paired(rows: DataFrame, cols: list, num: int, den: int) -> DataFrame:
+    """Members of one list in different components, side by side."""
+    return _sides(rows, "a", cols).join(_sides(rows, "b", cols), "t").filter(
+        (F.col("a_node") < F.col("b_node")) & (F.col("a_root") != F.col("b_root"))
+        & _fits(F.least("a_n", "b_n"), num, den))
+
+
 def candidates(rows: DataFrame, num: int, den: int) -> DataFrame:
     """(a, b): pairs of nodes in different components (column ``root``) that share enough
-    prefix tokens and leave room for the overlap asked for."""
-    cols = ["node", "n", "c", "l", "at", "root"]
-    met = _sides(rows, "a", cols).join(_sides(rows, "b", cols), "t").filter(
-        (F.col("a_node") < F.col("b_node")) & (F.col("a_root") != F.col("b_root"))
-        & _fits(F.least("a_c", "b_c", "a_n", "b_n"), num, den))
+    prefix tokens and leave room for the overlap asked for.  Column ``far`` counts a
+    node's tokens in lists that are not among ``rows``: those may be shared too."""
+    cols = ["node", "n", "c", "l", "at", "root", "far"]
+    met = _paired(rows, cols, num, den).filter(_fits(F.least("a_c", "b_c"), num, den))
     pairs = met.groupBy("a_node", "b_node").agg(
         F.count(F.lit(1)).alias("shared"), F.min("a_at").alias("a_at"), F.min("b_at").alias("b_at"),
-        *[F.first(c).alias(c) for c in ("a_n", "b_n", "a_l", "b_l")])
+        *[F.first(c).alias(c) for c in ("a_n", "b_n", "a_l", "b_l", "a_far", "b_far")])
     room = F.least(F.col("a_n") - F.col("a_at"), F.col("b_n") - F.col("b_at"))
-    return pairs.filter((F.col("shared") >= F.least("a_l", "b_l")) & _fits(room, num, den)).select(
+    far = F.least("a_far", "b_far")
+    return pairs.filter((F.col("shared") + far >= F.least("a_l", "b_l"))
+                        & ((far > 0) | _fits(room, num, den))).select(
         F.col("a_node").alias("a"), F.col("b_node").alias("b"))
 
 
-def pivots(rows: DataFrame, turn: int, num: int, den: int) -> DataFrame:
-    """(a, b): every list's members beside one of them, chosen anew by ``turn``; lists
-    of the same members choose the same one."""
-    mark = F.xxhash64("node", F.lit(turn))
+def differences(rows: DataFrame, sets: DataFrame, num: int, den: int) -> tuple[DataFrame, DataFrame]:
+    """Candidates and next lists of long lists: (a, b) with each group's member of the
+    smallest F, and (t, node, n, root) of the prefixes of the differences."""
+    # a list goes by its member that is in most lists: lists of one cluster share theirs
+    lists = rows.groupBy("node").agg((-F.count(F.lit(1))).alias("k"))
+    own = rows.join(lists, "node").groupBy("t").agg(
+        F.min(F.struct("k", F.xxhash64("node").alias("g"))).alias("own"))
+    member = materialize(rows.join(own.select("t", "own.g"), "t").select(
+        "g", "node", "n", "root").distinct(), "members")
+    size = member.groupBy("g").agg(F.count(F.lit(1)).alias("size"))
+    whole = member.join(sets_for(member.select("node").distinct(), sets).select("node", "tokens"),
+                        "node")
+    often = (whole.select("g", F.explode("tokens").alias("x")).groupBy("g", "x")
+             .agg(F.count(F.lit(1)).alias("f")).filter("f > 1").join(size, "g")
+             .withColumn("inside", F.col("f") * 2 > F.col("size")))
+    often = materialize(often, "often")
+    centre = often.filter("inside").groupBy("g").agg(F.collect_list("x").alias("centre"))
+    # a centre has fewer than two mean sets' tokens; without one a difference is the set
+    none = F.array().cast("array<bigint>")
+    differ = whole.join(centre, "g", "left").withColumn("centre", F.coalesce("centre", none))
+    differ = differ.withColumn("d", F.concat(F.array_except("tokens", "centre"),
+                                             F.array_except("centre", "tokens")))
+    differ = differ.select("g", "node", "n", "root", "d",
+                           (F.size("d") * (num + den) - F.col("n") * (den - num)).alias("F"))
+    differ = materialize(differ, "differences")
+    top = differ.groupBy("g").agg(F.min(F.struct("F", "node", "n", "root")).alias("top"))
+    top = top.select("g", F.col("top.F").alias("b_F"), F.col("top.node").alias("b"),
+                     F.col("top.root").alias("b_root"))
+    with_top = differ.join(top, "g")
+    stars = with_top.filter((F.col("F") + F.col("b_F") <= 0) & (F.col("root") != F.col("b_root"))) \
+        .select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b"))
+    size_d = F.size("d")
+    least = F.greatest(F.lit(1), F.ceil((F.col("F") + F.col("b_F")) / (2 * (num + den))))
+    parts = with_top.select("g", "node", "n", "root", size_d.alias("s"),
+                            (size_d - least + 1).alias("upto"), F.explode("d").alias("x")) \
+        .filter("upto > 0")
+    rank = often.select("g", "x", F.when(F.col("inside"), F.col("size") - F.col("f"))
+                        .otherwise(F.col("f")).alias("k")).filter("k > 1")
+    # tokens that no other member's difference has come first in the order
+    kept = parts.join(rank, ["g", "x"]).groupBy("g", "node", "n", "root", "s", "upto").agg(
+        F.array_sort(F.collect_list(F.struct("k", "x"))).alias("o"))
+    first = F.expr("slice(o, 1, int(greatest(0L, upto - s + size(o))))")
+    lists = kept.select("g", "node", "n", "root", F.explode(first).alias("p")).select(
+        F.xxhash64("g", "p.x").alias("t"), "node", "n", "root")
+    return stars, lists
+
+
+def pivots(rows: DataFrame, num: int, den: int) -> DataFrame:
+    """(a, b): every list's members beside one of them; lists of the same members choose
+    the same one."""
+    mark = F.xxhash64("node")
     top = rows.groupBy("t").agg(F.min(F.struct(mark.alias("k"), "node", "n", "c", "root")).alias("p"))
     top = top.select("t", *[F.col(f"p.{c}").alias(f"b_{c}") for c in ("node", "n", "c", "root")])
     met = _sides(rows, "a", ["node", "n", "c", "root"]).join(top, "t")
@@ -219,41 +294,74 @@ def pivots(rows: DataFrame, turn: int, num: int, den: int) -> DataFrame:
         F.least("a_node", "b_node").alias("a"), F.greatest("a_node", "b_node").alias("b")).distinct()
 
 
-def _labelled(rows: DataFrame, edges: list) -> DataFrame:
-    """``rows`` with each node's component so far; lists within one component are done."""
-    if edges:
-        tree = components(reduce(DataFrame.union, edges))
-        tree = tree.groupBy("node").agg(F.min("root").alias("root"))
+def _roots(edges: list) -> DataFrame:
+    """(node, root) of the nodes that verified links connect."""
+    tree = components(reduce(DataFrame.union, edges))
+    return materialize(tree.groupBy("node").agg(F.min("root").alias("root")), "roots")
+
+
+def _labelled(rows: DataFrame, tree: DataFrame | None) -> DataFrame:
+    """``rows`` with each node's component so far and its list's length; lists within one
+    component are done."""
+    rows = rows.drop("root")
+    if tree is not None:
         now = rows.join(tree, "node", "left").withColumn("root", F.coalesce("root", "node"))
     else:
         now = rows.withColumn("root", F.col("node"))
     now = materialize(now, "lists")
-    open_ = now.groupBy("t").agg(F.min("root").alias("x"), F.max("root").alias("y")).filter("x <> y")
-    return now.join(open_.select("t"), "t", "left_semi")
+    open_ = now.groupBy("t").agg(F.min("root").alias("x"), F.max("root").alias("y"),
+                                 F.count(F.lit(1)).alias("length")).filter("x <> y")
+    return now.join(open_.select("t", "length"), "t")
 
 
 def similar_nodes(df: DataFrame, prints: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                  width: int = SHINGLE, num: int = NUM, den: int = DEN,
-                  every_link: bool = False) -> DataFrame:
+                  width: int = SHINGLE, num: int = NUM, den: int = DEN, every_link: bool = False,
+                  paired: int = PAIRED, spare: float = SPARE) -> DataFrame:
     """(a, b): links between nodes, verified; all of them with ``every_link``, else
     enough of them to connect every component."""
     alive = materialize(screen(prints, num, den), "alive")
     sets = materialize(sets_of(df, prints, alive, id_col, text_col, width), "sets")
     rows = materialize(prefixes(sets, num, den), "prefixes")
-    edges: list = []
-    for turn in range(0 if every_link else PIVOT_ROUNDS):
-        found = verify(pivots(_labelled(rows, edges), turn, num, den), sets, num, den)
-        edges.append(materialize(found, "links"))
-    rest = candidates(_labelled(rows, edges), num, den)
-    edges.append(materialize(verify(rest, sets, num, den), "links"))
+    none = F.lit(0).alias("far")
+    if every_link:
+        return verify(candidates(_labelled(rows, None).select("*", none), num, den), sets, num, den)
+    room = rows.count() * spare
+    edges = [materialize(verify(pivots(_labelled(rows, None), num, den), sets, num, den), "links")]
+    tree = _roots(edges)
+    for level in range(LEVELS):
+        lists = _labelled(rows, tree)
+        long = lists.filter(F.col("length") > paired)
+        # pairs that long lists hold, each member with the half of its list
+        held = long.agg(F.sum((F.col("length") - 1) / 2)).first()[0] or 0
+        last = level + 1 == LEVELS or held <= room
+        near = lists if last else lists.filter(F.col("length") <= paired)
+        if level == 0:
+            far = long.groupBy("node").agg(F.count(F.lit(1)).alias("far"))
+            near = near.select("*", none) if last else near.join(far, "node", "left").withColumn(
+                "far", F.coalesce("far", F.lit(0)))
+            pairs = candidates(near, num, den)
+        else:
+            pairs = _paired(near, ["node", "n", "root"], num, den).select(
+                F.col("a_node").alias("a"), F.col("b_node").alias("b")).distinct()
+        if not last:
+            stars, rows = differences(long, sets, num, den)
+            pairs = pairs.union(stars).distinct()
+        found = materialize(verify(pairs, sets, num, den), "links")
+        edges.append(found)
+        if last:
+            break
+        rows = materialize(rows, "prefixes")
+        if not found.isEmpty():
+            tree = _roots(edges)
     return reduce(DataFrame.union, edges)
 
 
 def join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = SHINGLE,
-         num: int = NUM, den: int = DEN) -> DataFrame:
-    """One row a document: doc_id, n_shingles, component_id."""
+         num: int = NUM, den: int = DEN, **lists) -> DataFrame:
+    """One row a document: doc_id, n_shingles, component_id.  ``lists`` are ``paired`` and
+    ``spare`` of :func:`similar_nodes`: how long lists are handled, not what links."""
     prints = materialize(heads(df, id_col, text_col, width, num, den), "heads")
-    tree = components(similar_nodes(df, prints, id_col, text_col, width, num, den))
+    tree = components(similar_nodes(df, prints, id_col, text_col, width, num, den, **lists))
     tree = tree.groupBy("node").agg(F.min("root").alias("root"))
     low = prints.filter("n > 0").groupBy("node").agg(F.min("doc_id").alias("low"))
     member = materialize(low.join(tree, "node", "left").select(
