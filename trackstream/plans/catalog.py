@@ -116,6 +116,17 @@ def q_validate_types(spark, d):
     return v.select("event_id", "icao24", "data_valid", "validation_error")
 
 
+@register("validate_types_every_field")
+def q_validate_types_every_field(spark, d):
+    """V8: each validated field comes with a wrong type somewhere."""
+    fields = [r[0] for r in clean.S.VALIDATION_RULES]
+    feed = M.messages_from_flights(P.flights(spark, d), wrong_fields=fields)
+    msgs = M.unwrap_nested_json(M.envelope(materialize(feed)))
+    good = M.good_records(M.raw_field_text(msgs, fields))
+    v = clean.validate_records(good, raw={f: "raw_" + f for f in fields})
+    return v.select("event_id", "icao24", "data_valid", "validation_error")
+
+
 # ------------------------------------------------------------- 2.1 sources
 @register("parse_payload")
 def q_parse_payload(spark, d):
@@ -567,6 +578,33 @@ def q_position_age(spark, d):
         "event_id", "icao24", "position_age")
 
 
+@register("burst_position_age")
+def q_burst_position_age(spark, d):
+    return features.add_position_age(P.bursts(spark, d)).select("event_id", "icao24", "position_age")
+
+
+@register("burst_zscore_per_key")
+def q_burst_zscore_per_key(spark, d):
+    z = anomaly.zscore_anomalies(P.bursts(spark, d), window_duration="10 minutes", per_key=True)
+    return z.select("event_id", "velocity_zscore", "altitude_zscore", "is_stat_anomaly")
+
+
+@register("burst_windows")
+def q_burst_windows(spark, d):
+    z = anomaly.zscore_anomalies(P.bursts(spark, d), window_duration="10 minutes", per_key=True)
+    return windows.window_stats(z, duration="10 minutes").select(
+        "window_start", "icao24", "flight_events", "avg_velocity", "velocity_variance",
+        "altitude_variance", "anomaly_count", "start_on_ground", "end_on_ground", "end_latitude",
+        "flight_behavior")
+
+
+@register("burst_sliding")
+def q_burst_sliding(spark, d):
+    return windows.sliding_stats(P.bursts(spark, d), duration="10 minutes", slide="5 minutes").select(
+        "window_start", "icao24", "flight_events", "avg_velocity", "velocity_variance",
+        "avg_vertical_rate", "flight_behavior")
+
+
 @register("state_transitions")
 def q_state_transitions(spark, d):
     return features.state_transitions(P.valid_features(spark, d)).select(

@@ -10,7 +10,7 @@ from trackstream.operators import anomaly, clean, features, windows
 from trackstream.operators.routing import split_valid_invalid
 from trackstream.schema import PipelineConfig
 from trackstream.session import configure
-from trackstream.sources.adapter import load_flights
+from trackstream.sources.adapter import load_bursts, load_flights
 
 
 def flights(spark: SparkSession, sf_dir: str, **kw) -> DataFrame:
@@ -18,6 +18,11 @@ def flights(spark: SparkSession, sf_dir: str, **kw) -> DataFrame:
     return load_flights(spark, sf_dir, **kw)
 
 
+def bursts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    configure(spark)
+    return load_bursts(spark, sf_dir)
+
+
 def cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean.clean_events(flights(spark, sf_dir))
 

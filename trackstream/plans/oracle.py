@@ -212,6 +212,36 @@ FLIGHT_COLS = ("event_id, icao24, callsign, origin_country, time_position, longi
                "baro_altitude, on_ground, velocity, heading, vertical_rate, geo_altitude, "
                "position_source, ingestion_timestamp, data_valid")
 
+BURSTS = """
+b AS (SELECT event_id, user_id, value, CAST(floor(epoch(ts) / 600) * 600 AS BIGINT) AS t0,
+    unnest(range(0, 12 + event_id % 10)) AS k FROM events),
+bursts AS (SELECT event_id * 100 + k AS event_id, lower(lpad(hex(user_id), 6, '0')) AS icao24,
+    'FLT' || CAST(user_id AS VARCHAR) AS callsign,
+    'NATION_' || CAST(user_id % 25 AS VARCHAR) AS origin_country,
+    CAST(make_timestamp((t0 + k * 25) * 1000000) AS TIMESTAMP) AS event_time,
+    CASE WHEN (event_id + k) % 97 <> 0 THEN t0 + k * 25 - (event_id * 7 + k * 13) % 45 END AS time_position,
+    value + 2.0e0 * (k % 5) + CASE WHEN k = 6 AND event_id % 40 = 0 THEN 600.0e0 ELSE 0.0e0 END AS velocity,
+    1000.0e0 + event_id * 37 % 9000 + k * (event_id % 3) * 30.0e0 AS baro_altitude,
+    CAST(event_id * 11 % 601 - 300 AS DOUBLE) / 10.0e0 AS vertical_rate,
+    event_id % 8 = 0 AND k < 5 AS on_ground,
+    (event_id * 6007 % 18000) / 100.0e0 - 90.0e0 + k / 1000.0e0 AS latitude,
+    (event_id * 7919 % 36000) / 100.0e0 - 180.0e0 AS longitude FROM b),
+feat AS (SELECT * FROM bursts)"""
+
+
+def _every_field() -> str:
+    """The validator's message where each field may come as the text 'n/a'."""
+    rules = [("latitude", "-90.0e0", "90.0e0"), ("longitude", "-180.0e0", "180.0e0"),
+             ("baro_altitude", "-1000.0e0", "50000.0e0"), ("velocity", "0.0e0", None),
+             ("heading", "0.0e0", "360.0e0")]
+    out = "CASE WHEN icao24 IS NULL OR icao24 = '' THEN 'Missing icao24'"
+    for n, (f, lo, hi) in enumerate(rules):
+        inside = f"{f} >= {lo}" + (f" AND {f} <= {hi}" if hi else "")
+        out += f""" WHEN {f} IS NOT NULL AND wrong = {n} THEN 'Invalid {f}: n/a'
+            WHEN {f} IS NOT NULL AND NOT ({inside}) THEN 'Invalid {f}: ' || CAST({f} AS VARCHAR)"""
+    return out + " END"
+
+
 PROCESSED_COLS = """icao24, callsign, origin_country, event_time, latitude, longitude, baro_altitude, velocity,
     heading, vertical_rate, on_ground, round(velocity_kmh, 6) AS velocity_kmh,
     round(altitude_feet, 6) AS altitude_feet, flight_phase, hour, day_of_week, is_weekend,
@@ -483,6 +513,31 @@ pr AS (SELECT cls, support,
 SELECT CAST(cls AS VARCHAR) AS class, round(precision, 6) AS precision, round(recall, 6) AS recall,
     round(coalesce(2 * precision * recall / nullif(precision + recall, 0), 0.0e0), 6) AS f1,
     CAST(support AS BIGINT) AS support FROM pr"""),
+    # ---------------------------------------------------------- dense feed
+    "validate_types_every_field": with_(ADAPTER, f"""
+f AS (SELECT *, CASE WHEN event_id % 59 = 0 THEN event_id // 59 % 5 ELSE -1 END AS wrong FROM flights
+    WHERE event_id % 53 <> 0 AND event_id % 61 <> 0),
+e AS (SELECT event_id, icao24, {_every_field()} AS validation_error FROM f)""", select="""
+SELECT event_id, icao24, validation_error IS NULL AS data_valid, validation_error FROM e"""),
+    "burst_position_age": with_(BURSTS, select="""
+SELECT event_id, icao24, CAST(epoch(event_time) AS BIGINT) - time_position AS position_age FROM bursts"""),
+    "burst_zscore_per_key": with_(BURSTS, _zscore("10 minutes", per_key=True), select="""
+SELECT event_id, round(velocity_zscore, 6) AS velocity_zscore,
+    round(altitude_zscore, 6) AS altitude_zscore, is_stat_anomaly FROM scored"""),
+    "burst_windows": with_(BURSTS, _zscore("10 minutes", per_key=True), _windows("10 minutes"), select="""
+SELECT window_start, icao24, flight_events, round(avg_velocity, 6) AS avg_velocity,
+    round(velocity_variance, 6) AS velocity_variance, round(altitude_variance, 6) AS altitude_variance,
+    anomaly_count, start_on_ground, end_on_ground, round(end_latitude, 6) AS end_latitude,
+    flight_behavior FROM win"""),
+    "burst_sliding": with_(BURSTS, """
+twice AS (SELECT *, FALSE AS is_stat_anomaly, event_time AS shifted FROM bursts
+    UNION ALL SELECT *, FALSE, event_time - INTERVAL '5 minutes' FROM bursts)""",
+                           _windows("10 minutes", src="twice", name="every").replace(
+                               "time_bucket(INTERVAL '10 minutes', event_time)",
+                               "time_bucket(INTERVAL '5 minutes', shifted)"), select="""
+SELECT window_start, icao24, flight_events, round(avg_velocity, 6) AS avg_velocity,
+    round(velocity_variance, 6) AS velocity_variance,
+    round(avg_vertical_rate, 6) AS avg_vertical_rate, flight_behavior FROM every"""),
     # ------------------------------------------------- merged summaries
     "merged_kpi": with_(*SCORED, select="""
 SELECT count(*) AS total_events, count(*) FILTER (WHERE is_stat_anomaly) AS anomalies,

@@ -109,7 +109,8 @@ def raw_field_text(df: DataFrame, fields: list[str], *, value_col: str = "value"
 # --------------------------------------------------------------------------
 
 def messages_from_flights(flights: DataFrame, *, id_col: str = "event_id",
-                          ts_col: str | None = None, with_defects: bool = True) -> DataFrame:
+                          ts_col: str | None = None, with_defects: bool = True,
+                          wrong_fields: list[str] | None = None) -> DataFrame:
     """Encode flight rows as keyed JSON messages (K1 applied to the adapter):
     ``key, value, timestamp``.  With ``with_defects``, every 53rd id is not
     JSON, every 61st has a NULL value, every 59th carries latitude as the text
@@ -120,6 +121,10 @@ def messages_from_flights(flights: DataFrame, *, id_col: str = "event_id",
     if with_defects:
         # One encoding per row; the defects are cheap text edits of it.
         wrong = F.regexp_replace(good, r'"latitude":[^,}]*', '"latitude":"north"')
+        for n, field in enumerate(wrong_fields or []):
+            here = F.regexp_replace(good, f'"{field}":[^,}}]*', f'"{field}":"n/a"')
+            mine = F.expr(f"{id_col} div {WRONG_TYPE_EVERY} % {len(wrong_fields)} = {n}")
+            wrong = F.when(mine, here).otherwise(wrong) if n else F.when(mine, here)
         body = F.when(i % WRONG_TYPE_EVERY == 0, wrong).otherwise(good)
         nested = F.concat(F.lit('{"value":'),
                           F.regexp_extract(F.to_json(F.array(body)), r"^\[(.*)\]$", 1),
