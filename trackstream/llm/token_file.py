@@ -28,6 +28,9 @@ from trackstream.llm.common import partitions, ship_package, tokenizer_path
 
 BLOCK_IDS = 2048
 SEGMENT_IDS = 1 << 14
+#: What a worker handles together: characters of texts to encode, ids to code or decode.
+TOGETHER_CHARS = 1 << 22
+FLUSH_IDS = 3 << 20
 END = 1
 SCHEMA = ("part int, seg int, n_ids long, doc_ids array<long>, n_tokens array<long>, "
           "blocks array<binary>")
@@ -36,10 +39,15 @@ SCHEMA = ("part int, seg int, n_ids long, doc_ids array<long>, n_tokens array<lo
 _OTHER = re.compile("[^\t\n\r -~¡-įı-ɏ]|<\\|")
 
 
+#: A letter and an ASCII sign or digit behind it are never in one word of the vocabulary.
+_SIGN = r"(\p{L})([!-@\[-`{-~])"
+
+
 class WordCoder:
     """Encodes texts with the tokenizers library, each different word once."""
 
-    MOST = 400_000
+    MOST = 250_000             # words remembered, and their characters
+    MOST_CHARS = 1 << 22
     TOGETHER = 512
 
     def __init__(self, path: str):
@@ -49,18 +57,22 @@ class WordCoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(tokenizer_path(path))
+        named = self.tokenizer.get_vocab()
+        self.size = [0] * (max(named.values()) + 1)            # bytes of each id
+        for name, i in named.items():
+            self.size[i] = len(name.removesuffix("</w>"))      # a character stands for a byte
         self.clear()
 
     def clear(self):
         import numpy as np
 
-        self.number = _Numbers()
+        self.number, self.chars = _Numbers(), 0
         self.at, self.len = np.zeros(1024, np.int64), np.zeros(1024, np.int64)
         self.pool, self.used = np.zeros(4096, np.uint32), 0
 
     def _add(self, words: list):
-        """Encode new words, many in one text: they are parted by a space, and an id
-        belongs to the word that its offset lies in."""
+        """Encode new words, many in one text: they are parted by a space, and ids
+        belong to a word as long as their bytes make it up."""
         import numpy as np
 
         start = len(self.number) - len(words)
@@ -68,11 +80,19 @@ class WordCoder:
         for a in range(0, len(words), self.TOGETHER):
             part = words[a:a + self.TOGETHER]
             coded = self.tokenizer.encode(" ".join(part), add_special_tokens=False)
-            flats.append(np.array(coded.ids, np.uint32))
-            at = np.fromiter((x for x, _ in coded.offsets), np.int64, len(coded.ids))
-            ends = np.cumsum([len(w) + 1 for w in part])
-            sizes.append(np.bincount(np.searchsorted(ends, at, side="right"),
-                                     minlength=len(part)))
+            ids = coded.ids
+            upto = np.cumsum([self.size[i] for i in ids])
+            ends = np.cumsum([len(w.lower().encode()) for w in part])
+            cuts = np.searchsorted(upto, ends)
+            if len(ids) and upto[-1] == ends[-1] and (upto[cuts] == ends).all():
+                sizes.append(np.diff(cuts, prepend=-1))
+            else:                       # a character in another form than the word's
+                at = np.fromiter((x for x, _ in coded.offsets), np.int64, len(ids))
+                places = np.cumsum([len(w) + 1 for w in part])
+                sizes.append(np.bincount(np.searchsorted(places, at, side="right"),
+                                         minlength=len(part)))
+            flats.append(np.array(ids, np.uint32))
+            self.chars += int(ends[-1])
         flat, size = np.concatenate(flats), np.concatenate(sizes)
         for name, need in (("at", start + len(words)), ("len", start + len(words)),
                            ("pool", self.used + len(flat))):
@@ -92,7 +112,7 @@ class WordCoder:
         import pyarrow as pa
         import pyarrow.compute as pc
 
-        if len(self.number) > self.MOST:
+        if len(self.number) > self.MOST or self.chars > self.MOST_CHARS:
             self.clear()
         out, plain = [None] * len(texts), []
         for i, t in enumerate(texts):
@@ -103,8 +123,8 @@ class WordCoder:
         if not plain:
             return out
         # the vocabulary is of lower case; each different word of the texts is looked up once
-        split = pc.ascii_split_whitespace(pc.ascii_lower(
-            pa.array([texts[i] or "" for i in plain], pa.large_string())))
+        split = pc.ascii_split_whitespace(pc.replace_substring_regex(pc.ascii_lower(
+            pa.array([texts[i] or "" for i in plain], pa.large_string())), _SIGN, r"\1 \2"))
         known = split.flatten().dictionary_encode()
         number = np.fromiter(map(self.number.__getitem__, known.dictionary.to_pylist()),
                              np.int64, len(known.dictionary))
@@ -139,6 +159,20 @@ def coder(path: str) -> WordCoder:
     return WordCoder(path)
 
 
+def together(sizes: list, most: int = TOGETHER_CHARS):
+    """Ranges of rows of about ``most`` together; a larger row is alone."""
+    a = size = 0
+    for k, n in enumerate(sizes):
+        n = (n or 0) + 64
+        if size and size + n > most:
+            yield a, k
+            a = k
+            size = 0
+        size += n
+    if a < len(sizes):
+        yield a, len(sizes)
+
+
 def cut(ids, size: int = BLOCK_IDS) -> list:
     return [ids[a:a + size] for a in range(0, len(ids), size)]
 
@@ -155,6 +189,7 @@ def write(df: DataFrame, out: str, tokenizer: str, id_col: str = "doc_id",
     def run(batches):
         import numpy as np
         import pyarrow as pa
+        import pyarrow.compute as pc
         from pyspark import TaskContext
 
         from trackstream.llm import range_coder, token_file as T
@@ -180,8 +215,8 @@ def write(df: DataFrame, out: str, tokenizer: str, id_col: str = "doc_id",
             ready = []
 
         for whole in batches:
-            for a in range(0, whole.num_rows, 1000):
-                b = whole.slice(a, 1000)
+            for a, z in T.together(pc.utf8_length(whole.column(1)).to_pylist()):
+                b = whole.slice(a, z - a)
                 for doc, ids in zip(b.column(0).to_pylist(), words.encode(b.column(1).to_pylist())):
                     docs.append((doc, len(ids) + 1))
                     pieces += [ids, last]
@@ -189,7 +224,7 @@ def write(df: DataFrame, out: str, tokenizer: str, id_col: str = "doc_id",
                     if size >= T.SEGMENT_IDS:
                         ready.append((docs, np.concatenate(pieces)))
                         docs, pieces, size, seg = [], [], 0, seg + 1
-                        if sum(len(x) for _, x in ready) >= 1 << 22:   # bounds the memory
+                        if sum(len(x) for _, x in ready) >= T.FLUSH_IDS:
                             yield from flush()
         if docs:
             ready.append((docs, np.concatenate(pieces)))
@@ -234,11 +269,11 @@ def _decoded(spark: SparkSession, path: str, columns: str) -> DataFrame:
         import numpy as np
         import pyarrow as pa
 
-        from trackstream.llm import range_coder
+        from trackstream.llm import range_coder, token_file as T
 
         for whole in batches:
-            for a in range(0, whole.num_rows, 256):       # about 4 million ids together
-                b = whole.slice(a, 256)
+            for a, z in T.together(whole.column(2).to_pylist(), T.FLUSH_IDS):
+                b = whole.slice(a, z - a)
                 part, seg, _, doc_ids, n_tokens, blocks = (c.to_pylist() for c in b.columns)
                 ids = iter(range_coder.decode_blocks([x for row in blocks for x in row]))
                 out = [[], [], [], [], [], []]
