@@ -12,14 +12,13 @@ tokens that hold a digit as fields.
 
 A template found in ``min_docs`` or more documents is recurring.  Its first line
 (lowest document, lowest place) stays; all its other lines are dropped.  With
-``long_docs`` (the pipeline, ``WHOLE``) that many documents are enough for lines of
+``long_docs`` (``WHOLE``) that many documents are enough for lines of
 ``LONG_TOKENS`` tokens or more, which do not meet by chance.
 
 Lines of fewer than ``min_tokens`` tokens meet by chance.  Without ``short_docs``
-(``op7_line_dedup``, as its SQL states) they are never dropped.  With it (the
-pipeline, ``WHOLE``) each is a template of its own that must match in full but for
-its numbers, and recurs in ``short_docs`` documents; a line of numbers and signs
-must match in full.  One of many characters (scripts without blanks) counts as
+they are never dropped.  With it (``op7_line_dedup`` and the pipeline, ``WHOLE``)
+each is a template of its own that must match in full but for its numbers, and
+recurs in ``short_docs`` documents; a line of numbers and signs must match in full.  One of many characters (scripts without blanks) counts as
 long as its characters: ``TOKEN_CHARS`` of them stand for a token.
 
 Everything is built-in DataFrame work.  Only hashes leave the scan: leaves first
@@ -29,8 +28,8 @@ of lines in leaves that several documents share, then numbers of dropped lines.
 Edge cases: a null text has no lines and stays null; an empty text stays empty;
 rows that repeat an id with the same text are one document and lose the same
 lines, with another text they are documents of their own; a null doc_id comes
-last in order; ties between tokens go to the smallest; an empty table gives an
-empty result; a column of the input that clashes with a result column is
+last in order; ties between tokens go to the smallest; a text of any length is
+parsed line by line as a whole; an empty table gives an empty result; a column of the input that clashes with a result column is
 replaced.
 """
 
@@ -39,7 +38,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trackstream.llm.common import let, materialize, words
+from trackstream.llm.common import BLANKS, let, materialize
 
 DEPTH = 4
 MIN_TOKENS = 5
@@ -49,7 +48,7 @@ SHORT_DOCS = 20        # documents that make a line of few tokens recurring
 LONG_TOKENS = 20       # tokens of a line that does not meet by chance
 LONG_DOCS = 2          # documents that make such a line recurring
 TOKEN_CHARS = 8        # characters that stand for a token in a line of few tokens
-#: What the pipeline asks for beyond the rule that the SQL of operator 7 states.
+#: The rule of the query and the pipeline.
 WHOLE = {"short_docs": SHORT_DOCS, "long_docs": LONG_DOCS}
 FIELD = "<*>"
 USUAL, LONG, SHORT = 0, 1, 2    # classes of leaves
@@ -57,25 +56,32 @@ RESULT = ["n_lines", "n_dropped"]
 DOC = ["_doc", "_th"]          # a document: its id and the hash of its text
 
 
-def masked(w: Column) -> Column:
-    """Tokens in lower case; a token with a digit is a variable field."""
-    return F.transform(w, lambda x: F.when(x.rlike("[0-9]"), F.lit(FIELD)).otherwise(F.lower(x)))
-
-
 def _keys(id_col: str, text_col: str) -> list[Column]:
     last = F.lit(2 ** 63 - 1)
     return [F.coalesce(F.col(id_col).cast("long"), last).alias("_doc"),
             F.xxhash64(text_col).alias("_th"), F.col(text_col).cast("string").alias("_text")]
 
 
-def raw_lines(keyed: DataFrame) -> DataFrame:
-    return keyed.select(*DOC, F.posexplode(F.split("_text", "\n")).alias("at", "raw"))
+#: A token that holds a digit, from its first character on.
+_DIGIT_TOKEN = f"(?<![^{BLANKS}])[^0-9{BLANKS}]*+[0-9][^{BLANKS}]*+"
+#: Anything but lines whose tokens are parted by one space each.
+_LOOSE = "[\t\x0b\x0c\r]|  | \n|\n |^ | $"
+
 
+def plain_lines(keyed: DataFrame, *more: str) -> DataFrame:
+    """(_doc, _th, at, line): every line in lower case, its tokens parted by one space.
 
-def masked_line(raw: Column) -> Column:
-    """The masked tokens of a line, parted by blanks."""
-    low = F.transform(words(raw), F.lower)
-    return F.array_join(F.when(raw.rlike("[0-9]"), masked(words(raw))).otherwise(low), " ")
+    The text is put in that form as a whole, so a line is a substring and needs no
+    arrays of its own."""
+    low = F.lower("_text")
+    tight = F.regexp_replace(F.regexp_replace(low, "[ \t\x0b\x0c\r]+", " "), " ?\n ?", "\n")
+    text = F.when(low.rlike(_LOOSE), F.trim(tight)).otherwise(low)
+    return keyed.select(*DOC, *more, F.posexplode(F.split(text, "\n")).alias("at", "line"))
+
+
+def masked(line: Column) -> Column:
+    """A plain line; a token with a digit is a variable field."""
+    return F.when(line.rlike("[0-9]"), F.regexp_replace(line, _DIGIT_TOKEN, FIELD)).otherwise(line)
 
 
 def classed(leaf: Column, kind) -> Column:
@@ -92,20 +98,6 @@ def needed(min_docs: int, short_docs: int | None, long_docs: int | None) -> Colu
             .otherwise(min_docs))
 
 
-def short_line(w: Column, min_tokens: int) -> Column:
-    """(leaf, full) of a line of few tokens: the line but for its numbers."""
-    def of(line):
-        return let(F.when(line.rlike(r"\p{L}"), F.regexp_replace(line, "[0-9]+", FIELD)).otherwise(line),
-                   lambda x: F.struct(
-                       classed(F.xxhash64(F.lit(0), x),
-                               F.when(F.length(x) < min_tokens * TOKEN_CHARS, F.lit(SHORT))
-                               .when(F.length(x) < LONG_TOKENS * TOKEN_CHARS, F.lit(USUAL))
-                               .otherwise(F.lit(LONG)).cast("long")).alias("leaf"),
-                       F.xxhash64(x).alias("full")))
-
-    return let(F.lower(F.array_join(w, " ")), of)
-
-
 def parsed_lines(keyed: DataFrame, depth: int, min_tokens: int,
                  short_docs: int | None = None, long_docs: int | None = None) -> DataFrame:
     """(_doc, _th, at, leaf, full) of every line with ``min_tokens`` tokens, with
@@ -113,22 +105,27 @@ def parsed_lines(keyed: DataFrame, depth: int, min_tokens: int,
 
     ``leaf``: hash of the token count and the leading tokens; ``full``: hash of all
     tokens of the masked line."""
-    def of(w):
-        tokens = F.when(F.exists(w, lambda x: x.rlike("[0-9]")), masked(w)).otherwise(
-            F.transform(w, F.lower))
-
-        def hashes(m):
-            leaf = F.xxhash64(F.size(m), F.array_join(F.slice(m, 1, depth), " "))
-            if short_docs is not None or long_docs is not None:
-                leaf = classed(leaf, F.when(F.size(m) < LONG_TOKENS, F.lit(USUAL))
-                               .otherwise(F.lit(LONG)).cast("long"))
-            return F.struct(leaf.alias("leaf"), F.xxhash64(F.array_join(m, " ")).alias("full"))
-
-        parsed = F.when(F.size(w) >= min_tokens, let(tokens, hashes))
-        return parsed if short_docs is None else parsed.when(F.size(w) > 0, short_line(w, min_tokens))
-
-    parts = raw_lines(keyed).select(*DOC, "at", let(words(F.col("raw")), of).alias("p"))
-    return parts.filter("p is not null").select(*DOC, "at", "p.leaf", "p.full")
+    line = F.col("line")
+    n = F.length(line) - F.length(F.replace(line, F.lit(" "))) + 1
+    lines = plain_lines(keyed).filter("line <> ''").withColumn("n", n)
+    is_short = F.col("n") < min_tokens
+    # a line of few tokens is itself but for its numbers; one of signs must match in full
+    number = F.when(line.rlike(r"\p{L}"), F.regexp_replace(line, "[0-9]+", FIELD)).otherwise(line)
+    if short_docs is None:
+        lines = lines.filter(~is_short)
+        form = masked(line)
+    else:
+        form = F.when(is_short, number).otherwise(masked(line))
+    lines = lines.withColumn("line", form)
+    leaf = F.xxhash64("n", F.substring_index("line", " ", depth))
+    if short_docs is not None or long_docs is not None:
+        long = F.when(F.col("n") < LONG_TOKENS, USUAL).otherwise(LONG)
+        chars = F.length("line")
+        short = (F.when(chars < min_tokens * TOKEN_CHARS, SHORT)
+                 .when(chars < LONG_TOKENS * TOKEN_CHARS, USUAL).otherwise(LONG))
+        leaf = classed(F.when(is_short, F.xxhash64(F.lit(0), "line")).otherwise(leaf),
+                       F.when(is_short, short).otherwise(long).cast("long"))
+    return lines.select(*DOC, "at", leaf.alias("leaf"), F.xxhash64("line").alias("full"))
 
 
 def voted(reps: DataFrame, by: list[str]) -> DataFrame:
@@ -200,8 +197,12 @@ def recurring(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", dep
     reps = materialize(kinds.join(mixed, "leaf", "left_semi").select(
         "leaf", "full", "n_docs", "first._doc", "first._th", "first.at"), "reps")
     # a second look at the texts, for the tokens of those lines only; one plan at any size
-    shown = raw_lines(keyed).join(reps.hint("merge"), [*DOC, "at"]).select(
-        "leaf", "full", "n_docs", masked_line(F.col("raw")).alias("line")) \
+    of_doc = reps.groupBy(*DOC).agg(F.collect_list(F.struct("at", "leaf", "full", "n_docs"))
+                                    .alias("reps"))                 # lines of one text
+    theirs = keyed.join(of_doc.hint("merge"), DOC)
+    shown = plain_lines(theirs, "reps").select(
+        "line", F.explode(F.filter("reps", lambda r: r["at"] == F.col("at"))).alias("r")).select(
+        "r.leaf", "r.full", "r.n_docs", masked(F.col("line")).alias("line")) \
         .dropDuplicates(["leaf", "full"])
     joined = materialize(every_template(materialize(shown, "shown"), similarity, need), "joined")
     named = (kinds.join(joined, ["leaf", "full"], "left")

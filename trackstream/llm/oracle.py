@@ -46,29 +46,48 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
     NOT base_failed AND NOT ({' OR '.join(map(_rule, RULES))}) AS kept FROM b"""
 
 OP7 = f"""
-WITH l AS (SELECT doc_id, raw, (ord - 1)::BIGINT AS ord FROM (
+WITH RECURSIVE l AS (SELECT doc_id, raw, (ord - 1)::BIGINT AS ord FROM (
     SELECT doc_id, unnest(string_split(text, chr(10))) AS raw,
         generate_subscripts(string_split(text, chr(10)), 1) AS ord
     FROM documents WHERE text IS NOT NULL)),
-p AS (SELECT *, list_transform(list_filter(string_split_regex(raw, '{BLANK}+'), lambda x: x <> ''),
-    lambda x: CASE WHEN regexp_matches(x, '[0-9]') THEN '<*>' ELSE lower(x) END) AS m FROM l),
-r AS (SELECT doc_id, ord, m, len(m) || ' ' || array_to_string(m[1:4], ' ') AS leaf,
-    array_to_string(m, ' ') AS f FROM p WHERE len(m) >= 5),
-kinds AS (SELECT leaf, f, any_value(m) AS m, count(DISTINCT doc_id) AS n_docs FROM r
-    GROUP BY leaf, f),
-mixed AS (SELECT leaf FROM kinds GROUP BY leaf HAVING count(*) > 1 AND sum(n_docs) >= 3),
-reps AS (SELECT * FROM kinds SEMI JOIN mixed USING (leaf)),
-tok AS (SELECT leaf, f, n_docs, unnest(m) AS token, generate_subscripts(m, 1) AS pos FROM reps),
-best AS (SELECT leaf, pos, token FROM (SELECT leaf, pos, token, sum(n_docs) AS v FROM tok
-    GROUP BY ALL) QUALIFY row_number() OVER (PARTITION BY leaf, pos ORDER BY v DESC, token) = 1),
-joined AS (SELECT leaf, f FROM tok LEFT JOIN best AS b USING (leaf, pos)
-    GROUP BY leaf, f HAVING count(*) FILTER (WHERE tok.token = b.token) >= 0.8 * count(*)),
-named AS (SELECT r.*, CASE WHEN j.f IS NULL THEN 'own ' || r.f ELSE 'leaf' END AS tmpl
-    FROM r LEFT JOIN joined AS j ON r.leaf = j.leaf AND r.f = j.f),
-often AS (SELECT leaf, tmpl, min(doc_id * 1000000 + ord) AS stay FROM named GROUP BY leaf, tmpl
-    HAVING count(DISTINCT doc_id) >= 3),
+p AS (SELECT doc_id, ord, raw, lower(array_to_string(w, ' ')) AS low, len(w) AS n,
+        list_transform(w, lambda x: CASE WHEN regexp_matches(x, '[0-9]') THEN '<*>' ELSE lower(x) END) AS m
+    FROM (SELECT *, list_filter(string_split_regex(raw, '{BLANK}+'), lambda x: x <> '') AS w FROM l)
+    WHERE len(w) > 0),
+q AS (SELECT doc_id, ord, n, CASE WHEN n >= 5 THEN m WHEN regexp_matches(low, '\\p{{L}}')
+        THEN [regexp_replace(low, '[0-9]+', '<*>', 'g')] ELSE [low] END AS m FROM p),
+r AS (SELECT doc_id, ord, m, array_to_string(m, ' ') AS f,
+        CASE WHEN n >= 5 THEN n || ' ' || array_to_string(m[1:4], ' ') ELSE '0 ' || m[1] END AS leaf,
+        CASE WHEN n >= 20 OR (n < 5 AND length(m[1]) >= 160) THEN 2
+             WHEN n >= 5 OR length(m[1]) >= 40 THEN 3 ELSE 20 END AS need FROM q),
+kinds AS (SELECT leaf, f, any_value(m) AS m, any_value(need) AS need, count(DISTINCT doc_id) AS n_docs
+    FROM r GROUP BY leaf, f),
+-- a round votes in each group: lines that agree with the shape are done, the others
+-- go on in groups of one more position, as long as a group could recur
+vote AS (
+    SELECT leaf, '' AS grp, f, m, need, n_docs, FALSE AS fits FROM kinds
+    WHERE leaf IN (SELECT leaf FROM kinds GROUP BY leaf HAVING count(*) > 1 AND sum(n_docs) >= any_value(need))
+    UNION ALL
+    SELECT leaf, grp, f, m, need, n_docs, fits FROM (
+        WITH w AS (SELECT * FROM vote WHERE NOT fits),
+        tok AS (SELECT leaf, grp, f, n_docs, unnest(m) AS token, generate_subscripts(m, 1) AS pos FROM w),
+        cnt AS (SELECT leaf, grp, pos, token, sum(n_docs) AS v FROM tok GROUP BY ALL),
+        best AS (SELECT leaf, grp, pos, arg_min(token, (-v, token)) AS token, max(v) AS v, count(*) AS kinds
+            FROM cnt GROUP BY ALL),
+        part AS (SELECT leaf, grp, arg_min(pos, (kinds, v, pos)) FILTER (WHERE kinds > 1) AS cut
+            FROM best GROUP BY ALL),
+        fit AS (SELECT t.leaf, t.grp, t.f, count(*) FILTER (WHERE t.token = b.token) >= 0.8 * count(*) AS fits
+            FROM tok AS t JOIN best AS b USING (leaf, grp, pos) GROUP BY ALL),
+        next AS (SELECT w.leaf, CASE WHEN x.fits THEN w.grp ELSE w.grp || ' ' || cut || '=' || w.m[cut] END AS grp,
+            w.f, w.m, w.need, w.n_docs, x.fits FROM w JOIN fit AS x USING (leaf, grp, f) JOIN part USING (leaf, grp))
+        SELECT *, count(*) OVER g AS k, sum(n_docs) OVER g AS d FROM next WINDOW g AS (PARTITION BY leaf, grp, fits))
+    WHERE fits OR (k > 1 AND d >= need)),
+named AS (SELECT r.*, CASE WHEN v.f IS NULL THEN 'own ' || r.f ELSE 'of ' || v.grp END AS tmpl
+    FROM r LEFT JOIN (SELECT * FROM vote WHERE fits) AS v ON r.leaf = v.leaf AND r.f = v.f),
+often AS (SELECT leaf, tmpl, min((doc_id, ord)) AS stay FROM named GROUP BY leaf, tmpl
+    HAVING count(DISTINCT doc_id) >= any_value(need)),
 goes AS (SELECT n.doc_id, n.ord FROM named AS n JOIN often USING (leaf, tmpl)
-    WHERE n.doc_id * 1000000 + n.ord <> stay),
+    WHERE (n.doc_id, n.ord) <> stay),
 done AS (SELECT l.doc_id, count(*) AS n_lines, count(g.ord) AS n_dropped,
     coalesce(string_agg(raw, chr(10) ORDER BY l.ord) FILTER (WHERE g.ord IS NULL), '') AS text
     FROM l LEFT JOIN goes AS g ON l.doc_id = g.doc_id AND l.ord = g.ord GROUP BY l.doc_id)

@@ -62,7 +62,8 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_dedup.dedup(documents(spark, sf_dir, "doc_id", "text")).select(
+    docs = documents(spark, sf_dir, "doc_id", "text")
+    return line_dedup.dedup(docs, **line_dedup.WHOLE).select(
         "doc_id", "n_lines", "n_dropped", "text")
 
 
