@@ -49,6 +49,22 @@ def test_fit_is_deterministic(spark, fitted):
     assert np.array_equal(a, b)
 
 
+def test_store_is_by_content(spark, scratch):
+    """One fit for the same rows and parameters; another row or parameter is another model."""
+    import os
+    v = P.valid_features(spark, SF_SMALL)
+    one = forest.fit_isolation_forest(v, n_trees=5, store=scratch)
+    again = forest.fit_isolation_forest(v.repartition(5), n_trees=5, store=scratch)
+    assert len(os.listdir(scratch)) == 1 and forest.model_metadata(one) == forest.model_metadata(again)
+    assert one.nodes.sort_values(["tree_id", "node_id"]).reset_index(drop=True).equals(
+        again.nodes.sort_values(["tree_id", "node_id"]).reset_index(drop=True))
+    forest.fit_isolation_forest(v, n_trees=6, store=scratch)
+    forest.fit_isolation_forest(v.filter("event_id <> 7"), n_trees=5, store=scratch)
+    changed = v.withColumn("velocity", F.when(F.col("event_id") == 7, 1.5).otherwise(F.col("velocity")))
+    forest.fit_isolation_forest(changed, n_trees=5, store=scratch)
+    assert len(os.listdir(scratch)) == 4
+
+
 def test_planted_outlier_scores_high(spark, fitted):
     v, m = fitted
     planted = spark.createDataFrame(

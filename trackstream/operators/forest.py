@@ -27,6 +27,7 @@ operator (:func:`trackstream.operators.reports.scaled_features`).
 
 from __future__ import annotations
 
+import hashlib
 import json
 import math
 import uuid
@@ -219,18 +220,31 @@ def _tree_sample(rows: DataFrame, n: int, n_trees: int, psi: int, seed: int) ->
 def fit_isolation_forest(df: DataFrame, *, features: list[str] | None = None,
                          n_trees: int = S.FOREST_TREES, psi: int = S.FOREST_SAMPLE,
                          contamination: float = S.FOREST_CONTAMINATION,
-                         seed: int = S.FOREST_SEED, id_cols=IDENTITY) -> ForestModel:
+                         seed: int = S.FOREST_SEED, id_cols=IDENTITY,
+                         store: str | None = None) -> ForestModel:
     """M1: fit the forest on ``df`` (see the module docstring for the plan).
 
+    ``store`` names a folder of model tables: a model is written there under a key made
+    of the parameters and the content of the training rows (count and hash sum of their
+    identities and features), and one of the same key is read instead of fitted again.
+
     Calibration (score minimum and maximum, contamination threshold) scores
     every training row, whatever their number."""
     features = features or list(S.MODEL_FEATURES)
     named = df.select(_row_identity(df, features, id_cols).alias("_rid"), *features)
     # equal rows are one row with a number; a hot one is summed before the shuffle
     grouped = _stored(named.groupBy("_rid", *features).agg(F.count(F.lit(1)).alias("_n")))
-    n = grouped.agg(F.coalesce(F.sum("_n"), F.lit(0))).first()[0]
+    content = F.sum(F.xxhash64("_rid", *features, "_n").cast("decimal(38,0)"))
+    n, total = grouped.agg(F.coalesce(F.sum("_n"), F.lit(0)), content).first()
     if n == 0:
         raise ValueError("cannot fit an isolation forest on an empty table")
+    if store is not None:
+        key = hashlib.sha256(repr((features, n_trees, psi, contamination, seed, n, total))
+                             .encode()).hexdigest()[:32]
+        store = f"{store.rstrip('/')}/{key}"
+        known = load_model(df.sparkSession, store)
+        if known is not None:
+            return known
     rows = grouped.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_n")))).drop("_n")
     sampled = _tree_sample(rows, n, n_trees, min(psi, n), seed)
     height_limit = int(math.ceil(math.log2(max(psi, 2))))
@@ -257,6 +271,8 @@ def fit_isolation_forest(df: DataFrame, *, features: list[str] | None = None,
                         contamination=contamination, seed=seed, nodes=nodes, train_rows=n)
     model.compile()
     calibrate(model, rows)
+    if store is not None:
+        save_model(df.sparkSession, model, store)
     return model
 
 

