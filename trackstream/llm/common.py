@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import threading
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -43,6 +44,36 @@ def total(values: Column) -> Column:
     return F.aggregate(values, F.lit(0).cast("long"), lambda a, x: a + x.cast("long"))
 
 
+def before(values: Column, zero: Column, join) -> Column:
+    """For each element of an array of longs, what ``join`` (a sum, a maximum) makes of all
+    elements before it.  Runs in blocks, so the work is linear in the array's length."""
+    block = 256
+
+    def run(part, start):
+        out = F.struct(start.alias("s"), F.array().cast("array<bigint>").alias("out"))
+        return F.aggregate(part, out, lambda a, x: F.struct(
+            join(a["s"], x).alias("s"), F.concat(a["out"], F.array(a["s"])).alias("out")))["out"]
+
+    def of(v):
+        starts = F.when(F.size(v) > 0, F.sequence(F.lit(1), F.size(v), F.lit(block)))
+        parts = F.transform(F.coalesce(starts, F.array().cast("array<int>")),
+                            lambda i: F.slice(v, i, F.lit(block)))
+        return let(parts, lambda p: let(run(F.transform(p, lambda x: F.aggregate(x, zero, join)), zero),
+                                        lambda b: F.flatten(F.transform(
+                                            p, lambda x, i: run(x, F.get(b, i))))))
+
+    return let(values, of)
+
+
+_own = threading.local()
+
+
+def _written() -> list:
+    if not hasattr(_own, "paths"):
+        _own.paths = []
+    return _own.paths
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to the shared checkpoint folder and read it back.
 
@@ -51,7 +82,31 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    _written().append(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.written_at = path
+    return out
+
+
+def mark() -> int:
+    """A place among the tables that this thread has written."""
+    return len(_written())
+
+
+def discard(spark: SparkSession, since: int, keep: list) -> None:
+    """Remove the tables that this thread wrote behind ``since``, but for ``keep``: nothing
+    that is still to be computed may read the others."""
+    stay = {x.written_at for x in keep if x is not None}
+    for path in _written()[since:]:
+        if path not in stay:
+            remove(spark, path)
+    _written()[since:] = [p for p in _written()[since:] if p in stay]
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Remove a written table."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def partitions(spark: SparkSession) -> int:

@@ -48,7 +48,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trackstream.llm.common import materialize, ship_package
+from trackstream.llm.common import discard, mark, materialize, ship_package
 from trackstream.llm.simhash import components, text_hash
 
 SHINGLE = 3
@@ -132,15 +132,18 @@ def _slack(n: str, num: int, den: int) -> str:
 
 
 def screen(prints: DataFrame, num: int, den: int) -> DataFrame:
-    """(node, n): the nodes that share enough prefix tokens with any other nodes."""
+    """(node, n): the nodes that share enough prefix tokens with any other nodes.
+
+    Rows carry a hash of the node: nodes of one hash are counted together, and stay
+    sooner than they need to."""
     nodes = prints.filter("n > 0").groupBy("node").agg(
-        F.first("n").alias("n"), F.first("head").alias("head"))
-    rows = nodes.select("node", "n", F.explode("head").alias("t"))
+        F.first("n").alias("n"), F.first("head").alias("head")).withColumn("k", F.xxhash64("node"))
+    rows = nodes.select("k", F.explode("head").alias("t"))
     often = rows.groupBy("t").count().filter("count > 1").select("t")
+    shared = rows.join(often, "t", "left_semi").groupBy("k").count()
     # the smallest partner's prefix is lengthened least: its l is the number to share
     least = _slack(f"(({num} * n + {den - 1}) div {den})", num, den)
-    return (rows.join(often, "t", "left_semi").groupBy("node", "n").count()
-            .filter(f"count > {least}").select("node", "n"))
+    return nodes.select("k", "node", "n").join(shared, "k").filter(f"count > {least}").select("node", "n")
 
 
 def sets_of(df: DataFrame, prints: DataFrame, alive: DataFrame, id_col: str, text_col: str,
@@ -319,8 +322,10 @@ def similar_nodes(df: DataFrame, prints: DataFrame, id_col: str = "doc_id", text
                   paired: int = PAIRED, spare: float = SPARE) -> DataFrame:
     """(a, b): links between nodes, verified; all of them with ``every_link``, else
     enough of them to connect every component."""
+    spark, start = df.sparkSession, mark()
     alive = materialize(screen(prints, num, den), "alive")
     sets = materialize(sets_of(df, prints, alive, id_col, text_col, width), "sets")
+    discard(spark, start, [sets])
     rows = materialize(prefixes(sets, num, den), "prefixes")
     none = F.lit(0).alias("far")
     if every_link:
@@ -328,6 +333,7 @@ def similar_nodes(df: DataFrame, prints: DataFrame, id_col: str = "doc_id", text
     room = rows.count() * spare
     edges = [materialize(verify(pivots(_labelled(rows, None), num, den), sets, num, den), "links")]
     tree = _roots(edges)
+    discard(spark, start, [sets, rows, tree, *edges])
     for level in range(LEVELS):
         lists = _labelled(rows, tree)
         long = lists.filter(F.col("length") > paired)
@@ -353,6 +359,7 @@ def similar_nodes(df: DataFrame, prints: DataFrame, id_col: str = "doc_id", text
         rows = materialize(rows, "prefixes")
         if not found.isEmpty():
             tree = _roots(edges)
+        discard(spark, start, [sets, rows, tree, *edges])
     return reduce(DataFrame.union, edges)
 
 
@@ -360,12 +367,14 @@ def join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: i
          num: int = NUM, den: int = DEN, **lists) -> DataFrame:
     """One row a document: doc_id, n_shingles, component_id.  ``lists`` are ``paired`` and
     ``spare`` of :func:`similar_nodes`: how long lists are handled, not what links."""
+    start = mark()
     prints = materialize(heads(df, id_col, text_col, width, num, den), "heads")
     tree = components(similar_nodes(df, prints, id_col, text_col, width, num, den, **lists))
     tree = tree.groupBy("node").agg(F.min("root").alias("root"))
     low = prints.filter("n > 0").groupBy("node").agg(F.min("doc_id").alias("low"))
     member = materialize(low.join(tree, "node", "left").select(
         "node", "low", F.coalesce("root", "node").alias("root")), "member")
+    discard(df.sparkSession, start, [prints, member])
     of = member.groupBy("root").agg(F.min("low").alias("component_id"))
     of = member.join(of, "root").select("node", "component_id")
     return prints.select("doc_id", "n", "node").join(of, "node", "left").select(
