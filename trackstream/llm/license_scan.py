@@ -3,11 +3,13 @@
 A text is reduced to lower-case words with one blank between them.  A keyword
 gate decides which rules are tried at all; each rule is a regular expression
 over words.  Detections are intervals of words: longer ones swallow those they
-contain, and of two rules on the same words the earlier rule wins.  Everything
-is built-in column work (no user function): the rule list is one literal array.
+contain, and of two rules on the same words, or on words that overlap in part, the
+earlier rule wins.  Everything is built-in column work (no user function): the rule
+list is one literal array, built from families, versions and phrasings.
 
 Edge cases: a null or empty text has no words, no places, empty label strings
-and score 0; repeated rows are scanned alike; an empty table gives an empty
+and score 0; repeated rows are scanned alike; a text of any length is scanned whole,
+in time that is linear in its length and its matches; an empty table gives an empty
 result.  Clashing column names of the input give way to the result's.
 """
 
@@ -18,7 +20,7 @@ import json
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trackstream.llm.common import UPPER, count_of, let, total
+from trackstream.llm.common import UPPER, before, count_of, let
 
 #: Fixed by the contract of the operator: phrase -> label.
 BASE = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
@@ -180,13 +182,16 @@ def detections(norm: Column, rules: list[dict]) -> Column:
     def of_rule(r):
         def spans(m):
             def placed(parts):
-                gap = F.transform(parts, _blanks)
-                own = F.transform(m, _blanks)
-                return let(gap, lambda g: let(own, lambda o: F.transform(m, lambda x, i: let(
-                    total(F.slice(g, 1, i + 1)) + total(F.slice(o, F.lit(1), i)), lambda s: F.struct(
-                        s.alias("start"), (-(s + F.get(o, i))).alias("minus_end"),
-                        r["priority"].alias("priority"), r["label"].alias("label"),
-                        r["weight"].alias("weight"))))))
+                # a match begins behind the words of the parts and matches before it
+                own = F.transform(m, lambda x: _blanks(x).cast("long"))
+                gap = F.transform(F.slice(parts, F.lit(1), F.size(m)), lambda x: _blanks(x).cast("long"))
+                both = F.zip_with(gap, own, lambda g, o: g + o)
+                starts = F.zip_with(before(both, F.lit(0).cast("long"), lambda a, x: a + x), gap,
+                                    lambda a, g: a + g)
+                return F.zip_with(starts, own, lambda s, o: F.struct(
+                    s.alias("start"), (-(s + o)).alias("minus_end"),
+                    r["priority"].alias("priority"), r["label"].alias("label"),
+                    r["weight"].alias("weight")))
             return let(F.split(norm, r["regex"], -1), placed)
         return let(F.regexp_extract_all(norm, r["regex"], F.lit(0)), spans)
 
@@ -198,13 +203,25 @@ SPAN = "struct<start:bigint,minus_end:bigint,priority:int,label:string,weight:do
 
 
 def resolve(found: Column) -> Column:
-    """Drop detections inside another; on equal words the earlier rule stays."""
-    none = F.from_json(F.lit("[]"), f"array<{SPAN}>")
-    start = F.struct(F.lit(0).cast("long").alias("end"), none.alias("kept"))
-    return F.aggregate(F.sort_array(found), start, lambda a, x: F.struct(
-        F.greatest(a["end"], -x["minus_end"]).alias("end"),
-        F.when(-x["minus_end"] <= a["end"], a["kept"]).otherwise(
-            F.concat(a["kept"], F.array(x))).alias("kept")))["kept"]
+    """Drop detections inside another; on equal words the earlier rule stays.  Of two that
+    overlap in part, the one of the earlier rule stays: the other is dropped if its
+    neighbour to either side overlaps it and has the smaller priority number."""
+    zero = F.lit(0).cast("long")
+
+    def whole(x):
+        ends = F.transform(x, lambda d: -d["minus_end"])
+        return F.filter(F.arrays_zip(x.alias("d"), before(ends, zero, lambda a, e: F.greatest(a, e)).alias("upto")),
+                        lambda z: -z["d"]["minus_end"] > z["upto"])
+
+    def settled(k):
+        def stays(z, i):
+            def loses(n):
+                meets = (n["start"] < -z["minus_end"]) & (z["start"] < -n["minus_end"])
+                return F.coalesce(meets & (n["priority"] < z["priority"]), F.lit(False))
+            return ~loses(F.get(k, i - 1)) & ~loses(F.get(k, i + 1))
+        return F.filter(k, stays)
+
+    return let(F.transform(let(F.sort_array(found), whole), lambda z: z["d"]), settled)
 
 
 def scan(df: DataFrame, text_col: str = "text", rules: list[dict] = RULES) -> DataFrame:
