@@ -13,7 +13,9 @@ a text without words has the empty fingerprint.
 Edge cases: a null text counts as empty; an empty set is like an empty set (1)
 and unlike any other (0); rows are ordered by (doc_id descending, text), null ids
 last, so ties and repeated rows have a defined next document; the only document
-of a table is its own next one; an empty table gives an empty result.
+of a table is its own next one; a text of any length is fingerprinted whole; an empty
+table gives an empty result.  Only the id and text columns are read, so clashing names do
+no harm.
 """
 
 from __future__ import annotations
@@ -231,7 +233,8 @@ def compare_next(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
              .select(F.col("x.doc_id").alias("doc_id"), F.col("x.text").alias("text"),
                      F.col("above").alias("rng"), F.lit(True).alias("tail")))
     rows = src.withColumn("tail", F.lit(False)).unionByName(tails)
-    ordered = (rows.repartition(n_ranges, "rng")
+    # by range: the numbers are even, and hashes of a few numbers collide
+    ordered = (rows.repartitionByRange(n_ranges, "rng")
                .sortWithinPartitions("rng", "tail", F.desc_nulls_last("doc_id"),
                                      F.xxhash64("text"))
                .select("rng", "tail", "doc_id", "text"))
