@@ -125,6 +125,66 @@ def test_license_rules_resolve(spark):
     assert w[r.spans[0].first_word:r.spans[0].last_word + 1][-3:] == ["version", "2", "0"]
 
 
+def brute_spans(text):
+    """Detections of a text in plain Python: (label, first word, last word)."""
+    low = "".join(c.lower() if "A" <= c <= "Z" else c for c in text)
+    norm = " " + re.sub(r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+", " ", low).strip(" ") + " "
+    found = []
+    if any(g in norm for g in license_scan.GATES):
+        for r in license_scan.RULES:
+            if r["keyword"] in norm:
+                for m in re.finditer(r["regex"], norm):
+                    first = norm[:m.start()].count(" ")
+                    found.append((first, first + m[0].count(" "), r["priority"], r["label"]))
+    kept = []
+    for x in sorted(found, key=lambda d: (d[0], -d[1], d[2])):
+        if all(x[1] > y[1] for y in kept):
+            kept.append(x)
+    out = []
+    for i, x in enumerate(kept):
+        near = [kept[k] for k in (i - 1, i + 1) if 0 <= k < len(kept)]
+        if not any(n[0] < x[1] and x[0] < n[1] and n[2] < x[2] for n in near):
+            out.append((x[3], x[0], x[1] - 1))
+    return out
+
+
+def test_license_spans_by_brute_force(spark):
+    rng = np.random.default_rng(8)
+    names = [re.sub(r"\(\?:|\)\??|\[sc\]|\?|\||\\S\+|\{0,4\}", lambda m: {"[sc]": "s", "|": " "}.get(m[0], ""), f[2])
+             for f in license_scan.FAMILIES]
+    words = ("the of under terms licensed released under the version v 2 0 3 1 license licence general "
+             "public gnu mit apache cc by nc sa 4 all rights reserved copyright 2020 c without warranty is in "
+             "the public domain provided as is free software foundation").split()
+    texts = []
+    for _ in range(300):
+        parts = [str(rng.choice(words)) if rng.random() < 0.7 else str(rng.choice(names))
+                 for _ in range(rng.integers(1, 60))]
+        texts.append("".join(p + str(rng.choice([" ", ", ", "-", "\n", ". "])) for p in parts))
+    texts += ["licensed under the terms of the gpl license version 2 0 or any mit licence all rights reserved",
+              "All Rights Reserved" * 3, "cc by nc sa 4.0 cc by", " ".join(["MIT License"] * 700)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    some = 0
+    for r in license_scan.scan(df).collect():
+        want = brute_spans(r.text)
+        assert [tuple(s) for s in r.spans] == want, r.text
+        assert set(r.labels.split(",")) - {""} == {w[0] for w in want} | set(r.base_labels.split(",")) - {""}
+        some += len(want)
+    assert some > 500
+
+
+def test_license_work_is_linear_in_matches(spark):
+    import time
+
+    def seconds(n):
+        df = spark.createDataFrame([(1, "the mit license and more " * n)], "doc_id long, text string")
+        t = time.time()
+        assert len(license_scan.scan(df).first().spans) == n
+        return time.time() - t
+
+    seconds(200)
+    assert seconds(8000) < 8 * max(seconds(2000), 0.5)
+
+
 def test_every_license_rule_finds_its_family(spark):
     names = {label: name for label, _, name, _ in license_scan.FAMILIES}
     plain = [(label, re.sub(r"\(\?:([^|)]*)[^)]*\)\??|\[sc\]", lambda m: m[1] or "s" if m[1] is not None
@@ -200,6 +260,33 @@ def test_line_dedup_finds_every_template_of_a_leaf(spark):
     assert [bool(t) for t in lines_kept(spark, a + b)] == [True, False, False] * 2
 
 
+LINE_CASES = {
+    "two templates of a leaf": [f"posted by the user {x} in the news section today" for x in "abcd"]
+    + [f"posted by the user {x} at noon from our desk" for x in "efg"],
+    "mixed votes": [f"we all like to x{c} zeta yoke alpha beta wolf" for c in "abc"]
+    + [f"we all like to y{c} core bolt omega sigma able" for c in "abc"],
+    "four words in many documents": ["four words stand here"] * 150,
+    "sixty words in two documents": [" ".join(f"wx{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(60))] * 2,
+    "few words in few documents": ["read more now"] * 5,
+    "blanks and digits": [f"\t page  {i} of\x0b 12{i}a  in all \r" for i in range(4)],
+}
+
+
+@pytest.mark.parametrize("case", LINE_CASES)
+def test_line_rule_in_three_forms(spark, case):
+    """The query's rule in Spark, in SQL and by brute force."""
+    texts = {i: f"{t}\n{t} {i}\nown {chr(97 + i % 26)}{i // 26} ÀÉ" for i, t in enumerate(LINE_CASES[case])}
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", list(texts.items()))
+    sql = {r[0]: r[3] for r in con.execute(SQL["op7_line_dedup"]).fetchall()}
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    got = {r.doc_id: r.text for r in line_dedup.dedup(df, **line_dedup.WHOLE).collect()}
+    assert got == sql == brute_lines(texts)
+    dropped = sum(t.count("\n") for t in texts.values()) - sum(t.count("\n") for t in got.values())
+    assert (dropped > 0) == (case != "few words in few documents")
+
+
 # --- 10 simhash ---------------------------------------------------------------
 
 def brute_print(t):
@@ -432,6 +519,46 @@ def test_spotsigs_query(spark, docs):
         assert math.isclose(r.near_next, len(s & n) / len(s | n) if s | n else 1.0)
 
 
+def brute_chains(text):
+    """Signatures as tuples of words, in plain Python."""
+    w = text.lower().split()
+    anchor = [x.strip(".,;:!?") in spotsigs.ANCHORS for x in w]
+    out = set()
+    for i, is_anchor in enumerate(anchor):
+        chain = [x for x, a in zip(w[i + 1:], anchor[i + 1:]) if not a][:spotsigs.CHAIN]
+        if is_anchor and len(chain) == spotsigs.CHAIN:
+            out.add((w[i], *chain))
+    if not out:                              # every word is an anchor; the end pads the chains
+        pad = w + [None] * spotsigs.CHAIN
+        out = {tuple(pad[i:i + 1 + spotsigs.CHAIN]) for i in range(len(w))}
+    return out
+
+
+def test_spotsigs_chains_by_brute_force(spark, docs):
+    """Numbers of signatures and both likenesses from chains taken in plain Python."""
+    ids = sorted(docs, reverse=True)
+    likely = 0
+    for i, nxt in zip(ids, ids[1:] + ids[:1]):
+        got = by_id_once(spark)[i]
+        a, b = docs[i] or "", docs[nxt] or ""
+        half = len(a) // 2
+        one, edit, two = brute_chains(a), brute_chains(a[:len(a) - half] + b[:half]), brute_chains(b)
+        assert len(got.fingerprint) == spotsigs.HEX * len(one)
+        for near, s in ((got.near_edited, edit), (got.near_next, two)):
+            assert math.isclose(near, len(one & s) / len(one | s) if one | s else 1.0)
+        likely += got.near_edited > 0.3
+    assert likely > 20
+
+
+_op8 = {}
+
+
+def by_id_once(spark):
+    if not _op8:
+        _op8.update(by_id(Q.op8_spotsigs(spark, SF)))
+    return _op8
+
+
 def test_spotsigs_edges(spark, odd, empty):
     out = spotsigs.compare_next(odd).collect()
     assert len(out) == odd.count() and spotsigs.compare_next(empty).count() == 0
@@ -530,6 +657,77 @@ def test_every_language_is_learned(spark):
     assert got == {i: lang for i, _, lang in rows}
 
 
+def brute_buckets(text):
+    """Buckets of a text's n-grams, one character after the other."""
+    low = re.sub(r" +", " ", "".join(c if c.isalpha() else " " for c in text.lower()) + " ").lstrip(" ")
+    big, mix, out = 2 ** 64, 0x9E3779B97F4A7C15, Counter()
+    for n in language_id.ORDERS:
+        for i in range(len(low) - n + 1):
+            gram = low[i:i + n]
+            if gram[0] == gram[-1] == " ":
+                continue
+            h = 0
+            for k, c in enumerate(gram, 1):
+                h = (h + ord(c) + k) * mix % big
+                h ^= h >> 29
+            out[((h * mix % big) >> 40) % language_id.BUCKETS] += 1
+    return out
+
+
+def test_language_model_by_brute_force(spark, docs):
+    """Counts, predictions and posteriors against plain Python, with one matrix and with
+    slices of a few languages."""
+    rows = [(i, t, ("aa", "bb", "cc", "dd", "ee")[i % 5]) for i, t in sorted(docs.items()) if t][:60]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4)
+    m = language_id.fit(df)
+    counts = {}
+    for _, t, lang in rows:
+        counts.setdefault(lang, Counter()).update(brute_buckets(t))
+    got = {(r.lang, r.bucket): r.n for r in m.cells.filter("n <> 0").collect()}
+    assert got == {(m.langs.index(x), b): n for x, c in counts.items() for b, n in c.items()}
+    total = {x: sum(c.values()) + language_id.SMOOTHING * language_id.BUCKETS for x, c in counts.items()}
+    want = {}
+    for i, t, _ in rows:
+        logs = {x: math.log(sum(r[2] == x for r in rows) / len(rows)) + sum(
+            n * math.log((c[b] + language_id.SMOOTHING) / total[x]) for b, n in brute_buckets(t).items())
+            for x, c in counts.items()}
+        best = max(sorted(logs), key=logs.get)
+        want[i] = best, 1 / sum(math.exp(v - logs[best]) for v in logs.values())
+    for size in (256, 2):
+        out = {r.doc_id: r for r in language_id.predict(df, m, ["doc_id"], slice_of=size).collect()}
+        assert {i: r.lang_pred for i, r in out.items()} == {i: w[0] for i, w in want.items()}
+        assert all(math.isclose(out[i].score, w[1], rel_tol=0.02) for i, w in want.items())
+
+
+def test_quality_rules_score_by_brute_force(spark):
+    """The compiled ensemble against its rules applied in plain Python, and statistics
+    against plain Python."""
+    at = "/root/testdata/sf0.01"
+    docs = spark.read.parquet(f"{at}/documents.parquet").select("doc_id", "text")
+    model = quality_model.fit(docs, spark.read.parquet(f"{at}/labels.parquet").select("doc_id", "quality"))
+    assert len(model.rules) > 3
+    rows = docs.select("doc_id", "text", quality_model.statistics(F.col("text")).alias("s")).collect()
+    got = by_id(quality_model.score(docs, model))
+    for r in rows:
+        margin = model.bias
+        for conditions, weight in model.rules:
+            if all((r.s[c.feature] > c.threshold) == c.above for c in conditions):
+                margin += weight
+        assert math.isclose(got[r.doc_id].score, 1 / (1 + math.exp(-margin)), rel_tol=1e-9)
+        assert got[r.doc_id].predicted == int(got[r.doc_id].score >= 0.5)
+        t = r.text or ""
+        w, n = t.split(), max(1, len(t.split()))
+        lines = [x for x in t.split("\n") if x.strip()]
+        for name, value in (("n_words", len(w)), ("mean_word_chars", len("".join(w)) / n),
+                            ("distinct_ratio", len(set(w)) / n),
+                            ("symbol_ratio", sum(t.count(c) for c in "#*$%|<>&") / n),
+                            ("mark_ratio", sum(t.count(c) for c in ".,;:") / n),
+                            ("line_words", len(w) / max(1, len(lines))),
+                            ("dup_line_ratio", (len(lines) - len(set(lines))) / max(1, len(lines))),
+                            ("short_ratio", sum(len(x) <= 2 for x in w) / n)):
+            assert math.isclose(r.s[name], value, abs_tol=1e-9), name
+
+
 # --- pipeline -----------------------------------------------------------------
 
 def test_pipeline(spark, docs):

@@ -29,8 +29,8 @@ Edge cases: a null text has no lines and stays null; an empty text stays empty;
 rows that repeat an id with the same text are one document and lose the same
 lines, with another text they are documents of their own; a null doc_id comes
 last in order; ties between tokens go to the smallest; a text of any length is
-parsed line by line as a whole; an empty table gives an empty result; a column of the input that clashes with a result column is
-replaced.
+parsed line by line as a whole; an empty table gives an empty result; a column of the
+input that clashes with a result column is replaced.
 """
 
 from __future__ import annotations

@@ -12,7 +12,9 @@ third of all rows is spread over many tasks: block totals are summed first
 
 Edge cases: a null text has size 0; a null source is a source of its own, last
 in order; a source of size 0 gets target 0 and no copies; repeated rows are
-documents of their own; an empty table gives an empty result.  Clashing column
+documents of their own; ties in the order within a source go by size class, salt, size and
+id, and rows equal in all of them change places without effect; a text of any length counts
+all its words; an empty table gives an empty result.  Clashing column
 names of the input give way to the result's.
 """
 

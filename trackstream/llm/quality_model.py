@@ -12,7 +12,10 @@ labels never enter a score.
 Edge cases: null and empty texts have all-zero statistics and get a score like
 any other; rows without a label are not learned from; repeated labels of one id
 count once (the largest); with one class or nothing to learn from, the score is
-the share of label 1 (0.5 without labels); an empty table gives an empty result.
+the share of label 1 (0.5 without labels); texts are measured whole, whatever their
+length; equal texts score alike, and a score of 0.5 predicts 1; rows that tie for the
+training sample are taken by id and statistics; an empty table gives an empty result.
+Only the id and text columns are read, so clashing names do no harm.
 """
 
 from __future__ import annotations

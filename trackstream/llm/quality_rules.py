@@ -6,7 +6,8 @@ is one row of :data:`RULES`, and :func:`apply_rules` turns the table into one
 
 Edge cases: a null, empty or blank text has no words, all counts 0 and fails
 the base test (under 10 words); repeated rows are judged alike, one result row
-each; an empty table gives an empty result.  Columns of the input whose names
+each; a text of any length is measured whole, and a measure at its threshold passes; an
+empty table gives an empty result.  Columns of the input whose names
 clash with result columns are replaced by the result (case-insensitively, as
 Spark resolves names).
 """

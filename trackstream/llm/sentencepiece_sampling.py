@@ -21,7 +21,8 @@ and decoding takes it away.
 
 Edge cases: a null text encodes to null; an empty text to no ids; a null key
 seeds like the empty key, so equal texts with null keys are cut alike, as are
-repeated rows; an empty table gives an empty result; clashing result columns of
+repeated rows; a text of any length is cut whole, word by word (one without blanks is one
+word, walked a character a step); an empty table gives an empty result; clashing result columns of
 the input are replaced.
 """
 

@@ -19,8 +19,8 @@ Exact copies share a fingerprint and are collapsed before anything is compared.
 Edge cases: a null, empty or blank text has fingerprint 0 and is linked like any
 other; a text of fewer words than a shingle is one shingle; rows with equal
 doc_id are rows of their own; a null doc_id never is a component's smallest id
-(a component of null ids only has a null component_id); an empty table gives an
-empty result.  Clashing column names of the input are not carried.
+(a component of null ids only has a null component_id); a text of any length is
+hashed whole; an empty table gives an empty result.  Clashing column names of the input are not carried.
 """
 
 from __future__ import annotations

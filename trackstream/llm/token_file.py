@@ -12,7 +12,8 @@ n_ids, doc_ids and n_tokens (one entry a document), blocks (coded payloads).
 Edge cases: a null or empty text has the end id only; a null doc_id comes first;
 repeated rows are documents of their own, in order of their text's hash; a text
 of any length is one document of one segment (its blocks stay small); an empty
-table gives empty files and an empty result.
+table gives empty files and an empty result.  Only the id and text columns are read, so
+clashing names do no harm.
 """
 
 from __future__ import annotations
