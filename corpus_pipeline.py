@@ -2,7 +2,13 @@
 
 Each stage takes (spark, docs, sf_dir) and works on all rows its predecessor kept;
 ``run`` writes every stage's rows as Parquet in the shared checkpoint folder and
-rereads them as the next stage's input.
+rereads them as the next stage's input; a stage's rows are removed once the next
+stage's are written.
+
+Edge cases, in every stage: null and empty texts, rows without an id or a source and
+repeated rows take the way that the stage's operator states; texts of any length are
+worked on whole; an empty table passes through as one; columns beyond those of
+documents are left behind at the start, so clashing names do no harm.
 """
 
 from __future__ import annotations
@@ -13,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trackstream.llm import line_dedup, mixing, quality_rules, sentencepiece_sampling, simhash
+from trackstream.llm.common import remove
 from trackstream.session import checkpoint_dir
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -62,4 +69,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         out = stage(spark, docs, sf_dir)
         out.write.parquet(f"{at}/{k}")
         docs = spark.read.schema(out.schema).parquet(f"{at}/{k}")
+        if k:
+            remove(spark, f"{at}/{k - 1}")
     return docs
