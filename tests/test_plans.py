@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from conftest import SF_MID, SF_SMALL
 from trackstream.operators import anomaly, clean, reports, windows
 from trackstream.plans import compose as P
 
@@ -33,7 +33,7 @@ def _jobs(spark) -> int:
 
 def test_one_scan_and_no_job_while_a_plan_is_built(spark):
     """Statistics of a table beside its rows read the same shuffle."""
-    v = P.valid_features(spark, SF_SMALL)
+    v = P.valid_features(spark, SF_MID)          # a table that no other test caches
     before = _jobs(spark)
     frames = {"z": anomaly.zscore_anomalies(v, window_duration="1 day"),
               "histogram": reports.velocity_histogram(v), "scaled": reports.standardize(v)}
@@ -64,7 +64,7 @@ def test_zscore_join_without_broadcast_equals(spark):
 def test_transitions_scan_and_shuffle_events_once(spark):
     """Segment ends are ordered by entity, the rest of the rows stay in their segment."""
     from trackstream.operators import features
-    df = features.state_transitions(P.valid_features(spark, SF_SMALL))
+    df = features.state_transitions(P.valid_features(spark, SF_MID))
     df.collect()
     final = _plan(df).split("== Initial Plan ==")[0]
     assert final.count("FileScan") == 1 and "ReusedExchange" in final
