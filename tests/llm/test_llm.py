@@ -497,6 +497,10 @@ def test_token_file(spark, odd, empty, scratch):
 
 def test_word_cache_equals_the_library():
     texts = [t or "" for t in TEXTS] + ["don't STOP it's\t x<|endoftext|>y", "İstanbul Σ ΣΑΣ", "é ﬁ"]
+    texts += ["it's'll !'s 'tis a1b2 x.y.z don''t é,è.È ȺȾa, ŉx! ſt's _a_b- 3.14e5", "a'RE b'Ve'd (c)'m"]
+    rng = np.random.default_rng(2)
+    signs = list("abcdéÈ019.,'!-_<|>ȺſßK") + ["'s", "'ll", " ", "\n", "the", "Word"]
+    texts += ["".join(rng.choice(signs, rng.integers(1, 80))) for _ in range(400)]
     got = token_file.WordCoder(WORD_BPE).encode(texts)
     assert all((a == b[:-1]).all() and len(a) == len(b) - 1 for a, b in zip(got, brute_ids(texts)))
 
