@@ -5,7 +5,7 @@ event into one flight position report with planted defects (missing keys,
 missing or impossible coordinates, bad time text, exact re-deliveries) so that
 every cleaning and validation branch is exercised on data that grows with the
 input.  It is one projection plus a ``Generate`` (for re-deliveries) over a
-single scan: no shuffle, no second read of ``events``.
+single scan, whose rows are dealt evenly to tasks first.
 """
 
 from __future__ import annotations
@@ -107,24 +107,29 @@ def bursts_from_events(events: DataFrame) -> DataFrame:
         "(event_id * 7919 % 36000) / 100.0D - 180.0D AS longitude")
 
 
-def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Spread a scan that yields fewer partitions than the cluster has cores
-    (e.g. one small file with a single row group) with a round-robin
-    repartition, so the CPU-heavy stages before the first shuffle (JSON
-    encode/parse, regex, hashing) do not run in one task.  A large input has
-    many splits already and passes through untouched."""
+#: Rows of a table that a task takes at most; fewer where each becomes a burst of reports.
+ROWS_PER_TASK = 250_000
+EVENTS_PER_TASK = 50_000
+
+
+def ensure_parallelism(df: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+    """Deal a scan's rows evenly to tasks: as many as the cluster has cores, and more once a
+    task would take more than ``rows_per_task``.
+
+    The number of splits says nothing about that: a row group lies in one split whole,
+    so a file with one or a few large ones has one or a few tasks with rows, however many
+    splits it has.  Rows are counted from the files' footers."""
     try:
-        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-        current = df.rdd.getNumPartitions()
+        cores = df.sparkSession.sparkContext.defaultParallelism
     except Exception:  # noqa: BLE001 - e.g. a Spark Connect session has no RDD API
         return df
-    if current < target:
-        return df.repartition(target)
-    return df
+    return df.repartition(max(cores, -(-df.count() // rows_per_task)))
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return ensure_parallelism(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
+def read_table(spark: SparkSession, sf_dir: str, name: str,
+               rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+    return ensure_parallelism(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"),
+                              rows_per_task)
 
 
 def load_flights(spark: SparkSession, sf_dir: str, *, keep_source_time: bool = False
@@ -136,4 +141,4 @@ def load_flights(spark: SparkSession, sf_dir: str, *, keep_source_time: bool = F
 
 def load_bursts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The dense feed derived from ``{sf_dir}/events.parquet``."""
-    return bursts_from_events(read_table(spark, sf_dir, "events"))
+    return bursts_from_events(read_table(spark, sf_dir, "events", EVENTS_PER_TASK))
