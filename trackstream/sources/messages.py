@@ -27,9 +27,26 @@ def envelope(df: DataFrame) -> DataFrame:
 
 
 def unwrap_nested_json(df: DataFrame, *, value_col: str = "value") -> DataFrame:
-    """``{"value": "<json>"}`` -> ``<json>``; other text unchanged."""
+    """``{"value": "<json>"}`` -> ``<json>``; other text unchanged.
+
+    Only text with the letters of the key, or with an escape that may write them, is
+    parsed for it."""
     v = F.col(value_col)
-    return df.withColumn(value_col, F.coalesce(F.get_json_object(v, "$.value"), v))
+    inner = F.when(v.contains("value") | v.contains("\\"), F.get_json_object(v, "$.value"))
+    return df.withColumn(value_col, F.coalesce(inner, v))
+
+
+def _computed(df: DataFrame, **columns) -> DataFrame:
+    """``df`` with columns that are computed once a row.  A filter or projection behind a
+    plain column is written through it, and its expression runs once for each of them;
+    none is written through a generator."""
+    for name, value in columns.items():
+        df = df.withColumn(name, F.explode(F.array(value)))
+    return df
+
+
+def _unwrapped(df: DataFrame, value_col: str) -> DataFrame:
+    return _computed(unwrap_nested_json(df, value_col=value_col), **{value_col: F.col(value_col)})
 
 
 def _with_corrupt(schema: T.StructType) -> T.StructType:
@@ -46,8 +63,8 @@ def parse_payload(df: DataFrame, *, schema: T.StructType = FLIGHT_SCHEMA_WITH_ID
     keep = keep if keep is not None else [c for c in df.columns if c != value_col]
     parse_schema = _with_corrupt(schema) if keep_corrupt else schema
     opts = {"columnNameOfCorruptRecord": CORRUPT} if keep_corrupt else {}
-    parsed = df.select(*keep, F.from_json(F.col(value_col), parse_schema, opts).alias("_p"),
-                       *([F.col(value_col).alias("_raw")] if keep_corrupt else []))
+    texts = df.select(*keep, value_col, *([F.col(value_col).alias("_raw")] if keep_corrupt else []))
+    parsed = _computed(texts, _p=F.from_json(F.col(value_col), parse_schema, opts))
     fields = [F.col(f"_p.{f.name}").alias(f.name) for f in parse_schema.fields]
     return parsed.select(*keep, *fields, *(["_raw"] if keep_corrupt else []))
 
@@ -69,8 +86,7 @@ def dead_letters(df: DataFrame, *, schema: T.StructType = FLIGHT_SCHEMA_WITH_ID,
 
     ``critical`` maps further reasons to conditions on the parsed record, in
     order, e.g. those under which cleaning would drop it."""
-    classified = classify_payload(unwrap_nested_json(df, value_col=value_col),
-                                  value_col=value_col)
+    classified = classify_payload(_unwrapped(df, value_col), value_col=value_col)
     parsed = parse_payload(classified, schema=schema, value_col=value_col,
                            keep=[c for c in classified.columns if c != value_col],
                            keep_corrupt=True)
@@ -87,8 +103,7 @@ def good_records(df: DataFrame, *, schema: T.StructType = FLIGHT_SCHEMA_WITH_ID,
     """Messages that parse as a JSON object, unwrapped and flattened.  A
     wrong-typed field becomes NULL, as in PERMISSIVE parsing; without
     ``keep_wrong_type`` such a message is left to :func:`dead_letters` alone."""
-    classified = classify_payload(unwrap_nested_json(df, value_col=value_col),
-                                  value_col=value_col)
+    classified = classify_payload(_unwrapped(df, value_col), value_col=value_col)
     ok = classified.filter(F.col("payload_error").isNull()).drop("payload_error")
     if keep_wrong_type:
         return parse_payload(ok, schema=schema, value_col=value_col)
