@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 
 from trackstream.plans import compose as P
 from trackstream.plans.catalog import round_doubles
-from trackstream.plans.joins import materialize
 from trackstream.schema import PipelineConfig
 from trackstream.session import scratch_path
 from trackstream.sources import messages as M
@@ -29,10 +28,18 @@ CONFIG = PipelineConfig(window="1 day", zscore_window="1 day", watermark="10 min
                         null_keys="distinct", trend_expiry=3)
 
 
+def _written(df: DataFrame) -> DataFrame:
+    """``df`` as a table of the checkpoint folder: its extremes are read from one column, and
+    each step from columns, not from rows that are taken apart again."""
+    path = scratch_path(df.sparkSession, "messages")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def land_feed(spark: SparkSession, sf_dir: str, path: str, slices: int = SLICES) -> None:
     """Write the message feed in ``slices`` steps of equal time, one after another: a
     file stream takes files by their age, and older rows would come late."""
-    msgs = materialize(M.messages_from_flights(P.flights(spark, sf_dir)))
+    msgs = _written(M.messages_from_flights(P.flights(spark, sf_dir)))
     lo, hi = msgs.agg(F.min(F.unix_micros("timestamp")), F.max(F.unix_micros("timestamp"))).first()
     step = ((hi or 0) - (lo or 0)) // slices + 1
     nth = F.coalesce(F.floor((F.unix_micros("timestamp") - F.lit(lo or 0)) / step), F.lit(0))
