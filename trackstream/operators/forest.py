@@ -160,23 +160,25 @@ class ForestModel:
 
 def raw_scores(arrays: dict, x: np.ndarray, tree_chunk: int = 16) -> np.ndarray:
     """s(x) = 2 ** (-E[h(x)] / c(psi)).  All rows walk a chunk of trees at
-    once (rows x trees index matrix, cache-sized chunks); each level is five
-    gathers: node feature, row value, threshold, child, and nothing else."""
+    once (rows x trees index matrix, cache-sized chunks); each level is four
+    gathers from flat arrays: node feature, row value, threshold and child."""
     m = x.shape[0]
     roots = arrays["roots"]
     if m == 0 or roots.size == 0:
         return np.zeros(m)
-    feat, thr, child = arrays["feature"], arrays["threshold"], arrays["child"]
+    feat, thr = arrays["feature"].astype(np.intp), arrays["threshold"]
+    child = arrays["child"].T.astype(np.intp).ravel()        # left and right of each node
     depth = arrays["max_depth"]
-    rows = np.arange(m)[:, None]
+    values = np.ascontiguousarray(x).ravel()
+    rows = np.arange(m)[:, None] * x.shape[1]
     total = np.zeros(m)
     for start in range(0, roots.size, tree_chunk):
-        idx = np.broadcast_to(roots[start:start + tree_chunk], (m, min(tree_chunk,
-                              roots.size - start))).copy()
+        chunk = roots[start:start + tree_chunk].astype(np.intp)
+        idx = np.broadcast_to(chunk, (m, chunk.size)).copy()
         for _ in range(depth):
-            go_right = x[rows, feat[idx]] >= thr[idx]
-            idx = child[go_right.view(np.int8), idx]
-        total += arrays["leaf_h"][idx].sum(axis=1)
+            go_right = values.take(feat.take(idx) + rows) >= thr.take(idx)
+            idx = child.take(idx * 2 + go_right)
+        total += arrays["leaf_h"].take(idx).sum(axis=1)
     return np.power(2.0, -(total / roots.size) / arrays["c_psi"])
 
 
@@ -194,7 +196,7 @@ def _unit_hash(*cols) -> Column:
     return F.pmod(F.xxhash64(*cols), F.lit(2 ** 31)).cast("double") / F.lit(_HASH_SPACE)
 
 
-def _stored(df: DataFrame) -> DataFrame:
+def stored(df: DataFrame) -> DataFrame:
     """Write a table once to the shared checkpoint folder and read it back."""
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/features-{uuid.uuid4().hex}"
@@ -233,7 +235,7 @@ def fit_isolation_forest(df: DataFrame, *, features: list[str] | None = None,
     features = features or list(S.MODEL_FEATURES)
     named = df.select(_row_identity(df, features, id_cols).alias("_rid"), *features)
     # equal rows are one row with a number; a hot one is summed before the shuffle
-    grouped = _stored(named.groupBy("_rid", *features).agg(F.count(F.lit(1)).alias("_n")))
+    grouped = stored(named.groupBy("_rid", *features).agg(F.count(F.lit(1)).alias("_n")))
     content = F.sum(F.xxhash64("_rid", *features, "_n").cast("decimal(38,0)"))
     n, total = grouped.agg(F.coalesce(F.sum("_n"), F.lit(0)), content).first()
     if n == 0:
