@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from trackstream import schema as S
 from trackstream.operators import forest, reports
 from trackstream.plans import compose as P
 from trackstream.plans.catalog import round_doubles
@@ -82,7 +83,9 @@ def q_train_test_split(spark, d):
 def q_forest_evaluation(spark, d):
     """M4: fit on the train split, evaluate on the test split against the
     rule-based label (any anomaly rule fires at full score)."""
-    v = forest.train_test_split(P.valid_features(spark, d))
+    # the fit and the evaluation read the split, which is written once
+    v = forest.stored(forest.train_test_split(P.valid_features(spark, d)).select(
+        *forest.IDENTITY, *S.MODEL_FEATURES, "split"))
     m = forest.fit_isolation_forest(v.filter(F.col("split") == "train"))
     test = forest.score_frame(v.filter(F.col("split") == "test"), m)
     from trackstream.functions.expressions import anomaly_reason
