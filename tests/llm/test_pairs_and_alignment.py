@@ -89,6 +89,33 @@ def test_join_finds_every_link(spark, num, paired):
     assert {(r.a, r.b) for r in ngram_join.all_links(df, num=num).collect()} == want_links
 
 
+def test_near_copies_spread_few_tokens(spark, monkeypatch):
+    rng = random.Random(120)
+    base = [f"w{i}" for i in range(150)]
+    texts = {}
+    for i in range(120):
+        w = list(base)
+        for _ in range(2):
+            w[rng.randrange(len(w))] = f"x{i % 3}"
+        texts[i] = " ".join(w)
+    spread, write = [], ngram_join.materialize
+
+    def seen(df, name):
+        out = write(df, name)
+        if name == "often":
+            spread.append(out.agg({"f": "sum"}).first()[0] or 0)
+        return out
+
+    monkeypatch.setattr(ngram_join, "materialize", seen)
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    got = {r.doc_id: (r.n_shingles, r.component_id)
+           for r in ngram_join.join(df, paired=4, spare=0).collect()}
+    want, _, sets = brute_join(texts)
+    assert got == want
+    # whole sets are spread on the first level; those behind it spread differences alone
+    assert len(spread) > 1 and 2 * sum(spread[1:]) < sum(map(len, sets.values()))
+
+
 def test_join_query(spark):
     texts = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
     want, _, _ = brute_join(texts)

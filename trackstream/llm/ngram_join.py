@@ -26,9 +26,11 @@ centre.  Two members link exactly if their differences share at least
 zero or less, both also link to the member of the smallest F, which is paired with all;
 every other linked pair shares a token within the first |d| - least + 1 of its
 differences, rarest first.  Those prefixes are the next level's lists.  A token of a
-difference belongs to at most half of a group, so lists shrink from level to level.  A
-group of near copies thus costs a few pairs a member, not its square, and no pair that
-could join two components goes unverified.
+difference belongs to at most half of a group, so lists shrink from level to level.  The
+next level starts from the differences, not from the sets: two members of a group differ
+in the same tokens as their differences do, so a member that is in many lists brings a
+few tokens to each.  A group of near copies thus costs a few pairs a member, not its
+square, and no pair that could join two components goes unverified.
 
 Frequencies are counts with partial sums and joins on a token are ordinary joins, so a
 token in a third of all documents is spread by adaptive skew handling.  Steps are
@@ -238,18 +240,21 @@ def candidates(rows: DataFrame, num: int, den: int) -> DataFrame:
         F.col("a_node").alias("a"), F.col("b_node").alias("b"))
 
 
-def differences(rows: DataFrame, sets: DataFrame, num: int, den: int) -> tuple[DataFrame, DataFrame]:
+def differences(rows: DataFrame, known: DataFrame, num: int, den: int) \
+        -> tuple[DataFrame, DataFrame, DataFrame]:
     """Candidates and next lists of long lists: (a, b) with each group's member of the
-    smallest F, and (t, node, n, root) of the prefixes of the differences."""
+    smallest F, and (t, base, node, n, root) of the prefixes of the differences; then the
+    differences themselves, (g, node, d) and more, in group g.  ``known`` is (base, node, d):
+    a node's set, or its difference in an earlier group, that ``rows`` call ``base``."""
     # a list goes by its member that is in most lists: lists of one cluster share theirs
-    lists = rows.groupBy("node").agg((-F.count(F.lit(1))).alias("k"))
-    own = rows.join(lists, "node").groupBy("t").agg(
-        F.min(F.struct("k", F.xxhash64("node").alias("g"))).alias("own"))
+    lists = rows.groupBy("base", "node").agg((-F.count(F.lit(1))).alias("k"))
+    own = rows.join(lists, ["base", "node"]).groupBy("t").agg(
+        F.min(F.struct("k", F.xxhash64("base", "node").alias("g"))).alias("own"))
     member = materialize(rows.join(own.select("t", "own.g"), "t").select(
-        "g", "node", "n", "root").distinct(), "members")
+        "g", "base", "node", "n", "root").distinct(), "members")
     size = member.groupBy("g").agg(F.count(F.lit(1)).alias("size"))
-    whole = member.join(sets_for(member.select("node").distinct(), sets).select("node", "tokens"),
-                        "node")
+    whole = member.join(sets_for(member.select("node").distinct(), known)
+                        .select("base", "node", F.col("d").alias("tokens")), ["base", "node"])
     often = (whole.select("g", F.explode("tokens").alias("x")).groupBy("g", "x")
              .agg(F.count(F.lit(1)).alias("f")).filter("f > 1").join(size, "g")
              .withColumn("inside", F.col("f") * 2 > F.col("size")))
@@ -281,8 +286,8 @@ def differences(rows: DataFrame, sets: DataFrame, num: int, den: int) -> tuple[D
         F.array_sort(F.collect_list(F.struct("k", "x"))).alias("o"))
     first = F.expr("slice(o, 1, int(greatest(0L, upto - s + size(o))))")
     lists = kept.select("g", "node", "n", "root", F.explode(first).alias("p")).select(
-        F.xxhash64("g", "p.x").alias("t"), "node", "n", "root")
-    return stars, lists
+        F.xxhash64("g", "p.x").alias("t"), F.col("g").alias("base"), "node", "n", "root")
+    return stars, lists, differ
 
 
 def pivots(rows: DataFrame, num: int, den: int) -> DataFrame:
@@ -326,7 +331,8 @@ def similar_nodes(df: DataFrame, prints: DataFrame, id_col: str = "doc_id", text
     alive = materialize(screen(prints, num, den), "alive")
     sets = materialize(sets_of(df, prints, alive, id_col, text_col, width), "sets")
     discard(spark, start, [sets])
-    rows = materialize(prefixes(sets, num, den), "prefixes")
+    rows = materialize(prefixes(sets, num, den).withColumn("base", F.lit(0).cast("long")), "prefixes")
+    known = sets.select(F.lit(0).cast("long").alias("base"), "node", F.col("tokens").alias("d"))
     none = F.lit(0).alias("far")
     if every_link:
         return verify(candidates(_labelled(rows, None).select("*", none), num, den), sets, num, den)
@@ -350,7 +356,8 @@ def similar_nodes(df: DataFrame, prints: DataFrame, id_col: str = "doc_id", text
             pairs = _paired(near, ["node", "n", "root"], num, den).select(
                 F.col("a_node").alias("a"), F.col("b_node").alias("b")).distinct()
         if not last:
-            stars, rows = differences(long, sets, num, den)
+            stars, rows, differ = differences(long, known, num, den)
+            known = differ.select(F.col("g").alias("base"), "node", "d")
             pairs = pairs.union(stars).distinct()
         found = materialize(verify(pairs, sets, num, den), "links")
         edges.append(found)
@@ -359,7 +366,7 @@ def similar_nodes(df: DataFrame, prints: DataFrame, id_col: str = "doc_id", text
         rows = materialize(rows, "prefixes")
         if not found.isEmpty():
             tree = _roots(edges)
-        discard(spark, start, [sets, rows, tree, *edges])
+        discard(spark, start, [sets, rows, differ, tree, *edges])
     return reduce(DataFrame.union, edges)
 
 
