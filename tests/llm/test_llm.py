@@ -505,6 +505,46 @@ def test_word_cache_equals_the_library():
     assert all((a == b[:-1]).all() and len(a) == len(b) - 1 for a, b in zip(got, brute_ids(texts)))
 
 
+def test_a_full_word_cache_keeps_the_words_met_often():
+    often = [f"common{chr(97 + i)}" for i in range(10)]
+    texts = [" ".join(often + [f"rare{chr(97 + k)}{chr(97 + j)}é" for j in range(20)])
+             for k in range(12)]
+    c, new = token_file.WordCoder(WORD_BPE), []
+    c.MOST, add = 60, c._add
+    c._add = lambda words: (new.extend(words), add(words))
+    for t in texts:
+        got = c.encode([t, None])
+        assert (got[0] == brute_ids([t])[0][:-1]).all() and len(got[1]) == 0
+        assert len(c.number) <= c.MOST + 30
+    assert sorted(w for w in new if w in often) == often       # each encoded once only
+    c.MOST_CHARS = 20                                          # room for one such word
+    c.shrink()
+    assert len(c.number) == 1 and c.chars <= 10
+    assert (c.encode([texts[0]])[0] == brute_ids(texts[:1])[0][:-1]).all()
+
+
+def test_rounds_of_ids_leave_no_few_over():
+    s = token_file.SEGMENT_IDS
+    for n, rounds in ((1, 1), (191, 1), (193, 1), (383, 1), (385, 2), (600, 3)):
+        got = list(token_file.even([s] * n, 192 * s))
+        assert len(got) == rounds and got[0][0] == 0 and got[-1][1] == n
+        assert all(a[1] == b[0] for a, b in zip(got[:-1], got[1:]))
+        assert n < 192 or min(z - a for a, z in got) >= 180
+    huge = list(token_file.even([s, 9 * s, s, s], s))          # a huge row does not draw others in
+    assert max(z - a for a, z in huge) <= 6 and huge[-1][1] == 4
+    assert list(token_file.even([])) == []
+
+
+def test_range_coder_classes_follow_the_dictionary():
+    rng = np.random.default_rng(8)
+    blocks = [np.arange(n, dtype=np.uint32) for n in (1, 2, 3, 4, 4096, 4097, 8191, 8192)]
+    blocks += [rng.permutation(np.repeat(np.arange(k, dtype=np.uint32), 4096 // k)) for k in (2, 4)]
+    coded = range_coder.encode_blocks(blocks)
+    assert all((a == b).all() for a, b in zip(blocks, range_coder.decode_blocks(coded)))
+    assert [range_coder.encode_blocks([b])[0] for b in blocks] == coded
+    assert range_coder.decode_blocks(range_coder.encode_blocks([blocks[0]] * 700))[699] == [0]
+
+
 # --- 8 SpotSigs ---------------------------------------------------------------
 
 def test_spotsigs_query(spark, docs):

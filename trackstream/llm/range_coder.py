@@ -6,7 +6,8 @@ block can be read without the others.  Three predictions drive the coder:
 * order 2: the id that last followed the same two ids, with a confidence 0 to 3;
 * order 1: the id that last followed the same id, with a confidence 0 to 3;
 * order 0: the block's ids by frequency; an id is coded as the class of its rank
-  (its number of binary digits) and the digits below the first.
+  (its number of binary digits, up to that of the dictionary's size) and the digits
+  below the first.
 
 A symbol says "as order 2 predicts", "as order 1 predicts", or a rank class.  Its
 probability mixes three adaptive counts: those seen under the order-2 confidence,
@@ -33,7 +34,7 @@ import zlib
 HEAD = struct.Struct("<IIIB")
 TABLE = 1 << 12              # slots of the order-1 and order-2 tables of a block
 MOST_IDS = 1 << 14           # ids of a block at most
-SYMBOLS = 2 + 15             # the two predictions and the rank classes 0 to 14
+SORTED = 1 << 9              # blocks whose dictionaries are sorted together
 #: By order-2 confidence (4), by order-1 confidence and agreement (8); overall stands apart.
 CONTEXTS = 12
 LIMIT = 1 << 13              # counts of a context are halved beyond this total,
@@ -46,70 +47,89 @@ class Damaged(ValueError):
 
 
 class _Models:
-    """The adaptive state of ``n`` blocks that move in step."""
+    """The adaptive state of blocks that move in step; ``entries`` is the size of each
+    one's dictionary, which bounds its rank classes.
 
-    def __init__(self, n: int):
+    Counts are kept summed up: column k of a row is the sum of those below symbol k, the
+    last column that of all.  So rows are mixed by adding them, and learning a symbol adds
+    one row of ``steps``."""
+
+    def __init__(self, entries):
         import numpy as np
 
-        self.rows = np.arange(n)
-        self.base, self.room = self.rows * CONTEXTS, self.rows * TABLE
-        self.next2, self.next1 = (np.zeros(n * TABLE, np.uint16) for _ in range(2))
+        n, most = len(entries), int(max(entries, default=0))
+        symbols = 2 + np.array([int(e).bit_length() for e in entries], np.int64)
+        width = 16 if int(symbols.max()) < 16 else 32
+        first = np.minimum(np.arange(width), symbols[:, None]).astype(np.int16)
+        self.width, self.row = width, np.dtype((np.void, 2 * width))
+        self.overall = first
+        self.count = np.repeat(first, CONTEXTS, axis=0)
+        self.steps = (np.arange(width) > np.arange(width)[:, None]).astype(np.int16) * GAIN
+        # a block's tables: order 2 by a hash, order 1 by rank
+        slots = min(TABLE, 1 << max(most - 1, 1).bit_length())
+        self.mask = slots - 1
+        rows = np.arange(n)
+        self.table = np.zeros(n * (TABLE + slots), np.uint16)
+        self.room = np.stack((rows * (TABLE + slots), rows * (TABLE + slots) + TABLE))
+        self.base = np.stack((rows * CONTEXTS, rows * CONTEXTS + 4))
+        self.at = rows * width
         self.last1, self.last2 = (np.zeros(n, np.int64) for _ in range(2))
-        self.count = np.ones((n * CONTEXTS, SYMBOLS), np.int16)
-        self.overall = np.ones((SYMBOLS, n), np.int16)
         self.step = 0
 
     def predict(self, m: int):
-        """Of the first ``m`` blocks: table slots and entries, predicted ranks, contexts,
-        and the mixed counts of all symbols summed up (row k: those below symbol k)."""
+        """Of the first ``m`` blocks: table slots and entries, predicted ranks and contexts
+        (a line of order 2 and one of order 1), counts under them, and the mixed counts."""
         import numpy as np
 
-        a, b, room = self.last1[:m], self.last2[:m], self.room[:m]
-        s2 = ((a * 40503 + b * 30011) >> 3 & (TABLE - 1)) + room
-        s1 = (a & (TABLE - 1)) + room
-        v2, v1 = self.next2.take(s2), self.next1.take(s1)
-        p2, p1 = v2 >> 2, v1 >> 2
-        base = self.base[:m]
-        x2 = base + (v2 & 3)
-        x1 = base + ((v1 & 3) + np.where(p1 == p2, np.uint16(8), np.uint16(4)))
-        mixed = self.count.take(x2, axis=0)
-        mixed += self.count.take(x1, axis=0)
-        upto = np.zeros((SYMBOLS + 1, m), np.int16)
-        np.add(mixed.T, self.overall[:, :m], out=upto[1:])
-        lines = list(upto)
-        for below, line in zip(lines[1:], lines[2:]):
-            np.add(line, below, out=line)
-        return (s2, s1), (v2, v1), (p2, p1), (x2, x1), upto
-
-    def span(self, upto, symbol):
+        a = self.last1[:m]
+        slots = np.empty((2, m), np.int64)
+        np.multiply(a, 40503, out=slots[0])
+        slots[0] += self.last2[:m] * 30011
+        slots[0] >>= 3
+        slots[0] &= TABLE - 1
+        np.bitwise_and(a, self.mask, out=slots[1])
+        slots += self.room[:, :m]
+        values = self.table.take(slots)
+        ranks = values >> 2
+        contexts = self.base[:, :m] + (values & 3)
+        contexts[1] += (ranks[0] == ranks[1]).view(np.int8) << 2
+        counts = self.count.view(self.row).ravel().take(contexts).view(np.int16).reshape(
+            2, m, self.width)
+        mixed = counts[0] + counts[1]
+        mixed += self.overall[:m]
+        return slots, values, ranks, contexts, counts, mixed
+
+    def span(self, mixed, symbol):
         """Start and size of a symbol of each block, and the whole, as u64."""
         import numpy as np
 
-        m, flat = upto.shape[1], upto.ravel()
-        at = symbol * m + self.rows[:m]
+        flat = mixed.ravel()
+        at = self.at[:len(mixed)] + symbol
         start = flat.take(at)
-        return (start.astype(np.uint64), (flat.take(at + m) - start).astype(np.uint64),
-                upto[-1].astype(np.uint64))
+        return (start.astype(np.uint64), (flat.take(at + 1) - start).astype(np.uint64),
+                mixed[:, -1].astype(np.uint64))
 
-    def learn(self, seen, symbol, rank):
+    def learn(self, seen, symbol, rank, hit):
+        """``hit``: which of the two predicted ranks are the rank that came."""
         import numpy as np
 
-        slots, values, ranks, contexts, _ = seen
-        m, flat = len(rank), self.count.ravel()
-        for x in contexts:
-            flat[x * SYMBOLS + symbol] += GAIN
-        self.overall.ravel()[symbol * len(self.rows) + self.rows[:m]] += GAIN
+        slots, values, _, contexts, counts, _ = seen
+        m = len(rank)
+        more = self.steps.take(symbol, axis=0)
+        counts += more
+        self.count.view(self.row).ravel().put(contexts, counts.view(self.row).ravel())
+        self.overall[:m] += more
         self.step += 1
         if self.step % PACE == 0:
-            full = np.flatnonzero(self.count.sum(axis=1, dtype=np.int32) > LIMIT)
-            self.count[full] = (self.count[full] + 1) >> 1
-            full = np.flatnonzero(self.overall.sum(axis=0, dtype=np.int32) > LIMIT)
-            self.overall[:, full] = (self.overall[:, full] + 1) >> 1
-        anew = (rank << 2).astype(np.uint16)
-        for table, s, v, p in zip((self.next2, self.next1), slots, values, ranks):
-            sure = v & 3
-            # a hit raises the confidence; a miss takes it to 0, or takes the place at 0
-            table[s] = np.where(p == rank, v + (sure < 3), np.where(sure > 0, v - sure, anew))
+            for lines in (self.count, self.overall):
+                full = np.flatnonzero(lines[:, -1] > LIMIT)
+                if len(full):
+                    half = (np.diff(lines[full], axis=1) + 1) >> 1
+                    lines[full, 1:] = np.cumsum(half, axis=1, dtype=np.int16)
+        # a hit raises the confidence; a miss takes it to 0, or takes the place at 0
+        sure = values & 3
+        missed = np.where(sure > 0, values - sure, (rank << 2).astype(np.uint16))
+        self.table.put(slots, np.where(hit, values + (sure < 3), missed))
         self.last2[:m], self.last1[:m] = self.last1[:m], rank
 
 
@@ -117,16 +137,16 @@ def _digits(rank):
     """The class of a rank: the number of binary digits of rank + 1, less one."""
     import numpy as np
 
-    return np.frexp((rank + 1).astype(np.float32))[1] - 1
+    return np.frexp((rank + 1).astype(np.float32))[1].astype(np.int64) - 1
 
 
 def _constants():
     import numpy as np
 
-    return np.uint64(1 << 32), np.uint64(1), np.uint64(14), np.uint64(32)
+    return np.uint64(1 << 32), np.uint64(1), np.uint64(14), np.uint64(32), np.uint64(46)
 
 
-WORD, ONE, S14, S32 = _constants()
+WORD, ONE, S14, S32, S46 = _constants()
 
 
 def _narrow(low, rng):
@@ -216,23 +236,63 @@ class _Reader:
         return rest
 
 
-def _dictionary(ids):
-    """The different ids by falling frequency, then by id; and the rank of each id."""
+def _dictionaries(blocks: list):
+    """Of each block the different ids by falling frequency, then by id; and the ranks of
+    its ids, a row a block."""
+    import numpy as np
+
+    n, books = len(blocks), []
+    ranks = np.zeros((n, max(map(len, blocks), default=0)), np.uint16)
+    top = max((int(b.max()) for b in blocks if len(b)), default=0)
+    place = np.zeros(top + 1, np.uint16) if top < 1 << 20 else None
+    for a in range(0, n, SORTED):
+        part = blocks[a:a + SORTED]
+        line = np.concatenate(part).astype(np.uint64)
+        line |= np.repeat(np.arange(len(part), dtype=np.uint64) << S32, [len(b) for b in part])
+        line.sort()
+        first = np.flatnonzero(np.concatenate((np.ones(min(len(line), 1), bool),
+                                               line[1:] != line[:-1])))
+        known, counts = line[first], np.diff(first, append=len(line))
+        # block, falling frequency and id in one number
+        known = (known >> S32 << S46) | ((MOST_IDS - counts).astype(np.uint64) << S32) | (
+            known & (WORD - ONE))
+        known.sort()
+        ends = np.searchsorted(known >> S46, np.arange(len(part) + 1, dtype=np.uint64))
+        ids = known.astype(np.uint32)
+        ends = ends.tolist()
+        numbers = np.arange(MOST_IDS, dtype=np.uint16)
+        for i, (b, x, y) in enumerate(zip(part, ends[:-1], ends[1:]), a):
+            book = ids[x:y]
+            books.append(book)
+            if place is not None:                # ranks by a table over the ids
+                place[book] = numbers[:y - x]
+                ranks[i, :len(b)] = place[b]
+            elif len(b):
+                by = np.argsort(book)
+                ranks[i, :len(b)] = by[np.searchsorted(book[by], b)]
+    return books, ranks
+
+
+def _bytes_sum(below):
+    """How many of each row's booleans (a multiple of eight) hold: words of eight bytes are
+    added, and a product brings the sum of a word's bytes to its top."""
+    import numpy as np
+
+    words = below.view(np.uint64)
+    total = words[:, 0] + words[:, 1]
+    for k in range(2, words.shape[1]):
+        total += words[:, k]
+    return (total * np.uint64(0x0101010101010101) >> np.uint64(56)).astype(np.int64)
+
+
+def _turned(x):
+    """The transpose of an array, copied in strips that stay in the cache."""
     import numpy as np
 
-    if not len(ids):
-        return ids, np.zeros(0, np.int32)
-    line = np.sort(ids)
-    first = np.concatenate((np.zeros(1, np.int64), np.flatnonzero(line[1:] != line[:-1]) + 1))
-    known, counts = line[first], np.diff(first, append=len(line))
-    by = np.argsort(-counts, kind="stable")
-    if int(line[-1]) < 1 << 20:                  # ranks by a table over the ids
-        place = np.empty(int(line[-1]) + 1, np.int32)
-        place[known[by]] = np.arange(len(by))
-        return known[by], place[ids]
-    place = np.empty(len(by), np.int32)
-    place[by] = np.arange(len(by))
-    return known[by], place[np.searchsorted(known, ids)]
+    out = np.empty(x.shape[::-1], x.dtype)
+    for a in range(0, len(x), 64):
+        out[:, a:a + 64] = x[a:a + 64].T
+    return out
 
 
 def _alive(lens, steps: int):
@@ -256,23 +316,22 @@ def encode_blocks(blocks: list) -> list[bytes]:
     sized = [np.asarray(blocks[i], np.uint32) for i in order]
     lens = np.array([len(b) for b in sized])
     steps, n = int(lens[0]), len(sized)
-    ranks, books = np.zeros((steps, n), np.int32), []
-    for i, b in enumerate(sized):
-        ids, ranks[:lens[i], i] = _dictionary(b)
-        books.append(ids)
-    models, writer = _Models(n), _Writer(n, steps)
-    digits = _digits(np.arange(MOST_IDS))
+    books, ranks = _dictionaries(sized)
+    ranks = _turned(ranks)
+    models, writer = _Models([len(b) for b in books]), _Writer(n, steps)
+    classes = _digits(np.arange(MOST_IDS)).astype(np.uint8)
     for k, m in enumerate(_alive(lens, steps)):
-        rank = ranks[k, :m]
+        narrow = ranks[k, :m]
+        rank = narrow.astype(np.int64)
         seen = models.predict(m)
-        (p2, p1), upto = seen[2], seen[4]
-        bits = digits.take(rank)
-        symbol = np.where(rank == p2, 0, np.where(rank == p1, 1, bits + 2))
-        plain = symbol > 1
-        rest = np.where(plain, rank + 1 - (1 << bits), 0).astype(np.uint64)
-        bits = np.where(plain, bits, 0).astype(np.uint64)
-        writer.put(*models.span(upto, symbol), rest, bits)
-        models.learn(seen, symbol, rank)
+        hit = seen[2] == narrow
+        plain = ~(hit[0] | hit[1])
+        bits = classes.take(rank)
+        symbol = np.where(plain, bits + np.uint8(2), ~hit[0]).astype(np.int64)
+        bits *= plain
+        rest = (narrow + np.uint16(1) - (np.uint16(1) << bits)) * plain
+        writer.put(*models.span(seen[5], symbol), rest.astype(np.uint64), bits.astype(np.uint64))
+        models.learn(seen, symbol, rank, hit)
     out = [b""] * n
     for i, (code, ids, book) in enumerate(zip(writer.close(), sized, books)):
         wide = 4 if len(book) and int(book.max()) > 0xFFFF else 2
@@ -301,24 +360,25 @@ def decode_blocks(payloads: list) -> list:
     order = sorted(range(len(heads)), key=lambda i: -heads[i][0])
     lens = np.array([heads[i][0] for i in order])
     steps, n = int(lens[0]), len(order)
-    ranks = np.zeros((steps, n), np.int32)
-    models, reader = _Models(n), _Reader([words[i] for i in order])
+    ranks = np.zeros((steps, n), np.uint16)
+    models, reader = _Models([len(books[i]) for i in order]), _Reader([words[i] for i in order])
     for k, m in enumerate(_alive(lens, steps)):
         seen = models.predict(m)
-        (p2, p1), upto = seen[2], seen[4]
-        below = upto[1:] <= reader.point(upto[-1].astype(np.uint64))
-        symbol = np.add.reduce(below.view(np.int8), axis=0, dtype=np.int8).astype(np.int64)
+        (p2, p1), mixed = seen[2], seen[5]
+        below = mixed <= reader.point(mixed[:, -1].astype(np.uint64))[:, None]
+        symbol = _bytes_sum(below) - 1                 # column 0 holds for all
         bits = np.maximum(symbol - 2, 0).astype(np.uint64)
-        start, size, _ = models.span(upto, symbol)
+        start, size, _ = models.span(mixed, symbol)
         rest = reader.take(start, size, bits)
         rank = np.where(symbol == 0, p2, np.where(symbol == 1, p1, (
             rest + (ONE << bits) - ONE).astype(np.int64)))
-        models.learn(seen, symbol, rank)
+        models.learn(seen, symbol, rank, seen[2] == rank)
         ranks[k, :m] = rank
+    ranks = _turned(ranks)
     out = [None] * n
     for i, at in enumerate(order):
         size, crc = heads[at]
-        own, book = ranks[:size, i], books[at]
+        own, book = ranks[i, :size], books[at]
         if size and (not len(book) or own.max() >= len(book)):
             raise Damaged("an id outside the block's dictionary")
         ids = book[own] if size else np.zeros(0, np.uint32)

@@ -18,7 +18,6 @@ clashing names do no harm.
 
 from __future__ import annotations
 
-import re
 from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,7 +28,8 @@ from trackstream.llm.common import partitions, ship_package, tokenizer_path
 
 BLOCK_IDS = 2048
 SEGMENT_IDS = 1 << 14
-#: What a worker handles together: characters of texts to encode, ids to code or decode.
+#: What a worker handles together: characters of texts to encode, ids to code or decode
+#: (up to twice as many, so that no few are left for a round of their own).
 TOGETHER_CHARS = 1 << 22
 FLUSH_IDS = 3 << 20
 END = 1
@@ -37,7 +37,7 @@ SCHEMA = ("part int, seg int, n_ids long, doc_ids array<long>, n_tokens array<lo
           "blocks array<binary>")
 #: Texts of these characters alone can be cut at white space and encoded word by
 #: word: the vocabulary's normaliser and pattern then see nothing across a blank.
-_OTHER = re.compile("[^\t\n\r -~¡-įı-ɏ]|<\\|")
+_OTHER = "[^\t\n\r -~¡-įı-ɏ]|<\\|"
 
 
 #: A letter and an ASCII sign or digit behind it are never in one word of the vocabulary.
@@ -47,19 +47,21 @@ _SIGN = r"(\p{L})([!-@\[-`{-~])"
 class WordCoder:
     """Encodes texts with the tokenizers library, each different word once."""
 
-    MOST = 250_000             # words remembered, and their characters
-    MOST_CHARS = 1 << 22
+    MOST = 500_000             # words remembered, and their characters
+    MOST_CHARS = 1 << 23
     TOGETHER = 512
 
     def __init__(self, path: str):
         import os
 
+        import numpy as np
+
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(tokenizer_path(path))
         named = self.tokenizer.get_vocab()
-        self.size = [0] * (max(named.values()) + 1)            # bytes of each id
+        self.size = np.zeros(max(named.values()) + 1, np.int64)      # bytes of each id
         for name, i in named.items():
             self.size[i] = len(name.removesuffix("</w>"))      # a character stands for a byte
         self.clear()
@@ -69,8 +71,28 @@ class WordCoder:
 
         self.number, self.chars = _Numbers(), 0
         self.at, self.len = np.zeros(1024, np.int64), np.zeros(1024, np.int64)
+        self.uses = np.zeros(1024, np.int64)                   # calls that met the word
         self.pool, self.used = np.zeros(4096, np.uint32), 0
 
+    def shrink(self):
+        """Keep the words met in two calls or more, those met most first, up to half of
+        what may be remembered."""
+        import numpy as np
+
+        n, named = len(self.number), list(self.number)
+        keep = np.argsort(-self.uses[:n], kind="stable")[:self.MOST // 2]
+        keep = keep[self.uses[keep] > 1]
+        chars = np.cumsum([len(named[i].encode()) for i in keep.tolist()])
+        keep = np.sort(keep[:np.searchsorted(chars, self.MOST_CHARS // 2, side="right")])
+        words = [named[i] for i in keep.tolist()]
+        at, size = self.at[keep], self.len[keep]
+        ends = np.cumsum(size)
+        self.pool = self.pool[np.repeat(at - (ends - size), size) + np.arange(int(size.sum()))]
+        self.at, self.len, self.used = ends - size, size, len(self.pool)
+        self.uses = np.ones(len(keep), np.int64)               # to be met again
+        self.number = _Numbers(zip(words, range(len(words))))
+        self.chars = sum(len(w.encode()) for w in words)
+
     def _add(self, words: list):
         """Encode new words, many in one text: they are parted by a space, and ids
         belong to a word as long as their bytes make it up."""
@@ -80,23 +102,27 @@ class WordCoder:
         flats, sizes = [np.zeros(0, np.uint32)], []
         for a in range(0, len(words), self.TOGETHER):
             part = words[a:a + self.TOGETHER]
-            coded = self.tokenizer.encode(" ".join(part), add_special_tokens=False)
-            ids = coded.ids
-            upto = np.cumsum([self.size[i] for i in ids])
-            ends = np.cumsum([len(w.lower().encode()) for w in part])
+            text = " ".join(part)
+            ids = np.array(self.tokenizer.encode_batch_fast(
+                [text], add_special_tokens=False)[0].ids, np.uint32)
+            upto = np.cumsum(self.size[ids])
+            lens = (np.fromiter(map(len, part), np.int64, len(part)) if text.isascii() else
+                    np.array([len(w.lower().encode()) for w in part], np.int64))
+            ends = np.cumsum(lens)
             cuts = np.searchsorted(upto, ends)
             if len(ids) and upto[-1] == ends[-1] and (upto[cuts] == ends).all():
                 sizes.append(np.diff(cuts, prepend=-1))
             else:                       # a character in another form than the word's
+                coded = self.tokenizer.encode(text, add_special_tokens=False)
                 at = np.fromiter((x for x, _ in coded.offsets), np.int64, len(ids))
                 places = np.cumsum([len(w) + 1 for w in part])
                 sizes.append(np.bincount(np.searchsorted(places, at, side="right"),
                                          minlength=len(part)))
-            flats.append(np.array(ids, np.uint32))
+            flats.append(ids)
             self.chars += int(ends[-1])
         flat, size = np.concatenate(flats), np.concatenate(sizes)
         for name, need in (("at", start + len(words)), ("len", start + len(words)),
-                           ("pool", self.used + len(flat))):
+                           ("uses", start + len(words)), ("pool", self.used + len(flat))):
             old = getattr(self, name)
             if need > len(old):
                 grown = np.zeros(max(need, 2 * len(old)), old.dtype)
@@ -114,24 +140,28 @@ class WordCoder:
         import pyarrow.compute as pc
 
         if len(self.number) > self.MOST or self.chars > self.MOST_CHARS:
-            self.clear()
-        out, plain = [None] * len(texts), []
-        for i, t in enumerate(texts):
-            if t and _OTHER.search(t):
-                out[i] = np.array(self.tokenizer.encode(t, add_special_tokens=False).ids, np.uint32)
-            else:
-                plain.append(i)
+            self.shrink()
+        out = [None] * len(texts)
+        given = pa.array(texts, pa.large_string()).fill_null("")
+        other = pc.match_substring_regex(given, _OTHER)
+        for i in np.flatnonzero(other.to_numpy(zero_copy_only=False)).tolist():
+            out[i] = np.array(self.tokenizer.encode(texts[i], add_special_tokens=False).ids,
+                              np.uint32)
+        plain = [i for i, ids in enumerate(out) if ids is None]
         if not plain:
             return out
+        if len(plain) < len(texts):
+            given = given.take(pa.array(plain, pa.int64()))
         # the vocabulary is of lower case; each different word of the texts is looked up once
-        split = pc.ascii_split_whitespace(pc.replace_substring_regex(pc.ascii_lower(
-            pa.array([texts[i] or "" for i in plain], pa.large_string())), _SIGN, r"\1 \2"))
+        split = pc.ascii_split_whitespace(pc.replace_substring_regex(
+            pc.ascii_lower(given), _SIGN, r"\1 \2"))
         known = split.flatten().dictionary_encode()
-        number = np.fromiter(map(self.number.__getitem__, known.dictionary.to_pylist()),
-                             np.int64, len(known.dictionary))
+        named = known.dictionary.to_numpy(zero_copy_only=False).tolist()
+        number = np.fromiter(map(self.number.__getitem__, named), np.int64, len(named))
         new, self.number.new = self.number.new, []
         if new:
             self._add(new)
+        self.uses[number] += 1
         flat = number[known.indices.to_numpy(zero_copy_only=False)]
         size = self.len[flat]
         ends = np.cumsum(size)
@@ -145,8 +175,8 @@ class WordCoder:
 
 
 class _Numbers(dict):
-    def __init__(self):
-        super().__init__()
+    def __init__(self, known=()):
+        super().__init__(known)
         self.new = []
 
     def __missing__(self, word):
@@ -174,6 +204,13 @@ def together(sizes: list, most: int = TOGETHER_CHARS):
         yield a, len(sizes)
 
 
+def even(sizes: list, least: int = FLUSH_IDS):
+    """Ranges of rows of about equal totals, between ``least`` and twice as many."""
+    total = sum(sizes)
+    each = -(-total // max(1, total // least))
+    return together(sizes, each + 2 * SEGMENT_IDS + 64 * len(sizes))
+
+
 def cut(ids, size: int = BLOCK_IDS) -> list:
     return [ids[a:a + size] for a in range(0, len(ids), size)]
 
@@ -198,10 +235,9 @@ def write(df: DataFrame, out: str, tokenizer: str, id_col: str = "doc_id",
         part = TaskContext.get().partitionId()
         words = T.coder(tokenizer)
         last = np.array([end], np.uint32)
-        ready, docs, pieces, size, seg = [], [], [], 0, 0
+        ready, docs, pieces, size, seg, held = [], [], [], 0, 0, 0
 
-        def flush():
-            nonlocal ready
+        def flush(ready, seg):
             blocks = [T.cut(x) for _, x in ready]
             coded = iter(range_coder.encode_blocks([b for x in blocks for b in x]))
             rows = [[next(coded) for _ in x] for x in blocks]
@@ -213,7 +249,6 @@ def write(df: DataFrame, out: str, tokenizer: str, id_col: str = "doc_id",
                 pa.array([[m for _, m in k] for k, _ in ready], pa.list_(pa.int64())),
                 pa.array(rows, pa.list_(pa.binary()))],
                 ["part", "seg", "n_ids", "doc_ids", "n_tokens", "blocks"])
-            ready = []
 
         for whole in batches:
             for a, z in T.together(pc.utf8_length(whole.column(1)).to_pylist()):
@@ -224,14 +259,18 @@ def write(df: DataFrame, out: str, tokenizer: str, id_col: str = "doc_id",
                     size += len(ids) + 1
                     if size >= T.SEGMENT_IDS:
                         ready.append((docs, np.concatenate(pieces)))
+                        held += size
                         docs, pieces, size, seg = [], [], 0, seg + 1
-                        if sum(len(x) for _, x in ready) >= T.FLUSH_IDS:
-                            yield from flush()
+                        if held >= 2 * T.FLUSH_IDS:
+                            _, half = next(T.together([len(x) for _, x in ready], T.FLUSH_IDS))
+                            yield from flush(ready[:half], seg - len(ready) + half)
+                            ready = ready[half:]
+                            held = sum(len(x) for _, x in ready)
         if docs:
             ready.append((docs, np.concatenate(pieces)))
             seg += 1
         if ready:
-            yield from flush()
+            yield from flush(ready, seg)
 
     ordered.mapInArrow(run, SCHEMA).write.parquet(out)
 
@@ -273,7 +312,8 @@ def _decoded(spark: SparkSession, path: str, columns: str) -> DataFrame:
         from trackstream.llm import range_coder, token_file as T
 
         for whole in batches:
-            for a, z in T.together(whole.column(2).to_pylist(), T.FLUSH_IDS):
+            sizes = whole.column(2).to_pylist()
+            for a, z in T.even(sizes):
                 b = whole.slice(a, z - a)
                 part, seg, _, doc_ids, n_tokens, blocks = (c.to_pylist() for c in b.columns)
                 ids = iter(range_coder.decode_blocks([x for row in blocks for x in row]))
